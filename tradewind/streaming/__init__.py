@@ -1,0 +1,5 @@
+"""Placeholder: every workload covered by this package is a batch job.
+
+The query surface that Tradewind reproduces has no streaming source,
+watermark or stateful operator, so none is built.
+"""
