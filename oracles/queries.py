@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from oracles.roles import spark_role
+from oracles.roles import read_base, spark_role
 from oracles.sql import BROKEN_CHECKS, TEST_THRESHOLDS
 from tradewind.functions import truth_value
 from tradewind.operators import cleaning, integrity, numbering, star as builders
@@ -65,7 +65,8 @@ class Inputs:
         return self._stored[name]
 
     def role(self, name: str) -> DataFrame:
-        return spark_role(self.spark, self.sf_dir, name)
+        base = self._once("base", lambda: read_base(self.spark, self.sf_dir))
+        return self._once(name, lambda: spark_role(base, name))
 
     def raw(self) -> dict[str, DataFrame]:
         """Dirty text tables, lazily derived."""
@@ -164,8 +165,9 @@ def normalize_headers(x: Inputs) -> DataFrame:
 def overwrite_layer(x: Inputs) -> DataFrame:
     root = scratch_path(x.spark, "layer")
     names = ["customers", "sellers", "products", "orders", "order_items"]
-    tables.overwrite_layer(x.spark, {n: x.broken()[n] for n in names}, root)
-    tables.overwrite_layer(x.spark, {n: x.typed()[n] for n in names}, root)
+    broken, typed = x.broken(), x.typed()
+    tables.overwrite_layer(x.spark, {n: broken[n] for n in names}, root)
+    tables.overwrite_layer(x.spark, {n: typed[n] for n in names}, root)
     return named_counts(tables.read_layer(x.spark, root), "table_name", "n")
 
 

@@ -343,13 +343,17 @@ def duckdb_ctes() -> str:
     return ",\n".join(f"{n} as ({_expand(n, 'timestamp', False)})" for n in ROLES)
 
 
-def spark_role(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One role as a lazy DataFrame over the Parquet tables of `sf_dir`."""
+def read_base(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in BASE_TABLES}
+
+
+def spark_role(base: dict[str, DataFrame], name: str) -> DataFrame:
+    """One role as a lazy DataFrame over the base tables."""
     text = _expand(name, "timestamp_ntz", True)
-    base = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in BASE_TABLES if t in text}
     for table in base:
         text = _name_source(text, table)
-    return spark.sql(text, **base)
+    used = {t: df for t, df in base.items() if "{" + t + "}" in text}
+    return next(iter(base.values())).sparkSession.sql(text, **used)
 
 
 def _name_source(text: str, table: str) -> str:

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _VERSIONS = "_versions"
+WRITERS = 8  # tables written side by side by one driver
 
 
 def materialize_table(
@@ -48,8 +50,13 @@ def overwrite_layer(spark: SparkSession, tables: Mapping[str, DataFrame], root:
     """
     version = f"v-{uuid.uuid4().hex}"
     root = root.rstrip("/")
-    for name, df in tables.items():
-        df.write.mode("errorifexists").parquet(f"{root}/{version}/{name}")
+
+    def store(name: str) -> None:
+        tables[name].write.mode("errorifexists").parquet(f"{root}/{version}/{name}")
+
+    # The tables do not read each other, so their jobs may overlap.
+    with ThreadPoolExecutor(max_workers=min(len(tables), WRITERS)) as pool:
+        list(pool.map(store, tables))
     entry = spark.range(1, numPartitions=1).select(
         F.lit(version).alias("version"),
         F.unix_micros(F.current_timestamp()).alias("written_at"),
