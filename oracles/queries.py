@@ -69,8 +69,14 @@ class Inputs:
         return self._once(name, lambda: spark_role(base, name))
 
     def raw(self) -> dict[str, DataFrame]:
-        """Dirty text tables, lazily derived."""
-        return {t: self.role(f"w_{t}") for t in CLEAN_TABLES}
+        """The raw layer: dirty text as stored tables."""
+        plans = {t: self.role(f"w_{t}") for t in CLEAN_TABLES}
+        return self._once("raw", lambda: self._layer("raw", plans))
+
+    def _layer(self, name: str, plans: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        root = scratch_path(self.spark, name)
+        tables.overwrite_layer(self.spark, plans, root)
+        return tables.read_layer(self.spark, root)
 
     def broken(self) -> dict[str, DataFrame]:
         return {t: self.role(r) for t, r in BROKEN_ROLE_OF.items()}
@@ -83,13 +89,7 @@ class Inputs:
 
     def clean(self) -> dict[str, DataFrame]:
         """The clean layer as stored tables."""
-
-        def build():
-            root = scratch_path(self.spark, "clean")
-            tables.overwrite_layer(self.spark, self.typed(), root)
-            return tables.read_layer(self.spark, root)
-
-        return self._once("clean", build)
+        return self._once("clean", lambda: self._layer("clean", self.typed()))
 
     def star(self) -> builders.Star:
         return self._once(

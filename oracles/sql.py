@@ -778,7 +778,7 @@ def _refused_body(table: str) -> str:
 
 def _sk(*key: str) -> str:
     text = " || '|' || ".join(f"cast({k} as varchar)" for k in key)
-    return f"row_number() over (order by substr(md5({text}), 1, 3), {', '.join(key)})"
+    return f"row_number() over (order by substr(md5({text}), 1, 4), {', '.join(key)})"
 
 
 STAR_BODIES: dict[str, tuple[str, str]] = {

@@ -9,9 +9,10 @@ from pyspark.sql.window import Window
 from tradewind.session import scratch_path
 from tradewind.sources.tables import materialize_table
 
-# Numbers depend on this constant, so it is not a tuning knob: three hexadecimal digits
-# give 4,096 slices, one wave on a thousand four-core executors.
-SLICE_DIGITS = 3
+# Numbers depend on this constant, so it is not a tuning knob.  Four hexadecimal digits give
+# 65,536 slices: several for each of some thousand shuffle partitions, which evens out how
+# slices fall on partitions, while the table of slice starts stays at one or two megabytes.
+SLICE_DIGITS = 4
 
 
 def key_slice(columns: list[str]) -> Column:
@@ -29,7 +30,7 @@ def assign_surrogate_keys(
 ) -> DataFrame:
     """Append a BIGINT 1..N in the order (slice of the key, key); `key` must be unique.
 
-    One light pass counts keys per slice; its running total, at most 4,096 rows, is
+    One light pass counts keys per slice; its running total, at most 65,536 rows, is
     broadcast.  The rows then need one exchange by slice and a sort inside each.
     `keys_only` may name a cheaper source of the same keys for the counting pass.
     Restarting at 1 on each rebuild and numbering equal inputs equally are inherent.

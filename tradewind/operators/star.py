@@ -145,15 +145,16 @@ def build_line_book(
 ) -> DataFrame:
     """One wide row per order line: all fact keys plus the attributes metrics group by.
 
-    The order side is assembled first, at order grain on unique keys, so the lines cross
-    one exchange by order.  Product and seller follow as joins whose strategy Spark picks
+    The order side is assembled first, at order grain on unique keys: the customer join
+    comes before all joins by order, so those share one partitioning and the lines meet it
+    in one exchange.  Product and seller follow as joins whose strategy Spark picks
     from measured sizes: broadcast while they are small, otherwise a sort-merge join in
     which AQE splits a best-selling product or seller over several tasks.
     """
     per_order = (
         orders.select("order_id", "customer_id")
-        .join(dims["dim_order"], "order_id")
         .join(dims["dim_customer"], "customer_id")
+        .join(dims["dim_order"], "order_id")
         .join(dims["dim_payment"].select("order_id", "payment_sk"), "order_id", "left")
         .join(
             dims["dim_review"].select("order_id", "review_sk", "review_score"), "order_id", "left"
