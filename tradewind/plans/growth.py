@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tradewind.functions import month_index, month_start, percent_2dp
 from tradewind.operators.star import Star
@@ -12,31 +13,24 @@ from tradewind.plans.customer import PERSON
 
 
 def _person_months(star: Star) -> DataFrame:
-    """One row per customer and month with orders: number of orders in it.
+    """One row per customer and month with orders: number of orders, first month.
 
     Everything about cohorts is month-granular, so orders are first reduced to this on
-    the map side.
+    the map side.  After it a customer owns at most one row per calendar month, so the
+    window holding a customer's rows stays small however many orders they placed.
     """
-    return star.orders.groupBy(PERSON, month_start(F.col("purchase_date")).alias("month")).agg(
+    months = star.orders.groupBy(PERSON, month_start(F.col("purchase_date")).alias("month")).agg(
         n_rows().alias("orders")
     )
-
-
-def _with_cohort(months: DataFrame) -> DataFrame:
-    """Adds each customer's first month by an aggregation joined back.
-
-    Both sides are bounded by the months of the calendar per customer, so no customer can
-    become a hot key however many orders they placed.
-    """
-    first = months.groupBy(PERSON).agg(F.min("month").alias("cohort_month"))
-    return months.join(first, PERSON)
+    first = F.min("month").over(Window.partitionBy(PERSON))
+    return months.withColumn("cohort_month", first)
 
 
 def new_vs_returning(star: Star) -> DataFrame:
     """Orders per month by customers in their first month and in later ones."""
     orders, new = F.col("orders"), F.col("month") == F.col("cohort_month")
     return (
-        _with_cohort(_person_months(star))
+        _person_months(star)
         .groupBy(F.col("month").alias("order_month"))
         .agg(
             F.sum(F.when(new, orders).otherwise(0)).alias("new_customer_orders"),
@@ -55,7 +49,7 @@ def cohort_retention(star: Star, last_month: int = 6) -> DataFrame:
     """
     elapsed = month_index(F.col("month")) - month_index(F.col("cohort_month"))
     active = (
-        _with_cohort(_person_months(star))
+        _person_months(star)
         .groupBy("cohort_month", elapsed.alias("month_number"))
         .agg(n_rows().alias("active_customers"))
     )

@@ -1,6 +1,7 @@
 """The whole job: raw CSV folder in; clean layer, star, run log and insights out.
 
-    spark-submit -m tradewind.run RAW_FOLDER OUT_FOLDER [--month-partitions] [--database NAME]
+    spark-submit -m tradewind.run RAW_FOLDER OUT_FOLDER [--input-gb N]
+        [--month-partitions] [--database NAME]
 """
 
 from __future__ import annotations
@@ -71,8 +72,9 @@ def main() -> None:
     parser.add_argument("out_folder")
     parser.add_argument("--month-partitions", action="store_true")
     parser.add_argument("--database", help="also register the published tables here")
+    parser.add_argument("--input-gb", type=float, help="size of the raw files, sizes shuffles")
     args = parser.parse_args()
-    spark = open_session()
+    spark = open_session(input_bytes=int(args.input_gb * (1 << 30)) if args.input_gb else None)
     done = run_all(
         spark, args.raw_folder, args.out_folder, args.month_partitions, args.database
     )

@@ -7,8 +7,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings the plans are written for.  Sizes are left to the cluster's defaults: AQE
-# coalesces small shuffle partitions and splits skewed ones from a generous start.
+# Settings the plans are written for.
 RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -18,15 +17,41 @@ RECOMMENDED_CONF = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+# Shuffled bytes a task should start from, and the bounds of the partition number.  AQE
+# merges what turns out too small; it never adds partitions, so the start must be generous.
+_BYTES_PER_PARTITION = 256 << 20
+_PARTITIONS = (200, 50_000)
+
 _LOCAL_SCRATCH: dict[str, str] = {}
 
 
-def open_session(app_name: str = "tradewind", master: str | None = None, **conf: str) -> SparkSession:
+def sizing_conf(input_bytes: int) -> dict[str, str]:
+    """Partition settings for a given size of the raw input.
+
+    The default of 200 shuffle partitions would give half a terabyte to each task at
+    100 TB; this asks for enough to keep sorts and aggregations within memory.
+    """
+    low, high = _PARTITIONS
+    partitions = min(max(input_bytes // _BYTES_PER_PARTITION, low), high)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+    }
+
+
+def open_session(
+    app_name: str = "tradewind",
+    master: str | None = None,
+    input_bytes: int | None = None,
+    **conf: str,
+) -> SparkSession:
     """A session with the recommended settings; `conf` uses `__` for dots."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in RECOMMENDED_CONF.items():
+    sizing = sizing_conf(input_bytes) if input_bytes else {}
+    for key, value in {**RECOMMENDED_CONF, **sizing}.items():
         builder = builder.config(key, value)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
