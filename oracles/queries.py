@@ -271,7 +271,8 @@ def check_unique(x: Inputs) -> DataFrame:
 
 def build_fact(x: Inputs) -> DataFrame:
     clean, dims = x.clean(), x.star().dims
-    book = builders.build_line_book(clean["order_items"], clean["orders"], dims)
+    frame = builders.build_order_frame(clean["orders"], dims)
+    book = builders.build_line_book(clean["order_items"], frame, dims)
     return builders.build_fact_order_items(book)
 
 

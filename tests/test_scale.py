@@ -214,3 +214,42 @@ def test_partition_numbers_follow_the_input():
     assert sizing_conf(1)["spark.sql.shuffle.partitions"] == "200"
     assert sizing_conf(1 << 40)["spark.sql.shuffle.partitions"] == "4096"
     assert sizing_conf(100 << 40)["spark.sql.shuffle.partitions"] == "50000"
+
+
+@pytest.fixture()
+def shuffled_joins(spark):
+    """Thresholds lowered to the size of the test, broadcasts off: what a cluster does with
+    tables too large to broadcast."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_hot_order_product_and_seller_are_split_in_the_fact_build(hot_star, shuffled_joins):
+    clean, dims = hot_star.clean, hot_star.dims
+    book = builders.build_line_book(clean["order_items"], hot_star.frame, dims)
+    plan = final_plan(book)
+    assert plan.count("SortMergeJoin(skew=true)") == 3
+    assert book.count() == ROWS
+
+
+def test_hot_parents_are_split_while_cleaning(spark, hot_star, shuffled_joins):
+    from tradewind.operators.cleaning import clean_order_items
+
+    text = [F.col(c).cast("string").alias(c) for c in hot_star.clean["order_items"].columns]
+    raw = hot_star.clean["order_items"].select(*text)
+    parents = {n: hot_star.clean[n] for n in ("orders", "products", "sellers")}
+    done = clean_order_items(raw, **parents)
+    assert final_plan(done.rows).count("SortMergeJoin(skew=true)") == 3
+    assert done.rows.count() == ROWS and done.rejects.count() == 0

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import dataclasses
 from datetime import date
 from decimal import Decimal as D
 
@@ -124,7 +125,7 @@ def test_statuses_are_dropped_from_monthly_but_not_yearly(star):
 
 def test_growth_over_a_zero_month_is_null(star, spark):
     orders = star.orders.withColumn("revenue_cents", star.orders.revenue_cents * 0)
-    zero = builders.Star(star.lines, orders, star.dims, star.clean)
+    zero = dataclasses.replace(star, orders=orders)
     assert {r.mom_pct for r in revenue.demo_monthly_mom(zero).collect()} == {None}
 
 
@@ -245,6 +246,15 @@ def test_every_metric_runs_over_nothing(empty_star):
     assert METRICS["dq_null_orders"].run(empty_star).first().null_order_pk is None
 
 
+def test_repeated_primary_keys_stop_the_build(spark, tmp_path):
+    raw = raw_frames(spark)
+    twice = {**raw, "orders": raw["orders"].unionByName(raw["orders"].where("order_id = 'o1'"))}
+    rows, _ = clean_all(twice)
+    assert rows["order_items"].count() == 6  # a repeated parent repeats no line
+    with pytest.raises(ValueError, match="orders: 1"):
+        integrity.require_primary_keys(rows, CLEAN_TABLES)
+
+
 def test_suite_isolates_failures(spark, star, tmp_path, monkeypatch):
     from tradewind.plans import catalog, suite
 

@@ -83,38 +83,32 @@ def shape_rows(raw: DataFrame, contract: Contract) -> DataFrame:
     )
 
 
-def judge_rows(
+def _refused(rows: DataFrame, contract: Contract, reason: Column) -> DataFrame:
+    return rows.select(F.lit(contract.name).alias("table_name"), reason.alias("reason"), RAW_ROW)
+
+
+def clean_table(
     raw: DataFrame, contract: Contract, parents: Mapping[str, DataFrame] | None = None
-) -> DataFrame:
-    """Shaped rows whose reject reason also covers parents that do not exist.
+) -> Cleaned:
+    """Shape, resolve and split one table into good and refused rows; lazy.
 
-    Every parent is looked up once, by a left join on its distinct keys, which cannot
-    multiply rows.  Keeping the good rows turns these joins into inner joins.
+    Parents are tested with semi and anti joins: those cannot repeat a row when a parent
+    key does, and AQE can split a parent that owns many of the rows over several tasks.
     """
-    rows = shape_rows(raw, contract)
-    lost = []
+    shaped = shape_rows(raw, contract)
+    good = shaped.where(F.col(REASON).isNull()).drop(REASON)
+    refused = [_refused(shaped.where(F.col(REASON).isNotNull()), contract, F.col(REASON))]
     for ref in contract.references:
         if not ref.resolve:
             continue
-        found = f"_has_{ref.parent}"
         known = parents[ref.parent].select(
             *[F.col(p).alias(c) for c, p in zip(ref.columns, ref.parent_columns)]
         )
-        rows = rows.join(known.distinct().withColumn(found, F.lit(True)), list(ref.columns), "left")
-        lost.append(F.when(F.col(found).isNull(), F.lit(f"orphan_{ref.parent}")))
+        orphans = good.join(known, list(ref.columns), "left_anti")
+        refused.append(_refused(orphans, contract, F.lit(f"orphan_{ref.parent}")))
+        good = good.join(known, list(ref.columns), "left_semi")
     names = [f.name for f in contract.fields]
-    return rows.select(*names, F.coalesce(F.col(REASON), *lost).alias(REASON), RAW_ROW)
-
-
-def clean_table(
-    raw: DataFrame, contract: Contract, parents: Mapping[str, DataFrame] | None = None
-) -> Cleaned:
-    """Shape, resolve and split one table into good and refused rows; lazy."""
-    judged = judge_rows(raw, contract, parents)
-    refused = judged.where(F.col(REASON).isNotNull()).select(
-        F.lit(contract.name).alias("table_name"), F.col(REASON).alias("reason"), RAW_ROW
-    )
-    return Cleaned(judged.where(F.col(REASON).isNull()).drop(REASON, RAW_ROW), refused)
+    return Cleaned(good.select(*names), reduce(DataFrame.unionByName, refused))
 
 
 def latest_per_key(rows: DataFrame, key: list[str], newest_first: list[Column]) -> DataFrame:

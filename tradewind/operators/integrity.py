@@ -48,6 +48,19 @@ def check_primary_keys(
     return _all(_violations(bad(n), table_name=n) for n in tables)
 
 
+def require_primary_keys(
+    tables: Mapping[str, DataFrame], contracts: Mapping[str, Contract]
+) -> None:
+    """Stop a load whose primary keys repeat or are missing, as a database would.
+
+    The result collected here has one row per table.
+    """
+    bad = check_primary_keys(tables, contracts).where("violations > 0").collect()
+    if bad:
+        listed = ", ".join(f"{r.table_name}: {r.violations}" for r in bad)
+        raise ValueError(f"primary keys repeat or are missing ({listed})")
+
+
 def check_unique(tables: Mapping[str, DataFrame], contracts: Mapping[str, Contract]) -> DataFrame:
     """Per table and declared natural key: keys that repeat (NULLs do not collide)."""
     parts = []

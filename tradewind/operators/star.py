@@ -140,25 +140,19 @@ def build_dim_review(reviews: DataFrame) -> DataFrame:
     return assign_surrogate_keys(newest, ["order_id"], "review_sk", keys_only=keys)
 
 
-def build_line_book(
-    items: DataFrame, orders: DataFrame, dims: Mapping[str, DataFrame]
-) -> DataFrame:
-    """One wide row per order line: all fact keys plus the attributes metrics group by.
+def build_order_frame(orders: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
+    """One row per order: its keys and the attributes its lines carry.
 
-    The order side is assembled first, at order grain on unique keys: the customer join
-    comes before all joins by order, so those share one partitioning and the lines meet it
-    in one exchange.  Product and seller follow as joins whose strategy Spark picks
-    from measured sizes: broadcast while they are small, otherwise a sort-merge join in
-    which AQE splits a best-selling product or seller over several tasks.
+    All keys are unique here, so no join can be skewed.  The customer join comes before
+    the joins by order, which then share one partitioning.
     """
-    per_order = (
+    reviews = dims["dim_review"].select("order_id", "review_sk", "review_score")
+    return (
         orders.select("order_id", "customer_id")
         .join(dims["dim_customer"], "customer_id")
         .join(dims["dim_order"], "order_id")
         .join(dims["dim_payment"].select("order_id", "payment_sk"), "order_id", "left")
-        .join(
-            dims["dim_review"].select("order_id", "review_sk", "review_score"), "order_id", "left"
-        )
+        .join(reviews, "order_id", "left")
         .select(
             "order_id",
             "order_sk",
@@ -175,6 +169,19 @@ def build_line_book(
             "customer_state",
         )
     )
+
+
+def build_line_book(
+    items: DataFrame, order_frame: DataFrame, dims: Mapping[str, DataFrame]
+) -> DataFrame:
+    """One wide row per order line: all fact keys plus the attributes metrics group by.
+
+    Each join has a stored table on its small side and picks its strategy from measured
+    sizes: broadcast while that side is small, otherwise a sort-merge join.  With an
+    exchange of its own on both sides AQE can split a key that owns many lines, be it an
+    order, a product or a seller.  That is why the order frame is stored first: joined
+    lazily it would share the exchange of its own joins and could not be split.
+    """
     products = dims["dim_product"].select(
         "product_id", "product_sk", F.col("product_category_name_english").alias("category")
     )
@@ -183,7 +190,7 @@ def build_line_book(
     # neither drop nor repeat a line.
     numbered = assign_surrogate_keys(items, ["order_id", "order_item_id"], "fact_sk")
     return (
-        numbered.join(per_order, "order_id")
+        numbered.join(order_frame, "order_id")
         .join(products, "product_id")
         .join(sellers, "seller_id")
         .select(
@@ -265,6 +272,7 @@ class Star:
 
     lines: DataFrame  # line book
     orders: DataFrame  # order book
+    frame: DataFrame  # order frame
     dims: Mapping[str, DataFrame]
     clean: Mapping[str, DataFrame]
 
@@ -306,6 +314,7 @@ def build_star(
         written = pool.map(lambda kv: materialize_table(kv[1], f"{root}/{kv[0]}"), plans.items())
         dims = dict(zip(plans, written))
 
+    frame = materialize_table(build_order_frame(clean["orders"], dims), f"{root}/order_frame")
     layout = ["purchase_month"] if partition_by_month else []
 
     def store(book: DataFrame, name: str) -> DataFrame:
@@ -313,9 +322,9 @@ def build_star(
             book = book.withColumn("purchase_month", F.date_format("purchase_date", "yyyy-MM"))
         return materialize_table(book, f"{root}/{name}", partition_by=layout)
 
-    lines = store(build_line_book(clean["order_items"], clean["orders"], dims), "line_book")
+    lines = store(build_line_book(clean["order_items"], frame, dims), "line_book")
     orders = store(build_order_book(lines), "order_book")
-    return Star(lines, orders, dims, dict(clean))
+    return Star(lines, orders, frame, dims, dict(clean))
 
 
 def open_star(spark: SparkSession, clean: Mapping[str, DataFrame], root: str) -> Star:
@@ -323,6 +332,7 @@ def open_star(spark: SparkSession, clean: Mapping[str, DataFrame], root: str) ->
     root = root.rstrip("/")
     names = [n for n in STAR_TABLES if n != "fact_order_items"]
     dims = {n: spark.read.parquet(f"{root}/{n}") for n in names}
-    lines = spark.read.parquet(f"{root}/line_book")
-    orders = spark.read.parquet(f"{root}/order_book")
-    return Star(lines, orders, dims, dict(clean))
+    lines, orders, frame = (
+        spark.read.parquet(f"{root}/{n}") for n in ("line_book", "order_book", "order_frame")
+    )
+    return Star(lines, orders, frame, dims, dict(clean))

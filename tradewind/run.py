@@ -12,9 +12,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from tradewind.operators.cleaning import clean_all
+from tradewind.operators.integrity import require_primary_keys
 from tradewind.operators.star import Star, build_star
 from tradewind.plans.suite import export_insights, run_metric_suite, suite_summary
 from tradewind.session import open_session
+from tradewind.sources.contracts import CLEAN_TABLES
 from tradewind.sources.landing import load_staging
 from tradewind.sources.tables import overwrite_layer, publish_bi_tables, read_layer
 
@@ -44,6 +46,7 @@ def build_layers(
     version = overwrite_layer(spark, {**rows, "quarantine": quarantine}, f"{out}/clean")
     clean = read_layer(spark, f"{out}/clean")
     refused = clean.pop("quarantine")
+    require_primary_keys(clean, CLEAN_TABLES)
 
     star = build_star(
         spark, clean, f"{out}/star/{version.rsplit('/', 1)[-1]}", partition_by_month
