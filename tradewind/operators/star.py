@@ -1,10 +1,10 @@
 """Star schema: seven dimensions, the line fact, and the two wide books metrics read.
 
 The published star has narrow tables joined by surrogate keys.  Metrics do not repeat
-those joins: at build time, while the rows are already partitioned by order, the
-attributes they need are carried into two columnar books, one row per order line and one
-row per order.  Column pruning makes the width free for readers, and nearly every metric
-becomes a scan plus a small aggregation.
+those joins: at build time the attributes they need are carried into two columnar books,
+one row per order line and one row per order.  Column pruning makes the width free for
+readers, and nearly every metric becomes a scan plus a small aggregation.  Lines are
+grouped by the 8-byte surrogate keys; names of sellers are looked up on the result.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.functions import cents, date_key, days_between, from_cents
@@ -24,6 +24,19 @@ from tradewind.sources.tables import materialize_table
 
 UNTRANSLATED = "untranslated"
 
+# Order-level columns of the line book: fact keys, and what line-grain metrics use.
+LINE_ATTRIBUTES = (
+    "customer_sk",
+    "order_sk",
+    "payment_sk",
+    "review_sk",
+    "order_status",
+    "is_delivered",
+    "delivery_days",
+    "is_late_delivery",
+    "review_score",
+)
+
 
 def build_dim_date(orders: DataFrame) -> DataFrame:
     """One row per calendar day from the first to the last purchase."""
@@ -185,39 +198,29 @@ def build_line_book(
     products = dims["dim_product"].select(
         "product_id", "product_sk", F.col("product_category_name_english").alias("category")
     )
-    sellers = dims["dim_seller"].select("seller_id", "seller_sk", "seller_state")
+    sellers = dims["dim_seller"].select("seller_id", "seller_sk")
     # Numbered while still narrow; cleaning has resolved every parent, so the joins below
     # neither drop nor repeat a line.
     numbered = assign_surrogate_keys(items, ["order_id", "order_item_id"], "fact_sk")
+    carried = order_frame.select(
+        "order_id", date_key(F.col("purchase_date")).alias("date_key"), *LINE_ATTRIBUTES
+    )
     return (
-        numbered.join(order_frame, "order_id")
+        numbered.join(carried, "order_id")
         .join(products, "product_id")
         .join(sellers, "seller_id")
         .select(
             "fact_sk",
             "order_id",
             "order_item_id",
-            date_key(F.col("purchase_date")).alias("date_key"),
-            "customer_sk",
+            "date_key",
             "product_sk",
             "seller_sk",
-            "order_sk",
-            "payment_sk",
-            "review_sk",
             cents(F.col("price")).alias("price_cents"),
             cents(F.col("freight_value")).alias("freight_cents"),
             "shipping_limit_date",
-            "purchase_date",
-            "order_status",
-            "is_delivered",
-            "delivery_days",
-            "is_late_delivery",
-            "review_score",
-            "customer_unique_id",
-            "customer_state",
             "category",
-            "seller_id",
-            "seller_state",
+            *LINE_ATTRIBUTES,
         )
     )
 
@@ -238,32 +241,19 @@ def build_fact_order_items(line_book: DataFrame) -> DataFrame:
     return line_book.select(*[computed.get(n, F.col(n)).alias(n) for n in names])
 
 
-# Constant within one order, so grouping by them too changes nothing but lets the whole
-# aggregation hash on fixed-width buffers.
-ORDER_ATTRIBUTES = (
-    "purchase_date",
-    "order_status",
-    "is_delivered",
-    "delivery_days",
-    "is_late_delivery",
-    "review_sk",
-    "review_score",
-    "customer_unique_id",
-    "customer_state",
-)
-
-
-def build_order_book(line_book: DataFrame) -> DataFrame:
+def build_order_book(line_book: DataFrame, order_frame: DataFrame) -> DataFrame:
     """One row per order that has lines: its attributes and line totals.
 
     Lines are combined on the map side and cross one exchange; metrics about orders,
     customers, months and days then read this smaller table without COUNT(DISTINCT).
     """
-    return line_book.groupBy("order_id", *ORDER_ATTRIBUTES).agg(
+    totals = line_book.groupBy("order_sk").agg(
         F.count(F.lit(1)).alias("line_count"),
         F.sum("price_cents").alias("revenue_cents"),
         F.sum("freight_cents").alias("freight_cents"),
     )
+    orders = order_frame.drop("customer_sk", "payment_sk")
+    return totals.join(orders, "order_sk")
 
 
 @dataclass(frozen=True)
@@ -317,13 +307,15 @@ def build_star(
     frame = materialize_table(build_order_frame(clean["orders"], dims), f"{root}/order_frame")
     layout = ["purchase_month"] if partition_by_month else []
 
-    def store(book: DataFrame, name: str) -> DataFrame:
+    def store(book: DataFrame, month: Column, name: str) -> DataFrame:
         if layout:
-            book = book.withColumn("purchase_month", F.date_format("purchase_date", "yyyy-MM"))
+            book = book.withColumn("purchase_month", month.cast("int"))
         return materialize_table(book, f"{root}/{name}", partition_by=layout)
 
-    lines = store(build_line_book(clean["order_items"], frame, dims), "line_book")
-    orders = store(build_order_book(lines), "order_book")
+    lines = build_line_book(clean["order_items"], frame, dims)
+    lines = store(lines, F.floor(F.col("date_key") / 100), "line_book")
+    orders = build_order_book(lines, frame)
+    orders = store(orders, F.floor(date_key(F.col("purchase_date")) / 100), "order_book")
     return Star(lines, orders, frame, dims, dict(clean))
 
 

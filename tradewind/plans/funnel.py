@@ -75,32 +75,34 @@ def _deals_with_lead(star: Star) -> DataFrame:
     return star.clean["closed_deals"].join(leads, "mql_id")
 
 
-def _seller_deals(deals: DataFrame, *columns: str) -> DataFrame:
-    """Deals that name a seller, equal ones folded into one row with their number."""
-    named = deals.where(F.col("seller_id").isNotNull())
-    return named.groupBy("seller_id", *columns).agg(n_rows().alias("deals"))
+def _seller_deals(star: Star, deals: DataFrame, *columns: str) -> DataFrame:
+    """Deals whose seller is in the marketplace, equal ones folded with their number."""
+    sellers = star.dims["dim_seller"].select("seller_id", "seller_sk")
+    return deals.join(sellers, "seller_id").groupBy("seller_sk", *columns).agg(
+        n_rows().alias("deals")
+    )
 
 
 def acquired_seller_gmv(star: Star, limit: int = 30) -> DataFrame:
     """Sellers, orders and GMV per business type and lead origin of the deal."""
-    deals = _seller_deals(_deals_with_lead(star), "business_type", "origin")
+    deals = _seller_deals(star, _deals_with_lead(star), "business_type", "origin")
     group = ["business_type", F.col("origin").alias("lead_origin")]
-    per_seller = star.lines.groupBy("seller_id").agg(F.sum("price_cents").alias("cents"))
+    per_seller = star.lines.groupBy("seller_sk").agg(F.sum("price_cents").alias("cents"))
     amounts = (
-        deals.join(per_seller, "seller_id")
+        deals.join(per_seller, "seller_sk")
         .groupBy(*group)
         .agg(
-            F.count_distinct("seller_id").alias("acquired_sellers"),
+            n_rows().alias("acquired_sellers"),
             F.sum(F.col("cents") * F.col("deals")).alias("cents"),
         )
     )
     # An order can hold lines of several acquired sellers, so orders need a distinct count;
     # only the lines of acquired sellers take part in it.
     ordered = (
-        star.lines.select("seller_id", "order_id")
-        .join(deals, "seller_id")
+        star.lines.select("seller_sk", "order_sk")
+        .join(deals, "seller_sk")
         .groupBy(*group)
-        .agg(F.count_distinct("order_id").alias("marketplace_orders"))
+        .agg(F.count_distinct("order_sk").alias("marketplace_orders"))
     )
     same = F.col("a.business_type").eqNullSafe(F.col("o.business_type")) & (
         F.col("a.lead_origin").eqNullSafe(F.col("o.lead_origin"))
@@ -135,15 +137,16 @@ def time_to_close(star: Star, buckets=CLOSE_BUCKETS) -> DataFrame:
 def acquired_delivery_quality(star: Star, min_orders: int = 20) -> DataFrame:
     """Delivery and reviews of acquired sellers' delivered lines per business type."""
     kind = F.coalesce("business_type", F.lit("unknown")).alias("business_type")
-    deals = star.clean["closed_deals"].select("seller_id", kind)
+    sellers = star.dims["dim_seller"].select("seller_id", "seller_sk")
+    deals = star.clean["closed_deals"].select("seller_id", kind).join(sellers, "seller_id")
     lines = star.lines.where("is_delivered").select(
-        "seller_id", "order_id", "delivery_days", "is_late_delivery", "review_score"
+        "seller_sk", "order_sk", "delivery_days", "is_late_delivery", "review_score"
     )
     return (
-        lines.join(deals.where(F.col("seller_id").isNotNull()), "seller_id")
+        lines.join(deals.select("seller_sk", "business_type"), "seller_sk")
         .groupBy("business_type")
         .agg(
-            F.count_distinct("order_id").alias("orders"),
+            F.count_distinct("order_sk").alias("orders"),
             mean_where("delivery_days").alias("avg_delivery_days"),
             late_share().alias("late_pct"),
             mean_where("review_score").alias("avg_review"),
@@ -158,18 +161,18 @@ def origin_gmv(star: Star) -> DataFrame:
 
     Lines are summed per seller before they meet the deals.
     """
-    deals = _seller_deals(_deals_with_lead(star), "origin")
-    per_seller = star.lines.groupBy("seller_id").agg(
+    deals = _seller_deals(star, _deals_with_lead(star), "origin")
+    per_seller = star.lines.groupBy("seller_sk").agg(
         F.sum("price_cents").alias("cents"),
         F.sum(F.col("review_score").cast("bigint")).alias("stars"),
         F.count("review_score").alias("reviews"),
     )
     times = F.col("deals")
     return (
-        deals.join(per_seller, "seller_id")
+        deals.join(per_seller, "seller_sk")
         .groupBy("origin")
         .agg(
-            F.count_distinct("seller_id").alias("closed_sellers_in_marketplace"),
+            n_rows().alias("closed_sellers_in_marketplace"),
             from_cents(F.sum(F.col("cents") * times)).alias("attributed_gmv"),
             mean_2dp(F.sum(F.col("stars") * times), F.sum(F.col("reviews") * times)).alias(
                 "avg_review"

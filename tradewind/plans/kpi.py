@@ -20,7 +20,7 @@ def kpi_snapshot(star: Star, excluded: tuple[str, ...] = LOST_STATUSES) -> DataF
     """
     orders = sold(star.orders, excluded)
     people = orders.select("customer_unique_id").distinct()
-    sellers = sold(star.lines, excluded).select("seller_id").distinct()
+    sellers = sold(star.lines, excluded).select("seller_sk").distinct()
     return orders.agg(
         n_rows().alias("total_orders"),
         F.sum("revenue_cents").alias("gmv"),
@@ -31,7 +31,7 @@ def kpi_snapshot(star: Star, excluded: tuple[str, ...] = LOST_STATUSES) -> DataF
         count_of(people.where("customer_unique_id is not null")).scalar().alias(
             "unique_customers"
         ),
-        count_of(sellers.where("seller_id is not null")).scalar().alias("active_sellers"),
+        count_of(sellers).scalar().alias("active_sellers"),
         from_cents(F.col("gmv")).alias("total_gmv"),
         from_cents(F.col("gmv") - F.col("freight")).alias("total_contribution"),
         "avg_review_score",

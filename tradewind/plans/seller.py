@@ -11,16 +11,22 @@ from tradewind.operators.star import Star
 from tradewind.plans.common import late_share, mean_where, money, n_rows
 
 
+def _named(per_seller: DataFrame, star: Star) -> DataFrame:
+    """Seller id and state for rows of seller grain."""
+    names = star.dims["dim_seller"].select("seller_sk", "seller_id", "seller_state")
+    return per_seller.join(names, "seller_sk")
+
+
 def top_sellers(star: Star, min_orders: int = 10, limit: int = 20) -> DataFrame:
     """Best sellers by GMV among those with enough orders."""
-    per_seller = star.lines.groupBy("seller_id", "seller_state").agg(
-        F.count_distinct("order_id").alias("orders"),
+    per_seller = star.lines.groupBy("seller_sk").agg(
+        F.count_distinct("order_sk").alias("orders"),
         n_rows().alias("items"),
         F.sum("price_cents").alias("gmv_cents"),
         mean_where("review_score").alias("avg_review"),
     )
     best = (
-        per_seller.where(F.col("orders") >= min_orders)
+        _named(per_seller.where(F.col("orders") >= min_orders), star)
         .orderBy(F.desc("gmv_cents"), "seller_id")
         .limit(limit)
     )
@@ -42,8 +48,8 @@ def risky_sellers(
     star: Star, min_orders: int = 50, max_review: str = "3.5", limit: int = 25
 ) -> DataFrame:
     """Sellers with many orders and weak reviews, biggest first."""
-    per_seller = star.lines.groupBy("seller_id", "seller_state").agg(
-        F.count_distinct("order_id").alias("orders"),
+    per_seller = star.lines.groupBy("seller_sk").agg(
+        F.count_distinct("order_sk").alias("orders"),
         from_cents(F.sum("price_cents")).alias("gmv"),
         mean_where("review_score").alias("avg_review"),
         late_share().alias("late_delivery_pct"),
@@ -52,9 +58,10 @@ def risky_sellers(
     )
     bound = F.lit(max_review).cast("decimal(4,2)") * F.col("_reviews").cast("decimal(18,0)")
     weak = F.col("_stars").cast("decimal(20,2)") < bound
+    risky = per_seller.where((F.col("orders") >= min_orders) & weak)
     return (
-        per_seller.where((F.col("orders") >= min_orders) & weak)
-        .drop("_stars", "_reviews")
+        _named(risky, star)
+        .select("seller_id", "seller_state", "orders", "gmv", "avg_review", "late_delivery_pct")
         .orderBy(F.desc("gmv"), "seller_id")
         .limit(limit)
     )
@@ -89,7 +96,7 @@ def sellers_above_category_avg(star: Star, factor: str = "3", limit: int = 25) -
     The mean is taken by a second aggregation joined back, not by a window: a category
     holding most sellers would put them all into one window task.
     """
-    pairs = star.lines.groupBy("seller_id", "category").agg(
+    pairs = star.lines.groupBy("seller_sk", "category").agg(
         F.sum("price_cents").alias("revenue_cents")
     )
     means = pairs.groupBy("category").agg(
@@ -98,8 +105,7 @@ def sellers_above_category_avg(star: Star, factor: str = "3", limit: int = 25) -
     own = F.col("revenue_cents").cast("decimal(20,0)") * F.col("sellers").cast("decimal(14,0)")
     wanted = F.lit(factor).cast("decimal(6,3)") * F.col("category_cents").cast("decimal(20,0)")
     return (
-        pairs.join(means, "category")
-        .where(own > wanted)
+        _named(pairs.join(means, "category").where(own > wanted), star)
         .select(
             "seller_id",
             "category",
