@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from functools import lru_cache, reduce
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,10 +75,24 @@ class Inputs:
         return self._once("raw", lambda: self._layer("raw", plans))
 
     def _layer(self, name: str, plans: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        # The test tables are one small file each; spread them as a real layer would be.
+        tasks = self.spark.sparkContext.defaultParallelism
+        plans = {t: df.repartition(tasks) for t, df in plans.items()}
         root = scratch_path(self.spark, name)
         tables.overwrite_layer(self.spark, plans, root)
         return tables.read_layer(self.spark, root)
 
+    def parents(self) -> dict[str, DataFrame]:
+        """Cleaned parents of the raw layer, stored before the children resolve."""
+        names = ("orders", "products", "sellers", "qualified_leads")
+        return self._once(
+            "parents",
+            lambda: self._layer(
+                "parents",
+                {n: cleaning.clean_table(self.raw()[n], CLEAN_TABLES[n]).rows for n in names},
+            ),
+        )
+
     def broken(self) -> dict[str, DataFrame]:
         return {t: self.role(r) for t, r in BROKEN_ROLE_OF.items()}
 
@@ -222,19 +236,13 @@ def export_insights(x: Inputs) -> DataFrame:
 def _clean_rows(table: str) -> Callable[[Inputs], DataFrame]:
     def query(x: Inputs) -> DataFrame:
         raw = x.raw()
+        if any(ref.resolve for ref in CLEAN_TABLES[table].references):
+            return cleaning.clean_children(raw, x.parents())[table].rows
         if table == "category_translation":
             return cleaning.clean_categories(raw[table]).rows
         if table == "geolocation":
             return cleaning.clean_geolocation(raw[table]).rows.drop("geolocation_id")
-        contract = CLEAN_TABLES[table]
-        parents = {
-            ref.parent: cleaning.clean_table(raw[ref.parent], CLEAN_TABLES[ref.parent]).rows
-            for ref in contract.references
-            if ref.resolve
-        }
-        if table == "order_reviews":
-            return cleaning.clean_reviews(raw[table], parents["orders"]).rows
-        return cleaning.clean_table(raw[table], contract, parents).rows
+        return cleaning.clean_table(raw[table], CLEAN_TABLES[table]).rows
 
     return query
 
@@ -246,15 +254,9 @@ def normalize_boolean(x: Inputs) -> DataFrame:
 
 def quarantine_rejects(x: Inputs) -> DataFrame:
     raw = x.raw()
-    parts = []
-    for table, contract in CLEAN_TABLES.items():
-        parents = {
-            ref.parent: cleaning.clean_table(raw[ref.parent], CLEAN_TABLES[ref.parent]).rows
-            for ref in contract.references
-            if ref.resolve
-        }
-        parts.append(cleaning.clean_table(raw[table], contract, parents).rejects)
-    refused = reduce(DataFrame.unionByName, parts)
+    refused = cleaning.quarantine_rejects(
+        cleaning.clean_parents(raw), cleaning.clean_children(raw, x.parents())
+    )
     return refused.groupBy("table_name", "reason").agg(F.count(F.lit(1)).alias("n"))
 
 

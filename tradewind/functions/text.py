@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 TRUE_WORDS = ("true", "t", "yes", "1")
 FALSE_WORDS = ("false", "f", "no", "0")
 
-_WORD_OR_GAP = r"([\p{L}\p{N}]+|[^\p{L}\p{N}]+)"
+_GAP = r"([^\p{L}\p{N}])"
+_BREAK = "\x01 "
 
 
 def blank_to_null(text: Column) -> Column:
@@ -21,10 +22,11 @@ def title_words(text: Column) -> Column:
     """Capitalise after every non-alphanumeric character.
 
     Spark's initcap() only starts a word after white space, which leaves "d'oeste" and
-    "embu-guacu" half in lower case.
+    "embu-guacu" half in lower case.  A break ending in a space is put behind every gap
+    character for initcap() to see, and taken out again.
     """
-    pieces = F.regexp_extract_all(F.lower(text), F.lit(_WORD_OR_GAP), F.lit(1))
-    return F.array_join(F.transform(pieces, F.initcap), "")
+    marked = F.regexp_replace(F.lower(text), _GAP, "$1" + _BREAK)
+    return F.replace(F.initcap(marked), F.lit(_BREAK), F.lit(""))
 
 
 def truth_value(text: Column) -> Column:

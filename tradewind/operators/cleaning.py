@@ -187,26 +187,45 @@ def clean_deals(raw: DataFrame, leads: DataFrame) -> Cleaned:
     return clean_table(raw, CLEAN_TABLES["closed_deals"], {"qualified_leads": leads})
 
 
-def clean_all(raw: Mapping[str, DataFrame]) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Every table, parents before children, and one quarantine of all refused rows."""
-    orders = clean_orders(raw["orders"])
-    products = clean_products(raw["products"])
-    sellers = clean_sellers(raw["sellers"])
-    leads = clean_leads(raw["qualified_leads"])
-    done = {
+def clean_parents(raw: Mapping[str, DataFrame]) -> dict[str, Cleaned]:
+    """Tables whose rows need no other table to exist."""
+    return {
         "category_translation": clean_categories(raw["category_translation"]),
         "customers": clean_customers(raw["customers"]),
-        "sellers": sellers,
-        "products": products,
+        "sellers": clean_sellers(raw["sellers"]),
+        "products": clean_products(raw["products"]),
         "geolocation": clean_geolocation(raw["geolocation"]),
-        "orders": orders,
+        "orders": clean_orders(raw["orders"]),
+        "qualified_leads": clean_leads(raw["qualified_leads"]),
+    }
+
+
+def clean_children(
+    raw: Mapping[str, DataFrame], parents: Mapping[str, DataFrame]
+) -> dict[str, Cleaned]:
+    """Tables whose rows must resolve; hand in stored parents to read only their keys."""
+    orders = parents["orders"]
+    return {
         "order_items": clean_order_items(
-            raw["order_items"], orders.rows, products.rows, sellers.rows
+            raw["order_items"], orders, parents["products"], parents["sellers"]
         ),
-        "order_payments": clean_payments(raw["order_payments"], orders.rows),
-        "order_reviews": clean_reviews(raw["order_reviews"], orders.rows),
-        "qualified_leads": leads,
-        "closed_deals": clean_deals(raw["closed_deals"], leads.rows),
+        "order_payments": clean_payments(raw["order_payments"], orders),
+        "order_reviews": clean_reviews(raw["order_reviews"], orders),
+        "closed_deals": clean_deals(raw["closed_deals"], parents["qualified_leads"]),
     }
-    quarantine = reduce(DataFrame.unionByName, [c.rejects for c in done.values()])
-    return {name: c.rows for name, c in done.items()}, quarantine
+
+
+def rows_of(cleaned: Mapping[str, Cleaned]) -> dict[str, DataFrame]:
+    return {name: c.rows for name, c in cleaned.items()}
+
+
+def quarantine_rejects(*groups: Mapping[str, Cleaned]) -> DataFrame:
+    """All refused rows: table_name, reason, raw_row."""
+    return reduce(DataFrame.unionByName, [c.rejects for g in groups for c in g.values()])
+
+
+def clean_all(raw: Mapping[str, DataFrame]) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Every table and the quarantine, without storing anything in between."""
+    parents = clean_parents(raw)
+    children = clean_children(raw, rows_of(parents))
+    return {**rows_of(parents), **rows_of(children)}, quarantine_rejects(parents, children)

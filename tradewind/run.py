@@ -11,14 +11,24 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewind.operators.cleaning import clean_all
+from tradewind.operators.cleaning import (
+    clean_children,
+    clean_parents,
+    quarantine_rejects,
+    rows_of,
+)
 from tradewind.operators.integrity import require_primary_keys
 from tradewind.operators.star import Star, build_star
 from tradewind.plans.suite import export_insights, run_metric_suite, suite_summary
 from tradewind.session import open_session
 from tradewind.sources.contracts import CLEAN_TABLES
 from tradewind.sources.landing import load_staging
-from tradewind.sources.tables import overwrite_layer, publish_bi_tables, read_layer
+from tradewind.sources.tables import (
+    LayerVersion,
+    overwrite_layer,
+    publish_bi_tables,
+    read_layer,
+)
 
 
 @dataclass(frozen=True)
@@ -34,23 +44,24 @@ def build_layers(
 ) -> tuple[Star, DataFrame]:
     """Land, clean and model; every layer is stored before the next one reads it.
 
-    Each layer is a set of plain tables in a version folder of its own, so a run that
-    fails can be repeated and readers keep the previous version until the new one is
-    complete.
+    Parents are stored before their children resolve against them, so a child reads one
+    key column instead of parsing its parents again.  A clean layer that breaks a primary
+    key is not published, and readers keep the previous version.
     """
     out = out.rstrip("/")
     overwrite_layer(spark, load_staging(spark, raw_folder), f"{out}/staging")
     raw = read_layer(spark, f"{out}/staging")
 
-    rows, quarantine = clean_all(raw)
-    version = overwrite_layer(spark, {**rows, "quarantine": quarantine}, f"{out}/clean")
-    clean = read_layer(spark, f"{out}/clean")
-    refused = clean.pop("quarantine")
+    version = LayerVersion(spark, f"{out}/clean")
+    parents = clean_parents(raw)
+    clean = version.put(rows_of(parents))
+    children = clean_children(raw, clean)
+    clean |= version.put(rows_of(children))
+    refused = version.put({"quarantine": quarantine_rejects(parents, children)})["quarantine"]
     require_primary_keys(clean, CLEAN_TABLES)
+    version.publish()
 
-    star = build_star(
-        spark, clean, f"{out}/star/{version.rsplit('/', 1)[-1]}", partition_by_month
-    )
+    star = build_star(spark, clean, f"{out}/star/{version.version}", partition_by_month)
     return star, refused
 
 

@@ -41,29 +41,47 @@ def _stored_schema(df: DataFrame, partition_columns: list[str]):
     return schema
 
 
-def overwrite_layer(spark: SparkSession, tables: Mapping[str, DataFrame], root: str) -> str:
-    """Replace every table of a layer, all or nothing; returns the new version's folder.
+class LayerVersion:
+    """A new version of a layer: tables are put one after another, then published.
 
-    Tables are written into a folder of their own, and only then is one row appended to
-    the version list.  A run that dies half-way never reaches that append, so readers stay
-    on the previous version; a re-run starts from scratch.
+    Tables go into a folder of their own, and only publishing appends a row to the version
+    list.  A run that dies half-way never gets there, so readers stay on the previous
+    version; a re-run starts from scratch.
     """
-    version = f"v-{uuid.uuid4().hex}"
-    root = root.rstrip("/")
 
-    def store(name: str) -> None:
-        tables[name].write.mode("errorifexists").parquet(f"{root}/{version}/{name}")
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.root = root.rstrip("/")
+        self.version = f"v-{uuid.uuid4().hex}"
+        self.folder = f"{self.root}/{self.version}"
+        self._names: list[str] = []
 
-    # The tables do not read each other, so their jobs may overlap.
-    with ThreadPoolExecutor(max_workers=min(len(tables), WRITERS)) as pool:
-        list(pool.map(store, tables))
-    entry = spark.range(1, numPartitions=1).select(
-        F.lit(version).alias("version"),
-        F.unix_micros(F.current_timestamp()).alias("written_at"),
-        F.array(*[F.lit(n) for n in tables]).alias("tables"),
-    )
-    entry.write.mode("append").json(f"{root}/{_VERSIONS}")
-    return f"{root}/{version}"
+    def put(self, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+        """Store tables that do not read each other side by side; returns them read back."""
+
+        def store(name: str) -> DataFrame:
+            return materialize_table(tables[name], f"{self.folder}/{name}", mode="errorifexists")
+
+        with ThreadPoolExecutor(max_workers=min(len(tables), WRITERS)) as pool:
+            stored = dict(zip(tables, pool.map(store, tables)))
+        self._names += tables
+        return stored
+
+    def publish(self) -> None:
+        entry = self.spark.range(1, numPartitions=1).select(
+            F.lit(self.version).alias("version"),
+            F.unix_micros(F.current_timestamp()).alias("written_at"),
+            F.array(*[F.lit(n) for n in self._names]).alias("tables"),
+        )
+        entry.write.mode("append").json(f"{self.root}/{_VERSIONS}")
+
+
+def overwrite_layer(spark: SparkSession, tables: Mapping[str, DataFrame], root: str) -> str:
+    """Replace every table of a layer, all or nothing; returns the new version's folder."""
+    version = LayerVersion(spark, root)
+    version.put(tables)
+    version.publish()
+    return version.folder
 
 
 def read_layer(spark: SparkSession, root: str) -> dict[str, DataFrame]:
