@@ -168,8 +168,7 @@ def load_staging_csv(x: Inputs) -> DataFrame:
 def load_inferred_csv(x: Inputs) -> DataFrame:
     path = scratch_path(x.spark, "inferred")
     x.role("r_items").write.option("header", True).csv(path)
-    rows = landing.load_inferred_csv(x.spark, path)
-    return rows.withColumn("shipping_limit_date", F.col("shipping_limit_date").cast("timestamp_ntz"))
+    return landing.load_inferred_csv(x.spark, path)
 
 
 def normalize_headers(x: Inputs) -> DataFrame:

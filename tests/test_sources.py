@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tests.market import NL_TEXT, RAW, write_csv
 from tradewind.sources.contracts import CLEAN_TABLES
 from tradewind.sources.landing import (
+    load_inferred,
     load_inferred_csv,
     load_staging,
     load_staging_csv,
@@ -60,6 +61,25 @@ def test_inference_reads_every_row(spark, tmp_path):
     assert got == {"a": "string", "b": "double", "c": "date"}
 
 
+def test_inferred_timestamps_have_no_zone(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("t\n2017-10-15 00:00:00\n2017-10-15 00:30:00\n")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")  # skips that hour
+    try:
+        got = load_inferred_csv(spark, str(tmp_path / "t.csv")).selectExpr("cast(t as string)")
+        assert [r[0] for r in got.collect()] == ["2017-10-15 00:00:00", "2017-10-15 00:30:00"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_inferred_folder_has_ten_tables(spark, tmp_path):
+    write_csv(tmp_path)
+    got = load_inferred(spark, str(tmp_path))
+    assert set(got) == set(CLEAN_TABLES) - {"geolocation"}
+    assert dict(got["order_payments"].dtypes)["payment_sequential"] == "int"
+    assert got["order_reviews"].count() == len(RAW["order_reviews"][1])
+
+
 def test_header_spellings(rows):
     both = rows("product_id string, product_name_length string", [("p", "1")])
     assert normalize_headers(both).columns == ["product_id", "product_name_lenght"]

@@ -1,6 +1,6 @@
 """The whole job: raw CSV folder in; clean layer, star, run log and insights out.
 
-    spark-submit -m tradewind.run RAW_FOLDER OUT_FOLDER [--input-gb N]
+    python -m tradewind.run RAW_FOLDER OUT_FOLDER [--input-gb N]
         [--month-partitions] [--database NAME]
 """
 

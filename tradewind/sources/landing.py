@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from tradewind.sources.contracts import CLEAN_TABLES, HEADER_ALIASES, Contract
 
@@ -46,17 +47,32 @@ def load_staging(
 def load_inferred_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """CSV with column types inferred from every row rather than a sample.
 
-    Costs a second pass over the files; the text layer is the default route.
+    Costs a second pass over the files; the text layer is the default route.  Timestamps
+    are read without a zone, so the session's zone cannot move or reject an hour.
     """
-    return (
+    reader = (
         spark.read.option("header", True)
-        .option("inferSchema", True)
-        .option("samplingRatio", 1.0)
         .option("preferDate", True)
         .option("multiLine", multiline)
         .option("escape", '"')
-        .csv(path)
     )
+    inferred = reader.option("inferSchema", True).option("samplingRatio", 1.0).csv(path).schema
+    zoneless = T.StructType()
+    for f in inferred.fields:
+        is_instant = isinstance(f.dataType, T.TimestampType)
+        zoneless = zoneless.add(f.name, T.TimestampNTZType() if is_instant else f.dataType)
+    return reader.schema(zoneless).csv(path)
+
+
+def load_inferred(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The extracts with inferred types and accepted header spellings; points excluded."""
+    return {
+        name: normalize_headers(
+            load_inferred_csv(spark, f"{folder.rstrip('/')}/{c.file_pattern}", c.multiline)
+        )
+        for name, c in CLEAN_TABLES.items()
+        if name != "geolocation"
+    }
 
 
 def normalize_headers(df: DataFrame, aliases: Mapping[str, str] = HEADER_ALIASES) -> DataFrame:
