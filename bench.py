@@ -58,6 +58,7 @@ def main() -> None:
     layers = workload.inputs(spark, sf_dir)
     timed("warm_up", lambda: run_fully(spark.range(1000)))
     timed("store_raw_layer", layers.raw)
+    timed("store_cleaned_parents", layers.parents)
     timed("store_clean_layer", layers.clean)
     timed("store_star", layers.star)
     for name in names:

@@ -253,4 +253,5 @@ def test_hot_parents_are_split_while_cleaning(spark, hot_star, shuffled_joins):
     parents = {n: hot_star.clean[n] for n in ("orders", "products", "sellers")}
     done = clean_order_items(raw, **parents)
     assert final_plan(done.rows).count("SortMergeJoin(skew=true)") == 3
+    assert final_plan(done.rejects).count("SortMergeJoin(skew=true)") == 3
     assert done.rows.count() == ROWS and done.rejects.count() == 0

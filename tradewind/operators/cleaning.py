@@ -83,32 +83,35 @@ def shape_rows(raw: DataFrame, contract: Contract) -> DataFrame:
     )
 
 
-def _refused(rows: DataFrame, contract: Contract, reason: Column) -> DataFrame:
-    return rows.select(F.lit(contract.name).alias("table_name"), reason.alias("reason"), RAW_ROW)
-
-
 def clean_table(
     raw: DataFrame, contract: Contract, parents: Mapping[str, DataFrame] | None = None
 ) -> Cleaned:
     """Shape, resolve and split one table into good and refused rows; lazy.
 
-    Parents are tested with semi and anti joins: those cannot repeat a row when a parent
-    key does, and AQE can split a parent that owns many of the rows over several tasks.
+    Good rows pass semi joins, which cannot repeat a row even if a parent key does.  The
+    refused rows are found in one pass of their own, by left joins that leave a mark.  AQE
+    can split a parent that owns many of the rows over several tasks in both kinds.
     """
     shaped = shape_rows(raw, contract)
-    good = shaped.where(F.col(REASON).isNull()).drop(REASON)
-    refused = [_refused(shaped.where(F.col(REASON).isNotNull()), contract, F.col(REASON))]
+    good = shaped.where(F.col(REASON).isNull())
+    marked, lost = shaped, []
     for ref in contract.references:
         if not ref.resolve:
             continue
+        columns = list(ref.columns)
         known = parents[ref.parent].select(
-            *[F.col(p).alias(c) for c, p in zip(ref.columns, ref.parent_columns)]
+            *[F.col(p).alias(c) for c, p in zip(columns, ref.parent_columns)]
         )
-        orphans = good.join(known, list(ref.columns), "left_anti")
-        refused.append(_refused(orphans, contract, F.lit(f"orphan_{ref.parent}")))
-        good = good.join(known, list(ref.columns), "left_semi")
-    names = [f.name for f in contract.fields]
-    return Cleaned(good.select(*names), reduce(DataFrame.unionByName, refused))
+        good = good.join(known, columns, "left_semi")
+        mark = f"_has_{ref.parent}"
+        marked = marked.join(known.withColumn(mark, F.lit(True)), columns, "left")
+        lost.append(F.when(F.col(mark).isNull(), F.lit(f"orphan_{ref.parent}")))
+    refused = marked.select(
+        F.lit(contract.name).alias("table_name"),
+        F.coalesce(F.col(REASON), *lost).alias("reason"),
+        RAW_ROW,
+    ).where(F.col("reason").isNotNull())
+    return Cleaned(good.select(*[f.name for f in contract.fields]), refused)
 
 
 def latest_per_key(rows: DataFrame, key: list[str], newest_first: list[Column]) -> DataFrame:
