@@ -44,8 +44,8 @@ def new_vs_returning(star: Star) -> DataFrame:
 def cohort_retention(star: Star, last_month: int = 6) -> DataFrame:
     """Share of each first-purchase cohort that buys again in months 0 to `last_month`.
 
-    Month 0 holds every member, so it gives the cohort sizes as well; they are a second,
-    tiny aggregation joined by cohort.
+    Month 0 holds every member, so it gives the cohort sizes as well; the window reading it
+    off sees one row per month of a cohort.
     """
     elapsed = month_index(F.col("month")) - month_index(F.col("cohort_month"))
     active = (
@@ -53,12 +53,11 @@ def cohort_retention(star: Star, last_month: int = 6) -> DataFrame:
         .groupBy("cohort_month", elapsed.alias("month_number"))
         .agg(n_rows().alias("active_customers"))
     )
-    sizes = active.where("month_number = 0").select(
-        F.col("cohort_month").alias("_cohort"), F.col("active_customers").alias("cohort_customers")
-    )
+    in_month_0 = F.when(F.col("month_number") == 0, F.col("active_customers"))
+    size = F.max(in_month_0).over(Window.partitionBy("cohort_month"))
     return (
-        active.where(F.col("month_number").between(0, last_month))
-        .join(sizes, F.col("cohort_month") == F.col("_cohort"))
+        active.withColumn("cohort_customers", size)
+        .where(F.col("month_number").between(0, last_month))
         .select(
             "cohort_month",
             "month_number",
