@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from . import licenses
+from .licenses import op8_license_scan
 from .secrets import op3_secret_ledger
 
 QUERIES = {
     "op3_secret_ledger": op3_secret_ledger,
+    "op8_license_scan": op8_license_scan,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {**licenses.SQL}
