@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import scratch_path
 
@@ -40,3 +41,9 @@ def key_text(column: Column | str) -> Column:
 def fold_of(column: Column | str, folds: int) -> Column:
     """crc32 of the id's decimal text modulo the number of folds."""
     return F.crc32(key_text(column).cast("binary")) % folds
+
+
+def with_fields(df: DataFrame, more: dict[str, str]) -> T.StructType:
+    """The frame's schema and more fields, name -> type."""
+    extra = [T.StructField(n, T._parse_datatype_string(t)) for n, t in more.items()]
+    return T.StructType([*df.schema.fields, *extra])

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from . import licenses
+from .langid import op9_language_id
 from .licenses import op8_license_scan
+from .quality import op7_quality_rules
 from .secrets import op3_secret_ledger
 
 QUERIES = {
     "op3_secret_ledger": op3_secret_ledger,
+    "op7_quality_rules": op7_quality_rules,
     "op8_license_scan": op8_license_scan,
+    "op9_language_id": op9_language_id,
 }
 SQL: dict[str, str] = {**licenses.SQL}
