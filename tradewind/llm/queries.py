@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from . import licenses
+from .decontam import op5_decontamination
 from .langid import op9_language_id
 from .licenses import op8_license_scan
 from .quality import op7_quality_rules
@@ -10,6 +11,7 @@ from .secrets import op3_secret_ledger
 
 QUERIES = {
     "op3_secret_ledger": op3_secret_ledger,
+    "op5_decontamination": op5_decontamination,
     "op7_quality_rules": op7_quality_rules,
     "op8_license_scan": op8_license_scan,
     "op9_language_id": op9_language_id,
