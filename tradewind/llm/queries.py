@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from . import licenses
 from .decontam import op5_decontamination
+from .jaccard import op10_jaccard_join
 from .langid import op9_language_id
 from .licenses import op8_license_scan
 from .quality import op7_quality_rules
@@ -15,5 +16,6 @@ QUERIES = {
     "op7_quality_rules": op7_quality_rules,
     "op8_license_scan": op8_license_scan,
     "op9_language_id": op9_language_id,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 SQL: dict[str, str] = {**licenses.SQL}
