@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import licenses
+from . import licenses, warc
 from .decontam import op5_decontamination
 from .jaccard import op10_jaccard_join
 from .langid import op9_language_id
@@ -10,8 +10,10 @@ from .licenses import op8_license_scan
 from .mixing import op4_source_mixing
 from .quality import op7_quality_rules
 from .secrets import op3_secret_ledger
+from .warc import op1_warc_normalise
 
 QUERIES = {
+    "op1_warc_normalise": op1_warc_normalise,
     "op3_secret_ledger": op3_secret_ledger,
     "op4_source_mixing": op4_source_mixing,
     "op5_decontamination": op5_decontamination,
@@ -20,4 +22,4 @@ QUERIES = {
     "op9_language_id": op9_language_id,
     "op10_jaccard_join": op10_jaccard_join,
 }
-SQL: dict[str, str] = {**licenses.SQL}
+SQL: dict[str, str] = {**licenses.SQL, **warc.SQL}
