@@ -10,10 +10,12 @@ from .licenses import op8_license_scan
 from .mixing import op4_source_mixing
 from .quality import op7_quality_rules
 from .secrets import op3_secret_ledger
+from .substrings import op2_substring_dedup
 from .warc import op1_warc_normalise
 
 QUERIES = {
     "op1_warc_normalise": op1_warc_normalise,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_secret_ledger": op3_secret_ledger,
     "op4_source_mixing": op4_source_mixing,
     "op5_decontamination": op5_decontamination,

@@ -81,6 +81,12 @@ class Ranges:
         h = (self._sums[ends] - self._sums[starts]) * self._back[starts]
         return mix(h + (ends - starts).astype(U64) * _STEP)
 
+    def every(self, size: int) -> np.ndarray:
+        """The hashes of all ranges of one size."""
+        n = max(0, len(self._sums) - size)
+        h = (self._sums[size:] - self._sums[:n]) * self._back[:n]
+        return mix(h + U64(size) * _STEP)
+
 
 def counts_by_doc(marks: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """How many marked bytes each text has."""
