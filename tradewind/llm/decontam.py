@@ -195,6 +195,21 @@ def _rare(items: Items, counts: np.ndarray, factor: float) -> np.ndarray:
     return counts <= factor * median[items.owner]
 
 
+def _blocks(docs: DataFrame, items: DataFrame, factor: float, block: int) -> Iterator[Items]:
+    """The items, a block of bounded size at a time, with the seeds that are rare in `docs` (t)."""
+    named = stored(
+        items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("text")),
+        "benchmark-items",
+    )
+    n_blocks = max(1, -(-named.count() // block))
+    for number in range(n_blocks):
+        own = named.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == number)
+        rows = own.orderBy("item_id", "text").collect()
+        held = Items([r["item_id"] for r in rows], [r["text"] for r in rows])
+        held.keep(_rare(held, _count_seeds(docs.select("t"), held), factor))
+        yield held
+
+
 def find_leaks(
     docs: DataFrame,
     text: str,
@@ -208,13 +223,6 @@ def find_leaks(
 
     items: columns item_id (whole numbers) and text.
     """
-    spark = docs.sparkSession
-    named = stored(
-        items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("text")),
-        "benchmark-items",
-    )
-    n_items = named.count()
-    n_blocks = max(1, -(-n_items // block))
     asked = docs.select(F.col(text).alias("t"), *(F.col(k).alias(f"k{i}") for i, k in enumerate(keep)))
     schema = with_fields(
         docs.select(*keep),
@@ -222,12 +230,8 @@ def find_leaks(
     )
     names = schema.fieldNames()
 
-    def of_block(number: int) -> DataFrame:
-        own = named.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == number)
-        rows = own.orderBy("item_id", "text").collect()
-        held = Items([r["item_id"] for r in rows], [r["text"] for r in rows])
-        held.keep(_rare(held, _count_seeds(asked.select("t"), held), factor))
-        shared = spark.sparkContext.broadcast(held)
+    def of_block(held: Items) -> DataFrame:
+        shared = docs.sparkSession.sparkContext.broadcast(held)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known = shared.value
@@ -249,7 +253,34 @@ def find_leaks(
 
         return asked.mapInArrow(run, schema)
 
-    return reduce(DataFrame.unionAll, (of_block(i) for i in range(n_blocks)))
+    return reduce(DataFrame.unionAll, map(of_block, _blocks(asked, items, factor, block)))
+
+
+def without_leaks(
+    docs: DataFrame,
+    text: str,
+    items: DataFrame,
+    least: float = 0.5,
+    factor: float = 4.0,
+    block: int = 20_000,
+) -> DataFrame:
+    """The documents that leak no item, all columns, without a shuffle."""
+    schema, place = docs.schema, docs.columns.index(text)
+
+    def drop(docs: DataFrame, held: Items) -> DataFrame:
+        shared = docs.sparkSession.sparkContext.broadcast(held)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for part in tg.cut(batch, place):
+                    clean = np.ones(len(part), bool)
+                    clean[[x[0] for x in leaks_of(Slice(part.column(place)), shared.value, least)]] = False
+                    yield part.filter(pa.array(clean))
+
+        return docs.mapInArrow(run, schema)
+
+    asked = docs.select(F.col(text).alias("t"))
+    return reduce(drop, list(_blocks(asked, items, factor, block)), docs)
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

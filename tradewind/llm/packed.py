@@ -116,17 +116,33 @@ def questions(chunk: int, begins: np.ndarray, keys: np.ndarray, extra: Callable[
             yield b, chunk, squeeze_sorted(keys[own]), extra(own)
 
 
-def answered(asked: DataFrame, answer: Callable[[list[np.ndarray], list[bytes], list[int]], list[bytes]]) -> DataFrame:
+def question_batch(rows) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [[]] * 4
+    kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+        names=["bucket", "chunk", "keys", "extra"],
+    )
+
+
+def answered(
+    asked: DataFrame,
+    answer: Callable[[list[np.ndarray], list[bytes], list[int]], list[bytes]],
+    summary: Callable[[list[np.ndarray], list[bytes]], bytes] | None = None,
+) -> DataFrame:
     """The rows of ANSWER to rows of QUESTION, a bucket at a time.
 
     answer: the arrays of keys, the extras and the chunks of a bucket -> an answer per chunk.
+    summary: what a bucket says as a whole, in a row with chunk -1.
     """
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("chunk")
-        keys = [unsqueeze_sorted(k) for k in rows["keys"]]
-        found = answer(keys, list(rows["extra"]), rows["chunk"].tolist())
-        return pd.DataFrame({"chunk": rows["chunk"], "bucket": rows["bucket"], "answer": found})
+        keys, extras = [unsqueeze_sorted(k) for k in rows["keys"]], list(rows["extra"])
+        chunks, found = rows["chunk"].tolist(), answer(keys, extras, rows["chunk"].tolist())
+        if summary is not None:
+            chunks, found = [*chunks, -1], [*found, summary(keys, extras)]
+        return pd.DataFrame({"chunk": chunks, "bucket": rows["bucket"].iloc[0], "answer": found})
 
     return asked.groupBy("bucket").applyInPandas(run, ANSWER)
 

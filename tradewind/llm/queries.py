@@ -7,6 +7,7 @@ from .decontam import op5_decontamination
 from .jaccard import op10_jaccard_join
 from .langid import op9_language_id
 from .licenses import op8_license_scan
+from .lm import op6_lm_scores
 from .mixing import op4_source_mixing
 from .quality import op7_quality_rules
 from .secrets import op3_secret_ledger
@@ -19,6 +20,7 @@ QUERIES = {
     "op3_secret_ledger": op3_secret_ledger,
     "op4_source_mixing": op4_source_mixing,
     "op5_decontamination": op5_decontamination,
+    "op6_lm_scores": op6_lm_scores,
     "op7_quality_rules": op7_quality_rules,
     "op8_license_scan": op8_license_scan,
     "op9_language_id": op9_language_id,
