@@ -75,7 +75,8 @@ def segments(raw: np.ndarray, offsets: np.ndarray, length: int, gram: int):
     new[1:] = (led[1:] != led[:-1]) | (starts[1:] != starts[:-1] + 1)
     first = np.flatnonzero(new)
     low, high = starts[first], starts[np.append(first[1:], len(starts)) - 1]
-    return low, high, grams[led[first]], ranges.hashes(low, high + length)
+    # Anchors have small hashes by choice; mixed again they spread over all buckets.
+    return low, high, tg.mix(grams[led[first]] + tg.U64(1)), ranges.hashes(low, high + length)
 
 
 def _unique_pairs(f: np.ndarray, g: np.ndarray):
@@ -101,20 +102,11 @@ def _anchor_questions(packed: DataFrame, length: int, gram: int, buckets: int) -
                     row["chunk"], pk.hash_buckets(f, buckets), f,
                     lambda own, g=g, many=many: pk.squeeze(g[own].tobytes() + many[own].tobytes()),
                 )
-                yield _batch(found)
+                yield pk.question_batch(found)
 
     return packed.select("chunk", "offsets", "blob").mapInArrow(run, pk.QUESTION)
 
 
-def _batch(rows) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) or [[]] * 4
-    kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary())
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-        names=["bucket", "chunk", "keys", "extra"],
-    )
-
-
 def _answer_anchors(keys: list[np.ndarray], extras: list[bytes], chunks: list[int]) -> list[bytes]:
     lengths = [len(k) for k in keys]
     f = np.concatenate(keys)

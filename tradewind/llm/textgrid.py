@@ -85,7 +85,7 @@ class Ranges:
         """The hashes of all ranges of one size."""
         n = max(0, len(self._sums) - size)
         h = (self._sums[size:] - self._sums[:n]) * self._back[:n]
-        return mix(h + U64(size) * _STEP)
+        return mix(h + U64(size * int(_STEP) % (1 << 64)))
 
 
 def counts_by_doc(marks: np.ndarray, offsets: np.ndarray) -> np.ndarray:
