@@ -9,14 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from oracles.roles import read_base, spark_role
-from oracles.sql import BROKEN_CHECKS, TEST_THRESHOLDS
+from oracles.sql import BROKEN_CHECKS, PATH_METRICS, TEST_THRESHOLDS
 from tradewind.functions import truth_value
 from tradewind.operators import cleaning, integrity, numbering, star as builders
 from tradewind.operators.quality import named_counts
@@ -83,15 +83,40 @@ class Inputs:
         return tables.read_layer(self.spark, root)
 
     def parents(self) -> dict[str, DataFrame]:
-        """Cleaned parents of the raw layer, stored before the children resolve."""
-        names = ("orders", "products", "sellers", "qualified_leads")
-        return self._once(
-            "parents",
-            lambda: self._layer(
-                "parents",
-                {n: cleaning.clean_table(self.raw()[n], CLEAN_TABLES[n]).rows for n in names},
-            ),
-        )
+        """Cleaned parents of the raw layer, stored before their children resolve."""
+
+        def build():
+            names = ("customers", "products", "sellers", "qualified_leads")
+            cleaned = {n: cleaning.clean_table(self.raw()[n], CLEAN_TABLES[n]) for n in names}
+            parents = self._layer("parents", cleaning.rows_of(cleaned))
+            orders = cleaning.clean_ordered(self.raw(), parents)
+            return parents | self._layer("ordered", cleaning.rows_of(orders))
+
+        return self._once("parents", build)
+
+    def cleaned(self) -> dict[str, DataFrame]:
+        """The clean layer that the dirty text gives."""
+
+        def build():
+            raw, parents = self.raw(), self.parents()
+            names = ("category_translation", "geolocation")
+            free = {n: cleaning.clean_parents(raw)[n].rows for n in names}
+            children = cleaning.rows_of(cleaning.clean_children(raw, parents))
+            return parents | self._layer("cleaned", free | children)
+
+        return self._once("cleaned", build)
+
+    def cleaned_star(self) -> builders.Star:
+        """The star over the cleaned text; no line may get lost."""
+
+        def build():
+            root = scratch_path(self.spark, "cleaned-star")
+            star = builders.build_star(self.spark, self.cleaned(), root)
+            builders.require_all_lines(star)
+            integrity.require_constraints(self.cleaned(), CLEAN_TABLES)
+            return star
+
+        return self._once("cleaned_star", build)
 
     def broken(self) -> dict[str, DataFrame]:
         return {t: self.role(r) for t, r in BROKEN_ROLE_OF.items()}
@@ -162,7 +187,18 @@ def plain(df: DataFrame) -> DataFrame:
 
 
 def load_staging_csv(x: Inputs) -> DataFrame:
-    return landing.load_staging_csv(x.spark, x.csv_folder(), "order_reviews")
+    """Rows and characters of every table as the CSV files give them back."""
+
+    def measured(name: str) -> DataFrame:
+        rows = landing.load_staging_csv(x.spark, x.csv_folder(), name)
+        chars = sum(F.coalesce(F.length(F.col(c)), F.lit(0)) for c in rows.columns)
+        return rows.agg(
+            F.lit(name).alias("table_name"),
+            F.count(F.lit(1)).alias("n"),
+            F.sum(chars).cast("long").alias("characters"),
+        )
+
+    return reduce(DataFrame.unionByName, [measured(n) for n in CLEAN_TABLES])
 
 
 def load_inferred_csv(x: Inputs) -> DataFrame:
@@ -183,8 +219,8 @@ def normalize_headers(x: Inputs) -> DataFrame:
 
 def overwrite_layer(x: Inputs) -> DataFrame:
     root = scratch_path(x.spark, "layer")
-    names = ["customers", "sellers", "products", "orders", "order_items"]
     broken, typed = x.broken(), x.typed()
+    names = list(broken)
     tables.overwrite_layer(x.spark, {n: broken[n] for n in names}, root)
     tables.overwrite_layer(x.spark, {n: typed[n] for n in names}, root)
     return named_counts(tables.read_layer(x.spark, root), "table_name", "n")
@@ -235,6 +271,8 @@ def export_insights(x: Inputs) -> DataFrame:
 def _clean_rows(table: str) -> Callable[[Inputs], DataFrame]:
     def query(x: Inputs) -> DataFrame:
         raw = x.raw()
+        if table == "orders":
+            return cleaning.clean_orders(raw[table], x.parents()["customers"]).rows
         if any(ref.resolve for ref in CLEAN_TABLES[table].references):
             return cleaning.clean_children(raw, x.parents())[table].rows
         if table == "category_translation":
@@ -253,8 +291,11 @@ def normalize_boolean(x: Inputs) -> DataFrame:
 
 def quarantine_rejects(x: Inputs) -> DataFrame:
     raw = x.raw()
+    parents = x.parents()
     refused = cleaning.quarantine_rejects(
-        cleaning.clean_parents(raw), cleaning.clean_children(raw, x.parents())
+        cleaning.clean_parents(raw),
+        cleaning.clean_ordered(raw, parents),
+        cleaning.clean_children(raw, parents),
     )
     return refused.groupBy("table_name", "reason").agg(F.count(F.lit(1)).alias("n"))
 
@@ -333,6 +374,38 @@ OPERATORS: dict[str, Callable[[Inputs], DataFrame]] = {
     ),
 }
 
+def pipeline_counts(x: Inputs) -> DataFrame:
+    names = [t for t in CLEAN_TABLES if t != "geolocation"]
+    counted = {n: x.cleaned()[n] for n in names} | {"fact_order_items": x.cleaned_star().lines}
+    return named_counts(counted, "table_name", "n")
+
+
+def pipeline_quarantine(x: Inputs) -> DataFrame:
+    raw, parents = x.raw(), x.parents()
+    refused = cleaning.quarantine_rejects(
+        cleaning.clean_parents(raw),
+        cleaning.clean_ordered(raw, parents),
+        cleaning.clean_children(raw, parents),
+    )
+    first = F.lit(None).cast("string")
+    for name in CLEAN_TABLES:
+        key = CLEAN_TABLES[name].fields[0].source
+        own = F.get_json_object("raw_row", f"$.{key}")
+        first = F.when(F.col("table_name") == name, own).otherwise(first)
+    return refused.groupBy("table_name", "reason", first.alias("raw_key")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
+OPERATORS |= {
+    "pipeline_counts": pipeline_counts,
+    "pipeline_quarantine": pipeline_quarantine,
+    **{
+        f"pipeline_{name}": lambda x, name=name: METRICS[name].plan(x.cleaned_star())
+        for name in PATH_METRICS
+    },
+}
+
 # Names of the insight queries -> names inside the pack.
 INSIGHT_QUERIES = {
     "insight_snapshot": "snapshot",
@@ -351,10 +424,6 @@ def _metric(name: str) -> Callable[[Inputs], DataFrame]:
             return metric.plan(x.broken())
         if metric.reads == "clean":
             return metric.plan(x.clean())
-        if name == "seller_state_contribution":
-            star = x.star()
-            kept = star.dims["dim_seller"].where("seller_id % 10 <> 0").select("seller_sk")
-            return metric.plan(star, lines=star.lines.join(kept, "seller_sk", "left_semi"))
         return metric.plan(x.star(), **TEST_THRESHOLDS.get(name, {}))
 
     return query

@@ -45,10 +45,14 @@ from orders
 join customer on c_custkey = o_custkey
 join nation on n_nationkey = c_nationkey"""
 
+# A tenth more sellers than suppliers: those have no lines.
 ROLES["r_sellers"] = """
-select s_suppkey as seller_id, cast(s_suppkey % 9973 as int) as seller_zip_code_prefix,
-       'city ' || cast(s_suppkey % 17 as string) as seller_city, n_name as seller_state
-from supplier
+select seller_id, cast(seller_id % 9973 as int) as seller_zip_code_prefix,
+       'city ' || cast(seller_id % 17 as string) as seller_city, n_name as seller_state
+from (
+  select s_suppkey as seller_id, s_nationkey from supplier
+  union all
+  select s_suppkey + 1000000 as seller_id, s_nationkey from supplier where s_suppkey % 10 = 0) s
 join nation on n_nationkey = s_nationkey"""
 
 ROLES["r_translation"] = """
@@ -190,6 +194,7 @@ select case when order_id % 503 = 0 then ' '
        case when order_id % 401 = 0 then ' '
             else cast(order_purchase_timestamp as string) end as order_purchase_timestamp,
        case when order_id % 301 = 0 then 'soon' when order_id % 50 = 0 then ''
+            when order_id % 397 = 0 then '2018' when order_id % 409 = 0 then '2018-02'
             else cast(order_approved_at as string) end as order_approved_at,
        cast(order_delivered_carrier_date as string) as order_delivered_carrier_date,
        cast(order_delivered_customer_date as string) as order_delivered_customer_date,
@@ -219,6 +224,7 @@ select case when order_id % 71 = 0 then 'none' else cast(order_id as string) ||
        cast(payment_sequential as string) as payment_sequential,
        ' ' || upper(payment_type) as payment_type,
        case when order_id % 6 = 0 then '' when order_id % 337 = 0 then 'many'
+            when order_id % 349 = 0 then '-3'
             else cast(payment_installments as string) end as payment_installments,
        case when order_id % 59 = 0 then '-1' when order_id % 43 = 0 then ' '
             else cast(payment_value as string) end as payment_value
@@ -242,6 +248,8 @@ from ({r_reviews_all}) r"""
 ROLES["w_qualified_leads"] = """
 select case when event_id % 97 = 0 then ' ' else 'm' || cast(event_id as string) end as mql_id,
        case when event_id % 89 = 0 then '' when event_id % 83 = 0 then 'today'
+            when event_id % 79 = 0 then cast(cast(ts as date) as string) || ' garbage'
+            when event_id % 73 = 0 then '2018' when event_id % 71 = 0 then '2018-1-2T??'
             else cast(cast(ts as date) as string) end as first_contact_date,
        case when event_id % 7 = 0 then ' ' else cast(event_id % 40 as string) end
          as landing_page_id,
@@ -253,7 +261,8 @@ ROLES["w_closed_deals"] = """
 select case when mql_id % 61 = 0 then 'none' else ' m' || cast(mql_id as string) end as mql_id,
        case when seller_id is null then ' ' else cast(seller_id as string) end as seller_id,
        's' || cast(mql_id % 5 as string) as sdr_id, '' as sr_id,
-       case when mql_id % 53 = 0 then '' else cast(won_date as string) end as won_date,
+       case when mql_id % 53 = 0 then '' when mql_id % 43 = 0 then '2018-02'
+            else cast(won_date as string) end as won_date,
        'seg ' || cast(mql_id % 9 as string) as business_segment,
        cast(null as string) as lead_type, ' wolf ' as lead_behaviour_profile,
        case mql_id % 6 when 0 then 'TRUE' when 1 then ' yes ' when 2 then '0' when 3 then 'No'

@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 
 from oracles.roles import duckdb_ctes
+from tradewind.sources.contracts import CLEAN_TABLES as CONTRACTS
 
 
 def H(n: str, d: str, factor: int) -> str:
@@ -89,7 +90,6 @@ _CASTS = {
 # Thresholds: (metric, parameter) -> value on the test data; the plan's own default is used
 # by the suite.
 TEST_THRESHOLDS: dict[str, dict] = {
-    "seller_state_contribution": {"keep": "l.seller_id % 10 <> 0"},
     "price_bands": {"limits": (5_000, 10_000, 20_000, 50_000)},
     "late_by_state": {"min_orders": 300},
     "category_delivery_quality": {"min_lines": 2_300},
@@ -97,7 +97,6 @@ TEST_THRESHOLDS: dict[str, dict] = {
     "repeat_by_state": {"min_customers": 300},
 }
 DEFAULT_THRESHOLDS: dict[str, dict] = {
-    "seller_state_contribution": {"keep": "true"},
     "price_bands": {"limits": (50, 100, 200, 500)},
     "late_by_state": {"min_orders": 100},
     "category_delivery_quality": {"min_lines": 200},
@@ -358,8 +357,8 @@ def metric_entries(th: dict[str, dict]) -> dict[str, tuple[str, str]]:
         "seller_state:s sellers:i items_sold:i gmv:h",
         """select s.seller_state, count(distinct s.seller_id) as sellers,
                   count(l.order_id) as items_sold, sum(l.cents) as gmv
-           from r_sellers s left join line l on l.seller_id = s.seller_id and {keep}
-           group by s.seller_state""".format(keep=th["seller_state_contribution"]["keep"]),
+           from r_sellers s left join line l on l.seller_id = s.seller_id
+           group by s.seller_state""",
     )
     pairs = "(select seller_id, category, sum(cents) as rev from line group by 1, 2)"
     factor = th["sellers_above_category_avg"]["factor"]
@@ -581,8 +580,21 @@ def nb(x: str) -> str:
     return f"nullif(trim({x}), '')"
 
 
+# The full shape of a date or timestamp literal.
+LITERAL = (
+    r"\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{2}(:\d{2}(\.\d{1,6})?)?)?"
+)
+
+
+def whole(x: str, kind: str) -> str:
+    """The literal if it has its kind's full shape."""
+    if kind not in ("date", "timestamp"):
+        return nb(x)
+    return f"case when regexp_full_match({nb(x)}, '{LITERAL}') then {nb(x)} end"
+
+
 def bad(x: str, kind: str) -> str:
-    return f"({nb(x)} is not null and try_cast({nb(x)} as {kind}) is null)"
+    return f"({nb(x)} is not null and try_cast({whole(x, kind)} as {kind}) is null)"
 
 
 TITLE = (
@@ -615,7 +627,7 @@ def _int(c: str, name: str | None = None) -> str:
 
 
 def _ts(c: str) -> str:
-    return f"try_cast({nb(c)} as timestamp) as {c}"
+    return f"try_cast({whole(c, 'timestamp')} as timestamp) as {c}"
 
 
 def _money(c: str) -> str:
@@ -673,7 +685,9 @@ SHAPED: dict[str, str] = {
         lower(trim(payment_type)) as payment_type,
         ifnull(try_cast({nb("payment_installments")} as integer), 0) as payment_installments,
         {_money("payment_value")},
-        {_reason(*_malformed("integer", "payment_installments"))} as reason
+        {_reason(*_malformed("integer", "payment_installments"),
+                 ("out_of_domain_payment_installments",
+                  f"try_cast({nb('payment_installments')} as integer) < 0"))} as reason
         from w_order_payments""",
     "order_reviews": f"""select trim(review_id) as review_id, trim(order_id) as order_id,
         case when try_cast({nb("review_score")} as integer) > 5 then 5
@@ -685,7 +699,7 @@ SHAPED: dict[str, str] = {
         {_reason(*_blank("review_id", "review_score"))} as reason
         from w_order_reviews""",
     "qualified_leads": f"""select trim(mql_id) as mql_id,
-        try_cast({nb("first_contact_date")} as date) as first_contact_date,
+        try_cast({whole("first_contact_date", "date")} as date) as first_contact_date,
         {nb("landing_page_id")} as landing_page_id,
         ifnull(nullif(lower(trim(origin)), ''), 'unknown') as origin,
         {_reason(*_blank("mql_id", "first_contact_date"),
@@ -693,7 +707,7 @@ SHAPED: dict[str, str] = {
         from w_qualified_leads""",
     "closed_deals": f"""select trim(mql_id) as mql_id, {nb("seller_id")} as seller_id,
         {nb("sdr_id")} as sdr_id, {nb("sr_id")} as sr_id,
-        try_cast({nb("won_date")} as date) as won_date,
+        try_cast({whole("won_date", "date")} as date) as won_date,
         {nb("business_segment")} as business_segment, {nb("lead_type")} as lead_type,
         {nb("lead_behaviour_profile")} as lead_behaviour_profile,
         {_truth("has_company")} as has_company, {_truth("has_gtin")} as has_gtin,
@@ -701,12 +715,13 @@ SHAPED: dict[str, str] = {
         try_cast({nb("declared_product_catalog_size")} as decimal(12,2))
           as declared_product_catalog_size,
         try_cast({nb("declared_monthly_revenue")} as decimal(14,2)) as declared_monthly_revenue,
-        {_reason(*_blank("won_date"),
+        {_reason(*_blank("won_date"), *_malformed("date", "won_date"),
                  *_malformed("decimal(14,2)", "declared_monthly_revenue"))} as reason
         from w_closed_deals""",
 }
 
 PARENTS = {
+    "orders": (("customer_id", "customers"),),
     "order_items": (("order_id", "orders"), ("product_id", "products"), ("seller_id", "sellers")),
     "order_payments": (("order_id", "orders"),),
     "order_reviews": (("order_id", "orders"),),
@@ -753,7 +768,8 @@ CLEAN_QUERY = {
 
 
 def _known(key: str, parent: str) -> str:
-    return f"{key} in (select {key} from ({SHAPED[parent]}) p where reason is null)"
+    kept = " and ".join(["reason is null", *(_known(k, p) for k, p in PARENTS.get(parent, ()))])
+    return f"{key} in (select {key} from ({SHAPED[parent]}) p where {kept})"
 
 
 def _clean_body(table: str) -> str:
@@ -766,13 +782,29 @@ def _clean_body(table: str) -> str:
     return body if table == "category_translation" else body.replace("select distinct", "select")
 
 
-def _refused_body(table: str) -> str:
+def _why(table: str) -> str:
     cases = ["when reason is not null then reason"]
     cases += [
         f"when not {_known(k, p)} then 'orphan_{p}'" for k, p in PARENTS.get(table, ())
     ]
+    return f"case {' '.join(cases)} end"
+
+
+# The first raw column of each table, by which a refused raw row is recognised.
+FIRST_COLUMN = {t: CLEAN_COLUMNS[t].split(":")[0] for t in CLEAN_COLUMNS}
+
+
+def _refused_keys(table: str) -> str:
+    key = FIRST_COLUMN[table]
+    shaped = re.sub(r"^select ", f"select {key} as raw_key, ", SHAPED[table], count=1)
+    return f"""select '{table}' as table_name, why as reason, raw_key, count(*) as n
+               from (select raw_key, {_why(table)} as why from ({shaped}) s) x
+               where why is not null group by 2, 3"""
+
+
+def _refused_body(table: str) -> str:
     return f"""select '{table}' as table_name, why as reason, count(*) as n
-               from (select case {" ".join(cases)} end as why from ({SHAPED[table]}) s) x
+               from (select {_why(table)} as why from ({SHAPED[table]}) s) x
                where why is not null group by 2"""
 
 
@@ -938,11 +970,17 @@ def _star_count(name: str) -> str:
 
 def operator_entries() -> dict[str, tuple[str, str]]:
     e: dict[str, tuple[str, str]] = {}
-    raw_review = "review_id order_id review_score review_comment_title review_comment_message "
-    raw_review += "review_creation_date review_answer_timestamp"
+    raw_columns = {
+        t: [f.source for f in contract.fields] for t, contract in CONTRACTS.items()
+    }
     e["load_staging_csv"] = (
-        " ".join(f"{c}:s" for c in raw_review.split()),
-        "select * from w_order_reviews",
+        "table_name:s n:i characters:i",
+        _union(
+            f"""select '{t}' as table_name, count(*) as n,
+                       sum({" + ".join(f"ifnull(length({c}), 0)" for c in columns)}) as characters
+                from w_{t}"""
+            for t, columns in raw_columns.items()
+        ),
     )
     e["load_inferred_csv"] = (
         "order_id:i order_item_id:i product_id:i seller_id:i shipping_limit_date:t price:f "
@@ -953,8 +991,7 @@ def operator_entries() -> dict[str, tuple[str, str]]:
         "product_id:s product_category_name:s " + " ".join(f"{c}:s" for c in _SIZES),
         "select * from w_products",
     )
-    layer = ("customers", "sellers", "products", "orders", "order_items")
-    source = dict(zip(layer, ("r_customers", "r_sellers", "r_products", "r_orders", "r_items")))
+    source = {t: r for r, t in PATH_TABLES.items()} | {"order_reviews": "reviews"}
     e["overwrite_layer"] = (
         "table_name:s n:i",
         _union(f"select '{t}' as table_name, count(*) as n from {s}" for t, s in source.items()),
@@ -1170,6 +1207,50 @@ def operator_entries() -> dict[str, tuple[str, str]]:
     return e
 
 
+# Whole-path queries: the same SQL over what the cleaning of the dirty text leaves.
+PATH_TABLES = {
+    "r_customers": "customers",
+    "r_sellers": "sellers",
+    "r_translation": "category_translation",
+    "r_products": "products",
+    "r_orders": "orders",
+    "r_items": "order_items",
+    "r_payments": "order_payments",
+    "r_reviews_all": "order_reviews",
+    "r_leads": "qualified_leads",
+    "r_deals": "closed_deals",
+}
+PATH_METRICS = ("yearly_gmv", "monthly_gmv", "kpi_snapshot", "delivery_summary", "payment_mix", "late_vs_reviews")
+
+
+def path_entries() -> dict[str, tuple[str, str]]:
+    """pipeline_*: counts and metrics from dirty text through cleaning and star."""
+    e = {f"pipeline_{n}": metric_entries(DEFAULT_THRESHOLDS)[n] for n in PATH_METRICS}
+    e["pipeline_counts"] = (
+        "table_name:s n:i",
+        _union(
+            f"select '{t}' as table_name, count(*) as n from {r}"
+            for r, t in (*PATH_TABLES.items(), ("line", "fact_order_items"))
+        ),
+    )
+    e["pipeline_quarantine"] = (
+        "table_name:s reason:s raw_key:s n:i",
+        _union(_refused_keys(t) for t in SHAPED),
+    )
+    return e
+
+
+def finish_path(columns: str, body: str) -> str:
+    """Full statement over the cleaned text: p_* tables stand in for the r_* roles."""
+    shown = [c.split(":") for c in columns.split()]
+    casts = ", ".join(_CASTS[kind].format(c=f'"{c}"') + f' as "{c}"' for c, kind in shown)
+    tables = ",\n".join(f"p_{r[2:]} as ({_clean_body(t)})" for r, t in PATH_TABLES.items())
+    rest = f"{SHARED}, body as ({body})\nselect {casts} from body"
+    for role in PATH_TABLES:
+        rest = re.sub(rf"\b{role}\b", f"p_{role[2:]}", rest)
+    return f"with {duckdb_ctes()},\n{tables},{rest}"
+
+
 def all_entries() -> dict[str, tuple[str, str]]:
     entries = operator_entries()
     for name, (columns, body) in metric_entries(TEST_THRESHOLDS).items():
@@ -1178,7 +1259,8 @@ def all_entries() -> dict[str, tuple[str, str]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: finish(columns, body) for name, (columns, body) in all_entries().items()}
+    direct = {name: finish(columns, body) for name, (columns, body) in all_entries().items()}
+    return direct | {name: finish_path(*entry) for name, entry in path_entries().items()}
 
 
 def finish(columns: str, body: str) -> str:

@@ -7,14 +7,16 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as contract
+from oracles import queries, sql
 from tools.compare import compare, connect
 
 SF_DIR = "/root/testdata/sf0.001"
 
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="test tables not mounted")
 
-QUERIES = contract.queries()
-SQL = contract.oracle_sql()
+# The marketplace queries; those for training data have tests of their own.
+QUERIES = queries.queries()
+SQL = sql.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -24,7 +26,8 @@ def duck():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
-    assert len(QUERIES) == 104
+    assert len(QUERIES) == 112
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))

@@ -214,7 +214,7 @@ def test_volume_snapshot_needs_no_cross_join(star):
 def test_partition_numbers_follow_the_input():
     assert sizing_conf(1)["spark.sql.shuffle.partitions"] == "200"
     assert sizing_conf(1 << 40)["spark.sql.shuffle.partitions"] == "4096"
-    assert sizing_conf(100 << 40)["spark.sql.shuffle.partitions"] == "50000"
+    assert sizing_conf(100 << 40)["spark.sql.shuffle.partitions"] == "409600"
 
 
 @pytest.fixture()

@@ -17,11 +17,16 @@ from pyspark.sql.window import Window
 
 from tradewind.functions.text import blank_to_null, title_words, truth_value
 from tradewind.operators.numbering import number_rows
-from tradewind.sources.contracts import CLEAN_TABLES, Contract, Field
+from tradewind.sources.contracts import CLEAN_TABLES, DOMAINS, Contract, Field
 
 REASON = "reject_reason"
 RAW_ROW = "raw_row"
 
+# Shapes that a date or timestamp literal must have in full; a cast alone takes prefixes.
+_DAY = r"\d{4}-\d{1,2}-\d{1,2}"
+_TIME = r"([ T]\d{1,2}:\d{2}(:\d{2}(\.\d{1,6})?)?)?"
+_SHAPES = {"date": f"^{_DAY}{_TIME}$", "timestamp_ntz": f"^{_DAY}{_TIME}$"}
+
 _FOLDS = {None: lambda c: c, "lower": F.lower, "upper": F.upper, "title": title_words}
 
 
@@ -41,7 +46,10 @@ def _value(field: Field) -> Column:
         return _FOLDS[field.fold](kept)
     # A bounded small number is parsed wide first, so 99999 is lowered and not refused.
     wide = "int" if field.type == "smallint" else field.type
-    return blank_to_null(raw).try_cast(wide)
+    filled = blank_to_null(raw)
+    if wide in _SHAPES:
+        filled = F.when(filled.rlike(_SHAPES[wide]), filled)
+    return filled.try_cast(wide)
 
 
 def _finished(field: Field) -> Column:
@@ -73,9 +81,24 @@ def _reasons(field: Field) -> list[Column]:
     return found
 
 
+def _out_of_domain(contract: Contract) -> list[Column]:
+    """Reasons for finished values that a declared CHECK forbids."""
+    found = []
+    for domain in DOMAINS:
+        if domain.table == contract.name:
+            field = contract.field(domain.column)
+            kept = F.lit(True)
+            if domain.low is not None:
+                kept = kept & (_finished(field) >= domain.low)
+            if domain.high is not None:
+                kept = kept & (_finished(field) <= domain.high)
+            found.append(F.when(~kept, F.lit(f"out_of_domain_{field.source}")))
+    return found
+
+
 def shape_rows(raw: DataFrame, contract: Contract) -> DataFrame:
     """Typed columns plus the first reject reason (NULL for a good row) and the raw row."""
-    reasons = [r for f in contract.fields for r in _reasons(f)]
+    reasons = [r for f in contract.fields for r in _reasons(f)] + _out_of_domain(contract)
     return raw.select(
         *[_finished(f) for f in contract.fields],
         F.coalesce(*reasons).alias(REASON),
@@ -148,8 +171,9 @@ def clean_geolocation(raw: DataFrame) -> Cleaned:
     return Cleaned(number_rows(done.rows, "geolocation_id"), done.rejects)
 
 
-def clean_orders(raw: DataFrame) -> Cleaned:
-    return clean_table(raw, CLEAN_TABLES["orders"])
+def clean_orders(raw: DataFrame, customers: DataFrame) -> Cleaned:
+    """Orders of known customers; the lines of any other order follow it into the quarantine."""
+    return clean_table(raw, CLEAN_TABLES["orders"], {"customers": customers})
 
 
 def clean_order_items(
@@ -198,11 +222,17 @@ def clean_parents(raw: Mapping[str, DataFrame]) -> dict[str, Cleaned]:
         "sellers": clean_sellers(raw["sellers"]),
         "products": clean_products(raw["products"]),
         "geolocation": clean_geolocation(raw["geolocation"]),
-        "orders": clean_orders(raw["orders"]),
         "qualified_leads": clean_leads(raw["qualified_leads"]),
     }
 
 
+def clean_ordered(
+    raw: Mapping[str, DataFrame], parents: Mapping[str, DataFrame]
+) -> dict[str, Cleaned]:
+    """Orders: children of customers and parents of lines, payments and reviews."""
+    return {"orders": clean_orders(raw["orders"], parents["customers"])}
+
+
 def clean_children(
     raw: Mapping[str, DataFrame], parents: Mapping[str, DataFrame]
 ) -> dict[str, Cleaned]:
@@ -230,5 +260,7 @@ def quarantine_rejects(*groups: Mapping[str, Cleaned]) -> DataFrame:
 def clean_all(raw: Mapping[str, DataFrame]) -> tuple[dict[str, DataFrame], DataFrame]:
     """Every table and the quarantine, without storing anything in between."""
     parents = clean_parents(raw)
-    children = clean_children(raw, rows_of(parents))
-    return {**rows_of(parents), **rows_of(children)}, quarantine_rejects(parents, children)
+    orders = clean_ordered(raw, rows_of(parents))
+    known = {**rows_of(parents), **rows_of(orders)}
+    children = clean_children(raw, known)
+    return {**known, **rows_of(children)}, quarantine_rejects(parents, orders, children)

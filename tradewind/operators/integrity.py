@@ -155,3 +155,31 @@ def check_type_bounds(
         if limits:
             parts.append(_count_per_column(name, rows, limits))
     return _all(parts)
+
+
+def require_constraints(
+    tables: Mapping[str, DataFrame], contracts: Mapping[str, Contract]
+) -> None:
+    """Stop a load that breaks any declared constraint, as a database would.
+
+    Keys, references, CHECK conditions and NOT NULL columns; the rows collected are one per
+    table and constraint.
+    """
+    reports = {
+        "primary keys": check_primary_keys(tables, contracts),
+        "unique keys": check_unique(tables, contracts) if _has_unique(tables, contracts) else None,
+        "references": check_foreign_keys(tables, contracts),
+        "conditions": check_domains(tables),
+        "mandatory columns": check_not_null(tables, contracts),
+    }
+    broken = []
+    for kind, report in reports.items():
+        for row in report.where("violations > 0").collect() if report is not None else []:
+            labels = " ".join(str(v) for k, v in row.asDict().items() if k != "violations")
+            broken.append(f"{kind}: {labels}: {row.violations}")
+    if broken:
+        raise ValueError("constraints are broken (" + "; ".join(broken) + ")")
+
+
+def _has_unique(tables: Mapping[str, DataFrame], contracts: Mapping[str, Contract]) -> bool:
+    return any(contracts[name].unique for name in tables)

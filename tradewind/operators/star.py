@@ -160,11 +160,18 @@ def build_order_frame(orders: DataFrame, dims: Mapping[str, DataFrame]) -> DataF
     the joins by order, which then share one partitioning.
     """
     reviews = dims["dim_review"].select("order_id", "review_sk", "review_score")
+    payments = dims["dim_payment"].select(
+        "order_id",
+        "payment_sk",
+        "primary_payment_type",
+        "max_installments",
+        cents(F.col("total_payment_value")).alias("paid_cents"),
+    )
     return (
         orders.select("order_id", "customer_id")
         .join(dims["dim_customer"], "customer_id")
         .join(dims["dim_order"], "order_id")
-        .join(dims["dim_payment"].select("order_id", "payment_sk"), "order_id", "left")
+        .join(payments, "order_id", "left")
         .join(reviews, "order_id", "left")
         .select(
             "order_id",
@@ -180,6 +187,9 @@ def build_order_frame(orders: DataFrame, dims: Mapping[str, DataFrame]) -> DataF
             "review_score",
             "customer_unique_id",
             "customer_state",
+            "primary_payment_type",
+            "max_installments",
+            "paid_cents",
         )
     )
 
@@ -199,8 +209,8 @@ def build_line_book(
         "product_id", "product_sk", F.col("product_category_name_english").alias("category")
     )
     sellers = dims["dim_seller"].select("seller_id", "seller_sk")
-    # Numbered while still narrow; cleaning has resolved every parent, so the joins below
-    # neither drop nor repeat a line.
+    # Numbered while still narrow.  Cleaning has resolved every parent, so the joins below
+    # neither drop nor repeat a line; `require_all_lines` holds a stored star to that.
     numbered = assign_surrogate_keys(items, ["order_id", "order_item_id"], "fact_sk")
     carried = order_frame.select(
         "order_id", date_key(F.col("purchase_date")).alias("date_key"), *LINE_ATTRIBUTES
@@ -252,16 +262,34 @@ def build_order_book(line_book: DataFrame, order_frame: DataFrame) -> DataFrame:
         F.sum("price_cents").alias("revenue_cents"),
         F.sum("freight_cents").alias("freight_cents"),
     )
-    orders = order_frame.drop("customer_sk", "payment_sk")
+    orders = order_frame.drop("customer_sk")
     return totals.join(orders, "order_sk")
 
 
+def build_seller_book(line_book: DataFrame) -> DataFrame:
+    """One row per seller and order: line totals and the order's delivery and review.
+
+    Orders per seller then are plain counts, combined on the map side, where the lines would
+    need a distinct count that shuffles nearly all of them for every metric.
+    """
+    return line_book.groupBy("seller_sk", "order_sk").agg(
+        F.count(F.lit(1)).alias("line_count"),
+        F.sum("price_cents").alias("price_cents"),
+        # Equal on all lines of an order.
+        F.first("is_delivered").alias("is_delivered"),
+        F.first("delivery_days").alias("delivery_days"),
+        F.first("is_late_delivery").alias("is_late_delivery"),
+        F.first("review_score").alias("review_score"),
+    )
+
+
 @dataclass(frozen=True)
 class Star:
     """Everything the metric plans read."""
 
     lines: DataFrame  # line book
     orders: DataFrame  # order book
+    sellers: DataFrame  # seller book
     frame: DataFrame  # order frame
     dims: Mapping[str, DataFrame]
     clean: Mapping[str, DataFrame]
@@ -316,7 +344,23 @@ def build_star(
     lines = store(lines, F.floor(F.col("date_key") / 100), "line_book")
     orders = build_order_book(lines, frame)
     orders = store(orders, F.floor(date_key(F.col("purchase_date")) / 100), "order_book")
-    return Star(lines, orders, frame, dims, dict(clean))
+    sellers = materialize_table(build_seller_book(lines), f"{root}/seller_book")
+    return Star(lines, orders, sellers, frame, dims, dict(clean))
+
+
+def require_all_lines(star: Star) -> None:
+    """Stop if the line book is not the clean lines, numbered 1 to N.
+
+    Two counts over stored tables, read from their footers or one narrow column.
+    """
+    items = star.clean["order_items"].count()
+    lines, low, high = star.lines.agg(
+        F.count(F.lit(1)), F.min("fact_sk"), F.max("fact_sk")
+    ).first()
+    if lines != items or (lines and (low, high) != (1, lines)):
+        raise ValueError(
+            f"{items} clean lines gave {lines} lines in the star, numbered {low} to {high}"
+        )
 
 
 def open_star(spark: SparkSession, clean: Mapping[str, DataFrame], root: str) -> Star:
@@ -324,7 +368,5 @@ def open_star(spark: SparkSession, clean: Mapping[str, DataFrame], root: str) ->
     root = root.rstrip("/")
     names = [n for n in STAR_TABLES if n != "fact_order_items"]
     dims = {n: spark.read.parquet(f"{root}/{n}") for n in names}
-    lines, orders, frame = (
-        spark.read.parquet(f"{root}/{n}") for n in ("line_book", "order_book", "order_frame")
-    )
-    return Star(lines, orders, frame, dims, dict(clean))
+    books = ("line_book", "order_book", "seller_book", "order_frame")
+    return Star(*(spark.read.parquet(f"{root}/{n}") for n in books), dims, dict(clean))

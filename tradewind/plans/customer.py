@@ -135,13 +135,7 @@ def payment_mix(star: Star) -> DataFrame:
     Orders without a payment drop out; what was paid includes freight, the order value
     does not.
     """
-    payments = star.dims["dim_payment"].select(
-        "order_id",
-        "primary_payment_type",
-        "max_installments",
-        (F.col("total_payment_value") * 100).cast("bigint").alias("paid_cents"),
-    )
-    paid = star.orders.select("order_id", "revenue_cents").join(payments, "order_id")
+    paid = star.orders.where(F.col("payment_sk").isNotNull())
     grouped = paid.groupBy("primary_payment_type").agg(
         n_rows().alias("orders"),
         F.sum("revenue_cents").alias("cents"),

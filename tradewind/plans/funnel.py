@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tradewind.functions import days_between, from_cents, mean_2dp, mean_cents, percent_2dp
 from tradewind.operators.star import Star
-from tradewind.plans.common import late_share, mean_where, money, n_rows
+from tradewind.plans.common import late_share, money, n_rows, weighted_mean
 from tradewind.plans.delivery import bucket
 
 # Upper limits in days and labels of the closing-speed buckets.
@@ -87,7 +87,7 @@ def acquired_seller_gmv(star: Star, limit: int = 30) -> DataFrame:
     """Sellers, orders and GMV per business type and lead origin of the deal."""
     deals = _seller_deals(star, _deals_with_lead(star), "business_type", "origin")
     group = ["business_type", F.col("origin").alias("lead_origin")]
-    per_seller = star.lines.groupBy("seller_sk").agg(F.sum("price_cents").alias("cents"))
+    per_seller = star.sellers.groupBy("seller_sk").agg(F.sum("price_cents").alias("cents"))
     amounts = (
         deals.join(per_seller, "seller_sk")
         .groupBy(*group)
@@ -97,9 +97,9 @@ def acquired_seller_gmv(star: Star, limit: int = 30) -> DataFrame:
         )
     )
     # An order can hold lines of several acquired sellers, so orders need a distinct count;
-    # only the lines of acquired sellers take part in it.
+    # one row per order and acquired seller takes part in it.
     ordered = (
-        star.lines.select("seller_sk", "order_sk")
+        star.sellers.select("seller_sk", "order_sk")
         .join(deals, "seller_sk")
         .groupBy(*group)
         .agg(F.count_distinct("order_sk").alias("marketplace_orders"))
@@ -139,17 +139,17 @@ def acquired_delivery_quality(star: Star, min_orders: int = 20) -> DataFrame:
     kind = F.coalesce("business_type", F.lit("unknown")).alias("business_type")
     sellers = star.dims["dim_seller"].select("seller_id", "seller_sk")
     deals = star.clean["closed_deals"].select("seller_id", kind).join(sellers, "seller_id")
-    lines = star.lines.where("is_delivered").select(
-        "seller_sk", "order_sk", "delivery_days", "is_late_delivery", "review_score"
+    orders = star.sellers.where("is_delivered").select(
+        "seller_sk", "order_sk", "line_count", "delivery_days", "is_late_delivery", "review_score"
     )
     return (
-        lines.join(deals.select("seller_sk", "business_type"), "seller_sk")
+        orders.join(deals.select("seller_sk", "business_type"), "seller_sk")
         .groupBy("business_type")
         .agg(
             F.count_distinct("order_sk").alias("orders"),
-            mean_where("delivery_days").alias("avg_delivery_days"),
-            late_share().alias("late_pct"),
-            mean_where("review_score").alias("avg_review"),
+            weighted_mean("delivery_days").alias("avg_delivery_days"),
+            late_share("line_count").alias("late_pct"),
+            weighted_mean("review_score").alias("avg_review"),
         )
         .where(F.col("orders") >= min_orders)
         .orderBy(F.desc("late_pct"), "business_type")
@@ -162,10 +162,11 @@ def origin_gmv(star: Star) -> DataFrame:
     Lines are summed per seller before they meet the deals.
     """
     deals = _seller_deals(star, _deals_with_lead(star), "origin")
-    per_seller = star.lines.groupBy("seller_sk").agg(
+    reviewed = F.when(F.col("review_score").isNotNull(), F.col("line_count"))
+    per_seller = star.sellers.groupBy("seller_sk").agg(
         F.sum("price_cents").alias("cents"),
-        F.sum(F.col("review_score").cast("bigint")).alias("stars"),
-        F.count("review_score").alias("reviews"),
+        F.sum(F.col("review_score") * F.col("line_count")).alias("stars"),
+        F.coalesce(F.sum(reviewed), F.lit(0)).alias("reviews"),
     )
     times = F.col("deals")
     return (

@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from tradewind.functions import from_cents, mean_cents
 from tradewind.operators.star import Star
-from tradewind.plans.common import late_share, mean_where, money, n_rows
+from tradewind.plans.common import late_share, money, n_rows, weighted_mean
 
 
 def _named(per_seller: DataFrame, star: Star) -> DataFrame:
@@ -19,11 +19,11 @@ def _named(per_seller: DataFrame, star: Star) -> DataFrame:
 
 def top_sellers(star: Star, min_orders: int = 10, limit: int = 20) -> DataFrame:
     """Best sellers by GMV among those with enough orders."""
-    per_seller = star.lines.groupBy("seller_sk").agg(
-        F.count_distinct("order_sk").alias("orders"),
-        n_rows().alias("items"),
+    per_seller = star.sellers.groupBy("seller_sk").agg(
+        n_rows().alias("orders"),
+        F.sum("line_count").alias("items"),
         F.sum("price_cents").alias("gmv_cents"),
-        mean_where("review_score").alias("avg_review"),
+        weighted_mean("review_score").alias("avg_review"),
     )
     best = (
         _named(per_seller.where(F.col("orders") >= min_orders), star)
@@ -48,13 +48,14 @@ def risky_sellers(
     star: Star, min_orders: int = 50, max_review: str = "3.5", limit: int = 25
 ) -> DataFrame:
     """Sellers with many orders and weak reviews, biggest first."""
-    per_seller = star.lines.groupBy("seller_sk").agg(
-        F.count_distinct("order_sk").alias("orders"),
+    reviewed = F.when(F.col("review_score").isNotNull(), F.col("line_count"))
+    per_seller = star.sellers.groupBy("seller_sk").agg(
+        n_rows().alias("orders"),
         from_cents(F.sum("price_cents")).alias("gmv"),
-        mean_where("review_score").alias("avg_review"),
-        late_share().alias("late_delivery_pct"),
-        F.sum(F.col("review_score").cast("bigint")).alias("_stars"),
-        F.count("review_score").alias("_reviews"),
+        weighted_mean("review_score").alias("avg_review"),
+        late_share("line_count").alias("late_delivery_pct"),
+        F.sum(F.col("review_score") * F.col("line_count")).alias("_stars"),
+        F.coalesce(F.sum(reviewed), F.lit(0)).alias("_reviews"),
     )
     bound = F.lit(max_review).cast("decimal(4,2)") * F.col("_reviews").cast("decimal(18,0)")
     weak = F.col("_stars").cast("decimal(20,2)") < bound

@@ -13,14 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tradewind.operators.cleaning import (
     clean_children,
+    clean_ordered,
     clean_parents,
     quarantine_rejects,
     rows_of,
 )
-from tradewind.operators.integrity import require_primary_keys
-from tradewind.operators.star import Star, build_star
+from tradewind.operators.integrity import require_constraints
+from tradewind.operators.star import Star, build_star, require_all_lines
 from tradewind.plans.suite import export_insights, run_metric_suite, suite_summary
-from tradewind.session import open_session
+from tradewind.session import input_bytes, open_session, size_for
 from tradewind.sources.contracts import CLEAN_TABLES
 from tradewind.sources.landing import load_staging
 from tradewind.sources.tables import (
@@ -45,8 +46,9 @@ def build_layers(
     """Land, clean and model; every layer is stored before the next one reads it.
 
     Parents are stored before their children resolve against them, so a child reads one
-    key column instead of parsing its parents again.  A clean layer that breaks a primary
-    key is not published, and readers keep the previous version.
+    key column instead of parsing its parents again.  Clean layer and star are one version:
+    if a declared constraint is broken, a line is lost on the way into the star, or the run
+    dies, nothing is published and readers keep the previous version of both.
     """
     out = out.rstrip("/")
     overwrite_layer(spark, load_staging(spark, raw_folder), f"{out}/staging")
@@ -55,13 +57,18 @@ def build_layers(
     version = LayerVersion(spark, f"{out}/clean")
     parents = clean_parents(raw)
     clean = version.put(rows_of(parents))
+    orders = clean_ordered(raw, clean)
+    clean |= version.put(rows_of(orders))
     children = clean_children(raw, clean)
     clean |= version.put(rows_of(children))
-    refused = version.put({"quarantine": quarantine_rejects(parents, children)})["quarantine"]
-    require_primary_keys(clean, CLEAN_TABLES)
-    version.publish()
+    refused = quarantine_rejects(parents, orders, children)
+    refused = version.put({"quarantine": refused})["quarantine"]
+    require_constraints(clean, CLEAN_TABLES)
 
-    star = build_star(spark, clean, f"{out}/star/{version.version}", partition_by_month)
+    # The star belongs to the version: it is published with the clean layer or not at all.
+    star = build_star(spark, clean, f"{version.folder}/star", partition_by_month)
+    require_all_lines(star)
+    version.publish()
     return star, refused
 
 
@@ -86,13 +93,15 @@ def main() -> None:
     parser.add_argument("out_folder")
     parser.add_argument("--month-partitions", action="store_true")
     parser.add_argument("--database", help="also register the published tables here")
-    parser.add_argument("--input-gb", type=float, help="size of the raw files, sizes shuffles")
+    parser.add_argument("--input-gb", type=float, help="size to plan for; by default that of the files")
     args = parser.parse_args()
-    spark = open_session(input_bytes=int(args.input_gb * (1 << 30)) if args.input_gb else None)
+    spark = open_session()
+    asked = int(args.input_gb * (1 << 30)) if args.input_gb else None
+    size_for(spark, input_bytes(spark, args.raw_folder) if asked is None else asked)
     done = run_all(
         spark, args.raw_folder, args.out_folder, args.month_partitions, args.database
     )
-    done.log.where("status <> 'ok'").select("metric", "error").show(60, truncate=120)
+    done.log.where("status <> 'ok'").select("metric", "error").show(60, truncate=False)
     ok, total = suite_summary(done.log).first()
     print(f"metrics ok: {ok} of {total}")
 

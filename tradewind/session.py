@@ -17,10 +17,10 @@ RECOMMENDED_CONF = {
     "spark.sql.session.timeZone": "UTC",
 }
 
-# Shuffled bytes a task should start from, and the bounds of the partition number.  AQE
-# merges what turns out too small; it never adds partitions, so the start must be generous.
+# Shuffled bytes a task should start from, and the least number of partitions.  AQE merges
+# what turns out too small; it never adds partitions, so the number grows with the input.
 _BYTES_PER_PARTITION = 256 << 20
-_PARTITIONS = (200, 50_000)
+_LEAST_PARTITIONS = 200
 
 _LOCAL_SCRATCH: dict[str, str] = {}
 
@@ -31,8 +31,7 @@ def sizing_conf(input_bytes: int) -> dict[str, str]:
     The default of 200 shuffle partitions would give half a terabyte to each task at
     100 TB; this asks for enough to keep sorts and aggregations within memory.
     """
-    low, high = _PARTITIONS
-    partitions = min(max(input_bytes // _BYTES_PER_PARTITION, low), high)
+    partitions = max(input_bytes // _BYTES_PER_PARTITION, _LEAST_PARTITIONS)
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(256 << 20),
@@ -40,6 +39,19 @@ def sizing_conf(input_bytes: int) -> dict[str, str]:
     }
 
 
+def input_bytes(spark: SparkSession, folder: str) -> int:
+    """The size of all files below a folder, as Spark's file systems list it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.getContentSummary(path).getLength()
+
+
+def size_for(spark: SparkSession, size: int) -> None:
+    """Apply the partition settings for an input size to a running session."""
+    for key, value in sizing_conf(size).items():
+        spark.conf.set(key, value)
+
+
 def open_session(
     app_name: str = "tradewind",
     master: str | None = None,

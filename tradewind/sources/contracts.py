@@ -141,7 +141,7 @@ ORDERS = Contract(
         Field("order_estimated_delivery_date", TS),
     ),
     key=("order_id",),
-    references=(Reference(("customer_id",), "customers", ("customer_id",)),),
+    references=(Reference(("customer_id",), "customers", ("customer_id",), resolve=True),),
     file_pattern="*orders_dataset.csv",
 )
 ORDER_ITEMS = Contract(
