@@ -44,6 +44,7 @@ def fold_of(column: Column | str, folds: int) -> Column:
 
 
 def with_fields(df: DataFrame, more: dict[str, str]) -> T.StructType:
-    """The frame's schema and more fields, name -> type."""
+    """The frame's schema and more fields, name -> type; all may be null."""
+    own = [T.StructField(f.name, f.dataType) for f in df.schema.fields]
     extra = [T.StructField(n, T._parse_datatype_string(t)) for n, t in more.items()]
-    return T.StructType([*df.schema.fields, *extra])
+    return T.StructType([*own, *extra])
