@@ -4,7 +4,7 @@ Every stage takes (spark, docs, sf_dir) and works on all rows that the one befor
 result is written to the shared scratch folder as Parquet and read again, so a lost executor
 costs one stage at most.  All stages but the last return the columns of `documents`.
 
-1. language: a document whose language no classifier claims goes (no letters, null text, noise);
+1. language: a document that every language denies goes (no letters, null text, noise);
 2. near copies: of each group that links by word 4-grams the row with the smallest id stays;
 3. decontamination: a document that holds a benchmark item, exact or edited, goes;
 4. secrets: every finding is replaced by a mark, and n_chars follows; no document goes;
@@ -23,8 +23,9 @@ from tradewind.llm import decontam, jaccard, langid, mixing, secrets
 from tradewind.llm.common import fresh, stored, table
 from tradewind.session import scratch_path
 
-# A one-versus-rest score of 0.5 is where a classifier neither claims nor denies a text.
-LANGUAGE_SCORE = 0.5
+# At 0 a one-versus-rest classifier denies a text, at 1 it claims it.  Short clean texts may lie
+# near 0.5; below this value even the nearest language is denied.
+LANGUAGE_SCORE = 0.25
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
