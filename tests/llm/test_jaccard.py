@@ -60,6 +60,12 @@ def sample(seed):
         for _ in range(draw.randrange(0, 4)):
             text[draw.randrange(len(text))] = word()
         docs.append(" ".join(text))
+    # Chains of links through lists of two.
+    for _ in range(6):
+        text = [word() for _ in range(60)]
+        for _ in range(5):
+            docs.append(" ".join(text))
+            text[draw.randrange(len(text))] = word()
     docs += [None, "", " \n", "one", "One", "one two", "a a a a a", "x y z w", "X Y Z W"] * 2
     order = list(range(len(docs)))
     draw.shuffle(order)

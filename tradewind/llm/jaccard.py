@@ -8,10 +8,12 @@ k = 2) of those tokens, large ones scan inverted lists of single tokens (k = 1);
 ends is chosen by cost, from the sizes and the mean length of a list.  A small set that could
 link to a large one is in both.
 
-Lists are worked off in two rounds, so that a list of many copies gives no quadratic number of
+Lists are worked off in rounds, so that a list of many copies gives no quadratic number of
 candidates.  First every set of a list is compared with the list's hub; links so found make
-components.  Then, in lists that still hold several components, sets of different components
-are compared, behind exact bounds (sizes, and parity bitmaps whose distance never exceeds the
+components (each set by its closest hub).  Then, in lists that still hold several components,
+each set is compared with its closest partner in another one, twice; in the end all pairs
+between different components are.
+All this stands behind exact bounds (sizes, and parity bitmaps whose distance never exceeds the
 sets' own); only pairs that pass leave the task.  Two sets of one component need no comparing:
 the result is the component.  Every candidate is verified on the whole sets.
 
@@ -34,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textgrid as tg
-from .common import stored, table, with_fields
+from .common import fresh, stored, table, with_fields
 from .components import components
 
 SHINGLE = 4
@@ -44,7 +46,10 @@ BLOCKS = 64
 FILTER_BITS = 24
 # Sets up to this size link to equal sets only: 5 / 6 < 0.85.
 ALONE = next(n for n in range(1, 100) if 100 * (n + 1) >= SHARE * (n + 2))
-BITMAP_WORDS = 16
+# Parity bitmaps have many cells for large sets and few for sets up to FEW_CELLS elements.
+BITMAP_WORDS, SHORT_WORDS = 32, 8
+EARLY_LISTS = 8
+FEW_CELLS = 600
 
 
 def set_slices(texts: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -94,10 +99,10 @@ def _count_blocks(counts: np.ndarray) -> list[bytes]:
 
 
 def _survey(docs: DataFrame, keep: list[str], shingle: int) -> tuple[DataFrame, DataFrame]:
-    """(keep, n, id) of every row, and the block sums of the token frequency table."""
+    """(keep, n, id, bitmap) of every row, and the blocks of the token frequency table."""
     asked = docs.select(*(F.col(k).alias(f"k{i}") for i, k in enumerate(keep)), F.col("text"))
     own = asked.drop("text")
-    schema = with_fields(own, {"n": "long", "id": "long", "block": "int", "counts": "binary"})
+    schema = with_fields(own, {"n": "long", "id": "long", "bitmap": "binary", "block": "int", "counts": "binary"})
     names = schema.fieldNames()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,13 +116,14 @@ def _survey(docs: DataFrame, keep: list[str], shingle: int) -> tuple[DataFrame,
                 none = pa.nulls(len(part))
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:-1], pa.array(sizes), pa.array(set_ids(h, d, sizes).view(np.int64)),
+                     pa.array(_bitmaps(h, d, sizes), pa.binary()),
                      none.cast(pa.int32()), none.cast(pa.binary())],
                     names=names,
                 )
         if types is not None and total.any():
             none = pa.nulls(BLOCKS)
             yield pa.RecordBatch.from_arrays(
-                [*(none.cast(t) for t in types), none.cast(pa.int64()), none.cast(pa.int64()),
+                [*(none.cast(t) for t in types), none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.binary()),
                  pa.array(np.arange(BLOCKS), pa.int32()), pa.array(_count_blocks(total), pa.binary())],
                 names=names,
             )
@@ -284,14 +290,84 @@ def _rows(kind: int, a: np.ndarray, b: np.ndarray, n: np.ndarray) -> pa.RecordBa
     )
 
 
-def _bitmap(h: np.ndarray) -> bytes:
-    """Which cells hold an odd number of a set's hashes."""
-    cells = np.bincount((h >> tg.U64(7)).astype(np.int64) & (64 * BITMAP_WORDS - 1), minlength=64 * BITMAP_WORDS)
-    return np.packbits((cells & 1).astype(np.uint8)).tobytes()
+def _folded(bits: np.ndarray) -> np.ndarray:
+    """Bitmaps of SHORT_WORDS words: cells that fall together add up, and so do parities."""
+    return np.bitwise_xor.reduce(bits.reshape(len(bits), -1, SHORT_WORDS), axis=1)
+
+
+def _bitmaps(h: np.ndarray, d: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    """Which cells hold an odd number of a set's hashes, for each set.
+
+    Every cell in which two bitmaps differ holds an element of one set alone.
+    """
+    n, width = len(sizes), 64 * BITMAP_WORDS
+    cells = np.bincount(d * width + ((h >> tg.U64(7)).astype(np.int64) & (width - 1)), minlength=n * width)
+    bits = np.packbits((cells & 1).astype(np.uint8).reshape(n, width), axis=1).view(np.uint64)
+    short = _folded(bits)
+    return [(s if k <= FEW_CELLS else b).tobytes() for s, b, k in zip(short, bits, sizes, strict=True)]
+
+
+class Bitmaps:
+    """Stored bitmaps, long and short ones, to be compared row by row."""
+
+    def __init__(self, stored_bits: list[bytes]):
+        self.long = np.array([len(b) > 8 * SHORT_WORDS for b in stored_bits], bool)
+        self.short = np.zeros((len(stored_bits), SHORT_WORDS), np.uint64)
+        own = [b for b in stored_bits if len(b) == 8 * SHORT_WORDS]
+        self.short[~self.long] = np.frombuffer(b"".join(own), np.uint64).reshape(-1, SHORT_WORDS)
+        own = [b for b in stored_bits if len(b) > 8 * SHORT_WORDS]
+        self.whole = np.frombuffer(b"".join(own), np.uint64).reshape(-1, BITMAP_WORDS)
+        self.place = np.cumsum(self.long) - 1
+        if len(own):
+            self.short[self.long] = _folded(self.whole)
+
+    def apart(self, i: np.ndarray, other: Bitmaps, j: np.ndarray) -> np.ndarray:
+        """In how many cells rows i differ from rows j of the other."""
+        out = np.bitwise_count(self.short[i] ^ other.short[j]).sum(axis=1).astype(np.int64)
+        both = self.long[i] & other.long[j]
+        if both.any():
+            a, b = self.whole[self.place[i][both]], other.whole[other.place[j][both]]
+            out[both] = np.bitwise_count(a ^ b).sum(axis=1)
+        return out
+
+
+def _near_enough(apart: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+    """Sets that link have |A xor B| <= (100 - SHARE) / (100 + SHARE) * (|A| + |B|)."""
+    return apart * (100 + SHARE) <= (100 - SHARE) * (n_a + n_b)
+
+
+def _near(pairs: DataFrame, marks: DataFrame) -> DataFrame:
+    """The pairs that the bitmaps do not rule out, with their distance.  marks: id, n, bitmap."""
+    for end in ("a", "b"):
+        pairs = pairs.join(marks.toDF(end, f"n_{end}", f"m_{end}"), end)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (Bitmaps(batch.column(k).to_pylist()) for k in ("m_a", "m_b"))
+            n_a, n_b = (batch.column(k).to_numpy() for k in ("n_a", "n_b"))
+            rows = np.arange(len(batch))
+            apart = a.apart(rows, b, rows)
+            found = batch.select(["a", "b"]).append_column("apart", pa.array(apart))
+            yield found.filter(pa.array(_near_enough(apart, n_a, n_b)))
+
+    return pairs.mapInArrow(run, "a long, b long, apart long")
+
+
+def _closest(pairs: DataFrame) -> DataFrame:
+    """Of each set's pairs with smaller ids the closest one: no more pairs than sets.
+
+    The others are not lost: later rounds see them if they still lie between components.
+    """
+    nearest = F.min(F.struct("apart", "a")).alias("nearest")
+    return pairs.groupBy("b").agg(nearest).select("nearest.a", "b")
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id")))
 
 
 def _sets(docs: DataFrame, shingle: int, wanted: DataFrame) -> DataFrame:
-    """(id, n, tokens, bitmap) of the wanted sets, each once, stored.
+    """(id, tokens) of the wanted sets, each once, stored.
 
     A filter of fixed size that knows the wanted ids goes to the tasks, so that few other sets
     leave them; the join then keeps the wanted ones.
@@ -323,13 +399,11 @@ def _sets(docs: DataFrame, shingle: int, wanted: DataFrame) -> DataFrame:
                 ends = np.cumsum(sizes)
                 own = [h[ends[k] - sizes[k] : ends[k]] for k in pick]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[pick].view(np.int64)), pa.array(sizes[pick]),
-                     pa.array([x.tobytes() for x in own], pa.binary()),
-                     pa.array([_bitmap(x) for x in own], pa.binary())],
-                    names=["id", "n", "tokens", "bitmap"],
-                )
+                    [pa.array(ids[pick].view(np.int64)), pa.array([x.tobytes() for x in own], pa.binary())],
+                    names=["id", "tokens"],
+                )
 
-    found = docs.select("text").mapInArrow(run, "id long, n long, tokens binary, bitmap binary")
+    found = docs.select("text").mapInArrow(run, "id long, tokens binary")
     found = found.dropDuplicates(["id"]).join(wanted.select("id").distinct(), "id", "left_semi")
     return stored(found, "jaccard-sets")
 
@@ -355,9 +429,30 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return stored(found, "jaccard-links")
 
 
-def _cross_pairs(lists: DataFrame) -> DataFrame:
+def _torn_lists(lists: DataFrame) -> DataFrame:
+    """The rows (sig, id, n, root) of lists that hold several components."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        columns = _table_of(batches, ["sig", "id", "n", "root"])
+        if not len(columns[0]):
+            return
+        order = np.argsort(columns[0], kind="stable")
+        sig, ids, n, root = (c[order] for c in columns)
+        first, length = _runs(sig)
+        torn = np.minimum.reduceat(root, first) < np.maximum.reduceat(root, first)
+        keep = np.repeat(torn, length)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c[keep].astype(k)) for c, k in ((sig, np.int64), (ids, np.int64), (n, np.int32), (root, np.int64))],
+            names=["sig", "id", "n", "root"],
+        )
+
+    return lists.repartition("sig").mapInArrow(run, "sig long, id long, n int, root long")
+
+
+def _cross_pairs(lists: DataFrame, nearest: bool) -> DataFrame:
     """Pairs of one list and of different components that pass the bounds.
 
+    nearest: only the closest such partner of each set, at most a row per set and list.
     lists: sig, id, n, root, bitmap.
     """
 
@@ -367,7 +462,7 @@ def _cross_pairs(lists: DataFrame) -> DataFrame:
             return
         order = np.lexsort((n, sig))
         sig, ids, n, root = sig[order], ids[order], n[order].astype(np.int64), root[order]
-        bits = np.frombuffer(b"".join(bits[order]), np.uint64).reshape(-1, BITMAP_WORDS)
+        bits = Bitmaps(list(bits[order]))
         first, length = _runs(sig)
         out = []
         for begin, size in zip(first.tolist(), length.tolist(), strict=True):
@@ -378,15 +473,18 @@ def _cross_pairs(lists: DataFrame) -> DataFrame:
                 j = j[root[j] != root[i]]
                 if not len(j):
                     continue
-                apart = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1)
-                # |A xor B| <= (100 - SHARE) / (100 + SHARE) * (|A| + |B|) if they link.
-                j = j[apart * (100 + SHARE) <= (100 - SHARE) * (n[j] + n[i])]
-                out.append(np.stack([np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])]))
+                apart = bits.apart(np.full(len(j), i), bits, j)
+                good = _near_enough(apart, n[j], n[i])
+                j, apart = j[good], apart[good]
+                if nearest and len(j):
+                    least = int(apart.argmin())
+                    j, apart = j[[least]], apart[[least]]
+                out.append(np.stack([np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j]), apart]))
         if out:
-            a, b = np.unique(np.concatenate(out, axis=1), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+            columns = np.unique(np.concatenate(out, axis=1), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a", "b", "apart"])
 
-    return lists.repartition("sig").mapInArrow(run, "a long, b long")
+    return lists.repartition("sig").mapInArrow(run, "a long, b long, apart long")
 
 
 def _link_sets(docs: DataFrame, sets_of_rows: DataFrame, blocks: DataFrame, shingle: int) -> DataFrame:
@@ -405,18 +503,56 @@ def _link_sets(docs: DataFrame, sets_of_rows: DataFrame, blocks: DataFrame, shin
     )
     pairs = stored(pairs.distinct(), "jaccard-pairs")
     lists = worked.where("kind = 1").select(F.col("a").alias("sig"), F.col("b").alias("id"), "n")
-    listed = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id")))
-    sets = _sets(docs, shingle, listed)
-    links = _verified(pairs, sets)
-    roots = components(links)
-    named = lists.join(roots.withColumnRenamed("node", "id"), "id", "left")
-    named = stored(named.withColumn("root", F.coalesce("root", "id")), "jaccard-named-lists")
-    torn = named.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    torn = torn.where("low < high").select("sig")
-    # A set that no hub fits has no partner of its size in any list: the join drops it.
-    open_lists = named.join(torn, "sig", "left_semi").join(sets.select("id", "bitmap"), "id")
-    cross = _cross_pairs(open_lists).distinct().join(pairs, ["a", "b"], "left_anti")
-    return links.unionAll(_verified(stored(cross, "jaccard-cross-pairs"), sets))
+    marks = sets_of_rows.where(F.col("n") > ALONE).groupBy("id")
+    marks = stored(marks.agg(F.first("n").alias("n"), F.first("bitmap").alias("bitmap")), "jaccard-marks")
+    near = stored(_near(pairs, marks), "jaccard-near-pairs")
+    tested = stored(_closest(near), "jaccard-closest-pairs")
+    links = _verified(tested, _sets(docs, shingle, _ends(tested)))
+    # Close partners first: what they join need not be compared pair by pair any more.
+    # A set is in many lists, and one list in EARLY_LISTS is enough for that; the last round
+    # takes every list.
+    for share in (EARLY_LISTS, EARLY_LISTS, 1):
+        nearest = share > 1
+        roots = components(links).withColumnRenamed("node", "id")
+        some = lists.where(F.pmod("sig", F.lit(share)) == 0) if nearest else lists
+        rooted = some.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+        torn = stored(_torn_lists(rooted.select("sig", "id", "n", "root")), "jaccard-open-lists")
+        marked = torn.join(marks.select("id", "bitmap"), "id")
+        # Lists of two sets were worked off by their hub: what it left over is in `near`.
+        left = near
+        for end in ("a", "b"):
+            left = left.join(roots.toDF(end, f"root_{end}"), end, "left")
+            left = left.withColumn(f"root_{end}", F.coalesce(f"root_{end}", end))
+        left = left.where("root_a <> root_b").select("a", "b", "apart")
+        cross = _cross_pairs(marked, nearest).unionAll(left).distinct()
+        cross = cross.join(tested, ["a", "b"], "left_anti")
+        cross = _closest(cross) if nearest else cross.select("a", "b")
+        cross = stored(cross, "jaccard-cross-pairs")
+        if cross.isEmpty():
+            # The closest partners are all tested; the last round looks at the others too.
+            continue
+        links = links.unionAll(_verified(cross, _sets(docs, shingle, _ends(cross))))
+        tested = tested.unionAll(cross)
+    return links
+
+
+def _rooted(rows: DataFrame, keep: list[str], shingle: int) -> tuple[DataFrame, DataFrame]:
+    """(keep, n, id) of every row of (text, keep), and (id, root) of every set that links."""
+    sets_of_rows, blocks = _survey(rows, keep, shingle)
+    named = [F.col(f"k{i}").alias(k) for i, k in enumerate(keep)]
+    sets_of_rows = sets_of_rows.select(*named, "n", "id", "bitmap")
+    links = _link_sets(rows, sets_of_rows, blocks, shingle)
+    return sets_of_rows.drop("bitmap"), components(links).withColumnRenamed("node", "id")
+
+
+def _lowest(sets_of_rows: DataFrame, roots: DataFrame, value) -> DataFrame:
+    """(id, low): the smallest value among the rows of each set's component, stored."""
+    # Equal sets first meet on the map side, then sets of one component.
+    of_set = sets_of_rows.where("n > 0").groupBy("id").agg(F.min(value).alias("low"))
+    of_set = of_set.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    of_set = stored(of_set, "jaccard-lowest-of-sets")
+    lowest = stored(of_set.groupBy("root").agg(F.min("low").alias("lowest")), "jaccard-lowest")
+    return stored(of_set.join(lowest, "root").select("id", F.col("lowest").alias("low")), "jaccard-named")
 
 
 def jaccard_components(
@@ -424,23 +560,31 @@ def jaccard_components(
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    sets_of_rows, blocks = _survey(rows, ["doc_id"], shingle)
-    sets_of_rows = sets_of_rows.select(F.col("k0").alias("doc_id"), "n", "id")
-    links = _link_sets(rows, sets_of_rows, blocks, shingle)
-    roots = components(links)
-    # Equal sets first meet on the map side, then sets of one component.
-    smallest = sets_of_rows.where("n > 0").groupBy("id").agg(F.min("doc_id").alias("low"))
-    smallest = smallest.join(roots.withColumnRenamed("node", "id"), "id", "left")
-    smallest = stored(smallest.withColumn("root", F.coalesce("root", "id")), "jaccard-smallest")
-    lowest = smallest.groupBy("root").agg(F.min("low").alias("component_id"))
-    lowest = stored(lowest, "jaccard-lowest")
-    named = stored(smallest.join(lowest, "root").select("id", "component_id"), "jaccard-components")
-    own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    sets_of_rows, roots = _rooted(rows, ["doc_id"], shingle)
+    named = _lowest(sets_of_rows, roots, F.col("doc_id"))
+    own = F.when(F.col("n") > 0, F.col("low")).otherwise(F.col("doc_id"))
     return sets_of_rows.join(named, "id", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), own.alias("component_id")
     )
 
 
+def one_of_each(docs: DataFrame, text: str, doc_id: str, shingle: int = SHINGLE) -> DataFrame:
+    """The row with the smallest id of every component, all columns; rows without words stay.
+
+    Rows are told apart by their id and a hash of all their columns; of rows that are equal in
+    everything one stays.
+    """
+    tag = fresh("tag")
+    tagged = docs.withColumn(tag, F.xxhash64(*docs.columns))
+    rows = tagged.select(F.col(doc_id).alias("doc_id"), F.col(tag).alias("tag"), F.col(text).alias("text"))
+    sets_of_rows, roots = _rooted(rows, ["doc_id", "tag"], shingle)
+    chosen = _lowest(sets_of_rows, roots, F.struct("doc_id", "tag")).select("low.doc_id", "low.tag")
+    chosen = chosen.unionAll(sets_of_rows.where("n = 0").select("doc_id", "tag")).distinct()
+    chosen = stored(chosen.withColumnsRenamed({"doc_id": f"{tag}_id", "tag": f"{tag}_of"}), "jaccard-chosen")
+    same = F.col(doc_id).eqNullSafe(F.col(f"{tag}_id")) & (F.col(tag) == F.col(f"{tag}_of"))
+    return tagged.join(chosen, same, "left_semi").dropDuplicates([doc_id, tag]).drop(tag)
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-copy component of every document."""
     return jaccard_components(table(spark, sf_dir, "documents"))
