@@ -84,6 +84,31 @@ def test_blocks_give_what_one_block_gives(spark, documents):
     assert run(3) == run(1000) and len(run(3)) == 20 + 3
 
 
+def test_edited_copies_with_few_seeds_left_in_many_documents(spark, documents):
+    draw = random.Random(8)
+    item = words(draw, 20)
+    texts = {}
+    for i in range(300):
+        # Six of 18 seeds stay: 2 * 16 - 4 of 40.
+        edited = [draw.choice(words(draw, 1)) if k in (3, 7, 11, 15) else w for k, w in enumerate(item)]
+        texts[i] = " ".join([*words(draw, 30), *edited, *words(draw, 30)])
+        texts[1000 + i] = " ".join([*words(draw, 30), *item[:3], *words(draw, 30)])
+    folder = documents(list(texts.items()), benchmark=(ITEMS, [(1, " ".join(item))]))
+    got = {r["doc_id"]: r["score"] for r in decontam.op5_decontamination(spark, folder).collect()}
+    assert got == {i: 0.7 for i in range(300)}
+    docs, items = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "benchmark"))
+    assert {r["doc_id"] for r in decontam.without_leaks(docs, "text", items).collect()} == set(range(1000, 1300))
+
+
+def test_bound_refuses_no_pair_that_reaches_the_score():
+    draw = random.Random(9)
+    for n, least in [(6, 0.5), (9, 0.3), (12, 0.8)] * 60:
+        item = [draw.randrange(10, 22) for _ in range(n)]
+        text = [draw.randrange(10, 40) if draw.random() < 0.4 else draw.choice(item) for _ in range(30)]
+        reaches = smith_waterman(item, text) >= least * decontam.MATCH * n
+        assert decontam._may_reach(np.array(text), np.array(item), least) or not reaches
+
+
 def test_empty_tables(spark, documents):
     folder = documents(["a b c d"], benchmark=(ITEMS, []))
     assert decontam.op5_decontamination(spark, folder).count() == 0

@@ -3,11 +3,15 @@
 Test items give word n-grams, the seeds.  A first pass counts in how many places of the corpus
 each seed stands; a seed is rare if it is not far more frequent than the other seeds of its
 item (an item that was copied into a third of all documents keeps its seeds).  A second pass
-looks up the rare seeds in every document, cuts the document around each group of hits out, and
+looks up all seeds in every document, cuts the document around each group of hits out, and
 aligns it with the item word by word: matching words score +2, a changed, added or missing word
 -1.  A document leaks an item if the best local alignment reaches `least` of the item's full
 score, which edited and paraphrased copies do and chance hits do not.
 
+A group with a rare seed is always aligned.  A group of frequent seeds alone is aligned unless
+its words show that no alignment can reach the score (`_may_reach`, an exact bound), so the
+rarity of seeds saves work and decides nothing.
+
 Both passes are maps: no document is shuffled.  The items are taken in blocks of at most
 `block` items, each block one broadcast of bounded size and one pass; a benchmark of any size
 is a row of such blocks.
@@ -55,9 +59,7 @@ class Items:
         order = np.argsort(hashes, kind="stable")
         self.owner, self.place, self.sorted = self.owner[order], self.place[order], hashes[order]
         self.sizes = sorted({min(SEED, len(w)) for w in self.words} - {0})
-
-    def keep(self, rare: np.ndarray) -> None:
-        self.owner, self.place, self.sorted = self.owner[rare], self.place[rare], self.sorted[rare]
+        self.rare = np.ones(len(hashes), bool)
 
 
 class Slice:
@@ -120,6 +122,18 @@ def _chunks(widths: np.ndarray, cells: int = 400_000) -> Iterator[np.ndarray]:
         order = order[n:]
 
 
+def _may_reach(words: np.ndarray, item: np.ndarray, least: float) -> bool:
+    """Whether a local alignment of the item within the words may reach `least`.
+
+    With m matches and e other steps 2m - e >= 2 least n, so m >= least n, and as m <= n there are
+    at most 2n (1 - least) words of the text between them.
+    """
+    n = len(item)
+    known = np.concatenate([[0], np.cumsum(np.isin(words, item))])
+    span = min(len(words), n + int(2 * n * max(0.0, 1 - least)) + 1)
+    return bool((known[span:] - known[: len(known) - span]).max() >= least * n - 1e-9)
+
+
 def leaks_of(part: Slice, items: Items, least: float) -> list[tuple]:
     """(document, item, share of the full score, first and last word, hits) of every leak."""
     at, seed = part.hits(items)
@@ -130,12 +144,13 @@ def leaks_of(part: Slice, items: Items, least: float) -> list[tuple]:
     # Hits of one document and item whose diagonals lie within an item's length are one group.
     diagonal = at - items.place[seed]
     order = np.lexsort((diagonal, owner, doc))
-    doc, owner, diagonal = doc[order], owner[order], diagonal[order]
+    doc, owner, diagonal, rare = doc[order], owner[order], diagonal[order], items.rare[seed[order]]
     length = np.array([len(w) for w in items.words])[owner]
     new = np.ones(len(doc), bool)
     new[1:] = (doc[1:] != doc[:-1]) | (owner[1:] != owner[:-1]) | (diagonal[1:] - diagonal[:-1] > length[1:])
     first = np.flatnonzero(new)
     hits = np.diff(np.append(first, len(new)))
+    rare = np.logical_or.reduceat(rare, first)
     doc, owner = doc[first], owner[first]
     low, high = diagonal[first], diagonal[np.append(first[1:], len(new)) - 1]
     length = length[first]
@@ -143,6 +158,10 @@ def leaks_of(part: Slice, items: Items, least: float) -> list[tuple]:
     low = np.maximum(low - length, part.begin[doc])
     high = np.minimum(high + 2 * length, part.begin[doc + 1])
     best: dict[tuple, tuple] = {}
+    asked = rare.copy()
+    for g in np.flatnonzero(~rare):
+        asked[g] = _may_reach(part.hashes[low[g] : high[g]], items.words[owner[g]], least)
+    doc, owner, low, high, length, hits = (x[asked] for x in (doc, owner, low, high, length, hits))
     for chunk in _chunks(high - low):
         width, deep = int((high - low)[chunk].max()), int(length[chunk].max())
         # Padding must match nothing: 1 in texts, 2 in items, and no word hashes to either.
@@ -196,7 +215,7 @@ def _rare(items: Items, counts: np.ndarray, factor: float) -> np.ndarray:
 
 
 def _blocks(docs: DataFrame, items: DataFrame, factor: float, block: int) -> Iterator[Items]:
-    """The items, a block of bounded size at a time, with the seeds that are rare in `docs` (t)."""
+    """The items, a block of bounded size at a time, with its seeds rare in `docs` (t) marked."""
     named = stored(
         items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("text")),
         "benchmark-items",
@@ -206,7 +225,7 @@ def _blocks(docs: DataFrame, items: DataFrame, factor: float, block: int) -> Ite
         own = named.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == number)
         rows = own.orderBy("item_id", "text").collect()
         held = Items([r["item_id"] for r in rows], [r["text"] for r in rows])
-        held.keep(_rare(held, _count_seeds(docs.select("t"), held), factor))
+        held.rare = _rare(held, _count_seeds(docs.select("t"), held), factor)
         yield held
 
 
