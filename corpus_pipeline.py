@@ -4,7 +4,8 @@ Every stage takes (spark, docs, sf_dir) and works on all rows that the one befor
 result is written to the shared scratch folder as Parquet and read again, so a lost executor
 costs one stage at most.  All stages but the last return the columns of `documents`.
 
-1. language: a document that every language denies goes (no letters, null text, noise);
+1. language: a document in none of the labelled languages goes (no letters, null text, letter
+   noise, languages never learnt); texts of a few letters get the benefit of the doubt;
 2. near copies: of each group that links by word 4-grams the row with the smallest id stays;
 3. decontamination: a document that holds a benchmark item, exact or edited, goes;
 4. secrets: every finding is replaced by a mark, and n_chars follows; no document goes;
@@ -24,15 +25,16 @@ from tradewind.llm.common import fresh, stored, table
 from tradewind.session import scratch_path
 
 # At 0 a one-versus-rest classifier denies a text, at 1 it claims it.  Short clean texts may lie
-# near 0.5; below this value even the nearest language is denied.
+# near 0.5; below this value even the nearest language is denied.  Noise lies near 0.5 as well and
+# is left to the familiarity of its grams.
 LANGUAGE_SCORE = 0.25
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model = langid.fit(docs, "text", "lang", "doc_id")
-    pred, score = fresh("pred"), fresh("score")
-    found = langid.predict(docs, "text", model, pred, score)
-    claimed = (F.col(pred) != langid.UNKNOWN) & (F.col(score) >= LANGUAGE_SCORE)
+    model = langid.fit(docs, "text", "lang", "doc_id", familiar=True)
+    pred, score, foreign = fresh("pred"), fresh("score"), fresh("foreign")
+    found = langid.predict(docs, "text", model, pred, score, foreign)
+    claimed = (F.col(pred) != langid.UNKNOWN) & (F.col(score) >= LANGUAGE_SCORE) & ~F.col(foreign)
     return found.where(claimed).select(*docs.columns)
 
 

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import base64
 import random
 from collections import Counter
 
@@ -83,6 +84,26 @@ def test_stages_take_effect_and_keep_clean_documents(spark, documents):
     assert set(counts) == {"s0", "s1", "s2"}
 
 
+def test_language_stage_rejects_noise_and_unknown_scripts_but_no_short_text(spark, documents):
+    draw = random.Random(13)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = lambda chars: "".join(draw.choice(chars) for _ in range(draw.randint(3, 9)))
+    body = lambda words, n: " ".join(draw.choice(words) + draw.choice(words) for _ in range(n))
+    clean = [(i, body(EN if i % 2 else DE, 5 + i % 60), "en" if i % 2 else "de", "s", 0) for i in range(600)]
+    short = [body(words, n) for words in (EN, DE) for n in (1, 2, 3) for _ in range(5)]
+    short += ["the", "für", "paperword key0=4f1e9ac07b3d2286aa5510c9e7d4 ringstone houseriver 12@a.example"]
+    cyrillic, cjk = [chr(c) for c in range(0x430, 0x450)], [chr(c) for c in range(0x4E00, 0x9FFF)]
+    noise = [" ".join(word(kind) for _ in range(n)) for kind in (letters, cyrillic, cjk) for n in (12, 60, 900)]
+    noise.append(base64.b64encode(draw.randbytes(3000)).decode())
+    rows = clean + [(1000 + i, t, "en" if i % 2 else None, "s", 0) for i, t in enumerate(short)]
+    # Some of the noise is labelled as a language.
+    rows += [(2000 + i, t, "en" if i % 2 else None, "s", 0) for i, t in enumerate(noise)]
+    folder = documents(rows)
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    left = {r["doc_id"] for r in pipeline.language(spark, docs, folder).select("doc_id").collect()}
+    assert left == {r[0] for r in rows if r[0] < 2000}
+
+
 def test_run_equals_its_stages_and_takes_clashing_columns(spark, documents):
     rows, items = corpus()
     folder = documents(rows, benchmark=(ITEMS, items))

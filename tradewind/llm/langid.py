@@ -7,6 +7,11 @@ training texts serve as Nystroem landmarks; one-versus-rest kernel ridge regress
 kernel values against them gives a score per language.  Whole texts are scored by two matrix
 products per slice of rows.
 
+Scores tell languages apart; they do not tell whether a text is in any of them, since noise is
+as unlike one language as another.  For that `Familiarity` takes the mean log share of labelled
+documents that hold each gram of the text, and compares it with labelled documents not used for
+the shares and with the same texts with their letters shuffled.
+
 Training uses at most `per_language` labelled documents of each language (the documented bound
 of the sample), drawn by a hash of the id.
 
@@ -17,6 +22,8 @@ first.
 
 from __future__ import annotations
 
+import re
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -83,6 +90,7 @@ class KernelRidge:
 
     def __init__(self, seen: np.ndarray, langs: list[str], landmarks: int, ridge: float):
         self.langs = sorted(set(langs))
+        self.familiarity: Familiarity | None = None
         unit = _unit(seen)
         index = np.array([self.langs.index(x) for x in langs])
         # Landmarks from all languages in turn; the rows come in hash order.
@@ -103,6 +111,66 @@ class KernelRidge:
         return (_unit(seen) @ self.points.T) @ self.weights
 
 
+# Lengths in letters at which familiarity is calibrated.
+SNIPPETS = [8, 16, 32, 64, 128, 256, 512, 1024, 2048, 4096]
+# Texts of fewer letters say too little to be called foreign.
+LEAST_LETTERS = SNIPPETS[0]
+LEAST_SNIPPETS = 20
+# Words that are keys, numbers or addresses.
+_KEY = re.compile(r"[0-9@]")
+
+
+class Familiarity:
+    """Which texts are in none of the languages.
+
+    The cutoff of a length lies three quarters of the way from ordinary labelled texts of that
+    length to shuffled ones, and always well below the lowest twentieth of the labelled ones, which
+    spares short texts and holds if up to so many labels stand at noise; between lengths it is
+    interpolated by the number of grams.  A key or an address does not make a short text foreign
+    whose other words are familiar and at least a quarter of it.
+    """
+
+    def __init__(self, seen: np.ndarray, langs: list[str], snippets: list[str]):
+        index = np.array([sorted(set(langs)).index(x) for x in langs])
+        shares = [(seen[index == c].sum(axis=0) + 0.5) / ((index == c).sum() + 1) for c in range(index.max() + 1)]
+        self.logs = np.log(np.array(shares, np.float32).T)
+        draw = np.random.default_rng(5)
+        self.sizes, self.cutoffs = [], []
+        for length in SNIPPETS:
+            clean = [x[:length] for x in snippets if len(x) >= length]
+            if len(clean) < LEAST_SNIPPETS:
+                continue
+            noise = ["".join(draw.permutation(list(x))) for x in clean]
+            known, grams = self._values(clean)
+            shuffled, _ = self._values(noise)
+            between = 0.25 * np.median(known) + 0.75 * np.median(shuffled)
+            self.sizes.append(float(np.log(np.median(grams))))
+            low = 2 * np.quantile(known, 0.05) - np.median(known) - 0.3
+            self.cutoffs.append(float(min(between, low)))
+
+    def _values(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        parts = [gram_sets(pa.array(texts[i : i + 64], pa.string()))[0] for i in range(0, len(texts), 64)]
+        return np.concatenate([self.value(s) for s in parts]), np.concatenate([s.sum(axis=1) for s in parts])
+
+    def value(self, seen: np.ndarray) -> np.ndarray:
+        return ((seen @ self.logs) / np.maximum(seen.sum(axis=1, keepdims=True), 1)).max(axis=1)
+
+    def foreign(self, seen: np.ndarray, letters: np.ndarray) -> np.ndarray:
+        if not self.sizes:
+            return np.zeros(len(letters), bool)
+        size = np.log(np.maximum(seen.sum(axis=1), 1))
+        return (letters >= LEAST_LETTERS) & (self.value(seen) < np.interp(size, self.sizes, self.cutoffs))
+
+    def foreign_texts(self, texts: pa.Array, seen: np.ndarray, letters: np.ndarray) -> np.ndarray:
+        odd = self.foreign(seen, letters)
+        again = np.flatnonzero(odd)
+        plain = [" ".join(w for w in t.split() if not _KEY.search(w)) for t in texts.take(pa.array(again)).to_pylist()]
+        if plain:
+            seen, left = gram_sets(pa.array(plain, pa.string()))
+            odd[again] = (left < LEAST_LETTERS) | (4 * left < letters[again]) | self.foreign(seen, left)
+        return odd
+
+
 def fit(
     docs: DataFrame,
     text: str,
@@ -111,8 +179,9 @@ def fit(
     per_language: int = 400,
     landmarks: int = 96,
     ridge: float = 1e-4,
+    familiar: bool = False,
 ) -> KernelRidge | None:
-    """Learn from labelled rows; None if there are none."""
+    """Learn from labelled rows; None if there are none.  familiar: also what is in no language."""
     spark = docs.sparkSession
     order = F.xxhash64(key_text(doc_id))
     ids = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
@@ -131,27 +200,50 @@ def fit(
             for part in tg.cut(batch, "text"):
                 seen, letters = gram_sets(part.column("text"))
                 bits = [np.packbits(r.astype(bool)).tobytes() for r in seen]
+                heads = [_head(t) if familiar else None for t in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), part.column("lang"), pa.array(bits), pa.array(letters)],
-                    names=["id", "lang", "bits", "letters"],
+                    [part.column("id"), part.column("lang"), pa.array(bits), pa.array(letters), pa.array(heads, pa.string())],
+                    names=["id", "lang", "bits", "letters", "head"],
                 )
 
     id_type = rows.schema["id"].dataType.simpleString()
-    found = sample.mapInArrow(run, f"id {id_type}, lang string, bits binary, letters long")
-    # At most per_language rows of WIDTH / 8 bytes for each language (more if ids repeat).
+    found = sample.mapInArrow(run, f"id {id_type}, lang string, bits binary, letters long, head string")
+    # At most per_language rows of WIDTH / 8 bytes, and as many heads of twice that, for each
+    # language (more if ids repeat).
     held = found.where("letters > 0").select(
-        "lang", "bits", F.xxhash64(key_text("id")).alias("place")
+        "lang", "bits", "head", F.xxhash64(key_text("id")).alias("place")
     )
     held = held.orderBy("place", "bits").collect()
     if not held:
         return None
     seen = np.array([np.unpackbits(np.frombuffer(r["bits"], np.uint8)) for r in held], np.float32)
-    return KernelRidge(seen, [r["lang"] for r in held], landmarks, ridge)
+    langs = [r["lang"] for r in held]
+    model = KernelRidge(seen, langs, landmarks, ridge)
+    if familiar:
+        # Equal texts stay on one side: a copy of a known text would be too familiar.
+        side = np.array([zlib.crc32(r["bits"]) % 2 for r in held])
+        if side.any() and not side.all():
+            ours = np.flatnonzero(side)
+            model.familiarity = Familiarity(
+                seen[ours], [langs[i] for i in ours], [r["head"] for r, s in zip(held, side, strict=True) if not s]
+            )
+    return model
+
 
+def _head(text: str) -> str:
+    """The first letters of a text, any run of other characters one blank."""
+    text = "".join(c if c.isalpha() else " " for c in text[: 4 * SNIPPETS[-1]])
+    return " ".join(text.split())[: SNIPPETS[-1]]
 
-def predict(docs: DataFrame, text: str, model: KernelRidge | None, pred: str, score: str) -> DataFrame:
-    """All columns and the predicted language with its score, in one pass without a shuffle."""
-    schema = with_fields(docs, {pred: "string", score: "double"})
+
+def predict(
+    docs: DataFrame, text: str, model: KernelRidge | None, pred: str, score: str, foreign: str | None = None
+) -> DataFrame:
+    """All columns and the predicted language with its score, in one pass without a shuffle.
+
+    foreign: name of a column that says whether the text is in none of the languages.
+    """
+    schema = with_fields(docs, {pred: "string", score: "double"} | ({foreign: "boolean"} if foreign else {}))
     place = docs.columns.index(text)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -171,10 +263,12 @@ def predict(docs: DataFrame, text: str, model: KernelRidge | None, pred: str, sc
                         known.langs[t] if there else UNKNOWN
                         for t, there in zip(top, letters > 0, strict=True)
                     ]
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(langs, pa.string()), pa.array(best)],
-                    names=[*part.schema.names, pred, score],
-                )
+                columns = [*part.columns, pa.array(langs, pa.string()), pa.array(best)]
+                if foreign:
+                    judge = known.familiarity if known is not None else None
+                    odd = np.zeros(len(letters), bool) if judge is None else judge.foreign_texts(part.column(place), seen, letters)
+                    columns.append(pa.array(odd))
+                yield pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())
 
     return docs.mapInArrow(run, schema)
 
