@@ -28,8 +28,8 @@ _POWERS = np.array([1 << b for b in range(64)], U64)
 def _widths(values: np.ndarray) -> np.ndarray:
     """How many bits each number has."""
     if not len(values) or values.max() < 1 << 53:
-        return np.frexp(values.astype(np.float64))[1].astype(np.int16)
-    return np.searchsorted(_POWERS, values, "right").astype(np.int16)
+        return np.frexp(values.astype(np.float64))[1]
+    return np.searchsorted(_POWERS, values, "right")
 
 
 def encode(values: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -52,20 +52,19 @@ def encode(values: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray, np.n
     per_block = np.bincount(at // block, minlength=n_blocks)
     grid &= U64((1 << PAYLOAD) - 1)
 
-    # The best selector at every place: the one with most numbers that all fit.
-    widths = _widths(grid[:, :block].reshape(-1)).reshape(n_blocks, block)
-    widest = int(widths.max(initial=0))
-    places = np.arange(block, dtype=np.int16 if block < 1 << 14 else np.int64)
-    best = np.full((n_blocks, block), len(SELECTORS) - 1, np.int8)
+    # The best selector at every place: the one with most numbers that all fit.  The widest of c
+    # numbers is the wider of two overlapping windows that are known already.
+    width = grid.shape[1]
+    widest = {1: _widths(grid.reshape(-1)).astype(np.int8).reshape(n_blocks, width)}
+    best = np.full((n_blocks, width), len(SELECTORS) - 1, np.int8)
     for s in range(len(SELECTORS) - 2, -1, -1):
         count, bits = SELECTORS[s]
-        if bits >= widest:
-            best[:] = s
-            continue
-        far = places.dtype.type(block + SELECTORS[0][0])
-        stop = np.where(widths > bits, places, far)
-        stop = np.minimum.accumulate(stop[:, ::-1], axis=1)[:, ::-1]
-        best[stop - places >= count] = s
+        half = min(c for c in widest if 2 * c >= count)
+        wide = np.full((n_blocks, width), PAYLOAD, np.int8)
+        shift = count - half
+        np.maximum(widest[half][:, : width - shift], widest[half][:, shift:], out=wide[:, : width - shift])
+        widest[count] = wide
+        best = np.where(wide <= bits, np.int8(s), best)
 
     rows, starts, taken = [], [], []
     row, place = np.arange(n_blocks), np.zeros(n_blocks, np.int64)

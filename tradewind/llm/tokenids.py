@@ -18,7 +18,8 @@ Encoding.  Byte-level vocabularies without a normaliser split texts before white
 follows another character (`_pieces`); what stands between two such places is encoded alike
 wherever it occurs.  So only the distinct pieces of a slice are encoded, in long strings that
 the lengths of their tokens take apart again, and pieces with equal hashes are compared byte by
-byte.  Other tokenizers encode every text as a whole.
+byte.  A worker remembers up to KNOWN_PIECES of them from slice to slice, which saves time and
+decides nothing.  Other tokenizers encode every text as a whole.
 
 Defined results: a null text is empty; an empty text has the end id alone; null ids come first;
 texts with equal ids stand in the order of a hash of their text; strings of special tokens in a
@@ -50,9 +51,10 @@ from .files import NewFile, file_system
 MAGIC = b"TWS8IDS1"
 BLOCK_IDS = 1024
 # Bytes of text whose distinct pieces are encoded together.
-PIECES_BYTES = 8 << 20
+PIECES_BYTES = (4 << 20) - (64 << 10)
+KNOWN_PIECES = 1 << 20
 # Bytes of one string given to the tokenizer, and blocks that a reader holds.
-STRING_BYTES = 1 << 14
+STRING_BYTES = 1 << 11
 READ_BLOCKS = 1024
 
 _BLOCK = struct.Struct("<4I")
@@ -78,6 +80,7 @@ class Encoder:
             and not parts["model"].get("continuing_subword_prefix")
             and not parts["model"].get("end_of_word_suffix")
         )
+        self._known = _Known()
         # A character of a byte-level token stands for a byte.
         vocabulary = self._tokenizer.get_vocab(False)
         self._bytes = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
@@ -105,48 +108,109 @@ class Encoder:
             if b > a:
                 ids, sizes = self._slice(raw, starts[a:b], ends[a:b])
                 found.append(ids)
-                np.add.at(counts, docs[a:b], sizes)
+                counts += np.bincount(docs[a:b], weights=sizes, minlength=len(counts)).astype(np.int64)
         return np.concatenate(found), counts
 
     def _slice(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, how many each piece has) of neighbouring pieces."""
         begin = int(starts[0])
         raw, starts, ends = raw[begin : int(ends[-1])], starts - begin, ends - begin
-        _, first, same = np.unique(
-            tg.Ranges(raw).hashes(starts, ends), return_index=True, return_inverse=True
-        )
-        first, same = _told_apart(raw, starts, ends, first, same)
+        hashes = tg.Ranges(raw).hashes(starts, ends)
+        _, first, same = np.unique(hashes, return_index=True, return_inverse=True)
+        sizes = ends - starts
+        differ = _differ(raw, starts, sizes, raw, starts[first][same], sizes[first][same])
+        # Pieces whose bytes differ from the first of their hash are distinct ones of their own.
+        others = np.flatnonzero(differ)
+        same[others] = len(first) + np.arange(len(others))
+        first = np.concatenate([first, others])
+        a, n, h = starts[first], sizes[first], hashes[first]
+
+        slot = self._known.find(h, raw, a, n)
+        new = np.flatnonzero(slot < 0)
+        ids, counts = self._distinct(raw, a[new], a[new] + n[new])
+        all_ids = np.concatenate([self._known.ids, ids])
+        at, many = np.zeros(len(first), np.int64), np.zeros(len(first), np.int64)
+        old = np.flatnonzero(slot >= 0)
+        at[old], many[old] = self._known.at[slot[old]], self._known.counts[slot[old]]
+        at[new], many[new] = len(self._known.ids) + np.cumsum(counts) - counts, counts
+        self._known.learn(h[new], raw, a[new], n[new], ids, counts)
+
+        counts = many[same]
+        upto = np.cumsum(counts)
+        source = np.repeat(at[same] - (upto - counts), counts) + np.arange(int(upto[-1]))
+        return all_ids[source], counts
+
+    def _distinct(self, raw: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, how many each piece has) of the pieces [a, b)."""
         data = raw.tobytes()
-        a, b = starts[first], ends[first]
         # Pieces that begin with white space and end otherwise stay pieces in a row of them.
         chains = tg.SPACE[raw[a]] & _visible(raw[b - 1])
-        ids: list[np.ndarray] = [np.zeros(0, np.uint32)]
-        sizes = np.zeros(len(first), np.int64)
         chained, alone = np.flatnonzero(chains), np.flatnonzero(~chains)
         stops = np.cumsum((b - a)[chained])
         chunk = np.searchsorted(stops, np.arange(0, int(stops[-1]) if len(stops) else 0, STRING_BYTES), "left")
         chunk = np.unique(np.append(chunk, len(chained)))
         pieces = [data[x:y] for x, y in zip(a[chained].tolist(), b[chained].tolist(), strict=True)]
-        texts = [b"".join(pieces[x:y]).decode() for x, y in zip(chunk, chunk[1:], strict=False)]
-        encoded = self._ids(texts)
+        encoded = self._ids([b"".join(pieces[x:y]).decode() for x, y in zip(chunk, chunk[1:], strict=False)])
+        sizes = np.zeros(len(a), np.int64)
         if encoded:
-            ids.extend(encoded)
             ends_at = np.cumsum(self._bytes[np.concatenate(encoded)])
             upto = np.searchsorted(ends_at, stops, "left") + 1
             if ends_at[-1] != stops[-1] or not (ends_at[upto - 1] == stops).all():
                 raise ValueError("the tokens of a text do not add up to its bytes")
             sizes[chained] = np.diff(upto, prepend=0)
         single = self._ids([data[a[k] : b[k]].decode() for k in alone.tolist()])
-        ids.extend(single)
         sizes[alone] = [len(x) for x in single]
-        # Where the ids of each distinct piece begin: those in rows first, then the others.
+        # Ids stand with those in rows first, then the others: bring them into the pieces' order.
+        ids = np.concatenate([np.zeros(0, np.uint32), *encoded, *single])
         order = np.concatenate([chained, alone])
-        at = np.zeros(len(first), np.int64)
+        at = np.zeros(len(a), np.int64)
         at[order] = np.cumsum(sizes[order]) - sizes[order]
-        counts = sizes[same]
-        upto = np.cumsum(counts)
-        source = np.repeat(at[same] - (upto - counts), counts) + np.arange(int(upto[-1]))
-        return np.concatenate(ids)[source], counts
+        begin = np.cumsum(sizes) - sizes
+        return ids[np.repeat(at - begin, sizes) + np.arange(len(ids))], sizes
+
+
+class _Known:
+    """Pieces that were encoded before, by hash and bytes; starts anew when full."""
+
+    def __init__(self):
+        self.hashes = np.zeros(0, np.uint64)
+        # Per hash (sorted) the number of its piece; per piece its bytes and ids.
+        self._piece = np.zeros(0, np.int64)
+        self._raw = np.zeros(0, np.uint8)
+        self._starts = self._sizes = self.at = self.counts = np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.uint32)
+
+    def find(self, hashes: np.ndarray, raw: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The number of each piece, or -1."""
+        if not len(self.hashes):
+            return np.full(len(hashes), -1)
+        slot = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        piece = np.where(self.hashes[slot] == hashes, self._piece[slot], -1)
+        hit = np.flatnonzero(piece >= 0)
+        own = piece[hit]
+        differ = _differ(raw, starts[hit], sizes[hit], self._raw, self._starts[own], self._sizes[own])
+        piece[hit[differ]] = -1
+        return piece
+
+    def learn(self, hashes, raw, starts, sizes, ids, counts) -> None:
+        """Pieces that `find` did not know, in any order."""
+        if len(self.hashes) + len(hashes) > KNOWN_PIECES:
+            self.__init__()
+        if len(hashes) > KNOWN_PIECES:
+            return
+        stops = np.cumsum(sizes)
+        source = np.repeat(starts - (stops - sizes), sizes) + np.arange(int(stops[-1]) if len(stops) else 0)
+        number = len(self._starts) + np.arange(len(hashes))
+        self._starts = np.concatenate([self._starts, len(self._raw) + stops - sizes])
+        self._sizes = np.concatenate([self._sizes, sizes])
+        self._raw = np.concatenate([self._raw, raw[source]])
+        self.at = np.concatenate([self.at, len(self.ids) + np.cumsum(counts) - counts])
+        self.counts = np.concatenate([self.counts, counts])
+        self.ids = np.concatenate([self.ids, ids])
+        order = np.argsort(hashes, kind="stable")
+        place = np.searchsorted(self.hashes, hashes[order])
+        self.hashes = np.insert(self.hashes, place, hashes[order])
+        self._piece = np.insert(self._piece, place, number[order])
 
 
 @lru_cache(maxsize=2)
@@ -169,22 +233,20 @@ def _pieces(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(begins)
 
 
-def _told_apart(raw, starts, ends, first, same) -> tuple[np.ndarray, np.ndarray]:
-    """Pieces whose bytes differ from the first of their hash become distinct ones of their own."""
-    sizes = ends - starts
-    wrong = sizes != sizes[first][same]
+def _differ(raw, starts, sizes, other, other_starts, other_sizes) -> np.ndarray:
+    """Which byte ranges differ from their counterparts in the other buffer."""
+    wrong = sizes != other_sizes
     width = np.where(wrong, 0, sizes)
     stops = np.cumsum(width)
-    piece = np.repeat(np.arange(len(starts)), width)
-    inside = np.arange(int(stops[-1])) - (stops - width)[piece]
-    differs = raw[starts[piece] + inside] != raw[starts[first][same][piece] + inside]
-    wrong[piece[differs]] = True
-    others = np.flatnonzero(wrong)
-    if len(others):
-        same = same.copy()
-        same[others] = len(first) + np.arange(len(others))
-        first = np.concatenate([first, others])
-    return first, same
+    n = int(stops[-1]) if len(stops) else 0
+    kind = np.int32 if max(n, len(raw), len(other)) < 1 << 31 else np.int64
+    inside = np.arange(n, dtype=kind)
+    begins = stops - width
+    a = raw[np.repeat((starts - begins).astype(kind), width) + inside]
+    b = other[np.repeat((other_starts - begins).astype(kind), width) + inside]
+    at = np.flatnonzero(a != b)
+    wrong[np.searchsorted(stops, at, "right")] = True
+    return wrong
 
 
 class _Writer:
