@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -43,8 +45,81 @@ def test_unquoted_empty_is_null_and_quoted_empty_is_text(spark, tmp_path):
     assert (got[1][3], got[1][4]) == (" x ", 'two\nlines "q"')
 
 
-def test_only_tables_with_line_breaks_are_unsplittable():
-    assert [n for n, c in CLEAN_TABLES.items() if c.multiline] == ["order_reviews"]
+def review_file(path, rows, draw, end="\n", name="r"):
+    """Reviews with quotes, commas and line breaks in their messages; the messages by id."""
+    quoted = lambda t: '"' + t.replace('"', '""') + '"'
+    parts = ["word", "\n", "\r\n", '"', ",", " ", "ß", "\n\n", "r1,o1,5", '""', "\t"]
+    want, out = {}, [f"review_id,order_id,review_score,t,m,c,a{end}"]
+    for i in range(rows):
+        text = "".join(draw.choice(parts) for _ in range(draw.choice([0, 3, 30, 30, 400])))
+        want[f"{name}{i}"] = text if text or i % 2 else None
+        message = quoted(text) if text or i % 2 else ""
+        out.append(f"{name}{i},o{i},{i % 5},,{message},2020-01-01,{end}")
+    path.write_bytes("".join(out).encode())
+    return want
+
+
+@pytest.fixture()
+def small_ranges(spark):
+    names = {"spark.sql.files.maxPartitionBytes": "4k", "spark.sql.files.openCostInBytes": "1k"}
+    before = {k: spark.conf.get(k) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_line_breaks_in_quotes_cross_the_borders_of_byte_ranges(spark, tmp_path, small_ranges, end):
+    draw = random.Random(2)
+    want = review_file(tmp_path / "a_reviews.csv", 300, draw, end)
+    df = load_staging_csv(spark, "", "order_reviews", str(tmp_path / "a_reviews.csv"))
+    rows = df.withColumn("task", F.spark_partition_id()).collect()
+    assert len({r.task for r in rows}) > 10
+    assert {r.review_id: r.review_comment_message for r in rows} == want
+    assert len(rows) == 300
+    assert {(r.review_score, r.review_answer_timestamp) for r in rows} == {(str(i), None) for i in range(5)}
+
+
+def test_several_files_and_records_longer_than_a_range(spark, tmp_path, small_ranges):
+    folder = tmp_path / "reviews"
+    folder.mkdir()
+    draw = random.Random(3)
+    want = {}
+    for k in "abc":
+        want |= review_file(folder / f"{k}.csv", 20 + ord(k) % 3, draw, name=k)
+    long = "line\n" * 5000
+    want["x"] = long
+    with open(folder / "a.csv", "a", newline="") as file:
+        file.write(f'x,o,1,,"{long}",,\n\n')
+    rows = load_staging_csv(spark, "", "order_reviews", str(folder)).collect()
+    assert {r.review_id: r.review_comment_message for r in rows} == want
+    assert len(rows) == len(want)
+
+
+def test_multi_line_rows_equal_those_of_one_task(spark, tmp_path, small_ranges):
+    review_file(tmp_path / "r.csv", 200, random.Random(5))
+    contract = CLEAN_TABLES["order_reviews"]
+    reader = spark.read.schema(contract.raw_schema()).options(
+        header=True, multiLine=True, quote='"', escape='"', emptyValue="", nullValue=None, mode="FAILFAST"
+    )
+    want = reader.csv(str(tmp_path / "r.csv")).collect()
+    got = load_staging_csv(spark, "", "order_reviews", str(tmp_path / "r.csv")).collect()
+    key = lambda r: [c or "" for c in r]
+    assert sorted(map(tuple, got), key=key) == sorted(map(tuple, want), key=key)
+
+
+def test_unmatched_quotes_and_empty_files(spark, tmp_path):
+    (tmp_path / "bad.csv").write_text('review_id,o,s,t,m,c,a\nr1,o1,5,,"open,,\n')
+    with pytest.raises(Exception, match="does not end with its file"):
+        load_staging_csv(spark, "", "order_reviews", str(tmp_path / "bad.csv")).collect()
+    for name, text in (("none.csv", ""), ("header.csv", "review_id,o,s,t,m,c,a\n")):
+        (tmp_path / name).write_text(text)
+        assert load_staging_csv(spark, "", "order_reviews", str(tmp_path / name)).collect() == []
+    (tmp_path / "short.csv").write_text("review_id,o,s,t,m,c,a\nr1,o1\n")
+    with pytest.raises(Exception, match="MALFORMED|malformed|FAILFAST"):
+        load_staging_csv(spark, "", "order_reviews", str(tmp_path / "short.csv")).collect()
 
 
 def test_short_rows_fail_instead_of_shifting(spark, tmp_path):

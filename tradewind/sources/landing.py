@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradewind.sources.contracts import CLEAN_TABLES, HEADER_ALIASES, Contract
 
+_CSV = {"quote": '"', "escape": '"', "emptyValue": "", "mode": "FAILFAST"}
+# Stands for an unquoted empty field inside the parser, so that "" stays a text.
+_NO_VALUE = "\x00no value\x00"
+
 
 def load_staging_csv(
     spark: SparkSession,
@@ -18,22 +26,138 @@ def load_staging_csv(
 ) -> DataFrame:
     """One raw extract as all-text columns, header skipped, columns taken by position.
 
-    An unquoted empty field is NULL and a quoted one is the empty string.  Only tables
-    whose text may hold line breaks are read as multi-line: those files cannot be split
-    between tasks, all others can.
+    An unquoted empty field is NULL and a quoted one is the empty string.  Tables whose text
+    may hold line breaks go through `quoted_records`, so that every file can be read by many
+    tasks; a row with too few or too many fields stops the job.
     """
     contract = CLEAN_TABLES[table] if isinstance(table, str) else table
-    return (
-        spark.read.schema(contract.raw_schema())
-        .option("header", True)
-        .option("multiLine", contract.multiline)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("nullValue", None)
-        .option("emptyValue", "")
-        .option("mode", "FAILFAST")
-        .csv(path or f"{folder.rstrip('/')}/{contract.file_pattern}")
+    path = path or f"{folder.rstrip('/')}/{contract.file_pattern}"
+    schema = contract.raw_schema()
+    if contract.multiline:
+        fields = F.from_csv("record", ", ".join(f"`{n}` string" for n in schema.fieldNames()), _CSV | {"nullValue": _NO_VALUE})
+        return quoted_records(spark, path).select(fields.alias("row")).select("row.*")
+    return spark.read.schema(schema).options(header=True, nullValue=None, **_CSV).csv(path)
+
+
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, block, line): block is where the task's byte range of the file begins."""
+    return spark.read.option("lineSep", "\n").text(path).select(
+        F.xxhash64("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.col("value").alias("line"),
+    )
+
+
+def _ranges(lines: DataFrame) -> DataFrame:
+    """(file, block, odd, open): whether a quoted field is open where a range begins and ends.
+
+    A light pass counts the quotes of each range; the running parity over the ranges of a file
+    is a window over one row per range.
+    """
+    quotes = F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit("")))
+    counted = lines.groupBy("file", "block").agg(F.sum(quotes).alias("quotes"))
+    of_file = Window.partitionBy("file")
+    upto = of_file.orderBy("block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    total = F.sum("quotes").over(of_file)
+    upto = F.when(total % 2 == 0, F.sum("quotes").over(upto)).otherwise(
+        F.raise_error(F.lit("a quoted field does not end with its file"))
+    )
+    return counted.select(
+        "file", "block", ((upto - F.col("quotes")) % 2 == 1).alias("odd"), (upto % 2 == 1).alias("open")
+    )
+
+
+_PIECES = "file long, block long, place int, record string"
+_WHOLE, _HEAD, _TAIL = range(3)
+
+
+def _assemble(
+    batches: Iterator[pa.RecordBatch], wanted: tuple[int, ...], header: bool
+) -> Iterator[pa.RecordBatch]:
+    """Lines of ranges, in order -> records; what belongs to other ranges too is a head or a tail."""
+    held: list[str] = []
+    at = None
+    odd = head = skip = False
+
+    def ended(open_end: bool) -> list[tuple[int, str]]:
+        """What is held when a record starts or its range ends."""
+        nonlocal skip
+        out = [(_HEAD if head else _TAIL if open_end else _WHOLE, "\n".join(held))] if held and not skip else []
+        skip = skip and not held
+        held.clear()
+        return out
+
+    def batch_of(range_of, rows) -> pa.RecordBatch:
+        rows = [(p, r) for p, r in rows if p in wanted]
+        n = len(rows)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([range_of[0]] * n, pa.int64()), pa.array([range_of[1]] * n, pa.int64()),
+             pa.array([p for p, _ in rows], pa.int32()), pa.array([r for _, r in rows], pa.string())],
+            names=["file", "block", "place", "record"],
+        )
+
+    for batch in batches:
+        files, blocks = (batch.column(c).to_numpy() for c in ("file", "block"))
+        quotes = pc.count_substring(batch.column("line"), '"').to_numpy(zero_copy_only=False)
+        lines = batch.column("line").to_pylist()
+        edges = np.flatnonzero((files[1:] != files[:-1]) | (blocks[1:] != blocks[:-1])) + 1
+        for a, b in zip([0, *edges], [*edges, len(batch)], strict=True):
+            if a == b:
+                continue
+            found: list[tuple[int, str]] = []
+            if at != (files[a], blocks[a]):
+                if at is not None:
+                    yield batch_of(at, ended(odd))
+                at, odd = (int(files[a]), int(blocks[a])), bool(batch.column("odd")[a].as_py())
+                head, skip = odd, header and at[1] == 0
+            # Whether a quoted field is open before each line.
+            flips = np.cumsum(quotes[a:b]) + odd
+            inside = np.concatenate([[odd], flips[:-1] % 2 == 1])
+            for line, within in zip(lines[a:b], inside.tolist(), strict=True):
+                if not within:
+                    found += ended(False)
+                    head = False
+                held.append(line)
+            odd = bool(flips[-1] % 2)
+            yield batch_of(at, found)
+    if at is not None:
+        yield batch_of(at, ended(odd))
+
+
+def quoted_records(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
+    """(record): the rows of CSV files whose quoted fields may hold line breaks, as text.
+
+    Every file is read in byte ranges by as many tasks as its size asks for.  A line starts a
+    record if an even number of quotes stands before it in its file, so a range needs to know
+    the parity at its start (`_ranges`, one row per range, hence bounded by bytes divided by
+    `spark.sql.files.maxPartitionBytes`, and broadcast: a join by exchange would lose the order
+    of lines).  Records within a range leave its task whole; the few that cross its borders are
+    put together by a grouping over the pieces.  Quotes inside a field must be doubled, and the
+    field quoted; a file whose quotes do not match stops the job.
+    """
+    lines = _lines(spark, path)
+    ranges = F.broadcast(_ranges(lines))
+    placed = lines.join(ranges, ["file", "block"])
+
+    def pieces(rows: DataFrame, *wanted: int) -> DataFrame:
+        return rows.select("file", "block", "odd", "line").mapInArrow(
+            lambda batches: _assemble(batches, wanted, header), _PIECES
+        )
+
+    whole = pieces(placed, _WHOLE)
+    torn = pieces(placed.where(F.col("odd") | F.col("open")), _HEAD, _TAIL)
+    order = Window.partitionBy("file").orderBy("block", "place")
+    chain = F.count_if(F.col("place") == _TAIL).over(
+        order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    parts = F.array_sort(F.collect_list(F.struct("block", "place", "record")))
+    # Heads without a tail before them belong to a header that crosses a border.
+    joined = torn.withColumn("chain", chain).where("chain > 0").groupBy("file", "chain").agg(
+        F.concat_ws("\n", F.transform(parts, lambda p: p.record)).alias("record")
     )
+    records = whole.select("record").unionAll(joined.select("record"))
+    ended = F.regexp_replace("record", "\r$", "")
+    return records.select(ended.alias("record")).where(F.trim("record") != "")
 
 
 def load_staging(
