@@ -268,13 +268,23 @@ def export_insights(x: Inputs) -> DataFrame:
 # --- cleaning and integrity -------------------------------------------------------------
 
 
+CHILDREN = {
+    "order_items": cleaning.clean_order_items,
+    "order_payments": cleaning.clean_payments,
+    "order_reviews": cleaning.clean_reviews,
+    "closed_deals": cleaning.clean_deals,
+}
+PARENTS_OF = {t: [r.parent for r in CLEAN_TABLES[t].references if r.resolve] for t in CHILDREN}
+
+
 def _clean_rows(table: str) -> Callable[[Inputs], DataFrame]:
     def query(x: Inputs) -> DataFrame:
         raw = x.raw()
         if table == "orders":
             return cleaning.clean_orders(raw[table], x.parents()["customers"]).rows
-        if any(ref.resolve for ref in CLEAN_TABLES[table].references):
-            return cleaning.clean_children(raw, x.parents())[table].rows
+        if table in CHILDREN:
+            parents = x.parents()
+            return CHILDREN[table](raw[table], *(parents[p] for p in PARENTS_OF[table])).rows
         if table == "category_translation":
             return cleaning.clean_categories(raw[table]).rows
         if table == "geolocation":

@@ -164,3 +164,32 @@ def test_latest_per_key_limits_before_the_exchange(spark, rows):
     assert [tuple(r)[:2] for r in kept.collect()] == [("a", 0)]
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_values_are_parsed_once_and_json_is_made_behind_the_joins(spark, rows):
+    parents = {
+        "orders": rows("order_id string", [("o1",)]),
+        "products": rows("product_id string", [("p1",)]),
+        "sellers": rows("seller_id string", [("s1",)]),
+    }
+    done = clean_table(raw_frames(spark)["order_items"], CLEAN_TABLES["order_items"], parents)
+    for df in (done.rows, done.rejects):
+        plan = df._jdf.queryExecution().optimizedPlan().toString().lower()
+        assert plan.count("try_cast") <= sum(f.type != "string" for f in CLEAN_TABLES["order_items"].fields)
+    plan = done.rejects._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "structstojson" in plan and "structstojson" not in plan[plan.index("join") :]
+    assert "structstojson" not in done.rows._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_text_rules_as_sql_equal_those_as_columns(spark, rows):
+    from pyspark.sql import functions as F
+
+    from tradewind.functions import text
+
+    words = ["santa barbara d'oeste", "embu-guacu", " ", None, "Yes", " T ", "0", "maybe", "tab\there", "é-à b"]
+    df = rows("c string", [(w,) for w in words])
+    for name in ("blank_to_null", "title_words", "truth_value"):
+        column = getattr(text, name)(F.col("c"))
+        sql = F.expr(getattr(text, f"{name}_sql")("c"))
+        got = df.select(column.alias("a"), sql.alias("b")).collect()
+        assert all(r.a == r.b for r in got), name

@@ -60,3 +60,29 @@ def test_repeated_rows_get_distinct_numbers(spark, rows):
     df = rows("a string", [("x",)] * 30 + [("y",)] * 5).repartition(4)
     got = number_rows(df, "id").collect()
     assert sorted(r.id for r in got) == list(range(1, 36))
+
+
+def test_rows_that_repeat_often_cross_the_exchange_once(spark, monkeypatch):
+    from tests.test_scale import exchanges
+    from tradewind.operators import numbering
+
+    monkeypatch.setattr(numbering, "_UNFOLDED", 1000)
+    hot = spark.range(50_000, numPartitions=8).selectExpr("if(id % 3 = 0, NULL, id % 5) AS a", "'x' AS b")
+    numbered = number_rows(hot, "id")
+    rows = numbered.collect()
+    assert sorted(r.id for r in rows) == list(range(1, 50_001))
+    assert sum(r.a is None for r in rows) == hot.where("a IS NULL").count()
+    assert max(n for _, n in exchanges(numbered)) <= 8 * 6
+
+
+def test_building_plans_of_all_tables_starts_no_job(spark):
+    from tests.market import raw_frames
+    from tradewind.operators.cleaning import clean_all
+
+    raw = raw_frames(spark)
+    spark.sparkContext.setJobGroup("plans", "plans")
+    try:
+        clean_all(raw)
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("plans")) == 0
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

@@ -125,7 +125,7 @@ def exchanges(df) -> list[tuple[str, int]]:
         name = node.nodeName()
         if name == "AdaptiveSparkPlan":
             stack.append(node.executedPlan())
-        elif name in ("ShuffleQueryStage", "BroadcastQueryStage"):
+        elif name.endswith("QueryStage"):
             stack.append(node.plan())
         else:
             if name == "Exchange":

@@ -33,3 +33,24 @@ def truth_value(text: Column) -> Column:
     """Three-valued boolean from free text: anything unknown is NULL."""
     word = F.lower(F.trim(text))
     return F.when(word.isin(*TRUE_WORDS), F.lit(True)).when(word.isin(*FALSE_WORDS), F.lit(False))
+
+
+# The same as SQL text, for plans with hundreds of expressions: a text is one call to the JVM,
+# a Column one for every function in it.
+
+
+def blank_to_null_sql(text: str) -> str:
+    return f"nullif(trim({text}), '')"
+
+
+def title_words_sql(text: str) -> str:
+    marked = f"regexp_replace(lower({text}), r'{_GAP}', '$1\\u0001 ')"
+    return f"replace(initcap({marked}), '\\u0001 ', '')"
+
+
+def truth_value_sql(text: str) -> str:
+    listed = lambda words: ", ".join(f"'{w}'" for w in words)
+    return (
+        f"CASE WHEN lower(trim({text})) IN ({listed(TRUE_WORDS)}) THEN true"
+        f" WHEN lower(trim({text})) IN ({listed(FALSE_WORDS)}) THEN false END"
+    )

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tradewind.functions.text import blank_to_null, title_words, truth_value
+from tradewind.functions.text import blank_to_null_sql, title_words_sql, truth_value_sql
 from tradewind.operators.numbering import number_rows
 from tradewind.sources.contracts import CLEAN_TABLES, DOMAINS, Contract, Field
 
@@ -27,7 +27,12 @@ _DAY = r"\d{4}-\d{1,2}-\d{1,2}"
 _TIME = r"([ T]\d{1,2}:\d{2}(:\d{2}(\.\d{1,6})?)?)?"
 _SHAPES = {"date": f"^{_DAY}{_TIME}$", "timestamp_ntz": f"^{_DAY}{_TIME}$"}
 
-_FOLDS = {None: lambda c: c, "lower": F.lower, "upper": F.upper, "title": title_words}
+_FOLDS = {
+    None: lambda text: text,
+    "lower": lambda text: f"lower({text})",
+    "upper": lambda text: f"upper({text})",
+    "title": title_words_sql,
+}
 
 
 @dataclass(frozen=True)
@@ -36,76 +41,84 @@ class Cleaned:
     rejects: DataFrame  # table_name, reason, raw_row
 
 
-def _value(field: Field) -> Column:
+def _value(field: Field, raw: str) -> str:
     """Typed value of a field, before its default and bounds apply."""
-    raw = F.col(field.source)
     if field.type == "boolean":
-        return truth_value(raw)
+        return truth_value_sql(raw)
     if field.type == "string":
-        kept = F.trim(raw) if field.blank == "keep" else blank_to_null(raw)
-        return _FOLDS[field.fold](kept)
+        return _FOLDS[field.fold](f"trim({raw})" if field.blank == "keep" else blank_to_null_sql(raw))
     # A bounded small number is parsed wide first, so 99999 is lowered and not refused.
     wide = "int" if field.type == "smallint" else field.type
-    filled = blank_to_null(raw)
+    filled = blank_to_null_sql(raw)
     if wide in _SHAPES:
-        filled = F.when(filled.rlike(_SHAPES[wide]), filled)
-    return filled.try_cast(wide)
+        filled = f"CASE WHEN {filled} RLIKE r'{_SHAPES[wide]}' THEN {filled} END"
+    return f"try_cast({filled} AS {wide})"
 
 
-def _finished(field: Field) -> Column:
-    value = _value(field)
-    target = None if field.type == "string" else field.type
+def _finished(field: Field, value: str) -> str:
     if field.default is not None:
-        value = F.coalesce(value, F.lit(field.default).cast(target or "string"))
-    for bound, clamp in ((field.low, F.greatest), (field.high, F.least)):
+        value = f"coalesce({value}, CAST('{field.default}' AS {field.type}))"
+    for bound, clamp in ((field.low, "greatest"), (field.high, "least")):
         if bound is not None:
             # greatest/least skip NULL, so a missing value must not turn into the bound
-            value = F.when(value.isNotNull(), clamp(value, F.lit(bound)))
-    return (value.cast(target) if target else value).alias(field.name)
+            value = f"CASE WHEN {value} IS NOT NULL THEN {clamp}({value}, {bound}) END"
+    return value if field.type == "string" else f"CAST({value} AS {field.type})"
 
 
-def _reasons(field: Field) -> list[Column]:
-    raw = F.col(field.source)
-    filled = blank_to_null(raw)
+def _reasons(field: Field, raw: str, value: str) -> list[str]:
+    filled = blank_to_null_sql(raw)
     found = []
     if field.must_fill:
-        found.append(F.when(filled.isNull(), F.lit(f"blank_{field.source}")))
+        found.append((f"{filled} IS NULL", "blank"))
     elif field.required and field.default is None:
-        found.append(F.when(raw.isNull(), F.lit(f"null_{field.source}")))
+        found.append((f"{raw} IS NULL", "null"))
     if field.type not in ("string", "boolean"):
-        found.append(
-            F.when(filled.isNotNull() & _value(field).isNull(), F.lit(f"malformed_{field.source}"))
-        )
+        found.append((f"{value} IS NULL AND {filled} IS NOT NULL", "malformed"))
     if field.limit is not None:
-        found.append(F.when(F.length(_value(field)) > field.limit, F.lit(f"too_long_{field.source}")))
-    return found
+        found.append((f"length({value}) > {field.limit}", "too_long"))
+    return [f"CASE WHEN {broken} THEN '{why}_{field.source}' END" for broken, why in found]
 
 
-def _out_of_domain(contract: Contract) -> list[Column]:
+def _out_of_domain(contract: Contract, values: Mapping[str, str]) -> list[str]:
     """Reasons for finished values that a declared CHECK forbids."""
     found = []
     for domain in DOMAINS:
         if domain.table == contract.name:
             field = contract.field(domain.column)
-            kept = F.lit(True)
-            if domain.low is not None:
-                kept = kept & (_finished(field) >= domain.low)
-            if domain.high is not None:
-                kept = kept & (_finished(field) <= domain.high)
-            found.append(F.when(~kept, F.lit(f"out_of_domain_{field.source}")))
+            finished = _finished(field, values[field.name])
+            bounds = ((domain.low, ">="), (domain.high, "<="))
+            kept = " AND ".join(f"{finished} {sign} {b}" for b, sign in bounds if b is not None)
+            found.append(f"CASE WHEN NOT ({kept}) THEN 'out_of_domain_{field.source}' END")
     return found
 
 
 def shape_rows(raw: DataFrame, contract: Contract) -> DataFrame:
-    """Typed columns plus the first reject reason (NULL for a good row) and the raw row."""
-    reasons = [r for f in contract.fields for r in _reasons(f)] + _out_of_domain(contract)
-    return raw.select(
-        *[_finished(f) for f in contract.fields],
-        F.coalesce(*reasons).alias(REASON),
-        F.to_json(F.struct(*[F.col(f.source) for f in contract.fields])).alias(RAW_ROW),
+    """Typed columns, the first reject reason (NULL for a good row) and the raw fields.
+
+    Every field is parsed once.  The parsed values pass a generator, because a filter on the
+    reason would otherwise be pushed below the projection and parse them a second time.
+    The raw fields stay apart, for `raw_json`: a row that is not refused never becomes JSON.
+    """
+    fields = list(enumerate(contract.fields))
+    parsed = [f"'_raw{i}', `{f.source}`" for i, f in fields]
+    parsed += [f"'_value{i}', {_value(f, f'`{f.source}`')}" for i, f in fields]
+    once = raw.selectExpr(f"inline(array(named_struct({', '.join(parsed)})))")
+    values = {f.name: f"_value{i}" for i, f in fields}
+    reasons = [r for i, f in fields for r in _reasons(f, f"_raw{i}", values[f.name])]
+    reasons += _out_of_domain(contract, values)
+    return once.selectExpr(
+        *(f"{_finished(f, values[f.name])} AS `{f.name}`" for _, f in fields),
+        f"coalesce({', '.join(reasons)}) AS {REASON}" if reasons else f"CAST(NULL AS string) AS {REASON}",
+        *(f"_raw{i}" for i, _ in fields),
     )
 
 
+def raw_json(contract: Contract) -> str:
+    """The raw row of a shaped one, as JSON."""
+    named = ", ".join(f"'{f.source}', _raw{i}" for i, f in enumerate(contract.fields))
+    return f"to_json(named_struct({named}))"
+
+
 def clean_table(
     raw: DataFrame, contract: Contract, parents: Mapping[str, DataFrame] | None = None
 ) -> Cleaned:
@@ -113,28 +126,27 @@ def clean_table(
 
     Good rows pass semi joins, which cannot repeat a row even if a parent key does.  The
     refused rows are found in one pass of their own, by left joins that leave a mark.  AQE
-    can split a parent that owns many of the rows over several tasks in both kinds.
+    can split a parent that owns many of the rows over several tasks in both kinds.  Through
+    an exchange go the typed columns of good rows, or the parent keys, reason and raw fields
+    of the others' pass; JSON is made of refused rows alone, behind all joins.
     """
     shaped = shape_rows(raw, contract)
-    good = shaped.where(F.col(REASON).isNull())
-    marked, lost = shaped, []
+    names = [f.name for f in contract.fields]
+    good, marked, lost = shaped.where(f"{REASON} IS NULL").select(*names), shaped, []
     for ref in contract.references:
         if not ref.resolve:
             continue
         columns = list(ref.columns)
-        known = parents[ref.parent].select(
-            *[F.col(p).alias(c) for c, p in zip(columns, ref.parent_columns)]
-        )
-        good = good.join(known, columns, "left_semi")
         mark = f"_has_{ref.parent}"
-        marked = marked.join(known.withColumn(mark, F.lit(True)), columns, "left")
-        lost.append(F.when(F.col(mark).isNull(), F.lit(f"orphan_{ref.parent}")))
-    refused = marked.select(
-        F.lit(contract.name).alias("table_name"),
-        F.coalesce(F.col(REASON), *lost).alias("reason"),
-        RAW_ROW,
-    ).where(F.col("reason").isNotNull())
-    return Cleaned(good.select(*[f.name for f in contract.fields]), refused)
+        keys = [f"`{p}` AS `{c}`" for c, p in zip(columns, ref.parent_columns)]
+        good = good.join(parents[ref.parent].selectExpr(*keys), columns, "left_semi")
+        marked = marked.join(parents[ref.parent].selectExpr(*keys, f"true AS {mark}"), columns, "left")
+        lost.append(f"CASE WHEN {mark} IS NULL THEN 'orphan_{ref.parent}' END")
+    refused = marked.withColumn("reason", F.expr(f"coalesce({', '.join([REASON, *lost])})"))
+    refused = refused.where("reason IS NOT NULL").selectExpr(
+        f"'{contract.name}' AS table_name", "reason", f"{raw_json(contract)} AS {RAW_ROW}"
+    )
+    return Cleaned(good.select(*names), refused)
 
 
 def latest_per_key(rows: DataFrame, key: list[str], newest_first: list[Column]) -> DataFrame:

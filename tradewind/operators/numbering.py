@@ -79,10 +79,40 @@ def stored_positions(rows: DataFrame, label: str) -> DataFrame:
     )
 
 
+# Numbers that one row of a group is unfolded into at a time.
+_UNFOLDED = 1 << 16
+
+
 def number_rows(rows: DataFrame, name: str) -> DataFrame:
-    """Append a dense 1..N to rows that may repeat; which copy gets which number is free."""
-    placed = stored_positions(rows, f"numbered-{name}")
-    return placed.select((F.col("_position") + 1).alias(name), *rows.columns)
+    """Prepend a dense 1..N to rows that may repeat; lazy.
+
+    Equal rows meet on the map side and cross the exchange as one row with their count, so a
+    row that repeats a billion times is no burden; behind the numbering they are unfolded in
+    place.  Numbers follow (slice of the row, row), as in `assign_surrogate_keys`, and depend
+    on the data alone: equal rows may swap theirs without a difference.
+    """
+    columns = rows.columns
+    of_row = key_slice(columns)
+    sizes = rows.select(of_row.alias("_slice")).groupBy("_slice").agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_slice", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+
+    inside = Window.partitionBy("_slice").orderBy(*[F.asc_nulls_first(c) for c in columns])
+    upto = F.sum("_copies").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    groups = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
+    placed = groups.withColumn("_slice", of_row).withColumn("_upto", upto)
+    # At most 65,536 starts.
+    placed = placed.join(F.broadcast(starts), "_slice").select(
+        *columns, "_copies", (F.col("_start") + F.col("_upto") - F.col("_copies")).alias("_before")
+    )
+    blocks = F.explode(F.sequence(F.lit(0), F.expr(f"(_copies - 1) div {_UNFOLDED}")))
+    last = F.least(F.col("_copies"), (F.col("_block") + 1) * _UNFOLDED)
+    numbers = F.explode(F.sequence(F.col("_block") * _UNFOLDED + 1, last))
+    return (
+        placed.withColumn("_block", blocks)
+        .withColumn("_nth", numbers)
+        .select((F.col("_before") + F.col("_nth")).alias(name), *columns)
+    )
 
 
 def global_ntile(rows: DataFrame, order: list[Column], buckets: int, name: str) -> DataFrame:

@@ -15,6 +15,8 @@ RECOMMENDED_CONF = {
     # Splitting a hot join key is worth an extra exchange behind the join.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Looking up the Python line of every expression takes longer than building it.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 # Shuffled bytes a task should start from, and the least number of partitions.  AQE merges
