@@ -2,25 +2,27 @@ from __future__ import annotations
 
 import random
 import re
+from pathlib import Path
 
 import pytest
 
 from tradewind.llm import jaccard
 from tradewind.llm.components import components
+from tradewind.session import scratch_path
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 UP = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def shingles(text):
+def shingles(text, size):
     words = WORD.findall((text or "").translate(UP))
-    if 0 < len(words) < 4:
+    if 0 < len(words) < size:
         return {tuple(words)}
-    return {tuple(words[i : i + 4]) for i in range(len(words) - 3)}
+    return {tuple(words[i : i + size]) for i in range(len(words) - size + 1)}
 
 
-def brute(docs):
-    sets = [(d, shingles(t)) for d, t in docs]
+def brute(docs, size=4, share=85):
+    sets = [(d, shingles(t, size)) for d, t in docs]
     up = list(range(len(sets)))
 
     def root(i):
@@ -31,7 +33,7 @@ def brute(docs):
     for i, (_, a) in enumerate(sets):
         for j in range(i):
             b = sets[j][1]
-            if a and b and 100 * len(a & b) >= 85 * len(a | b):
+            if a and b and 100 * len(a & b) >= share * len(a | b):
                 up[max(root(i), root(j))] = min(root(i), root(j))
     low = {}
     for i, (d, _) in enumerate(sets):
@@ -81,16 +83,57 @@ def test_equals_all_pairs(spark, documents, seed):
 
 def test_both_sides_of_the_boundary_meet(spark, documents, monkeypatch):
     docs = sample(3)
-    for boundary in (jaccard.ALONE, 9, 12, 60):
+    for boundary in (jaccard.Rule().alone, 9, 12, 60):
         monkeypatch.setattr(jaccard, "choose_boundary", lambda *_, b=boundary: b)
         rows = jaccard.op10_jaccard_join(spark, documents(docs)).collect()
         assert sorted(map(tuple, rows)) == brute(docs), boundary
 
 
+def test_frequencies_that_fall_together_lose_nothing(spark, documents, monkeypatch):
+    docs = sample(4)
+    # 256 cells for all tokens, many chunks and buckets.
+    monkeypatch.setattr(jaccard, "CELLS", 0)
+    monkeypatch.setattr(jaccard, "CHUNK_BYTES", 3000)
+    monkeypatch.setattr(jaccard.pk, "BUCKET_BYTES", 2000)
+    rows = jaccard.op10_jaccard_join(spark, documents(docs)).collect()
+    assert sorted(map(tuple, rows)) == brute(docs)
+
+
+def test_other_shingles_and_shares(spark, documents):
+    docs = sample(5)
+    df = spark.read.parquet(f"{documents(docs)}/documents.parquet")
+    rows = jaccard.jaccard_components(df, rule=jaccard.Rule(5, 80)).collect()
+    assert sorted(map(tuple, rows)) == brute(docs, 5, 80)
+
+
+def test_a_hot_group_over_many_partitions(spark, documents):
+    draw = random.Random(8)
+    base = [f"w{draw.randrange(10**6)}" for _ in range(150)]
+    docs = []
+    for i in range(300):
+        text = list(base)
+        # Every copy has a word of its own; some are too far away.
+        for _ in range(1 if i % 3 else 9):
+            text[draw.randrange(150)] = f"x{i}"
+        docs.append((i, " ".join(text)))
+    docs += [(1000 + i, " ".join(f"y{i}-{k}" for k in range(60))) for i in range(200)]
+    df = spark.read.parquet(f"{documents(docs)}/documents.parquet").repartition(40)
+    assert sorted(map(tuple, jaccard.jaccard_components(df).collect())) == brute(docs)
+
+
+def test_only_what_the_result_reads_stays_in_the_scratch_folder(spark, documents):
+    df = spark.read.parquet(f"{documents(sample(6))}/documents.parquet")
+    root = Path(scratch_path(spark, "x").removeprefix("file:")).parent
+    before = set(root.iterdir()) if root.exists() else set()
+    kept = jaccard.one_of_each(df, "text", "doc_id")
+    assert {p.name.rpartition("-")[0] for p in set(root.iterdir()) - before} == {"jaccard-chosen"}
+    assert kept.count() == kept.count() > 0
+
+
 def test_cost_moves_the_boundary():
     sizes = {n: 100 for n in range(6, 200)}
     short, long = jaccard.choose_boundary(sizes, 1.0), jaccard.choose_boundary(sizes, 12.0)
-    assert jaccard.ALONE <= short < long
+    assert jaccard.Rule().alone <= short < long
 
 
 def test_repeated_rows_null_ids_and_an_empty_table(spark, documents):

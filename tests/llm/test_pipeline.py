@@ -52,7 +52,7 @@ def corpus():
 def expected(rows, items):
     """Ids and texts that reach the mixing stage."""
     rows = [r for r in rows if r[1] and any(c.isalpha() for c in r[1])]
-    root = {d: c for d, _, c in components([(r[0], r[1]) for r in rows])}
+    root = {d: c for d, _, c in components([(r[0], r[1]) for r in rows], 5, 80)}
     rows = [r for r in rows if root[r[0]] == r[0]]
     leaks = lambda text: any(
         smith_waterman(i.split(), text.lower().split()) >= len(i.split()) for _, i in items

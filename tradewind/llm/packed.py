@@ -23,6 +23,7 @@ from . import textgrid as tg
 from .common import stored
 
 CHUNK_BYTES = 1 << 20
+CHUNK_ROWS = 1 << 16
 # Bytes of text per bucket of keys.
 BUCKET_BYTES = 16 << 20
 
@@ -79,7 +80,7 @@ def pack(docs: DataFrame, text: str, keep: list[str], chunk_bytes: int = CHUNK_B
             for part in tg.cut(batch, 0, chunk_bytes // 4):
                 held.append(part)
                 size += len(tg.flat(part.column(0))[0])
-                if size >= chunk_bytes:
+                if size >= chunk_bytes or sum(map(len, held)) >= CHUNK_ROWS:
                     yield packed()
                     size = 0
         if held:

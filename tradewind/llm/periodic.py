@@ -39,8 +39,6 @@ from .common import fresh, key_text, table, with_fields
 
 LEAST_WORDS = 6
 LEAST_TIMES = 4
-# Rows of one slice: each costs a separator, even without words.
-SLICE_ROWS = 1 << 14
 
 RUNS = "array<struct<start:long,length:long,period:long>>"
 
@@ -281,13 +279,9 @@ def attach_runs(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in tg.cut(batch, names.index(text)):
-                for k in range(0, len(part), SLICE_ROWS):
-                    piece = part.slice(k, SLICE_ROWS)
-                    own = piece.column(names.index(seed)) if seed else None
-                    found = _scan(piece.column(names.index(text)), own, least, times)
-                    yield pa.RecordBatch.from_arrays(
-                        [*piece.columns, *found], names=[*names, runs, collapsed]
-                    )
+                own = part.column(names.index(seed)) if seed else None
+                found = _scan(part.column(names.index(text)), own, least, times)
+                yield pa.RecordBatch.from_arrays([*part.columns, *found], names=[*names, runs, collapsed])
 
     return docs.mapInArrow(run, schema)
 

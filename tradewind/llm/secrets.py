@@ -160,6 +160,8 @@ def findings(ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     return spans.groupBy("blob").agg(F.sort_array(F.collect_list(span)).alias("spans"))
 
 
+# Cells of blobs with findings that are known to all tasks.
+CELLS = 1 << 20
 _SPANS = "array<struct<start bigint, kind int, end bigint>>"
 
 
@@ -175,21 +177,30 @@ def attach_spans(
 
     `keep`: columns to return, all by default.  Many rows of one blob are a hot join key; the
     findings are written down first, so both sides of the join have an exchange that adaptive
-    execution can split.
+    execution can split.  Where the text is kept, only rows whose blob shares one of CELLS cells
+    with a blob that has findings go through that exchange; the others stay where they are.
     """
     spark = docs.sparkSession
     scan_blobs(docs, text, ledger, rules)
     found = findings(read_ledger(spark, ledger), rules)
     path = scratch_path(spark, "findings")
     found.write.parquet(path)
-    blob, there = fresh("blob"), fresh("spans")
+    blob, there, cell = fresh("blob"), fresh("spans"), fresh("cell")
     found = spark.read.schema(f"blob binary, spans {_SPANS}").parquet(path)
     found = found.select(F.col("blob").alias(blob), F.col("spans").alias(there))
     keep = docs.columns if keep is None else keep
     paths = docs.withColumn(blob, blob_of(F.col(text))).select(*keep, blob)
-    joined = paths.join(found, blob, "left")
-    spans = F.coalesce(F.col(there), F.array().cast(_SPANS)).alias(into)
-    return joined.select(*keep, spans)
+    none = F.array().cast(_SPANS)
+    if text not in keep:
+        joined = paths.join(found, blob, "left")
+        return joined.select(*keep, F.coalesce(F.col(there), none).alias(into))
+    paths = paths.withColumn(cell, F.pmod(F.xxhash64(blob), F.lit(CELLS)))
+    # At most CELLS rows.
+    cells = F.broadcast(found.select(F.pmod(F.xxhash64(blob), F.lit(CELLS)).alias(cell)).distinct())
+    joined = paths.join(cells, cell, "left_semi").join(found, blob, "left")
+    joined = joined.select(*keep, F.coalesce(F.col(there), none).alias(into))
+    others = paths.join(cells, cell, "left_anti").select(*keep, none.alias(into))
+    return joined.unionAll(others)
 
 
 def span_text(spans: Column, rules: tuple[Rule, ...] = RULES) -> Column:

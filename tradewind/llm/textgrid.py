@@ -2,7 +2,8 @@
 
 Python objects per word would cost more than all else that the operators do, so a batch of
 texts stays one byte array: words are pairs of positions and are compared by 64-bit hashes.
-Batches are cut into slices of about SLICE_BYTES (a text is never cut), which bounds memory.
+Batches are cut into slices of about SLICE_BYTES and at most SLICE_ROWS texts (a text is never
+cut), which bounds memory.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 1 << 20
+SLICE_ROWS = 1 << 14
 U64 = np.uint64
 
 _random = np.random.default_rng(20240229)
@@ -29,14 +31,16 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-def cut(batch: pa.RecordBatch, column: str | int, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Runs of rows whose texts have about `size` bytes together, at least one row each."""
+def cut(
+    batch: pa.RecordBatch, column: str | int, size: int = SLICE_BYTES, rows: int = SLICE_ROWS
+) -> Iterator[pa.RecordBatch]:
+    """Runs of rows whose texts have about `size` bytes together, at most `rows` and at least one."""
     lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     group = (np.cumsum(lengths.astype(np.int64)) - lengths) // size
     edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(group)]
     for a, b in zip(edges, edges[1:], strict=False):
-        if b > a:
-            yield batch.slice(a, b - a)
+        for k in range(a, b, rows):
+            yield batch.slice(k, min(rows, b - k))
 
 
 def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
