@@ -6,7 +6,8 @@ costs one stage at most.  All stages but the last return the columns of `documen
 
 1. language: a document in none of the labelled languages goes (no letters, null text, letter
    noise, languages never learnt); texts of a few letters get the benefit of the doubt;
-2. near copies: of each group that links by word 4-grams the row with the smallest id stays;
+2. near copies: of each group of texts that share 80 % of their word 5-grams the row with the
+   smallest id stays;
 3. decontamination: a document that holds a benchmark item, exact or edited, goes;
 4. secrets: every finding is replaced by a mark, and n_chars follows; no document goes;
 5. mixing: documents are repeated or left out until the sources have their target weights; the
@@ -39,7 +40,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return jaccard.one_of_each(docs, "text", "doc_id")
+    return jaccard.one_of_each(docs, "text", "doc_id", jaccard.Rule(shingle=5, share=80))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
