@@ -16,6 +16,9 @@ from tradewind.sources.landing import (
 )
 from tradewind.sources.tables import (
     materialize_table,
+    LayerVersion,
+    StaleVersion,
+    expire_versions,
     overwrite_layer,
     publish_bi_tables,
     read_layer,
@@ -188,6 +191,34 @@ def test_published_tables_are_external(spark, tmp_path, rows):
     publish_bi_tables(spark, {"t": df}, str(tmp_path), database="shopbi")
     assert spark.table("shopbi.t").count() == 2
     spark.sql("DROP TABLE shopbi.t")
-    assert spark.read.parquet(str(tmp_path / "t")).count() == 2
+    assert read_layer(spark, str(tmp_path))["t"].count() == 2
     publish_bi_tables(spark, {"t": df}, str(tmp_path), database="shopbi")
     assert spark.table("shopbi.t").count() == 2
+
+
+def test_of_two_versions_begun_together_one_is_published(spark, tmp_path, rows):
+    root = str(tmp_path / "layer")
+    overwrite_layer(spark, {"a": rows("x int", [(0,)])}, root)
+    first, second = LayerVersion(spark, root), LayerVersion(spark, root)
+    for n, version in enumerate((first, second), 1):
+        version.put({"a": rows("x int", [(n,)])})
+        version.put({"a": rows("x int", [(10 * n,)])}, "bi")
+    assert read_layer(spark, root)["a"].first().x == 0
+    first.publish()
+    with pytest.raises(StaleVersion):
+        second.publish()
+    assert read_layer(spark, root)["a"].first().x == 1
+    assert read_layer(spark, root, "bi")["a"].first().x == 10
+    # An entry that is still being written does not count.
+    (tmp_path / "layer" / "_versions" / "000000000003.json").write_text("")
+    assert read_layer(spark, root)["a"].first().x == 1
+
+
+def test_old_versions_expire_and_young_folders_stay(spark, tmp_path, rows):
+    root = str(tmp_path / "layer")
+    for n in range(4):
+        overwrite_layer(spark, {"a": rows("x int", [(n,)])}, root)
+    LayerVersion(spark, root).put({"a": rows("x int", [(9,)])})
+    assert expire_versions(spark, root) == []
+    assert len(expire_versions(spark, root, keep=2, least_age_hours=0)) == 3
+    assert read_layer(spark, root)["a"].first().x == 3

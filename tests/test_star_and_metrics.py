@@ -7,13 +7,16 @@ from decimal import Decimal as D
 import pytest
 
 from tests.market import raw_frames, write_csv
+from tradewind import run
 from tradewind.operators import integrity, star as builders
 from tradewind.operators.cleaning import clean_all
+from tradewind.operators.star import open_star
 from tradewind.plans import customer, delivery, funnel, growth, kpi, product, revenue, seller
 from tradewind.plans.catalog import METRICS
 from tradewind.plans.suite import run_metric_suite, suite_summary
 from tradewind.run import run_all
 from tradewind.sources.contracts import CLEAN_TABLES, STAR_TABLES
+from tradewind.sources.tables import layer_paths, read_layer
 
 
 @pytest.fixture(scope="module")
@@ -271,16 +274,37 @@ def test_suite_isolates_failures(spark, star, tmp_path, monkeypatch):
     assert tuple(suite_summary(log).first()) == (1, 2)
 
 
-def test_csv_to_insights_and_again(spark, tmp_path):
+def test_csv_to_insights_and_again(spark, tmp_path, monkeypatch):
     raw, out = tmp_path / "raw", tmp_path / "out"
     raw.mkdir()
     write_csv(raw)
-    first = run_all(spark, str(raw), str(out))
+    first = run_all(spark, str(raw), str(out), database="wholerun")
     assert tuple(suite_summary(first.log).first()) == (59, 59)
     document = first.insights.first()
     assert document.snapshot.total_gmv == D("350.01")
     assert [r.category for r in document.top_categories][:1] == ["books"]
     keys = sorted(tuple(r) for r in first.star.fact.collect())
-    again = run_all(spark, str(raw), str(out), partition_by_month=True)
+    # The star, the clean layer and the BI tables of the version are found by its root alone.
+    root = f"{out}/clean"
+    opened = open_star(spark, root)
+    assert sorted(tuple(r) for r in opened.fact.collect()) == keys
+    assert opened.lines.count() == first.star.lines.count()
+    bi = read_layer(spark, root, "bi")
+    assert {"fact_order_items", "dim_review", "closed_deals"} <= set(bi)
+    assert sorted(tuple(r) for r in spark.table("wholerun.fact_order_items").collect()) == keys
+
+    # A run that dies behind the star leaves all three on the old version.
+    before = layer_paths(spark, root, "star"), layer_paths(spark, root, "bi"), layer_paths(spark, root)
+    with monkeypatch.context() as patched:
+        patched.setattr(run, "require_all_lines", lambda _: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            run_all(spark, str(raw), str(out), database="wholerun")
+    assert before == (layer_paths(spark, root, "star"), layer_paths(spark, root, "bi"), layer_paths(spark, root))
+    assert sorted(tuple(r) for r in open_star(spark, root).fact.collect()) == keys
+
+    again = run_all(spark, str(raw), str(out), partition_by_month=True, database="wholerun")
+    assert layer_paths(spark, root, "bi") != before[1]
+    assert sorted(tuple(r) for r in spark.table("wholerun.fact_order_items").select(bi["fact_order_items"].columns).collect()) == keys
+    spark.sql("DROP DATABASE wholerun CASCADE")
     assert sorted(tuple(r) for r in again.star.fact.collect()) == keys
     assert again.quarantine.count() == first.quarantine.count() == 23

@@ -20,7 +20,7 @@ from tradewind.functions import cents, date_key, days_between, from_cents
 from tradewind.operators.cleaning import latest_per_key
 from tradewind.operators.numbering import assign_surrogate_keys
 from tradewind.sources.contracts import STAR_TABLES
-from tradewind.sources.tables import materialize_table
+from tradewind.sources.tables import materialize_table, read_layer
 
 UNTRANSLATED = "untranslated"
 
@@ -302,6 +302,10 @@ class Star:
         return {"fact_order_items": self.fact, **self.dims}
 
 
+# Wide tables that metrics read, in the order of the fields of Star.
+BOOKS = ("line_book", "order_book", "seller_book", "order_frame")
+
+
 def build_dims(clean: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     return {
         "dim_date": build_dim_date(clean["orders"]),
@@ -363,10 +367,13 @@ def require_all_lines(star: Star) -> None:
         )
 
 
-def open_star(spark: SparkSession, clean: Mapping[str, DataFrame], root: str) -> Star:
-    """A star written earlier by `build_star`."""
-    root = root.rstrip("/")
-    names = [n for n in STAR_TABLES if n != "fact_order_items"]
-    dims = {n: spark.read.parquet(f"{root}/{n}") for n in names}
-    books = ("line_book", "order_book", "seller_book", "order_frame")
-    return Star(*(spark.read.parquet(f"{root}/{n}") for n in books), dims, dict(clean))
+def star_table_names() -> list[str]:
+    """Everything that `build_star` writes."""
+    return [n for n in STAR_TABLES if n != "fact_order_items"] + list(BOOKS)
+
+
+def open_star(spark: SparkSession, root: str) -> Star:
+    """The star of the current version below a root, with the clean layer it was built from."""
+    stored = read_layer(spark, root, "star")
+    dims = {n: stored[n] for n in STAR_TABLES if n != "fact_order_items"}
+    return Star(*(stored[n] for n in BOOKS), dims, read_layer(spark, root))

@@ -19,18 +19,23 @@ from tradewind.operators.cleaning import (
     rows_of,
 )
 from tradewind.operators.integrity import require_constraints
-from tradewind.operators.star import Star, build_star, require_all_lines
+from tradewind.operators.star import Star, build_star, require_all_lines, star_table_names
 from tradewind.plans.suite import export_insights, run_metric_suite, suite_summary
 from tradewind.session import input_bytes, open_session, size_for
 from tradewind.sources.contracts import CLEAN_TABLES
 from tradewind.sources.landing import load_staging
 from tradewind.sources.tables import (
     LayerVersion,
+    expire_versions,
+    layer_paths,
     overwrite_layer,
-    publish_bi_tables,
     read_layer,
+    register_tables,
 )
 
+# Clean tables that BI readers get beside the star.
+FUNNEL = ("qualified_leads", "closed_deals")
+
 
 @dataclass(frozen=True)
 class Outcome:
@@ -65,9 +70,10 @@ def build_layers(
     refused = version.put({"quarantine": refused})["quarantine"]
     require_constraints(clean, CLEAN_TABLES)
 
-    # The star belongs to the version: it is published with the clean layer or not at all.
-    star = build_star(spark, clean, f"{version.folder}/star", partition_by_month)
+    star = build_star(spark, clean, version.place("star"), partition_by_month)
     require_all_lines(star)
+    version.name("star", star_table_names())
+    version.put({**star.tables(), **{n: clean[n] for n in FUNNEL}}, "bi")
     version.publish()
     return star, refused
 
@@ -82,8 +88,10 @@ def run_all(
     star, quarantine = build_layers(spark, raw_folder, out, partition_by_month)
     log = run_metric_suite(spark, star, f"{out}/suite")
     insights = export_insights(spark, star, f"{out}/suite")
-    funnel = {n: star.clean[n] for n in ("qualified_leads", "closed_deals")}
-    publish_bi_tables(spark, {**star.tables(), **funnel}, f"{out}/bi", database)
+    if database:
+        register_tables(spark, layer_paths(spark, f"{out}/clean", "bi"), database)
+    for layers in ("staging", "clean"):
+        expire_versions(spark, f"{out}/{layers}")
     return Outcome(star, quarantine, log, insights)
 
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
+import time
 import uuid
 from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Row, SparkSession
 
 _VERSIONS = "_versions"
 WRITERS = 8  # tables written side by side by one driver
@@ -41,12 +43,18 @@ def _stored_schema(df: DataFrame, partition_columns: list[str]):
     return schema
 
 
+class StaleVersion(RuntimeError):
+    """Somebody else has published since this version was begun."""
+
+
 class LayerVersion:
-    """A new version of a layer: tables are put one after another, then published.
+    """A new version of layers: tables are put one after another, then published together.
 
-    Tables go into a folder of their own, and only publishing appends a row to the version
-    list.  A run that dies half-way never gets there, so readers stay on the previous
-    version; a re-run starts from scratch.
+    Tables go into a folder of their own.  Publishing creates the next numbered entry of the
+    manifest, a small file that names every table of every layer, and fails if that number is
+    taken: of two runs that began from the same version only one gets through, and a run that
+    dies half-way never gets there.  Readers stay on the previous version until then, for all
+    layers at once; a re-run starts from scratch.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -54,26 +62,58 @@ class LayerVersion:
         self.root = root.rstrip("/")
         self.version = f"v-{uuid.uuid4().hex}"
         self.folder = f"{self.root}/{self.version}"
-        self._names: list[str] = []
+        self._follows = max((e["number"] for e in _manifest(spark, self.root)), default=0)
+        self._tables: list[dict[str, str]] = []
+
+    def place(self, layer: str = "") -> str:
+        return f"{self.folder}/{layer}".rstrip("/")
 
-    def put(self, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    def put(self, tables: Mapping[str, DataFrame], layer: str = "") -> dict[str, DataFrame]:
         """Store tables that do not read each other side by side; returns them read back."""
 
         def store(name: str) -> DataFrame:
-            return materialize_table(tables[name], f"{self.folder}/{name}", mode="errorifexists")
+            return materialize_table(tables[name], f"{self.place(layer)}/{name}", mode="errorifexists")
 
-        with ThreadPoolExecutor(max_workers=min(len(tables), WRITERS)) as pool:
+        with ThreadPoolExecutor(max_workers=min(max(1, len(tables)), WRITERS)) as pool:
             stored = dict(zip(tables, pool.map(store, tables)))
-        self._names += tables
+        self.name(layer, tables)
         return stored
 
+    def name(self, layer: str, names: Iterable[str]) -> None:
+        """Tables that were written below `place(layer)` by other means."""
+        self._tables += [{"layer": layer, "name": n} for n in names]
+
     def publish(self) -> None:
-        entry = self.spark.range(1, numPartitions=1).select(
-            F.lit(self.version).alias("version"),
-            F.unix_micros(F.current_timestamp()).alias("written_at"),
-            F.array(*[F.lit(n) for n in self._names]).alias("tables"),
+        entry = {
+            "number": self._follows + 1,
+            "version": self.version,
+            "written_at": time.time_ns() // 1000,
+            "tables": self._tables,
+        }
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(
+            f"{self.root}/{_VERSIONS}/{entry['number']:012d}.json"
         )
-        entry.write.mode("append").json(f"{self.root}/{_VERSIONS}")
+        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if files.exists(path):
+            raise StaleVersion(f"{self.root} has moved on from version {self._follows}")
+        try:
+            out = files.create(path, False)
+        except Py4JJavaError as problem:
+            raise StaleVersion(f"{self.root} has moved on from version {self._follows}") from problem
+        out.write(bytearray(json.dumps(entry).encode() + b"\n"))
+        out.close()
+
+
+_ENTRY = "number bigint, version string, written_at bigint, tables array<struct<layer string, name string>>"
+
+
+def _manifest(spark: SparkSession, root: str) -> list[Row]:
+    """The entries of a root's manifest by number; one that is being written does not count yet."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{_VERSIONS}")
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return []
+    entries = spark.read.schema(_ENTRY).json(path.toString())
+    return entries.where("number IS NOT NULL AND tables IS NOT NULL").orderBy("number").collect()
 
 
 def overwrite_layer(spark: SparkSession, tables: Mapping[str, DataFrame], root: str) -> str:
@@ -84,16 +124,60 @@ def overwrite_layer(spark: SparkSession, tables: Mapping[str, DataFrame], root:
     return version.folder
 
 
-def read_layer(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The tables of the layer's current version."""
+def layer_paths(spark: SparkSession, root: str, layer: str = "") -> dict[str, str]:
+    """Where the tables of the current version of a layer lie."""
     root = root.rstrip("/")
-    versions = spark.read.schema("version string, written_at bigint, tables array<string>").json(
-        f"{root}/{_VERSIONS}"
-    )
-    newest = versions.orderBy(F.desc("written_at"), "version").first()
-    if newest is None:
+    entries = _manifest(spark, root)
+    if not entries:
         raise FileNotFoundError(f"no complete version below {root}")
-    return {name: spark.read.parquet(f"{root}/{newest.version}/{name}") for name in newest.tables}
+    newest = entries[-1]
+    folder = f"{root}/{newest.version}/{layer}".rstrip("/")
+    return {t.name: f"{folder}/{t.name}" for t in newest.tables if t.layer == layer}
+
+
+def read_layer(spark: SparkSession, root: str, layer: str = "") -> dict[str, DataFrame]:
+    """The tables of the layer's current version."""
+    paths = layer_paths(spark, root, layer)
+    return {name: spark.read.parquet(path) for name, path in paths.items()}
+
+
+def expire_versions(spark: SparkSession, root: str, keep: int = 2, least_age_hours: float = 24) -> list[str]:
+    """Remove the files of old versions; returns their names.
+
+    The newest `keep` published versions stay, and so do folders that were changed in the last
+    `least_age_hours`: a run may still be writing one, a reader may still be reading the other.
+    What runs that died left behind goes too.
+    """
+    root = root.rstrip("/")
+    kept = {e.version for e in _manifest(spark, root)[-keep:]}
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    gone = []
+    for status in files.listStatus(path):
+        name = status.getPath().getName()
+        age = time.time() - status.getModificationTime() / 1000
+        if name.startswith("v-") and name not in kept and age >= least_age_hours * 3600:
+            files.delete(status.getPath(), True)
+            gone.append(name)
+    return gone
+
+
+def register_tables(spark: SparkSession, paths: Mapping[str, str], database: str) -> dict[str, DataFrame]:
+    """Point external catalog tables at stored tables; dropping one never deletes its files.
+
+    A table of the same columns only gets a new location, in one step of the catalog.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    for name, path in paths.items():
+        table, schema = f"{database}.{name}", spark.read.parquet(path).schema
+        place = path.replace("'", "\\'")
+        if spark.catalog.tableExists(table) and spark.table(table).schema == schema:
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{place}'")
+        else:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+            spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{place}'")
+        spark.catalog.refreshTable(table)
+    return {name: spark.table(f"{database}.{name}") for name in paths}
 
 
 def publish_bi_tables(
@@ -102,20 +186,11 @@ def publish_bi_tables(
     path: str,
     database: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Expose tables to a BI tool: Parquet folders, and catalog tables when named.
+    """Expose tables to a BI tool: a layer that changes as a whole, and catalog tables when named.
 
-    Catalog tables are external, so dropping one never deletes its files.
+    All files are complete and published before the first catalog table is turned to them.
     """
-    published = {}
+    overwrite_layer(spark, tables, path)
     if database:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    for name, df in tables.items():
-        target = f"{path.rstrip('/')}/{name}"
-        writer = df.write.mode("overwrite")
-        if database:
-            writer.option("path", target).format("parquet").saveAsTable(f"{database}.{name}")
-            published[name] = spark.table(f"{database}.{name}")
-        else:
-            writer.parquet(target)
-            published[name] = spark.read.parquet(target)
-    return published
+        return register_tables(spark, layer_paths(spark, path), database)
+    return read_layer(spark, path)
