@@ -1,6 +1,10 @@
 from __future__ import annotations
 
+import os
 import random
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -222,3 +226,22 @@ def test_old_versions_expire_and_young_folders_stay(spark, tmp_path, rows):
     assert expire_versions(spark, root) == []
     assert len(expire_versions(spark, root, keep=2, least_age_hours=0)) == 3
     assert read_layer(spark, root)["a"].first().x == 3
+
+
+def test_workers_find_the_package_from_any_folder(tmp_path):
+    review_file(tmp_path / "r.csv", 20, random.Random(1))
+    (tmp_path / "job.py").write_text(
+        f"""
+import sys
+sys.path.insert(0, {str(Path(__file__).resolve().parents[1])!r})
+from tradewind.session import open_session
+from tradewind.sources.landing import load_staging_csv
+spark = open_session("elsewhere", "local[2]", spark__ui__enabled="false")
+print("rows", load_staging_csv(spark, "", "order_reviews", {str(tmp_path / "r.csv")!r}).count())
+"""
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run(
+        [sys.executable, "job.py"], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=200
+    )
+    assert "rows 20" in done.stdout, done.stderr[-2000:]

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -25,6 +27,7 @@ _BYTES_PER_PARTITION = 256 << 20
 _LEAST_PARTITIONS = 200
 
 _LOCAL_SCRATCH: dict[str, str] = {}
+_SHIPPED: set[str] = set()
 
 
 def sizing_conf(input_bytes: int) -> dict[str, str]:
@@ -72,6 +75,24 @@ def open_session(
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application.
+
+    Functions that run in Python workers are found there by import, and a worker does not see
+    the driver's module path.  Spark serves the archive from the driver to every executor.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="tradewind-code-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by `spark.checkpoint.dir`.
 

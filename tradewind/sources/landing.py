@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tradewind.session import ship_package
 from tradewind.sources.contracts import CLEAN_TABLES, HEADER_ALIASES, Contract
 
 _CSV = {"quote": '"', "escape": '"', "emptyValue": "", "mode": "FAILFAST"}
@@ -135,6 +136,7 @@ def quoted_records(spark: SparkSession, path: str, header: bool = True) -> DataF
     put together by a grouping over the pieces.  Quotes inside a field must be doubled, and the
     field quoted; a file whose quotes do not match stops the job.
     """
+    ship_package(spark)
     lines = _lines(spark, path)
     ranges = F.broadcast(_ranges(lines))
     placed = lines.join(ranges, ["file", "block"])
