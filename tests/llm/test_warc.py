@@ -6,6 +6,7 @@ import hashlib
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from tradewind.llm import warc
 
@@ -77,3 +78,22 @@ def test_damaged_archive_is_named():
 
 def test_empty_table(spark, tables):
     assert warc.op1_warc_normalise(spark, tables(pages=(PAGES, []))).count() == 0
+
+
+def test_archives_are_rewritten_by_many_tasks(spark, tmp_path):
+    df = spark.range(400).selectExpr("id AS page_id", "'u' AS url", "repeat(uuid(), 200) AS html").repartition(4)
+    crawl = warc.write_monolithic(df, "html", str(tmp_path), archive_bytes=200_000)
+    n_archives = crawl.select("archive").distinct().count()
+    assert n_archives >= 12
+    tasks = []
+    plain = warc.stored
+
+    def spied(frame, label):
+        if label == "warc-archives":
+            tasks.append(frame.withColumn("task", F.spark_partition_id()).select("task").distinct().count())
+        return plain(frame, label)
+
+    with pytest.MonkeyPatch.context() as patched:
+        patched.setattr(warc, "stored", spied)
+        warc.normalise(warc.stored(warc.revisits(crawl), "warc-decisions"), str(tmp_path))
+    assert tasks[0] >= n_archives // 2

@@ -26,13 +26,13 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .common import stored, table
+from .files import NewFile, file_system
 
 # Payloads below this size are never turned into revisits.
 REVISIT_BYTES = 1000
@@ -42,33 +42,6 @@ _GZIP = 31
 _DATE = "1970-01-01T00:00:00Z"
 
 
-def _file_system(path: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
-
-
-class _NewFile:
-    """A file that appears under its name only when it is complete."""
-
-    def __init__(self, path: str):
-        self._fs, self._path = _file_system(path)
-        self._fs.create_dir(self._path.rpartition("/")[0], recursive=True)
-        self._draft = f"{self._path}.{uuid.uuid4().hex[:12]}.draft"
-        self._out = self._fs.open_output_stream(self._draft, compression=None)
-        self.size = 0
-
-    def write(self, data: bytes) -> None:
-        self._out.write(data)
-        self.size += len(data)
-
-    def close(self) -> None:
-        self._out.close()
-        try:
-            self._fs.move(self._draft, self._path)
-        except OSError:
-            # A file system whose rename does not replace: an earlier attempt was complete.
-            self._fs.delete_file(self._draft)
-
-
 def record_id(archive: str, ordinal: int) -> str:
     return uuid.uuid5(uuid.NAMESPACE_URL, f"{archive}/{ordinal}").urn
 
@@ -134,7 +107,7 @@ def records(chunks: Iterator[bytes], name: str) -> Iterator[tuple[dict[str, str]
 
 
 def _chunks(path: str, size: int = 1 << 20) -> Iterator[bytes]:
-    system, place = _file_system(path)
+    system, place = file_system(path)
     with system.open_input_stream(place, compression=None) as stream:
         while chunk := stream.read(size):
             yield chunk
@@ -165,7 +138,7 @@ def write_monolithic(
             for k in range(len(batch)):
                 if out is None:
                     name = f"crawl-{part:06d}-{number:04d}.warc.gz"
-                    out, ordinal, written = _NewFile(f"{root}/monolithic/{name}"), 0, 0
+                    out, ordinal, written = NewFile(f"{root}/monolithic/{name}"), 0, 0
                     deflate = zlib.compressobj(1, zlib.DEFLATED, _GZIP)
                 body = batch.column("payload")[k].as_py() or b""
                 raw = response(name, ordinal, ids[k], urls[k], body)
@@ -215,6 +188,8 @@ def revisits(crawl: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
 def normalise(decisions: DataFrame, root: str) -> DataFrame:
     """Rewrite every archive of the decisions; (archive, n_records, n_bytes), stored.
 
+    The rows that say what to do are few next to the archives, so adaptive execution would
+    merge them, and with them the archives, into few tasks; an explicit number is left alone.
     Writes {root}/normal/<archive> and its sidecar <archive>.idx.json, a line per record.
     """
 
@@ -223,7 +198,7 @@ def normalise(decisions: DataFrame, root: str) -> DataFrame:
         refers = {
             r.ordinal: r for r in rows[rows["to_archive"].notna()].itertuples(index=False)
         }
-        out, index = _NewFile(f"{root}/normal/{name}"), []
+        out, index = NewFile(f"{root}/normal/{name}"), []
         for ordinal, (headers, block) in enumerate(records(_chunks(f"{root}/monolithic/{name}"), name)):
             headers.pop("Content-Length")
             to = refers.get(ordinal)
@@ -241,12 +216,14 @@ def normalise(decisions: DataFrame, root: str) -> DataFrame:
                           "digest": headers["WARC-Payload-Digest"]})
             out.write(member)
         out.close()
-        side = _NewFile(f"{root}/normal/{name}.idx.json")
+        side = NewFile(f"{root}/normal/{name}.idx.json")
         side.write("".join(json.dumps(x) + "\n" for x in index).encode())
         side.close()
         return pd.DataFrame({"archive": [name], "n_records": [len(index)], "n_bytes": [out.size]})
 
-    found = decisions.groupBy("archive").applyInPandas(rewrite, "archive string, n_records long, n_bytes long")
+    n_archives = max(1, decisions.select("archive").distinct().count())
+    spread = decisions.repartition(n_archives, "archive")
+    found = spread.groupBy("archive").applyInPandas(rewrite, "archive string, n_records long, n_bytes long")
     return stored(found, "warc-archives")
 
 
@@ -270,7 +247,7 @@ def read_archives(spark: SparkSession, root: str) -> DataFrame:
                 if archive != name:
                     if handle is not None:
                         handle.close()
-                    system, place = _file_system(f"{root}/normal/{archive}")
+                    system, place = file_system(f"{root}/normal/{archive}")
                     name, handle = archive, system.open_input_file(place)
                 handle.seek(offset)
                 ((headers, block),) = records(iter([handle.read(length)]), archive)
@@ -300,7 +277,7 @@ def archive_pages(pages: DataFrame, payload: str, root: str) -> DataFrame:
     crawl = write_monolithic(pages, payload, root)
     if crawl.isEmpty():
         return spark.createDataFrame([], _PAGES)
-    normalise(revisits(crawl), root)
+    normalise(stored(revisits(crawl), "warc-decisions"), root)
     return read_archives(spark, root)
 
 
