@@ -39,6 +39,8 @@ from .common import fold_of, key_text, stored, table, with_fields
 UNKNOWN = "und"
 WIDTH_BITS = 14
 WIDTH = 1 << WIDTH_BITS
+# Texts of a slice: each takes WIDTH numbers, however short it is.
+MOST_ROWS = 256
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -149,8 +151,12 @@ class Familiarity:
             self.cutoffs.append(float(min(between, low)))
 
     def _values(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        parts = [gram_sets(pa.array(texts[i : i + 64], pa.string()))[0] for i in range(0, len(texts), 64)]
-        return np.concatenate([self.value(s) for s in parts]), np.concatenate([s.sum(axis=1) for s in parts])
+        # A row of grams takes 64 KB: few texts at a time.
+        parts = []
+        for i in range(0, len(texts), 64):
+            seen = gram_sets(pa.array(texts[i : i + 64], pa.string()))[0]
+            parts.append((self.value(seen), seen.sum(axis=1)))
+        return np.concatenate([v for v, _ in parts]), np.concatenate([n for _, n in parts])
 
     def value(self, seen: np.ndarray) -> np.ndarray:
         return ((seen @ self.logs) / np.maximum(seen.sum(axis=1, keepdims=True), 1)).max(axis=1)
@@ -197,7 +203,7 @@ def fit(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in tg.cut(batch, "text"):
+            for part in tg.cut(batch, "text", rows=MOST_ROWS):
                 seen, letters = gram_sets(part.column("text"))
                 bits = [np.packbits(r.astype(bool)).tobytes() for r in seen]
                 heads = [_head(t) if familiar else None for t in part.column("text").to_pylist()]
@@ -216,7 +222,9 @@ def fit(
     held = held.orderBy("place", "bits").collect()
     if not held:
         return None
-    seen = np.array([np.unpackbits(np.frombuffer(r["bits"], np.uint8)) for r in held], np.float32)
+    seen = np.empty((len(held), WIDTH), np.float32)
+    for row, r in zip(seen, held, strict=True):
+        row[:] = np.unpackbits(np.frombuffer(r["bits"], np.uint8))
     langs = [r["lang"] for r in held]
     model = KernelRidge(seen, langs, landmarks, ridge)
     if familiar:
@@ -250,7 +258,7 @@ def predict(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for batch in batches:
-            for part in tg.cut(batch, place):
+            for part in tg.cut(batch, place, rows=MOST_ROWS):
                 seen, letters = gram_sets(part.column(place))
                 if known is None:
                     langs, best = [UNKNOWN] * len(letters), np.zeros(len(letters))
