@@ -422,9 +422,9 @@ def _sets(chunks: DataFrame, rule: Rule, wanted: DataFrame) -> DataFrame:
     bit = F.expr("shiftleft(1L, CAST(cell & 63 AS INT))")
     words = cells.groupBy(F.shiftright("cell", 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
     known = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
-    # At most 2^(FILTER_BITS - 6) rows.
-    for row in words.collect():
-        known[row["word"]] = np.uint64(row["bits"] & 0xFFFFFFFFFFFFFFFF)
+    # At most 2^(FILTER_BITS - 6) rows, as arrays.
+    found = words.toArrow()
+    known[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
     shared = spark.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
