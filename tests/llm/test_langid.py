@@ -70,6 +70,7 @@ def test_kernel_is_the_share_of_common_grams():
 
 def test_clashing_column_names(spark):
     docs = spark.createDataFrame([(1, "the", "a", 5.0)], "id int, text string, bits string, letters double")
-    model = langid.KernelRidge(langid.gram_sets(pa.array(["the", "der"]))[0], ["en", "de"], 8, 1e-4)
+    bits = np.packbits(langid.gram_sets(pa.array(["the", "der"]))[0].astype(bool), axis=1)
+    model = langid.KernelRidge(bits, ["en", "de"], 8, 1e-4)
     row = langid.predict(docs, "text", model, "p", "s").first()
     assert (row["bits"], row["letters"], row["p"]) == ("a", 5.0, "en")

@@ -87,21 +87,29 @@ def _unit(seen: np.ndarray) -> np.ndarray:
     return seen / np.sqrt(np.maximum(seen.sum(axis=1, keepdims=True), 1))
 
 
+def _blocks(bits: np.ndarray) -> Iterator[np.ndarray]:
+    """Presence rows out of packed ones, a block at a time: a row takes 64 KB, packed two."""
+    for i in range(0, len(bits), 64):
+        yield np.unpackbits(bits[i : i + 64], axis=1).astype(np.float32)
+
+
 class KernelRidge:
-    """One-versus-rest ridge regression in the space that the landmarks span."""
+    """One-versus-rest ridge regression in the space that the landmarks span.
+
+    bits: presence rows of the labelled texts, packed by `np.packbits`.
+    """
 
-    def __init__(self, seen: np.ndarray, langs: list[str], landmarks: int, ridge: float):
+    def __init__(self, bits: np.ndarray, langs: list[str], landmarks: int, ridge: float):
         self.langs = sorted(set(langs))
         self.familiarity: Familiarity | None = None
-        unit = _unit(seen)
         index = np.array([self.langs.index(x) for x in langs])
         # Landmarks from all languages in turn; the rows come in hash order.
         turn = np.zeros(len(langs), np.int64)
         for c in range(len(self.langs)):
             turn[index == c] = np.arange((index == c).sum())
         chosen = np.lexsort((index, turn))[: max(landmarks, len(self.langs))]
-        self.points = unit[chosen]
-        kernel = (unit @ self.points.T).astype(np.float64)
+        self.points = _unit(np.concatenate(list(_blocks(bits[chosen]))))
+        kernel = np.concatenate([_unit(b) @ self.points.T for b in _blocks(bits)]).astype(np.float64)
         goal = np.where(index[:, None] == np.arange(len(self.langs)), 1.0, -1.0)
         # Every language weighs the same, however often it is labelled.
         weight = 1 / np.bincount(index)[index][:, None]
@@ -132,9 +140,12 @@ class Familiarity:
     whose other words are familiar and at least a quarter of it.
     """
 
-    def __init__(self, seen: np.ndarray, langs: list[str], snippets: list[str]):
+    def __init__(self, bits: np.ndarray, langs: list[str], snippets: list[str]):
         index = np.array([sorted(set(langs)).index(x) for x in langs])
-        shares = [(seen[index == c].sum(axis=0) + 0.5) / ((index == c).sum() + 1) for c in range(index.max() + 1)]
+        shares = [
+            (sum(b.sum(axis=0) for b in _blocks(bits[index == c])) + 0.5) / ((index == c).sum() + 1)
+            for c in range(index.max() + 1)
+        ]
         self.logs = np.log(np.array(shares, np.float32).T)
         draw = np.random.default_rng(5)
         self.sizes, self.cutoffs = [], []
@@ -222,18 +233,16 @@ def fit(
     held = held.orderBy("place", "bits").collect()
     if not held:
         return None
-    seen = np.empty((len(held), WIDTH), np.float32)
-    for row, r in zip(seen, held, strict=True):
-        row[:] = np.unpackbits(np.frombuffer(r["bits"], np.uint8))
+    bits = np.stack([np.frombuffer(r["bits"], np.uint8) for r in held])
     langs = [r["lang"] for r in held]
-    model = KernelRidge(seen, langs, landmarks, ridge)
+    model = KernelRidge(bits, langs, landmarks, ridge)
     if familiar:
         # Equal texts stay on one side: a copy of a known text would be too familiar.
         side = np.array([zlib.crc32(r["bits"]) % 2 for r in held])
         if side.any() and not side.all():
             ours = np.flatnonzero(side)
             model.familiarity = Familiarity(
-                seen[ours], [langs[i] for i in ours], [r["head"] for r, s in zip(held, side, strict=True) if not s]
+                bits[ours], [langs[i] for i in ours], [r["head"] for r, s in zip(held, side, strict=True) if not s]
             )
     return model
 
