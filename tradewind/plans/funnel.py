@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tradewind.functions import days_between, from_cents, mean_2dp, mean_cents, percent_2dp
 from tradewind.operators.star import Star
-from tradewind.plans.common import late_share, money, n_rows, weighted_mean
+from tradewind.plans.common import money, n_rows
 from tradewind.plans.delivery import bucket
 
 # Upper limits in days and labels of the closing-speed buckets.
@@ -86,38 +86,39 @@ def _seller_deals(star: Star, deals: DataFrame, *columns: str) -> DataFrame:
 def acquired_seller_gmv(star: Star, limit: int = 30) -> DataFrame:
     """Sellers, orders and GMV per business type and lead origin of the deal."""
     deals = _seller_deals(star, _deals_with_lead(star), "business_type", "origin")
-    group = ["business_type", F.col("origin").alias("lead_origin")]
-    per_seller = star.sellers.groupBy("seller_sk").agg(F.sum("price_cents").alias("cents"))
-    amounts = (
-        deals.join(per_seller, "seller_sk")
-        .groupBy(*group)
-        .agg(
-            n_rows().alias("acquired_sellers"),
-            F.sum(F.col("cents") * F.col("deals")).alias("cents"),
-        )
+    group = ["business_type", "lead_origin"]
+    # An order can hold lines of several acquired sellers, and one seller many orders.  Every
+    # row of the seller book stands for its order and for its seller; both are reduced to the
+    # groups they belong to, on the map side first, and plain counts are left.
+    order = F.struct(
+        F.lit("order").alias("kind"),
+        F.col("order_sk").alias("id"),
+        (F.col("price_cents") * F.col("deals")).alias("cents"),
     )
-    # An order can hold lines of several acquired sellers, so orders need a distinct count;
-    # one row per order and acquired seller takes part in it.
-    ordered = (
-        star.sellers.select("seller_sk", "order_sk")
-        .join(deals, "seller_sk")
-        .groupBy(*group)
-        .agg(F.count_distinct("order_sk").alias("marketplace_orders"))
+    seller = F.struct(
+        F.lit("seller").alias("kind"),
+        F.col("seller_sk").alias("id"),
+        F.lit(None).cast("bigint").alias("cents"),
     )
-    same = F.col("a.business_type").eqNullSafe(F.col("o.business_type")) & (
-        F.col("a.lead_origin").eqNullSafe(F.col("o.lead_origin"))
+    sold = star.sellers.select("seller_sk", "order_sk", "price_cents").join(deals, "seller_sk")
+    members = (
+        sold.select(
+            "business_type", F.col("origin").alias("lead_origin"), F.inline(F.array(order, seller))
+        )
+        .groupBy(*group, "kind", "id")
+        .agg(F.sum("cents").alias("cents"))
     )
     return (
-        amounts.alias("a")
-        .join(ordered.alias("o"), same)
+        members.groupBy(*group)
+        .agg(
+            F.count_if(F.col("kind") == "seller").alias("acquired_sellers"),
+            F.count_if(F.col("kind") == "order").alias("marketplace_orders"),
+            F.sum("cents").alias("cents"),
+        )
         .select(
-            "a.business_type",
-            "a.lead_origin",
-            "acquired_sellers",
-            "marketplace_orders",
-            *money(marketplace_gmv="cents"),
+            *group, "acquired_sellers", "marketplace_orders", *money(marketplace_gmv="cents")
         )
-        .orderBy(F.desc_nulls_last("marketplace_gmv"), "business_type", "lead_origin")
+        .orderBy(F.desc_nulls_last("marketplace_gmv"), *group)
         .limit(limit)
     )
 
@@ -142,14 +143,29 @@ def acquired_delivery_quality(star: Star, min_orders: int = 20) -> DataFrame:
     orders = star.sellers.where("is_delivered").select(
         "seller_sk", "order_sk", "line_count", "delivery_days", "is_late_delivery", "review_score"
     )
-    return (
+    lines = F.col("line_count")
+    timed = F.when(F.col("delivery_days").isNotNull(), lines)
+    reviewed = F.when(F.col("review_score").isNotNull(), lines)
+    # An order with lines of several sellers of a type is one order: reduced to its types first.
+    per_order = (
         orders.join(deals.select("seller_sk", "business_type"), "seller_sk")
-        .groupBy("business_type")
+        .groupBy("order_sk", "business_type")
+        .agg(
+            F.sum(F.col("delivery_days") * lines).alias("days"),
+            F.sum(timed).alias("timed"),
+            F.sum(F.when(F.col("is_late_delivery"), lines).otherwise(0)).alias("late"),
+            F.sum(lines).alias("lines"),
+            F.sum(F.col("review_score") * lines).alias("stars"),
+            F.sum(reviewed).alias("reviewed"),
+        )
+    )
+    return (
+        per_order.groupBy("business_type")
         .agg(
-            F.count_distinct("order_sk").alias("orders"),
-            weighted_mean("delivery_days").alias("avg_delivery_days"),
-            late_share("line_count").alias("late_pct"),
-            weighted_mean("review_score").alias("avg_review"),
+            n_rows().alias("orders"),
+            mean_2dp(F.sum("days"), F.sum("timed")).alias("avg_delivery_days"),
+            percent_2dp(F.sum("late"), F.sum("lines")).alias("late_pct"),
+            mean_2dp(F.sum("stars"), F.sum("reviewed")).alias("avg_review"),
         )
         .where(F.col("orders") >= min_orders)
         .orderBy(F.desc("late_pct"), "business_type")
