@@ -1,7 +1,6 @@
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import functions as F
 import numpy as np
 
 from tradewind.llm import langid
@@ -75,21 +74,3 @@ def test_clashing_column_names(spark):
     model = langid.KernelRidge(bits, ["en", "de"], 8, 1e-4)
     row = langid.predict(docs, "text", model, "p", "s").first()
     assert (row["bits"], row["letters"], row["p"]) == ("a", 5.0, "en")
-
-
-def test_sample_is_what_one_sort_gives(spark, documents, monkeypatch):
-    """The first of each language by the hash of the id, from many tasks, with repeated and null ids."""
-    taken = []
-    keep = langid.stored
-    monkeypatch.setattr(langid, "stored", lambda df, label: taken.append(keep(df, label)) or taken[-1])
-    rows = [(i, "en" if i % 3 else "de", f"text number {i}") for i in range(3000)]
-    rows += [(7, "en", "text again")] * 2000 + [(None, "fr", "sans nom")] * 50
-    docs = spark.createDataFrame(rows, "id long, lang string, text string").repartition(16)
-    langid.fit(docs, "text", "lang", "id", per_language=20, landmarks=4)
-    place = F.xxhash64(langid.key_text("id"))
-    want = set()
-    for lang in ("en", "de", "fr"):
-        own = docs.where(F.col("lang") == lang).select("id", place.alias("p")).orderBy("p").limit(20)
-        want |= {(r["id"], lang) for r in own.collect()}
-    got = [(r["id"], r["lang"]) for r in taken[0].collect()]
-    assert set(got) == want and len(got) == len(want)

@@ -204,14 +204,6 @@ def fit(
     ids = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(doc_id).alias("id"), F.col(lang).alias("lang"), order.alias("place")
     )
-    # Hashes of ids are even, so a language's first ones lie below a share of their range that its
-    # number of ids gives; four times that share is kept, or else the first id.  Else every task
-    # would send as many rows of a language as are wanted of it in all.
-    known = ids.groupBy("lang").agg(F.approx_count_distinct("place").alias("n"), F.min("place").alias("least"))
-    share = 4.0 * per_language / F.greatest(F.col("n"), F.lit(1))
-    low = (share - 0.5) * 2.0**64
-    ids = ids.join(known, "lang").where((F.col("place") < low) | (F.col("place") == F.col("least")))
-    ids = ids.select("id", "lang", "place")
     first = Window.partitionBy("lang").orderBy("place", "id")
     ids = ids.withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_language)
     ids = stored(ids.select("id", "lang", "place").distinct(), "langid-sample")
