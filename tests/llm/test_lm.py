@@ -66,58 +66,94 @@ def test_counts_and_base_scores(spark, documents, monkeypatch):
 
 
 def test_model_beats_counts_on_held_out_texts(spark, documents, monkeypatch):
-    monkeypatch.setattr(pk.pack, "__defaults__", (4000,))
-    monkeypatch.setattr(lm, "CHUNK_SHARE", 1)
     monkeypatch.setattr(lm, "BATCH", 256)
     rows = [r for r in lm.op6_lm_scores(spark, documents(chain(1500))).collect() if r["held_out"]]
     assert sum(r["score"] for r in rows) > 0.93 * sum(r["base_score"] for r in rows)
 
 
-def test_one_chunk_is_trained_on(spark, documents):
-    folder = documents(chain(300))
-    one = spark.read.parquet(f"{folder}/documents.parquet").coalesce(1)
-    rows = pk.pack(one.selectExpr("text", "false held", "doc_id"), "text", ["doc_id", "held"])
-    assert rows.count() == 1
-    words, counts = np.unique(lm.tokens_of(*pk.texts_of(*rows.select("offsets", "blob").first()))[0], return_counts=True)
-    model = lm.Model(words, counts, int(counts.sum()), len(words))
-    start = model.vector()
-    for number in range(lm.ROUNDS):
-        lm._train_round(rows, model, number)
-    assert not np.allclose(model.vector(), start)
+def test_model_beats_counts_on_held_out_documents(spark):
+    rows = lm.op6_lm_scores(spark, "/root/testdata/sf0.01")
+    base, score, n = rows.where("held_out").selectExpr("sum(base_score)", "sum(score)", "sum(n_tokens)").first()
+    assert (score - base) / n > 0.04
 
 
-def test_every_chunk_is_trained_on_in_one_round(spark, documents, monkeypatch):
+@pytest.mark.parametrize("shard", [1 << 20, 4000])
+def test_scores_do_not_depend_on_partitions(spark, documents, monkeypatch, shard):
     monkeypatch.setattr(pk.pack, "__defaults__", (4000,))
-    docs = spark.read.parquet(f"{documents(chain(400))}/documents.parquet")
-    rows = pk.pack(docs.selectExpr("text", "false held", "doc_id"), "text", ["doc_id", "held"])
-    model = lm.Model(np.zeros(0, np.uint64), np.zeros(0, np.int64), 0, 0)
-    seen = []
-    monkeypatch.setattr(lm.Model, "set_vector", lambda self, values: None)
-    frame = type(rows)
-    monkeypatch.setattr(
-        frame, "where", lambda self, c, own=frame.where: seen.extend(x["chunk"] for x in own(self, c).collect()) or own(self, c)
-    )
+    monkeypatch.setattr(lm, "LEAST_SHARD", shard)
+    monkeypatch.setattr(lm, "SHARD_SHARE", 1)
+    docs = spark.read.parquet(f"{documents([*chain(400), (900, None), (901, 'w1 w2'), (901, 'w1 w2')])}/documents.parquet")
+    found = []
+    for n in (1, 16):
+        rows = lm.score_texts(docs.repartition(n), "text", lm.fold_of("doc_id", 7) == 2, ["doc_id"])
+        found.append(sorted((r["doc_id"], r["score"]) for r in rows.collect()))
+    assert [d for d, _ in found[0]] == [d for d, _ in found[1]]
+    assert [x for _, x in found[0]] == pytest.approx([x for _, x in found[1]], rel=1e-6)
+
+
+def prepared(spark, docs):
+    """(packed, model before training, all tokens) of texts that may all be learnt."""
+    rows = pk.pack(docs.selectExpr("text", "doc_id", "false held", "xxhash64(doc_id, text) tag"), "text", ["doc_id", "held", "tag"])
+    tokens = [lm.tokens_of(*pk.texts_of(r["offsets"], r["blob"]))[0] for r in rows.collect()]
+    words, counts = np.unique(np.concatenate(tokens), return_counts=True)
+    return rows, lm.Model(words, counts, int(counts.sum()), len(words)), int(counts.sum())
+
+
+def test_one_chunk_is_trained_on(spark, documents):
+    one = spark.read.parquet(f"{documents(chain(300))}/documents.parquet").coalesce(1)
+    rows, model, _ = prepared(spark, one)
+    assert rows.count() == 1
+    start = model.rows.copy()
+    texts = lm._training_texts(rows, model, 1)
     for number in range(lm.ROUNDS):
-        lm._train_round(rows, model, number)
-    monkeypatch.undo()
-    assert sorted(seen) == sorted(r["chunk"] for r in rows.collect()) and len(seen) > 20
+        lm._train_round(texts, model, number, 1)
+    assert not np.allclose(model.rows, start)
 
 
-def test_probabilities_of_every_context_sum_to_one():
+def test_every_text_is_trained_on_in_one_round(spark, documents, monkeypatch):
+    monkeypatch.setattr(pk.pack, "__defaults__", (4000,))
+    docs = spark.read.parquet(f"{documents([*chain(400), (7000, 'w3 w4'), (7000, 'w3 w4'), (7001, None)])}/documents.parquet")
+    rows, model, _ = prepared(spark, docs.coalesce(1))
+    texts = lm._training_texts(rows, model, 5).collect()
+    assert {r["part"] for r in texts} == set(range(5 * lm.ROUNDS))
+    parts = {}
+    for r in texts:
+        assert parts.setdefault(r["tag"], r["part"]) == r["part"]
+    # The repeated row once, the text that is null as its end.
+    assert len(parts) == 402
+    assert 1 in {len(r["classes"]) // 2 for r in texts}
+
+
+def test_vocabulary_grows_with_the_tokens():
+    # Zipf's law.
+    sizes = []
+    for total in (10**5, 10**7):
+        counts = total / np.arange(1, 10**6) / 14
+        sizes.append(int(lm._often_enough(counts.astype(np.int64), total).sum()))
+    assert sizes[1] > 5 * sizes[0] > 500
+    assert lm.shard_number(0, 0) == 1
+    assert lm.shard_number(10**11, 10**6) == -(-(10**11) // (lm.ROUNDS * lm.LARGEST_SHARD))
+
+
+@pytest.mark.parametrize("n", [0, 1, 12, 40])
+def test_probabilities_of_every_context_sum_to_one(n):
     draw = np.random.default_rng(3)
-    words = draw.integers(1, 1 << 60, 12).astype(np.uint64)
-    model = lm.Model(words, draw.integers(1, 50, 12), 900, 40)
-    classes = draw.integers(0, 13, 3000)
+    words = draw.integers(1, 1 << 60, n).astype(np.uint64)
+    model = lm.Model(words, draw.integers(1, 50, n), 2900, 60)
+    classes = draw.integers(0, n + 1, 3000)
     one, two = model.contexts(classes, np.zeros(3000, int))
-    squares = {k: np.full_like(v, 1e-4) for k, v in model.weights.items()}
-    model.train(classes, one, two, 1, squares)
-    model.normalise()
-    for a in range(14):
-        each = np.arange(13)
-        logs = model.log_probability(each, np.full(13, a), np.full(13, 13 - a))
+    hits = model.train(classes, one, two, 1, 0.1)
+    assert (hits[model.at_position :] > 0).all()
+    for a in range(n + 2):
+        each = np.arange(n + 1)
+        logs = model.log_probability(each, np.full(n + 1, a), np.full(n + 1, n + 1 - a))
         assert np.exp(logs).sum() == pytest.approx(1, abs=1e-5)
+    # The words are found again, by falling count.
+    known = model.classes(words)
+    assert sorted(known) == list(range(n)) and (np.diff(model.counts) <= 0).all()
+    assert model.classes(np.array([5], np.uint64))[0] == n
     # Within the shared class the unseen tokens have one place together.
-    assert model.unit == 900 - model.counts.sum() + 40 - 12 + 1
+    assert model.unit == 2900 - model.counts.sum() + 60 - n + 1
 
 
 def test_empty_tables(spark, documents):

@@ -1,16 +1,21 @@
 """Language-model scores: a log-bilinear neural model, trained with noise-contrastive estimation.
 
-Counts first: how often each token stands in the training texts, exactly, over all of them.  The
-most frequent tokens form the model's vocabulary, all others share one class, within which a
-token has its add-one probability.  The model predicts a token's class from the two before it:
-the sum of their vectors, weighted per position, times the class's vector, plus a bias.  It is
-trained in numpy against noise from the counted distribution; every task trains on its share of
-the chunks from the same start, and the weights are averaged, round by round.  A hash deals the
-chunks over the rounds, so every training text is trained on once, in whatever chunks it lies.
-
-Scores are normalised: with two tokens of context and a bounded vocabulary there are at most
-(vocabulary + 2)^2 contexts, so their normalisers are computed once by batched matrix products
-and sent to the tasks, a table of fixed size.
+Counts first: how often each token stands in the training texts, exactly, over all of them.  Of N
+training tokens, those found at least sqrt(N) / 16 times form the model's vocabulary, so it grows
+with the corpus and holds 16 sqrt(N) tokens at most; all others share one class, within which a
+token has its add-one probability.  The model sees the two tokens before: the sum of their
+vectors, weighted per position, is multiplied by the vectors of groups of tokens, and then by the
+vectors of the tokens of one group.  Both levels are trained in numpy against noise, drawn from
+the counted shares of the groups and of the tokens within the group.
+
+Training is dealt by the data alone: a hash of a text and its id names the round and the shard,
+whose number follows from N.  Every training text is trained on once (rows equal in text and id
+count as one text there); the shards of a round start from the same weights, and a row of weights
+becomes the mean of what the shards made of it, weighted by how often they changed it.  So scores
+do not depend on how the table is partitioned.
+
+Scores are normalised by batched matrix products, for the contexts that occur in a chunk: over all
+groups, and over the tokens of the group that follows.
 
 Defined results: a null or empty text is its end token alone; a null id counts as an empty one;
 repeated rows get equal results; without training texts every token has probability 1.
@@ -19,6 +24,7 @@ repeated rows get equal results; without training texts every token has probabil
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import isqrt
 
 import numpy as np
 import pandas as pd
@@ -31,15 +37,23 @@ from . import textgrid as tg
 from .common import fold_of, stored, table
 
 END = np.uint64(0xE4D0E4D0E4D0E4D1)
-VOCABULARY = 512
+# A token of the vocabulary stands at least sqrt(training tokens) / RARENESS times.
+RARENESS = 16
 DIMENSIONS = 16
+# Noise: groups per batch, tokens of the group per token.
 NOISE = 64
+NOISE_INSIDE = 4
 BATCH = 2048
 ROUNDS = 2
-# One chunk in so many is trained on in a round; no more than ROUNDS, so that the rounds together
-# train on all chunks.
-CHUNK_SHARE = ROUNDS
-BLOCKS = 16
+STEP = 0.1
+# Tokens per shard: so many times the vocabulary, for weights are sent per shard; the upper bound
+# is one of memory.
+SHARD_SHARE = 256
+LEAST_SHARD = 1 << 20
+LARGEST_SHARD = 1 << 24
+# Rows of weights that one task averages.
+BLOCK = 4096
+SLICE = 4096
 
 
 def tokens_of(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -82,41 +96,74 @@ def _answer_counts(keys: list[np.ndarray], extras: list[bytes], chunks: list[int
     return [pk.squeeze(x) for x in np.split(sums[number], np.cumsum([len(k) for k in keys])[:-1])]
 
 
+def _often_enough(sums: np.ndarray, total: int) -> np.ndarray:
+    """Which counts make a token part of the vocabulary of so many tokens."""
+    return (sums > 0) & (sums * RARENESS >= isqrt(total))
+
+
 def _count_summary(keys: list[np.ndarray], extras: list[bytes]) -> bytes:
-    """Tokens, distinct tokens, then the most frequent ones with their counts."""
+    """Tokens, distinct tokens, then those frequent enough for the bucket alone, with counts.
+
+    The whole corpus asks for no less than one of its buckets.
+    """
     distinct, sums, _ = _sums(keys, extras)
-    first = np.lexsort((distinct, -sums))[:VOCABULARY]
-    first = first[sums[first] > 0]
+    often = _often_enough(sums, int(sums.sum()))
     head = np.array([sums.sum(), (sums > 0).sum()], np.int64)
-    return pk.squeeze(np.concatenate([head, distinct[first].view(np.int64), sums[first]]))
+    return pk.squeeze(np.concatenate([head, distinct[often].view(np.int64), sums[often]]))
+
+
+def _log_sum(logits: np.ndarray) -> np.ndarray:
+    top = logits.max(axis=1)
+    return top + np.log(np.exp(logits - top[:, None]).sum(axis=1))
 
 
 class Model:
-    """Classes 0..n-1: vocabulary; n: any other token; n + 1: before the text (context only)."""
+    """Tokens 0..n-1 by falling count; n: any other token; n + 1: before the text (context only).
+
+    Groups are equal stretches of the tokens; the last one holds token n alone.  All weights are
+    rows of one matrix: contexts, tokens, groups and the two positions.  The last column is the
+    bias of tokens and groups.
+    """
 
     def __init__(self, words: np.ndarray, counts: np.ndarray, total: int, distinct: int):
-        order = np.argsort(words)
-        self.words, self.counts = words[order], counts[order]
-        self.total, self.distinct = total, distinct
-        self.n = len(words)
+        by_count = np.lexsort((words, -counts))
+        self.n, self.total, self.distinct = len(words), total, distinct
+        self.counts = counts[by_count]
+        self.number = np.argsort(words[by_count])
+        self.sorted_words = words[by_count][self.number]
         other = total - int(counts.sum())
         self.unit = float(other + distinct - self.n + 1)
         share = np.append(self.counts, other) + 1.0
-        self.noise = share / share.sum()
+        self.size = max(1, isqrt(self.n))
+        self.groups = -(-self.n // self.size)
+        self.begin = np.append(np.minimum(np.arange(self.groups + 1) * self.size, self.n), self.n + 1)
+        # Where each token's share of the noise ends.
+        self.upto = np.cumsum(share)
+        mass = np.diff(np.append(0, self.upto)[self.begin])
+        self.group_share = mass / mass.sum()
+        self.token_share = share / mass[self.group_of(np.arange(self.n + 1))]
+        self.at_token = self.n + 2
+        self.at_group = self.at_token + self.n + 1
+        self.at_position = self.at_group + self.groups + 1
         draw = np.random.default_rng(7)
-        small = lambda *shape: draw.normal(0, 0.05, shape).astype(np.float32)
-        self.weights = {
-            "context": small(self.n + 2, DIMENSIONS),
-            "target": small(self.n + 1, DIMENSIONS),
-            "position": np.ones((2, DIMENSIONS), np.float32),
-            "bias": np.log(self.noise).astype(np.float32),
-        }
-        self.log_z: np.ndarray | None = None
+        self.rows = draw.normal(0, 0.05, (self.at_position + 2, DIMENSIONS + 1)).astype(np.float32)
+        self.rows[: self.at_token, -1] = 0
+        self.rows[self.at_position :] = 1
+        self.rows[self.at_token : self.at_group, -1] = np.log(self.token_share)
+        self.rows[self.at_group : self.at_position, -1] = np.log(self.group_share)
+
+    def group_of(self, tokens: np.ndarray) -> np.ndarray:
+        return np.where(tokens < self.n, tokens // self.size, self.groups)
 
     def classes(self, hashes: np.ndarray) -> np.ndarray:
-        at = np.minimum(np.searchsorted(self.words, hashes), max(0, self.n - 1))
-        known = self.words[at] == hashes if self.n else np.zeros(len(hashes), bool)
-        return np.where(known, at, self.n)
+        if not self.n:
+            return np.zeros(len(hashes), np.int64)
+        at = np.minimum(np.searchsorted(self.sorted_words, hashes), self.n - 1)
+        return np.where(self.sorted_words[at] == hashes, self.number[at], self.n)
+
+    def kind(self) -> type:
+        """How classes are stored."""
+        return np.uint16 if self.n < 1 << 16 else np.uint32
 
     def contexts(self, classes: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The classes one and two before each token."""
@@ -129,111 +176,172 @@ class Model:
         return out[0], out[1]
 
     def hidden(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-        w = self.weights
-        return w["context"][one] * w["position"][0] + w["context"][two] * w["position"][1]
-
-    def normalise(self) -> None:
-        """log of the sum over all classes for every context."""
-        m, w = self.n + 2, self.weights
-        self.log_z = np.empty(m * m, np.float32)
-        for begin in range(0, m * m, 4096):
-            pairs = np.arange(begin, min(begin + 4096, m * m))
-            logits = self.hidden(pairs // m, pairs % m) @ w["target"].T + w["bias"]
-            top = logits.max(axis=1)
-            self.log_z[pairs] = top + np.log(np.exp(logits - top[:, None]).sum(axis=1))
+        w = self.rows[:, :-1]
+        return w[one] * w[self.at_position] + w[two] * w[self.at_position + 1]
 
     def log_probability(self, classes: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-        w = self.weights
-        score = np.einsum("ij,ij->i", self.hidden(one, two), w["target"][classes]) + w["bias"][classes]
-        return (score - self.log_z[one * (self.n + 2) + two]).astype(np.float64)
-
-    def train(self, classes: np.ndarray, one: np.ndarray, two: np.ndarray, seed: int, squares: dict) -> None:
-        """One pass over the tokens in random order; NCE with noise shared by a batch."""
-        w, draw = self.weights, np.random.default_rng(seed)
-        odds = np.log(NOISE * self.noise).astype(np.float32)
+        """Normalised, natural logarithm; of token n it is that of all other tokens together."""
+        if not len(classes):
+            return np.zeros(0)
+        token, group = self.rows[self.at_token : self.at_group], self.rows[self.at_group : self.at_position]
+        pairs, context = np.unique(one * (self.n + 2) + two, return_inverse=True)
+        h = self.hidden(pairs // (self.n + 2), pairs % (self.n + 2))
+        of = self.group_of(classes)
+        log_z = np.concatenate(
+            [_log_sum(h[k : k + SLICE] @ group[:, :-1].T + group[:, -1]) for k in range(0, len(h), SLICE)]
+        )
+        score = np.einsum("ij,ij->i", h[context], group[of, :-1]) + group[of, -1] - log_z[context]
+        # A context and the group that follows it: normalised once, group by group.
+        asked, place = np.unique(of * np.int64(len(pairs)) + context, return_inverse=True)
+        inside = np.zeros(len(asked), np.float32)
+        edges = np.searchsorted(asked, np.arange(self.groups + 1) * np.int64(len(pairs)))
+        for g in range(self.groups):
+            own = token[self.begin[g] : self.begin[g + 1]]
+            for k in range(edges[g], edges[g + 1], SLICE):
+                rows = slice(k, min(k + SLICE, edges[g + 1]))
+                inside[rows] = _log_sum(h[asked[rows] - g * len(pairs)] @ own[:, :-1].T + own[:, -1])
+        known = classes < self.n
+        c = classes[known]
+        score[known] += np.einsum("ij,ij->i", h[context[known]], token[c, :-1]) + token[c, -1] - inside[place[known]]
+        return score.astype(np.float64)
+
+    def train(self, classes: np.ndarray, one: np.ndarray, two: np.ndarray, seed: int, step: float) -> np.ndarray:
+        """One pass over the tokens in random order; how often each row of weights was changed.
+
+        The noise of groups is shared by a batch; the noise inside a group is drawn per token.
+        """
+        w, draw = self.rows, np.random.default_rng(seed)
+        squares, hits = np.full_like(w, 1e-4), np.zeros(len(w), np.int64)
+        below = np.append(0, self.upto)
+        group_odds = np.log(NOISE * self.group_share).astype(np.float32)
+        token_odds = np.log(NOISE_INSIDE * self.token_share).astype(np.float32)
         order = draw.permutation(len(classes))
+        place = self.at_position + np.arange(2)
         for begin in range(0, len(order), BATCH):
             pick = order[begin : begin + BATCH]
             c, a, b = classes[pick], one[pick], two[pick]
-            noise = draw.choice(self.n + 1, NOISE, p=self.noise)
             h = self.hidden(a, b)
-            target, wrong = w["target"][c], w["target"][noise]
-            true = np.einsum("ij,ij->i", h, target) + w["bias"][c] - odds[c]
-            false = h @ wrong.T + (w["bias"][noise] - odds[noise])
-            # Descent directions of the two logistic losses.
-            up = 1 / (1 + np.exp(np.clip(true, -30, 30)))
-            down = -1 / (1 + np.exp(-np.clip(false, -30, 30)))
+            wide = np.concatenate([h, np.ones((len(h), 1), np.float32)], axis=1)
+            # Groups.
+            g = self.group_of(c)
+            noise = draw.choice(self.groups + 1, NOISE, p=self.group_share)
+            target, wrong = w[self.at_group + g], w[self.at_group + noise]
+            up = _miss(np.einsum("ij,ij->i", wide, target) - group_odds[g])
+            down = -_hit(wide @ wrong.T - group_odds[noise])
             g_h = up[:, None] * target + down @ wrong
-            grads = {k: np.zeros_like(v) for k, v in w.items()}
-            np.add.at(grads["target"], c, up[:, None] * h)
-            np.add.at(grads["target"], noise, down.T @ h)
-            np.add.at(grads["bias"], c, up)
-            np.add.at(grads["bias"], noise, down.sum(axis=0))
-            for k, x in enumerate((a, b)):
-                np.add.at(grads["context"], x, g_h * w["position"][k])
-                grads["position"][k] = (g_h * w["context"][x]).sum(axis=0)
-            for k, g in grads.items():
-                g /= len(pick)
-                squares[k] += g * g
-                w[k] += 0.1 * g / np.sqrt(squares[k] + 1e-8)
-
-    def vector(self) -> np.ndarray:
-        return np.concatenate([self.weights[k].reshape(-1) for k in sorted(self.weights)])
-
-    def set_vector(self, values: np.ndarray) -> None:
-        at = 0
-        for k in sorted(self.weights):
-            size = self.weights[k].size
-            self.weights[k] = values[at : at + size].reshape(self.weights[k].shape).astype(np.float32)
-            at += size
-
-
-def _train_round(packed: DataFrame, model: Model, number: int) -> None:
-    """Train on this round's chunks in all tasks, and take the mean of their weights."""
+            ids = [self.at_group + g, self.at_group + noise]
+            grads = [up[:, None] * wide, down.T @ wide]
+            # Tokens within their groups.
+            known = np.flatnonzero(c < self.n)
+            if len(known):
+                own, wide = c[known], wide[known]
+                low, high = below[self.begin[g[known]]], below[self.begin[g[known] + 1]]
+                at = low[:, None] + draw.random((len(own), NOISE_INSIDE)) * (high - low)[:, None]
+                # Rounding at an edge must not lead to the next group.
+                noise = np.minimum(np.searchsorted(self.upto, at, "right"), self.begin[g[known] + 1][:, None] - 1)
+                target, wrong = w[self.at_token + own], w[self.at_token + noise]
+                up = _miss(np.einsum("ij,ij->i", wide, target) - token_odds[own])
+                down = -_hit(np.einsum("ij,ikj->ik", wide, wrong) - token_odds[noise])
+                g_h[known] += up[:, None] * target + np.einsum("ik,ikj->ij", down, wrong)
+                ids += [self.at_token + own, self.at_token + noise.reshape(-1)]
+                grads += [up[:, None] * wide, (down[:, :, None] * wide[:, None, :]).reshape(-1, wide.shape[1])]
+            g_h[:, -1] = 0
+            ids += [a, b, place]
+            grads += [g_h * w[place[0]], g_h * w[place[1]], np.stack([(g_h * w[x]).sum(axis=0) for x in (a, b)])]
+            ids, grads = np.concatenate(ids), np.concatenate(grads)
+            by_row = np.argsort(ids, kind="stable")
+            ids = ids[by_row]
+            first = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+            changed = ids[first]
+            slope = np.add.reduceat(grads[by_row], first, axis=0) / len(pick)
+            squares[changed] += slope * slope
+            w[changed] += step * slope / np.sqrt(squares[changed])
+            hits[changed] += 1
+        return hits
+
+
+def _hit(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+
+
+def _miss(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(np.clip(x, -30, 30)))
+
+
+def shard_number(total: int, vocabulary: int) -> int:
+    """Shards per round for so many training tokens."""
+    size = min(LARGEST_SHARD, max(LEAST_SHARD, SHARD_SHARE * vocabulary))
+    return max(1, -(-total // (ROUNDS * size)))
+
+
+def _training_texts(packed: DataFrame, model: Model, shards: int) -> DataFrame:
+    """(part, tag, classes) of every training text, stored; part: round * shards + shard."""
     shared = packed.sparkSession.sparkContext.broadcast(model)
-    chosen = F.pmod(F.xxhash64("chunk"), F.lit(CHUNK_SHARE)) == number % CHUNK_SHARE
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, seen = None, 0
+        known = shared.value
+        kind = known.kind()
         for batch in batches:
             for row in batch.to_pylist():
-                if own is None:
-                    own = Model.__new__(Model)
-                    own.__dict__.update(shared.value.__dict__)
-                    own.weights = {k: v.copy() for k, v in own.weights.items()}
-                    squares = {k: np.full_like(v, 1e-4) for k, v in own.weights.items()}
                 hashes, docs = tokens_of(*pk.texts_of(row["offsets"], row["blob"]))
-                classes = own.classes(hashes)
-                one, two = own.contexts(classes, docs)
-                train = ~np.array(row["k1"], bool)[docs]
-                own.train(classes[train], one[train], two[train], row["chunk"] % (1 << 32), squares)
-                seen += int(train.sum())
-        if seen:
-            parts = np.array_split(own.vector().astype(np.float64) * seen, BLOCKS)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(range(BLOCKS), pa.int32()), pa.array([seen] * BLOCKS), pa.array([p.tobytes() for p in parts])],
-                names=["block", "seen", "sums"],
-            )
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, list] = {}
-        for batch in batches:
-            for block, seen, part in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                part = np.frombuffer(part, np.float64)
-                old = sums.get(block, [0, np.zeros(len(part))])
-                sums[block] = [old[0] + seen, old[1] + part]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(sums), pa.int32()), pa.array([s for s, _ in sums.values()], pa.int64()),
-             pa.array([p.tobytes() for _, p in sums.values()], pa.binary())],
-            names=["block", "seen", "sums"],
-        )
-
-    schema = "block int, seen long, sums binary"
-    parts = packed.where(chosen).select("chunk", "offsets", "blob", "k1").mapInArrow(run, schema)
-    # BLOCKS rows, together one model.
-    rows = sorted(parts.repartition("block").mapInArrow(add, schema).collect(), key=lambda r: r["block"])
-    if rows:
-        model.set_vector(np.concatenate([np.frombuffer(r["sums"], np.float64) / r["seen"] for r in rows]))
+                classes = known.classes(hashes).astype(kind)
+                tags = np.array(row["k2"], np.int64)
+                edges = np.searchsorted(docs, np.arange(len(tags) + 1))
+                first = np.zeros(len(tags), bool)
+                first[np.unique(tags, return_index=True)[1]] = True
+                pick = np.flatnonzero(first & ~np.array(row["k1"], bool))
+                part = tg.mix(tags[pick].view(np.uint64)) % np.uint64(ROUNDS * shards)
+                own = [classes[edges[k] : edges[k + 1]].tobytes() for k in pick]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(part.astype(np.int64)), pa.array(tags[pick]), pa.array(own, pa.binary())],
+                    names=["part", "tag", "classes"],
+                )
+
+    texts = packed.select("offsets", "blob", "k1", "k2")
+    return stored(texts.mapInArrow(run, "part long, tag long, classes binary"), "lm-training")
+
+
+def _train_round(texts: DataFrame, model: Model, number: int, shards: int) -> None:
+    """Train on this round's texts, a shard a task, and merge the weights."""
+    shared = texts.sparkSession.sparkContext.broadcast(model)
+    step = STEP / (1 + number)
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        own = Model.__new__(Model)
+        own.__dict__.update(shared.value.__dict__)
+        start, own.rows = own.rows, own.rows.copy()
+        rows = rows.drop_duplicates("tag").sort_values("tag")
+        kind = own.kind()
+        each = [np.frombuffer(x, kind) for x in rows["classes"]]
+        classes = np.concatenate(each).astype(np.int64)
+        one, two = own.contexts(classes, np.repeat(np.arange(len(each)), [len(x) for x in each]))
+        part = int(rows["part"].iloc[0])
+        hits = own.train(classes, one, two, part, step)
+        change = (own.rows - start) * hits[:, None]
+        blocks = range(0, len(hits), BLOCK)
+        return pd.DataFrame(
+            {
+                "part": part,
+                "block": [k // BLOCK for k in blocks],
+                "hits": [pk.squeeze(hits[k : k + BLOCK]) for k in blocks],
+                "change": [pk.squeeze(change[k : k + BLOCK].astype(np.float32)) for k in blocks],
+            }
+        )
+
+    def add(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("part")
+        hits = sum(pk.unsqueeze(x, np.int64) for x in rows["hits"])
+        change = sum(pk.unsqueeze(x, np.float32).astype(np.float64) for x in rows["change"])
+        mean = change.reshape(len(hits), -1) / np.maximum(1, hits)[:, None]
+        return pd.DataFrame({"block": [rows["block"].iloc[0]], "change": [mean.astype(np.float32).tobytes()]})
+
+    own = texts.where((F.col("part") >= number * shards) & (F.col("part") < (number + 1) * shards))
+    parts = own.groupBy("part").applyInPandas(run, "part long, block int, hits binary, change binary")
+    # The rows together are one model, of a size that the vocabulary bounds.
+    for row in parts.groupBy("block").applyInPandas(add, "block int, change binary").toLocalIterator():
+        begin = row["block"] * BLOCK
+        change = np.frombuffer(row["change"], np.float32).reshape(-1, model.rows.shape[1])
+        model.rows[begin : begin + BLOCK] += change
 
 
 def _model_of(summaries: DataFrame) -> Model:
@@ -251,10 +359,21 @@ def _model_of(summaries: DataFrame) -> Model:
 
     rows = stored(summaries.select("answer").mapInArrow(run, "word long, n long, distinct long"), "lm-counts")
     total, distinct = rows.where("word IS NULL").agg(F.sum("n"), F.sum("distinct")).first()
-    top = rows.where("word IS NOT NULL").orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()
-    words = np.array([r["word"] for r in top], np.int64).view(np.uint64)
-    counts = np.array([r["n"] for r in top], np.int64)
-    return Model(words, counts, total or 0, distinct or 0)
+    # At most RARENESS * sqrt(total) rows.
+    often = rows.where(F.col("word").isNotNull() & (F.col("n") * RARENESS >= isqrt(total or 0)))
+    often = often.select("word", "n").toArrow()
+    words = often.column("word").to_numpy().view(np.uint64)
+    return Model(words, often.column("n").to_numpy(), total or 0, distinct or 0)
+
+
+def train_model(packed: DataFrame, summaries: DataFrame) -> Model:
+    """The trained model.  packed: texts with what is kept, whether held out, and a tag."""
+    model = _model_of(summaries)
+    shards = shard_number(model.total, model.n)
+    texts = _training_texts(packed, model, shards)
+    for number in range(ROUNDS):
+        _train_round(texts, model, number, shards)
+    return model
 
 
 def score_texts(docs: DataFrame, text: str, held_out: Column, keep: list[str]) -> DataFrame:
@@ -263,16 +382,16 @@ def score_texts(docs: DataFrame, text: str, held_out: Column, keep: list[str]) -
     held_out: which rows the model must not learn from.
     """
     rows = docs.select(
-        F.struct(*keep).alias("kept"), F.coalesce(held_out, F.lit(False)).alias("held"), F.col(text).alias("text")
+        F.struct(*keep).alias("kept"),
+        F.coalesce(held_out, F.lit(False)).alias("held"),
+        F.xxhash64(*keep, text).alias("tag"),
+        F.col(text).alias("text"),
     )
-    packed = pk.pack(rows, "text", ["kept", "held"])
+    packed = pk.pack(rows, "text", ["kept", "held", "tag"])
     buckets = pk.bucket_number(packed.agg(F.sum("bytes")).first()[0] or 0)
     answers = pk.answered(_count_questions(packed, buckets), _answer_counts, _count_summary)
     answers = stored(answers, "lm-answers")
-    model = _model_of(answers.where("chunk < 0"))
-    for number in range(ROUNDS):
-        _train_round(packed, model, number)
-    model.normalise()
+    model = train_model(packed, answers.where("chunk < 0"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(row: pd.Series, said: pd.DataFrame) -> pd.DataFrame:
