@@ -228,7 +228,8 @@ class Model:
             target, wrong = w[self.at_group + g], w[self.at_group + noise]
             up = _miss(np.einsum("ij,ij->i", wide, target) - group_odds[g])
             down = -_hit(wide @ wrong.T - group_odds[noise])
-            g_h = up[:, None] * target + down @ wrong
+            g_h = up[:, None] * target
+            g_h += down @ wrong
             ids = [self.at_group + g, self.at_group + noise]
             grads = [up[:, None] * wide, down.T @ wide]
             # Tokens within their groups.
@@ -242,24 +243,35 @@ class Model:
                 target, wrong = w[self.at_token + own], w[self.at_token + noise]
                 up = _miss(np.einsum("ij,ij->i", wide, target) - token_odds[own])
                 down = -_hit(np.einsum("ij,ikj->ik", wide, wrong) - token_odds[noise])
-                g_h[known] += up[:, None] * target + np.einsum("ik,ikj->ij", down, wrong)
+                target *= up[:, None]
+                target += np.einsum("ik,ikj->ij", down, wrong)
+                g_h[known] += target
                 ids += [self.at_token + own, self.at_token + noise.reshape(-1)]
                 grads += [up[:, None] * wide, (down[:, :, None] * wide[:, None, :]).reshape(-1, wide.shape[1])]
             g_h[:, -1] = 0
             ids += [a, b, place]
             grads += [g_h * w[place[0]], g_h * w[place[1]], np.stack([(g_h * w[x]).sum(axis=0) for x in (a, b)])]
             ids, grads = np.concatenate(ids), np.concatenate(grads)
-            by_row = np.argsort(ids, kind="stable")
+            by_row = _order(ids)
             ids = ids[by_row]
             first = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
             changed = ids[first]
             slope = np.add.reduceat(grads[by_row], first, axis=0) / len(pick)
             squares[changed] += slope * slope
-            w[changed] += step * slope / np.sqrt(squares[changed])
+            slope *= step
+            w[changed] += slope / np.sqrt(squares[changed])
             hits[changed] += 1
         return hits
 
 
+def _order(ids: np.ndarray) -> np.ndarray:
+    """Stable argsort of row numbers below 2^32, by their halves: numpy sorts 16 bits by radix."""
+    order = np.argsort((ids & 0xFFFF).astype(np.uint16), kind="stable")
+    if ids.max(initial=0) > 0xFFFF:
+        order = order[np.argsort((ids[order] >> 16).astype(np.uint16), kind="stable")]
+    return order
+
+
 def _hit(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
