@@ -790,6 +790,18 @@ def _why(table: str) -> str:
     return f"case {' '.join(cases)} end"
 
 
+def _why_rows(table: str, columns: str) -> str:
+    """The shaped rows with the reason why they are refused, if any, and the given columns."""
+    rows = f"select *, {_why(table)} as why from ({SHAPED[table]}) s"
+    if table == "order_reviews":
+        rows = f"""select * exclude (why), case when why is not null then why
+                          when row_number() over (partition by review_id, why is null
+                               order by review_creation_date desc nulls last, order_id) > 1
+                          then 'superseded_review_id' end as why
+                   from ({rows}) y"""
+    return f"select {columns}why from ({rows}) x"
+
+
 # The first raw column of each table, by which a refused raw row is recognised.
 FIRST_COLUMN = {t: CLEAN_COLUMNS[t].split(":")[0] for t in CLEAN_COLUMNS}
 
@@ -797,14 +809,15 @@ FIRST_COLUMN = {t: CLEAN_COLUMNS[t].split(":")[0] for t in CLEAN_COLUMNS}
 def _refused_keys(table: str) -> str:
     key = FIRST_COLUMN[table]
     shaped = re.sub(r"^select ", f"select {key} as raw_key, ", SHAPED[table], count=1)
+    rows = _why_rows(table, "raw_key, ").replace(SHAPED[table], shaped, 1)
     return f"""select '{table}' as table_name, why as reason, raw_key, count(*) as n
-               from (select raw_key, {_why(table)} as why from ({shaped}) s) x
+               from ({rows}) x
                where why is not null group by 2, 3"""
 
 
 def _refused_body(table: str) -> str:
     return f"""select '{table}' as table_name, why as reason, count(*) as n
-               from (select {_why(table)} as why from ({SHAPED[table]}) s) x
+               from ({_why_rows(table, "")}) x
                where why is not null group by 2"""
 
 

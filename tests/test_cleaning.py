@@ -7,7 +7,7 @@ from decimal import Decimal
 import pytest
 
 from tests.market import NL_TEXT, RAW, raw_frames
-from tradewind.operators.cleaning import clean_all, clean_table, latest_per_key
+from tradewind.operators.cleaning import clean_all, clean_table, latest_per_key, superseded_rows
 from tradewind.sources.contracts import CLEAN_TABLES
 
 
@@ -107,8 +107,8 @@ def test_every_row_is_kept_or_quarantined(cleaned):
     rows, quarantine = cleaned
     refused = Counter(r.table_name for r in quarantine.collect())
     for name, (_, data) in RAW.items():
-        if name in ("category_translation", "order_reviews"):
-            continue  # copies are merged there
+        if name == "category_translation":
+            continue  # equal rows are merged there
         assert rows[name].count() + refused[name] == len(data), name
 
 
@@ -132,6 +132,7 @@ def test_reject_reasons(cleaned):
         ("order_payments", "orphan_orders"): 1,
         ("order_reviews", "blank_review_score"): 1,
         ("order_reviews", "orphan_orders"): 1,
+        ("order_reviews", "superseded_review_id"): 2,
         ("qualified_leads", "blank_first_contact_date"): 1,
         ("qualified_leads", "malformed_first_contact_date"): 1,
         ("closed_deals", "orphan_qualified_leads"): 1,
@@ -144,6 +145,38 @@ def test_quarantine_keeps_the_raw_row(cleaned):
     assert '"seller_id":"zz"' in raw and '"order_item_id":"4"' in raw
 
 
+def test_older_copies_of_a_review_are_quarantined(cleaned):
+    raws = cleaned[1].where("reason = 'superseded_review_id'").collect()
+    assert sorted(r.raw_row[:35] for r in raws) == [
+        '{"review_id":"r3","order_id":"o2","',
+        '{"review_id":"r4","order_id":"o5","',
+    ]
+
+
+def test_all_but_one_row_of_a_key_are_superseded(spark, rows):
+    from pyspark.sql import functions as F
+
+    data = [("a", 1, None)] * 40 + [("a", 2, "x"), ("a", 2, None), ("b", 1, "y"), (None, 3, "z"), ("c", 5, "c")]
+    df = rows("k string, v int, raw string", [*data, ("c", 5, "c")]).repartition(4)
+    got = Counter(tuple(r) for r in superseded_rows(df, ["k"], [F.desc("v")]).collect())
+    assert got == {("a", 1, None): 40, ("a", 2, None): 1, ("c", 5, "c"): 1}
+    assert superseded_rows(df.limit(0), ["k"], [F.desc("v")]).count() == 0
+
+
+def test_copies_of_a_hot_key_do_not_meet_in_one_task(spark):
+    from pyspark.sql import functions as F
+
+    # A third of all rows are equal copies of one key.
+    df = spark.range(30_000, numPartitions=8).selectExpr(
+        "if(id % 3 = 0, 'hot', string(id div 2)) AS k", "if(id % 3 = 0, 1, id % 2) AS v"
+    )
+    older = superseded_rows(df, ["k"], [F.desc("v")])
+    want = df.count() - df.select("k").distinct().count()
+    assert older.count() == want
+    plan = older._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
+
+
 def test_repeated_parent_does_not_multiply_rows(spark, rows):
     items = raw_frames(spark)["order_items"]
     parents = {

@@ -1,8 +1,9 @@
 """Raw text rows to typed rows, with everything refused kept in quarantine.
 
 Each table is one projection driven by its contract.  A row is refused for a blank
-mandatory value, a literal that does not parse, an over-long text, or a parent that does
-not exist; refused rows carry the first reason found and the raw row as JSON.
+mandatory value, a literal that does not parse, an over-long text, a parent that does not
+exist, or a later copy where only the latest stays; refused rows carry the first reason found
+and the raw row as JSON.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tradewind.functions.text import blank_to_null_sql, title_words_sql, truth_value_sql
-from tradewind.operators.numbering import number_rows
+from tradewind.operators.numbering import number_rows, unfold
 from tradewind.sources.contracts import CLEAN_TABLES, DOMAINS, Contract, Field
 
 REASON = "reject_reason"
@@ -132,21 +133,37 @@ def clean_table(
     """
     shaped = shape_rows(raw, contract)
     names = [f.name for f in contract.fields]
-    good, marked, lost = shaped.where(f"{REASON} IS NULL").select(*names), shaped, []
+    marked, lost = shaped, []
     for ref in contract.references:
         if not ref.resolve:
             continue
         columns = list(ref.columns)
         mark = f"_has_{ref.parent}"
         keys = [f"`{p}` AS `{c}`" for c, p in zip(columns, ref.parent_columns)]
-        good = good.join(parents[ref.parent].selectExpr(*keys), columns, "left_semi")
         marked = marked.join(parents[ref.parent].selectExpr(*keys, f"true AS {mark}"), columns, "left")
         lost.append(f"CASE WHEN {mark} IS NULL THEN 'orphan_{ref.parent}' END")
     refused = marked.withColumn("reason", F.expr(f"coalesce({', '.join([REASON, *lost])})"))
-    refused = refused.where("reason IS NOT NULL").selectExpr(
+    refused = quarantined(refused.where("reason IS NOT NULL"), contract)
+    return Cleaned(_known_rows(shaped, contract, parents).select(*names), refused)
+
+
+def _known_rows(
+    shaped: DataFrame, contract: Contract, parents: Mapping[str, DataFrame] | None
+) -> DataFrame:
+    """The shaped rows that are not refused and whose parents all exist."""
+    good = shaped.where(f"{REASON} IS NULL")
+    for ref in contract.references:
+        if ref.resolve:
+            keys = [f"`{p}` AS `{c}`" for c, p in zip(ref.columns, ref.parent_columns)]
+            good = good.join(parents[ref.parent].selectExpr(*keys), list(ref.columns), "left_semi")
+    return good
+
+
+def quarantined(rows: DataFrame, contract: Contract) -> DataFrame:
+    """Shaped rows with a `reason` as rows of the quarantine."""
+    return rows.selectExpr(
         f"'{contract.name}' AS table_name", "reason", f"{raw_json(contract)} AS {RAW_ROW}"
     )
-    return Cleaned(good.select(*names), refused)
 
 
 def latest_per_key(rows: DataFrame, key: list[str], newest_first: list[Column]) -> DataFrame:
@@ -199,9 +216,9 @@ def clean_payments(raw: DataFrame, orders: DataFrame) -> Cleaned:
     return clean_table(raw, CLEAN_TABLES["order_payments"], {"orders": orders})
 
 
-def latest_reviews(reviews: DataFrame) -> DataFrame:
-    """The latest copy of each review id; the tie-breaks make the choice reproducible."""
-    newest_first = [
+def _newest_review_first() -> list[Column]:
+    """Equal in two reviews of one id only if they are equal in every column."""
+    return [
         F.desc_nulls_last("review_creation_date"),
         F.asc("order_id"),
         F.asc_nulls_last("review_answer_timestamp"),
@@ -209,13 +226,41 @@ def latest_reviews(reviews: DataFrame) -> DataFrame:
         F.asc_nulls_last("review_comment_message"),
         F.asc_nulls_last("review_comment_title"),
     ]
-    return latest_per_key(reviews, ["review_id"], newest_first)
+
+
+def latest_reviews(reviews: DataFrame) -> DataFrame:
+    """The latest copy of each review id; the tie-breaks make the choice reproducible."""
+    return latest_per_key(reviews, ["review_id"], _newest_review_first())
+
+
+def superseded_rows(known: DataFrame, key: list[str], newest_first: list[Column]) -> DataFrame:
+    """All rows but the first one of each key under `newest_first`; ties go by the other columns.
+
+    A narrow count finds the keys that repeat, and only their rows go on.  Equal rows meet on
+    the map side; the first of each key passes a group limit and marks its row in a join that
+    AQE can split, so no task has to hold all copies of a key.  Keys must not be null.
+    """
+    repeated = known.groupBy(*key).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1")
+    rows = known.join(repeated.select(*key), key, "left_semi").select(*known.columns)
+    copies = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    ties = [F.asc_nulls_last(c) for c in known.columns]
+    first = latest_per_key(copies.drop("_copies"), key, [*newest_first, *ties])
+    row = F.struct(*known.columns)
+    first = first.select(*key, row.alias("_kept"))
+    # The rows and the kept one hold the same columns, so a null equals a null.
+    left = F.col("_copies") - F.when(row.eqNullSafe(F.col("_kept")), 1).otherwise(0)
+    marked = copies.join(first, key).withColumn("_left", left).where("_left > 0")
+    return unfold(marked, "_left").select(*known.columns)
 
 
 def clean_reviews(raw: DataFrame, orders: DataFrame) -> Cleaned:
-    """Known orders only, then the latest copy of each review id."""
-    done = clean_table(raw, CLEAN_TABLES["order_reviews"], {"orders": orders})
-    return Cleaned(latest_reviews(done.rows), done.rejects)
+    """Known orders only, then the latest copy of each review id; the others are quarantined."""
+    contract, parents = CLEAN_TABLES["order_reviews"], {"orders": orders}
+    done = clean_table(raw, contract, parents)
+    known = _known_rows(shape_rows(raw, contract), contract, parents).drop(REASON)
+    older = superseded_rows(known, ["review_id"], _newest_review_first())
+    older = quarantined(older.withColumn("reason", F.lit("superseded_review_id")), contract)
+    return Cleaned(latest_reviews(done.rows), done.rejects.unionByName(older))
 
 
 def clean_leads(raw: DataFrame) -> Cleaned:

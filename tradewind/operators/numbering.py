@@ -105,16 +105,19 @@ def number_rows(rows: DataFrame, name: str) -> DataFrame:
     placed = placed.join(F.broadcast(starts), "_slice").select(
         *columns, "_copies", (F.col("_start") + F.col("_upto") - F.col("_copies")).alias("_before")
     )
-    blocks = F.explode(F.sequence(F.lit(0), F.expr(f"(_copies - 1) div {_UNFOLDED}")))
-    last = F.least(F.col("_copies"), (F.col("_block") + 1) * _UNFOLDED)
-    numbers = F.explode(F.sequence(F.col("_block") * _UNFOLDED + 1, last))
-    return (
-        placed.withColumn("_block", blocks)
-        .withColumn("_nth", numbers)
-        .select((F.col("_before") + F.col("_nth")).alias(name), *columns)
+    return unfold(placed, "_copies", "_nth").select(
+        (F.col("_before") + F.col("_nth")).alias(name), *columns
     )
 
 
+def unfold(rows: DataFrame, times: str, nth: str = "_nth") -> DataFrame:
+    """Every row as often as its column `times` says, numbered from 1; no array grows with it."""
+    blocks = F.explode(F.sequence(F.lit(0), F.expr(f"({times} - 1) div {_UNFOLDED}")))
+    last = F.least(F.col(times), (F.col("_block") + 1) * _UNFOLDED)
+    numbers = F.explode(F.sequence(F.col("_block") * _UNFOLDED + 1, last))
+    return rows.withColumn("_block", blocks).withColumn(nth, numbers).drop("_block")
+
+
 def global_ntile(rows: DataFrame, order: list[Column], buckets: int, name: str) -> DataFrame:
     """NTILE(buckets) OVER (ORDER BY order) without pulling all rows into one task.
 
