@@ -157,20 +157,38 @@ def check_type_bounds(
     return _all(parts)
 
 
+def check_stored_limits(
+    tables: Mapping[str, DataFrame], contracts: Mapping[str, Contract]
+) -> DataFrame | None:
+    """Per limited text column of typed tables: texts that are too long, one pass per table.
+
+    Numbers of typed tables fit by their type.  None if no table has such a column.
+    """
+    parts = []
+    for name, rows in tables.items():
+        present = set(rows.columns)
+        limited = [f for f in contracts[name].fields if f.limit is not None and f.name in present]
+        if limited:
+            tests = {f.name: F.length(f.name) > f.limit for f in limited}
+            parts.append(_count_per_column(name, rows, tests))
+    return _all(parts) if parts else None
+
+
 def require_constraints(
     tables: Mapping[str, DataFrame], contracts: Mapping[str, Contract]
 ) -> None:
     """Stop a load that breaks any declared constraint, as a database would.
 
-    Keys, references, CHECK conditions and NOT NULL columns; the rows collected are one per
-    table and constraint.
+    Keys, references, CHECK conditions, NOT NULL columns and lengths of texts; the rows
+    collected are one per table and constraint.
     """
     reports = {
         "primary keys": check_primary_keys(tables, contracts),
         "unique keys": check_unique(tables, contracts) if _has_unique(tables, contracts) else None,
         "references": check_foreign_keys(tables, contracts),
-        "conditions": check_domains(tables),
+        "conditions": check_domains(tables) if any(d.table in tables for d in DOMAINS) else None,
         "mandatory columns": check_not_null(tables, contracts),
+        "limits": check_stored_limits(tables, contracts),
     }
     broken = []
     for kind, report in reports.items():

@@ -18,6 +18,8 @@ LOG_SCHEMA = (
     "preview array<string>, error string"
 )
 
+PLACE = "_place"
+
 # Labels of the row-count reports.
 STAGING_LABELS = {
     "customers": "customers",
@@ -59,9 +61,12 @@ def _run_one(star: Star, name: str, folder: str, preview_rows: int) -> Row:
     metric = METRICS[name]
     try:
         plan = metric.run(star)
-        # From the ordered plan: rows read back from several files come in no certain order.
-        head = plan.limit(preview_rows).select(F.to_json(F.struct("*")).alias("row")).collect()
-        result = materialize_table(plan, f"{folder}/results/{name}")
+        # Rows read back from several files come in no certain order, so each stores its place:
+        # task numbers, in the upper bits, follow the order of a sorted plan.
+        placed = plan.withColumn(PLACE, F.monotonically_increasing_id())
+        result = materialize_table(placed, f"{folder}/results/{name}")
+        shown = F.to_json(F.struct(*plan.columns)).alias("row")
+        head = result.orderBy(PLACE).limit(preview_rows).select(shown).collect()
         return Row(metric.group, name, "ok", result.count(), [r.row for r in head], None)
     except Exception as problem:  # the suite reports failures and goes on
         return Row(metric.group, name, "error", None, None, str(problem))
@@ -77,9 +82,9 @@ def run_metric_suite(
 ) -> DataFrame:
     """Run every metric, keep going on failures, write results and a JSON run log.
 
-    Each result is stored once and counted from storage; the preview comes from the ordered plan.  Small metrics
-    leave most of a cluster idle, so a few run side by side; the driver only ever holds
-    the preview rows.
+    Each plan runs once: its result is stored with the place of every row in `_place`, and
+    counted and previewed from storage.  Small metrics leave most of a cluster idle, so a few
+    run side by side; the driver only ever holds the preview rows.
     """
     names = list(METRICS if metrics is None else metrics)
     folder = folder.rstrip("/")

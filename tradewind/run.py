@@ -22,7 +22,7 @@ from tradewind.operators.integrity import require_constraints
 from tradewind.operators.star import Star, build_star, require_all_lines, star_table_names
 from tradewind.plans.suite import export_insights, run_metric_suite, suite_summary
 from tradewind.session import input_bytes, open_session, size_for
-from tradewind.sources.contracts import CLEAN_TABLES
+from tradewind.sources.contracts import CLEAN_TABLES, STAR_TABLES
 from tradewind.sources.landing import load_staging
 from tradewind.sources.tables import (
     LayerVersion,
@@ -72,6 +72,7 @@ def build_layers(
 
     star = build_star(spark, clean, version.place("star"), partition_by_month)
     require_all_lines(star)
+    require_constraints(star.tables(), STAR_TABLES)
     version.name("star", star_table_names())
     version.put({**star.tables(), **{n: clean[n] for n in FUNNEL}}, "bi")
     version.publish()
