@@ -207,6 +207,20 @@ def load_inferred_csv(x: Inputs) -> DataFrame:
     return landing.load_inferred_csv(x.spark, path)
 
 
+def load_inferred_tables(x: Inputs) -> DataFrame:
+    """The inferred type of every column of every file, and how many values it holds."""
+
+    def held(name: str, df: DataFrame) -> DataFrame:
+        columns = [
+            F.struct(F.lit(c).alias("column_name"), F.lit(t).alias("type"), F.count(F.nullif(F.col(c).cast("string"), F.lit(""))).alias("n"))
+            for c, t in df.dtypes
+        ]
+        return df.agg(F.explode(F.array(*columns)).alias("c")).select(F.lit(name).alias("table_name"), "c.*")
+
+    found = landing.load_inferred(x.spark, x.csv_folder())
+    return reduce(DataFrame.unionByName, [held(n, df) for n, df in found.items()])
+
+
 def normalize_headers(x: Inputs) -> DataFrame:
     corrected = x.role("w_products").withColumnsRenamed(
         {
@@ -337,6 +351,7 @@ def build_fact(x: Inputs) -> DataFrame:
 OPERATORS: dict[str, Callable[[Inputs], DataFrame]] = {
     "load_staging_csv": load_staging_csv,
     "load_inferred_csv": load_inferred_csv,
+    "load_inferred_tables": load_inferred_tables,
     "normalize_headers": normalize_headers,
     "overwrite_layer": overwrite_layer,
     "materialize_table": materialize_table,

@@ -1000,6 +1000,29 @@ def operator_entries() -> dict[str, tuple[str, str]]:
         "freight_value:f",
         "select * from r_items",
     )
+    e["load_inferred_tables"] = (
+        "table_name:s column_name:s type:s n:i",
+        _union(
+            f"""select '{t}' as table_name, '{f.source}' as column_name, case
+                  when count(v) = 0 then 'string'
+                  when bool_and(regexp_full_match(v, '[+-]?[0-9]+')
+                                and try_cast(v as bigint) is not null)
+                    then case when bool_and(try_cast(v as integer) is not null) then 'int' else 'bigint' end
+                  when bool_and(try_cast(v as double) is not null and regexp_matches(v, '[0-9]')
+                                and (contains(v, '.') or try_cast(v as bigint) is not null)
+                                and not contains(v, ' ')) then 'double'
+                  when bool_and(length(v) <= 10 and try_cast(v as date) is not null) then 'date'
+                  when bool_and(contains(v, '-') and trim(v) = v
+                                and try_cast(v as timestamp) is not null) then 'timestamp_ntz'
+                  when bool_and(lower(v) in ('true', 'false')) then 'boolean'
+                  else 'string' end as type, count(v) as n
+                from (select nullif(cast({f.source} as varchar), '') as v from w_{t}) x
+                where v is not null"""
+            for t in CONTRACTS
+            if t != "geolocation"
+            for f in CONTRACTS[t].fields
+        ),
+    )
     e["normalize_headers"] = (
         "product_id:s product_category_name:s " + " ".join(f"{c}:s" for c in _SIZES),
         "select * from w_products",

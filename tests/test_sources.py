@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tests.market import NL_TEXT, RAW, write_csv
 from tradewind.sources.contracts import CLEAN_TABLES
 from tradewind.sources.landing import (
+    infer_types,
     load_inferred,
     load_inferred_csv,
     load_staging,
@@ -162,6 +163,41 @@ def test_inferred_folder_has_ten_tables(spark, tmp_path):
     assert got["order_reviews"].count() == len(RAW["order_reviews"][1])
 
 
+def test_types_are_inferred_from_all_rows_of_all_tables_in_one_job(spark, rows):
+    day, time = "2020-01-01", "2020-1-1 7:00:00"
+    columns = {
+        "int": ["1", "-7", None, "", "007"], "bigint": ["1", "3000000000"], "double": ["1", "3000000000", "2.5", ".5e3"],
+        "date": [day, None], "timestamp_ntz": [day, time], "boolean": ["true", "FALSE", ""],
+        "string": ["1", day], "string2": ["12345678901234567890"], "string3": ["", None], "string4": ["2020-13-01"],
+        "string5": [" 1"], "string6": ["1", "true"],
+    }
+    data = [tuple(v[i] if i < len(v) else None for v in columns.values()) for i in range(5)]
+    table = rows(", ".join(f"{c} string" for c in columns), data).repartition(5)
+    spark.sparkContext.setJobGroup("infer", "infer")
+    try:
+        got = infer_types({"a": table, "b": table.limit(0)})
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("infer")) <= 4
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert got["a"] == {c: c.rstrip("23456") if c.startswith("string") else c for c in columns}
+    assert set(got["b"].values()) == {"string"}
+    assert infer_types({}) == {}
+
+
+def test_inferred_tables_keep_values_and_line_breaks(spark, tmp_path):
+    write_csv(tmp_path)
+    got = load_inferred(spark, str(tmp_path))
+    reviews = {r.review_id: r for r in got["order_reviews"].collect()}
+    assert reviews["r2"].review_answer_timestamp is None
+    assert NL_TEXT in {r.review_comment_message for r in got["order_reviews"].collect()}
+    staged = load_staging(spark, str(tmp_path))
+    for name, df in got.items():
+        assert df.columns == staged[name].columns
+        for c, kind in df.dtypes:
+            filled = staged[name].where(f"`{c}` <> ''").count()
+            assert kind == "string" or df.where(f"`{c}` IS NOT NULL").count() == filled, (name, c)
+
+
 def test_header_spellings(rows):
     both = rows("product_id string, product_name_length string", [("p", "1")])
     assert normalize_headers(both).columns == ["product_id", "product_name_lenght"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -190,17 +191,77 @@ def load_inferred_csv(spark: SparkSession, path: str, multiline: bool = False) -
     return reader.schema(zoneless).csv(path)
 
 
-def load_inferred(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The extracts with inferred types and accepted header spellings; points excluded."""
-    return {
-        name: normalize_headers(
-            load_inferred_csv(spark, f"{folder.rstrip('/')}/{c.file_pattern}", c.multiline)
+# What a text can be read as, one bit each, and the types that hold sets of such texts, narrowest
+# first.  The bits of all texts of a column combine by OR, in any order.
+_SHAPE_BITS = (
+    ("int", 1, r"^[+-]?[0-9]+$"),
+    ("bigint", 2, r"^[+-]?[0-9]+$"),
+    ("double", 4, r"^[+-]?([0-9]+[.][0-9]*|[.]?[0-9]+)([eE][+-]?[0-9]+)?$"),
+    ("date", 8, r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"),
+    ("timestamp_ntz", 16, r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}[ T][0-9]{1,2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,6})?)?$"),
+    ("boolean", 32, r"^([tT][rR][uU][eE]|[fF][aA][lL][sS][eE])$"),
+)
+_TEXT_BIT = 64
+_HOLDS = (("int", 1), ("bigint", 3), ("double", 7), ("date", 8), ("timestamp_ntz", 24), ("boolean", 32))
+
+
+def _shape_bit(text: str) -> str:
+    """The bit of the narrowest type that a text can be read as; 0 for a missing or empty one.
+
+    A whole number beyond 64 bits is text: no other type here keeps all its digits.
+    """
+    cases = [f"WHEN {text} IS NULL OR {text} = '' THEN 0"]
+    for kind, bit, shape in _SHAPE_BITS:
+        cases.append(f"WHEN {text} RLIKE r'{shape}' AND try_cast({text} AS {kind}) IS NOT NULL THEN {bit}")
+        if kind == "bigint":
+            cases.append(f"WHEN {text} RLIKE r'{shape}' THEN {_TEXT_BIT}")
+    return f"CASE {' '.join(cases)} ELSE {_TEXT_BIT} END"
+
+
+def infer_types(tables: Mapping[str, DataFrame]) -> dict[str, dict[str, str]]:
+    """The narrowest type of every column of text tables, from all their rows.
+
+    One job over all tables: a row per table holds the combined bits of its columns.  Partial
+    results merge on the map side, so every file is read by as many tasks as its text is.
+    """
+    found = [
+        rows.agg(
+            F.lit(name).alias("table"),
+            F.array(*(F.bit_or(F.expr(_shape_bit(f"`{c}`"))) for c in rows.columns)).alias("bits"),
         )
-        for name, c in CLEAN_TABLES.items()
-        if name != "geolocation"
+        for name, rows in tables.items()
+    ]
+    if not found:
+        return {}
+    seen = {r["table"]: r["bits"] for r in reduce(DataFrame.unionAll, found).collect()}
+    return {
+        name: {c: _narrowest(bits or 0) for c, bits in zip(rows.columns, seen[name], strict=True)}
+        for name, rows in tables.items()
     }
 
 
+def _narrowest(bits: int) -> str:
+    fits = (kind for kind, held in _HOLDS if bits and not bits & ~held)
+    return next(fits, "string")
+
+
+def load_inferred(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The extracts with inferred types and the raw layer's spellings; points excluded.
+
+    Types come from the staged text, line breaks in quoted fields included, in one job for all
+    files; an empty text is a missing value in any column that is not text.
+    """
+    texts = {n: load_staging_csv(spark, folder, n) for n in CLEAN_TABLES if n != "geolocation"}
+
+    def typed(column: str, kind: str) -> str:
+        if kind == "string":
+            return f"`{column}`"
+        return f"CAST(nullif(`{column}`, '') AS {kind}) AS `{column}`"
+
+    types = infer_types(texts)
+    return {n: rows.selectExpr(*(typed(c, k) for c, k in types[n].items())) for n, rows in texts.items()}
+
+
 def normalize_headers(df: DataFrame, aliases: Mapping[str, str] = HEADER_ALIASES) -> DataFrame:
     """Rename accepted header spellings to the raw layer's; other columns stay."""
     present = set(df.columns)
