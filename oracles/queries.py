@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import lru_cache, reduce
+from threading import RLock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,6 +60,7 @@ class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
         self._stored: dict[str, object] = {}
+        self._planning = RLock()
 
     def _once(self, name: str, build):
         if name not in self._stored:
@@ -66,54 +68,45 @@ class Inputs:
         return self._stored[name]
 
     def role(self, name: str) -> DataFrame:
-        base = self._once("base", lambda: read_base(self.spark, self.sf_dir))
-        return self._once(name, lambda: spark_role(base, name))
+        with self._planning:  # tables stored side by side ask for their roles at once
+            base = self._once("base", lambda: read_base(self.spark, self.sf_dir))
+            return self._once(name, lambda: spark_role(base, name))
 
-    def raw(self) -> dict[str, DataFrame]:
+    def raw(self) -> tables.StoredTables:
         """The raw layer: dirty text as stored tables."""
-        plans = {t: self.role(f"w_{t}") for t in CLEAN_TABLES}
-        return self._once("raw", lambda: self._layer("raw", plans))
+        plans = {t: lambda t=t: self.role(f"w_{t}") for t in CLEAN_TABLES}
+        return self._layer("raw", plans)
 
-    def _layer(self, name: str, plans: dict[str, DataFrame]) -> dict[str, DataFrame]:
-        # The test tables are one small file each; spread them as a real layer would be.
-        tasks = self.spark.sparkContext.defaultParallelism
-        plans = {t: df.repartition(tasks) for t, df in plans.items()}
-        root = scratch_path(self.spark, name)
-        tables.overwrite_layer(self.spark, plans, root)
-        return tables.read_layer(self.spark, root)
-
-    def parents(self) -> dict[str, DataFrame]:
-        """Cleaned parents of the raw layer, stored before their children resolve."""
-
-        def build():
-            names = ("customers", "products", "sellers", "qualified_leads")
-            cleaned = {n: cleaning.clean_table(self.raw()[n], CLEAN_TABLES[n]) for n in names}
-            parents = self._layer("parents", cleaning.rows_of(cleaned))
-            orders = cleaning.clean_ordered(self.raw(), parents)
-            return parents | self._layer("ordered", cleaning.rows_of(orders))
-
-        return self._once("parents", build)
+    def _layer(self, name: str, plans: dict[str, Callable[[], DataFrame]]) -> tables.StoredTables:
+        # Each table is stored when a query first reads it, in as many files as its plan has
+        # tasks.  Dealing the rows out evenly would sort every map task's share by hash first,
+        # and a few large shares spill.
+        return self._once(
+            name, lambda: tables.StoredTables(plans, scratch_path(self.spark, name))
+        )
 
-    def cleaned(self) -> dict[str, DataFrame]:
-        """The clean layer that the dirty text gives."""
+    def cleaned(self) -> tables.StoredTables:
+        """The clean layer that the dirty text gives; children resolve against stored parents."""
 
-        def build():
-            raw, parents = self.raw(), self.parents()
-            names = ("category_translation", "geolocation")
-            free = {n: cleaning.clean_parents(raw)[n].rows for n in names}
-            children = cleaning.rows_of(cleaning.clean_children(raw, parents))
-            return parents | self._layer("cleaned", free | children)
+        def rows(table: str) -> DataFrame:
+            raw, done = self.raw(), self.cleaned()
+            if table == "orders":
+                return cleaning.clean_orders(raw[table], done["customers"]).rows
+            if table in CHILDREN:
+                known = done.all(PARENTS_OF[table])
+                return CHILDREN[table](raw[table], *known.values()).rows
+            return FREE[table](raw[table]).rows
 
-        return self._once("cleaned", build)
+        return self._layer("cleaned", {t: lambda t=t: rows(t) for t in CLEAN_TABLES})
 
-    def cleaned_star(self) -> builders.Star:
+    def cleaned_star(self) -> builders.StarOnUse:
         """The star over the cleaned text; no line may get lost."""
 
         def build():
-            root = scratch_path(self.spark, "cleaned-star")
-            star = builders.build_star(self.spark, self.cleaned(), root)
+            self.cleaned().all()
+            star = builders.StarOnUse(self.cleaned(), scratch_path(self.spark, "cleaned-star"))
             builders.require_all_lines(star)
-            integrity.require_constraints(self.cleaned(), CLEAN_TABLES)
+            integrity.require_constraints(self.cleaned().all(), CLEAN_TABLES)
             return star
 
         return self._once("cleaned_star", build)
@@ -127,35 +120,45 @@ class Inputs:
         out["order_reviews"] = cleaning.latest_reviews(self.role("r_reviews_all"))
         return out
 
-    def clean(self) -> dict[str, DataFrame]:
+    def clean(self) -> tables.StoredTables:
         """The clean layer as stored tables."""
-        return self._once("clean", lambda: self._layer("clean", self.typed()))
 
-    def star(self) -> builders.Star:
+        def rows(table: str) -> DataFrame:
+            if table == "order_reviews":
+                return cleaning.latest_reviews(self.role("r_reviews_all"))
+            return self.role(ROLE_OF[table])
+
+        return self._layer("clean", {t: lambda t=t: rows(t) for t in (*ROLE_OF, "order_reviews")})
+
+    def star(self) -> builders.StarOnUse:
         return self._once(
-            "star",
-            lambda: builders.build_star(self.spark, self.clean(), scratch_path(self.spark, "star")),
+            "star", lambda: builders.StarOnUse(self.clean(), scratch_path(self.spark, "star"))
         )
 
+    def whole_star(self) -> builders.Star:
+        """The star for queries that read all of it."""
+        self.clean().all()
+        return self.star().whole()
+
     def csv_folder(self) -> str:
         """The raw tables as CSV files under the names the loader looks for."""
 
         def build():
             root = scratch_path(self.spark, "csv")
 
-            def store(name: str, df: DataFrame) -> None:
+            def store(name: str) -> None:
                 target = CLEAN_TABLES[name].file_pattern.replace("*", "raw_")
                 (
-                    df.write.option("header", True)
+                    self.role(f"w_{name}")
+                    .write.option("header", True)
                     .option("escape", '"')
                     .option("ignoreLeadingWhiteSpace", False)
                     .option("ignoreTrailingWhiteSpace", False)
                     .csv(f"{root}/{target}")
                 )
 
-            raw = self.raw()
             with ThreadPoolExecutor(max_workers=tables.WRITERS) as pool:
-                list(pool.map(lambda n: store(n, raw[n]), raw))
+                list(pool.map(store, CLEAN_TABLES))
             return root
 
         return self._once("csv", build)
@@ -249,15 +252,15 @@ def materialize_table(x: Inputs) -> DataFrame:
 
 
 def publish_bi_tables(x: Inputs) -> DataFrame:
-    funnel = {n: x.clean()[n] for n in ("qualified_leads", "closed_deals")}
-    wanted = {**x.star().tables(), **funnel}
+    star = x.whole_star()
+    wanted = {**star.tables(), **{n: star.clean[n] for n in ("qualified_leads", "closed_deals")}}
     return named_counts(
         tables.publish_bi_tables(x.spark, wanted, scratch_path(x.spark, "bi")), "table_name", "n"
     )
 
 
 def run_metric_suite(x: Inputs) -> DataFrame:
-    log = suite.run_metric_suite(x.spark, x.star(), scratch_path(x.spark, "suite"))
+    log = suite.run_metric_suite(x.spark, x.whole_star(), scratch_path(x.spark, "suite"))
     return log.select("metric", "status", "row_count")
 
 
@@ -282,6 +285,14 @@ def export_insights(x: Inputs) -> DataFrame:
 # --- cleaning and integrity -------------------------------------------------------------
 
 
+FREE = {
+    "category_translation": cleaning.clean_categories,
+    "customers": cleaning.clean_customers,
+    "sellers": cleaning.clean_sellers,
+    "products": cleaning.clean_products,
+    "geolocation": cleaning.clean_geolocation,
+    "qualified_leads": cleaning.clean_leads,
+}
 CHILDREN = {
     "order_items": cleaning.clean_order_items,
     "order_payments": cleaning.clean_payments,
@@ -295,10 +306,10 @@ def _clean_rows(table: str) -> Callable[[Inputs], DataFrame]:
     def query(x: Inputs) -> DataFrame:
         raw = x.raw()
         if table == "orders":
-            return cleaning.clean_orders(raw[table], x.parents()["customers"]).rows
+            return cleaning.clean_orders(raw[table], x.cleaned()["customers"]).rows
         if table in CHILDREN:
-            parents = x.parents()
-            return CHILDREN[table](raw[table], *(parents[p] for p in PARENTS_OF[table])).rows
+            parents = x.cleaned().all(PARENTS_OF[table])
+            return CHILDREN[table](raw[table], *parents.values()).rows
         if table == "category_translation":
             return cleaning.clean_categories(raw[table]).rows
         if table == "geolocation":
@@ -313,15 +324,18 @@ def normalize_boolean(x: Inputs) -> DataFrame:
     return x.role("w_closed_deals").select("mql_id", *flags)
 
 
-def quarantine_rejects(x: Inputs) -> DataFrame:
-    raw = x.raw()
-    parents = x.parents()
-    refused = cleaning.quarantine_rejects(
+def _refused(x: Inputs) -> DataFrame:
+    raw = x.raw().all()
+    parents = x.cleaned().all(sorted({p for names in PARENTS_OF.values() for p in names} | {"customers"}))
+    return cleaning.quarantine_rejects(
         cleaning.clean_parents(raw),
         cleaning.clean_ordered(raw, parents),
         cleaning.clean_children(raw, parents),
     )
-    return refused.groupBy("table_name", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+def quarantine_rejects(x: Inputs) -> DataFrame:
+    return _refused(x).groupBy("table_name", "reason").agg(F.count(F.lit(1)).alias("n"))
 
 
 def check_foreign_keys(x: Inputs) -> DataFrame:
@@ -358,7 +372,7 @@ OPERATORS: dict[str, Callable[[Inputs], DataFrame]] = {
     "staging_row_counts": lambda x: suite.staging_row_counts(
         landing.load_staging(x.spark, x.csv_folder())
     ),
-    "cleaned_row_counts": lambda x: suite.cleaned_row_counts(x.clean()),
+    "cleaned_row_counts": lambda x: suite.cleaned_row_counts(x.clean().all()),
     "star_row_counts": lambda x: suite.star_row_counts(x.star()),
     "run_metric_suite": run_metric_suite,
     "export_insights": export_insights,
@@ -381,7 +395,7 @@ OPERATORS: dict[str, Callable[[Inputs], DataFrame]] = {
     "check_domains": lambda x: integrity.check_domains(x.broken()),
     "check_unique": check_unique,
     "check_not_null": lambda x: integrity.check_not_null(x.broken(), CLEAN_TABLES),
-    "check_type_bounds": lambda x: integrity.check_type_bounds(x.raw(), CLEAN_TABLES),
+    "check_type_bounds": lambda x: integrity.check_type_bounds(x.raw().all(), CLEAN_TABLES),
     "build_dim_date": lambda x: builders.build_dim_date(x.clean()["orders"]),
     "build_dim_customer": lambda x: builders.build_dim_customer(x.clean()["customers"]),
     "build_dim_product": lambda x: builders.build_dim_product(
@@ -406,18 +420,12 @@ def pipeline_counts(x: Inputs) -> DataFrame:
 
 
 def pipeline_quarantine(x: Inputs) -> DataFrame:
-    raw, parents = x.raw(), x.parents()
-    refused = cleaning.quarantine_rejects(
-        cleaning.clean_parents(raw),
-        cleaning.clean_ordered(raw, parents),
-        cleaning.clean_children(raw, parents),
-    )
     first = F.lit(None).cast("string")
     for name in CLEAN_TABLES:
         key = CLEAN_TABLES[name].fields[0].source
         own = F.get_json_object("raw_row", f"$.{key}")
         first = F.when(F.col("table_name") == name, own).otherwise(first)
-    return refused.groupBy("table_name", "reason", first.alias("raw_key")).agg(
+    return _refused(x).groupBy("table_name", "reason", first.alias("raw_key")).agg(
         F.count(F.lit(1)).alias("n")
     )
 

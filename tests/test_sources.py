@@ -281,3 +281,22 @@ print("rows", load_staging_csv(spark, "", "order_reviews", {str(tmp_path / "r.cs
         [sys.executable, "job.py"], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=200
     )
     assert "rows 20" in done.stdout, done.stderr[-2000:]
+
+
+def test_stored_tables_are_made_once_and_on_use(spark, tmp_path):
+    from tradewind.sources.tables import StoredTables
+
+    made = []
+
+    def plan(name, read=()):
+        made.append(name)
+        assert all(stored[r].count() == 3 for r in read)
+        return spark.range(3)
+
+    stored = StoredTables(
+        {"a": lambda: plan("a"), "b": lambda: plan("b", ["a"]), "c": lambda: plan("c")}, str(tmp_path)
+    )
+    assert list(stored) == ["a", "b", "c"] and len(stored) == 3 and not made
+    assert stored["b"].count() == 3 and sorted(p.name for p in tmp_path.iterdir()) == ["a", "b"]
+    assert stored["a"].count() == 3 and sorted(stored.all()) == ["a", "b", "c"]
+    assert sorted(made) == ["a", "b", "c"]

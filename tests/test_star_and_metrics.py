@@ -351,3 +351,19 @@ def test_csv_to_insights_and_again(spark, tmp_path, monkeypatch):
     spark.sql("DROP DATABASE wholerun CASCADE")
     assert sorted(tuple(r) for r in again.star.fact.collect()) == keys
     assert again.quarantine.count() == first.quarantine.count() == 25
+
+
+def test_a_metric_stores_only_what_it_reads(spark, star, tmp_path):
+    """Dimensions and books that a plan does not read are not written."""
+    from tradewind.plans.delivery import demo_late_ratings, kpi_on_time
+
+    lazy = builders.StarOnUse(star.clean, str(tmp_path))
+    stored = lambda: {p.name for p in tmp_path.iterdir()}
+    assert kpi_on_time(lazy).collect() == kpi_on_time(star).collect()
+    assert stored() == {"dim_order"}
+    got, want = (sorted(demo_late_ratings(s).collect()) for s in (lazy, star))
+    assert got == want
+    assert stored() == {"dim_customer", "dim_order", "dim_payment", "dim_review", "order_frame"}
+    whole = lazy.whole()
+    assert stored() == set(builders.star_table_names())
+    assert whole.sellers.count() == star.sellers.count()

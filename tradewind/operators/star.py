@@ -9,8 +9,7 @@ grouped by the 8-byte surrogate keys; names of sellers are looked up on the resu
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,7 +19,7 @@ from tradewind.functions import cents, date_key, days_between, from_cents
 from tradewind.operators.cleaning import latest_per_key
 from tradewind.operators.numbering import assign_surrogate_keys
 from tradewind.sources.contracts import STAR_TABLES
-from tradewind.sources.tables import materialize_table, read_layer
+from tradewind.sources.tables import StoredTables, read_layer
 
 UNTRANSLATED = "untranslated"
 
@@ -109,12 +108,15 @@ def build_dim_order(orders: DataFrame) -> DataFrame:
         "order_delivered_carrier_date",
         "order_delivered_customer_date",
         "order_estimated_delivery_date",
+    )
+    # Figures are derived behind the numbering, so its exchange does not carry them.
+    return assign_surrogate_keys(rows, ["order_id"], "order_sk").select(
+        "*",
         days_between(purchased, delivered).alias("delivery_days"),
         days_between(purchased, promised).alias("estimated_delivery_days"),
         (delivered > promised).alias("is_late_delivery"),
         days_between(promised, delivered).alias("delay_days"),
     )
-    return assign_surrogate_keys(rows, ["order_id"], "order_sk")
 
 
 def build_dim_payment(payments: DataFrame) -> DataFrame:
@@ -215,10 +217,11 @@ def build_line_book(
     carried = order_frame.select(
         "order_id", date_key(F.col("purchase_date")).alias("date_key"), *LINE_ATTRIBUTES
     )
+    # The wide order attributes come last, so no other join has to shuffle them.
     return (
-        numbered.join(carried, "order_id")
-        .join(products, "product_id")
+        numbered.join(products, "product_id")
         .join(sellers, "seller_id")
+        .join(carried, "order_id")
         .select(
             "fact_sk",
             "order_id",
@@ -306,18 +309,76 @@ class Star:
 BOOKS = ("line_book", "order_book", "seller_book", "order_frame")
 
 
-def build_dims(clean: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+def dim_plans(clean: Mapping[str, DataFrame]) -> dict[str, Callable[[], DataFrame]]:
+    """The plan of every dimension; each reads its own clean tables."""
     return {
-        "dim_date": build_dim_date(clean["orders"]),
-        "dim_customer": build_dim_customer(clean["customers"]),
-        "dim_product": build_dim_product(clean["products"], clean["category_translation"]),
-        "dim_seller": build_dim_seller(clean["sellers"]),
-        "dim_order": build_dim_order(clean["orders"]),
-        "dim_payment": build_dim_payment(clean["order_payments"]),
-        "dim_review": build_dim_review(clean["order_reviews"]),
+        "dim_date": lambda: build_dim_date(clean["orders"]),
+        "dim_customer": lambda: build_dim_customer(clean["customers"]),
+        "dim_product": lambda: build_dim_product(clean["products"], clean["category_translation"]),
+        "dim_seller": lambda: build_dim_seller(clean["sellers"]),
+        "dim_order": lambda: build_dim_order(clean["orders"]),
+        "dim_payment": lambda: build_dim_payment(clean["order_payments"]),
+        "dim_review": lambda: build_dim_review(clean["order_reviews"]),
     }
 
 
+def build_dims(clean: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    return {name: plan() for name, plan in dim_plans(clean).items()}
+
+
+class StarOnUse:
+    """A star below `root` whose tables are stored when a plan first reads them.
+
+    Readers use it like `Star`.  A metric over one dimension stores that dimension alone, one
+    over lines stores no book but theirs; `whole` stores everything that is still missing.
+    """
+
+    def __init__(self, clean: Mapping[str, DataFrame], root: str, partition_by_month: bool = False):
+        self.clean, root = clean, root.rstrip("/")
+        self.dims = StoredTables(dim_plans(clean), root)
+        layout = ["purchase_month"] if partition_by_month else []
+
+        def by_month(book: DataFrame, month: Column) -> DataFrame:
+            return book.withColumn("purchase_month", month.cast("int")) if layout else book
+
+        def line_book() -> DataFrame:
+            lines = build_line_book(clean["order_items"], self.frame, self.dims)
+            return by_month(lines, F.floor(F.col("date_key") / 100))
+
+        def order_book() -> DataFrame:
+            orders = build_order_book(self.lines, self.frame)
+            return by_month(orders, F.floor(date_key(F.col("purchase_date")) / 100))
+
+        plans = {
+            "line_book": line_book,
+            "order_book": order_book,
+            "seller_book": lambda: build_seller_book(self.lines),
+            "order_frame": self._order_frame,
+        }
+        self._books = StoredTables(plans, root, {"line_book": layout, "order_book": layout})
+
+    def _order_frame(self) -> DataFrame:
+        self.dims.all(["dim_customer", "dim_order", "dim_payment", "dim_review"])
+        return build_order_frame(self.clean["orders"], self.dims)
+
+    lines = property(lambda self: self._books["line_book"])
+    orders = property(lambda self: self._books["order_book"])
+    sellers = property(lambda self: self._books["seller_book"])
+    frame = property(lambda self: self._books["order_frame"])
+
+    @property
+    def fact(self) -> DataFrame:
+        return build_fact_order_items(self.lines)
+
+    def tables(self) -> dict[str, DataFrame]:
+        return {"fact_order_items": self.fact, **self.dims.all()}
+
+    def whole(self) -> Star:
+        """Everything stored; dimensions do not depend on each other and are written side by side."""
+        dims = self.dims.all()
+        return Star(self.lines, self.orders, self.sellers, self.frame, dims, dict(self.clean))
+
+
 def build_star(
     spark: SparkSession,
     clean: Mapping[str, DataFrame],
@@ -326,33 +387,13 @@ def build_star(
 ) -> Star:
     """Write dimensions, line book and order book below `root`; return them read back.
 
-    The dimensions do not depend on each other and are written side by side.  With
-    `partition_by_month` the books are laid out by purchase month for readers that filter
+    With `partition_by_month` the books are laid out by purchase month for readers that filter
     on time; none of the built-in metrics does, so it is off by default.
     """
-    root = root.rstrip("/")
-    plans = build_dims(clean)
-    with ThreadPoolExecutor(max_workers=len(plans)) as pool:
-        written = pool.map(lambda kv: materialize_table(kv[1], f"{root}/{kv[0]}"), plans.items())
-        dims = dict(zip(plans, written))
-
-    frame = materialize_table(build_order_frame(clean["orders"], dims), f"{root}/order_frame")
-    layout = ["purchase_month"] if partition_by_month else []
-
-    def store(book: DataFrame, month: Column, name: str) -> DataFrame:
-        if layout:
-            book = book.withColumn("purchase_month", month.cast("int"))
-        return materialize_table(book, f"{root}/{name}", partition_by=layout)
-
-    lines = build_line_book(clean["order_items"], frame, dims)
-    lines = store(lines, F.floor(F.col("date_key") / 100), "line_book")
-    orders = build_order_book(lines, frame)
-    orders = store(orders, F.floor(date_key(F.col("purchase_date")) / 100), "order_book")
-    sellers = materialize_table(build_seller_book(lines), f"{root}/seller_book")
-    return Star(lines, orders, sellers, frame, dims, dict(clean))
+    return StarOnUse(clean, root, partition_by_month).whole()
 
 
-def require_all_lines(star: Star) -> None:
+def require_all_lines(star: Star | StarOnUse) -> None:
     """Stop if the line book is not the clean lines, numbered 1 to N.
 
     Two counts over stored tables, read from their footers or one narrow column.
