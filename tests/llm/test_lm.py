@@ -162,3 +162,29 @@ def test_empty_tables(spark, documents):
     rows = lm.op6_lm_scores(spark, documents(only_held)).collect()
     assert {(r["n_known"], r["train_tokens"], r["base_score"]) for r in rows} == {(0, 0, 0.0)}
     assert all(r["score"] == pytest.approx(0, abs=1e-9) for r in rows)
+
+
+def test_training_gathers_whole_rows():
+    """Rows of weights are copied by `take`; indexing by an array goes column by column."""
+
+    class Watched(np.ndarray):
+        gathered = 0
+
+        def __getitem__(self, key):
+            Watched.gathered += self is weights and isinstance(key, np.ndarray)
+            return super().__getitem__(key)
+
+    weights = None
+
+    def trained(kind):
+        nonlocal weights
+        model = lm.Model(np.arange(50, dtype=np.uint64), np.arange(50, 0, -1), 1400, 60)
+        weights = model.rows = model.rows.view(kind)
+        tokens = np.random.default_rng(1).integers(0, 51, 5000)
+        one, two = model.contexts(tokens, np.arange(5000) // 40)
+        hits = model.train(tokens, one, two, 3, 0.1)
+        return hits, np.asarray(model.rows), model.log_probability(tokens, one, two)
+
+    watched, plain = trained(Watched), trained(np.ndarray)
+    assert all((a == b).all() for a, b in zip(watched, plain))
+    assert Watched.gathered == 0

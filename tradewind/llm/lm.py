@@ -176,8 +176,9 @@ class Model:
         return out[0], out[1]
 
     def hidden(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-        w = self.rows[:, :-1]
-        return w[one] * w[self.at_position] + w[two] * w[self.at_position + 1]
+        # `take` copies whole rows; indexing by an array goes column by column.
+        first, second = (self.rows.take(x, axis=0)[:, :-1] for x in (one, two))
+        return first * self.rows[self.at_position, :-1] + second * self.rows[self.at_position + 1, :-1]
 
     def log_probability(self, classes: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
         """Normalised, natural logarithm; of token n it is that of all other tokens together."""
@@ -190,7 +191,7 @@ class Model:
         log_z = np.concatenate(
             [_log_sum(h[k : k + SLICE] @ group[:, :-1].T + group[:, -1]) for k in range(0, len(h), SLICE)]
         )
-        score = np.einsum("ij,ij->i", h[context], group[of, :-1]) + group[of, -1] - log_z[context]
+        score = np.einsum("ij,ij->i", h.take(context, axis=0), group.take(of, axis=0)[:, :-1]) + group[of, -1] - log_z[context]
         # A context and the group that follows it: normalised once, group by group.
         asked, place = np.unique(of * np.int64(len(pairs)) + context, return_inverse=True)
         inside = np.zeros(len(asked), np.float32)
@@ -199,10 +200,10 @@ class Model:
             own = token[self.begin[g] : self.begin[g + 1]]
             for k in range(edges[g], edges[g + 1], SLICE):
                 rows = slice(k, min(k + SLICE, edges[g + 1]))
-                inside[rows] = _log_sum(h[asked[rows] - g * len(pairs)] @ own[:, :-1].T + own[:, -1])
+                inside[rows] = _log_sum(h.take(asked[rows] - g * len(pairs), axis=0) @ own[:, :-1].T + own[:, -1])
         known = classes < self.n
         c = classes[known]
-        score[known] += np.einsum("ij,ij->i", h[context[known]], token[c, :-1]) + token[c, -1] - inside[place[known]]
+        score[known] += np.einsum("ij,ij->i", h.take(context[known], axis=0), token.take(c, axis=0)[:, :-1]) + token[c, -1] - inside[place[known]]
         return score.astype(np.float64)
 
     def train(self, classes: np.ndarray, one: np.ndarray, two: np.ndarray, seed: int, step: float) -> np.ndarray:
@@ -225,7 +226,7 @@ class Model:
             # Groups.
             g = self.group_of(c)
             noise = draw.choice(self.groups + 1, NOISE, p=self.group_share)
-            target, wrong = w[self.at_group + g], w[self.at_group + noise]
+            target, wrong = w.take(self.at_group + g, axis=0), w.take(self.at_group + noise, axis=0)
             up = _miss(np.einsum("ij,ij->i", wide, target) - group_odds[g])
             down = -_hit(wide @ wrong.T - group_odds[noise])
             g_h = up[:, None] * target
@@ -235,12 +236,13 @@ class Model:
             # Tokens within their groups.
             known = np.flatnonzero(c < self.n)
             if len(known):
-                own, wide = c[known], wide[known]
-                low, high = below[self.begin[g[known]]], below[self.begin[g[known] + 1]]
+                own, wide = c.take(known), wide.take(known, axis=0)
+                end = self.begin.take(g.take(known) + 1)
+                low, high = below.take(self.begin.take(g.take(known))), below.take(end)
                 at = low[:, None] + draw.random((len(own), NOISE_INSIDE)) * (high - low)[:, None]
                 # Rounding at an edge must not lead to the next group.
-                noise = np.minimum(np.searchsorted(self.upto, at, "right"), self.begin[g[known] + 1][:, None] - 1)
-                target, wrong = w[self.at_token + own], w[self.at_token + noise]
+                noise = np.minimum(np.searchsorted(self.upto, at, "right"), end[:, None] - 1)
+                target, wrong = w.take(self.at_token + own, axis=0), w.take(self.at_token + noise, axis=0)
                 up = _miss(np.einsum("ij,ij->i", wide, target) - token_odds[own])
                 down = -_hit(np.einsum("ij,ikj->ik", wide, wrong) - token_odds[noise])
                 target *= up[:, None]
@@ -250,16 +252,17 @@ class Model:
                 grads += [up[:, None] * wide, (down[:, :, None] * wide[:, None, :]).reshape(-1, wide.shape[1])]
             g_h[:, -1] = 0
             ids += [a, b, place]
-            grads += [g_h * w[place[0]], g_h * w[place[1]], np.stack([(g_h * w[x]).sum(axis=0) for x in (a, b)])]
+            grads += [g_h * w[place[0]], g_h * w[place[1]], np.stack([(g_h * w.take(x, axis=0)).sum(axis=0) for x in (a, b)])]
             ids, grads = np.concatenate(ids), np.concatenate(grads)
             by_row = _order(ids)
             ids = ids[by_row]
             first = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
             changed = ids[first]
-            slope = np.add.reduceat(grads[by_row], first, axis=0) / len(pick)
-            squares[changed] += slope * slope
+            slope = np.add.reduceat(grads.take(by_row, axis=0), first, axis=0) / len(pick)
+            seen = squares.take(changed, axis=0) + slope * slope
+            squares[changed] = seen
             slope *= step
-            w[changed] += slope / np.sqrt(squares[changed])
+            w[changed] = w.take(changed, axis=0) + slope / np.sqrt(seen)
             hits[changed] += 1
         return hits
 
