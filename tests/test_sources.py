@@ -300,3 +300,24 @@ def test_stored_tables_are_made_once_and_on_use(spark, tmp_path):
     assert stored["b"].count() == 3 and sorted(p.name for p in tmp_path.iterdir()) == ["a", "b"]
     assert stored["a"].count() == 3 and sorted(stored.all()) == ["a", "b", "c"]
     assert sorted(made) == ["a", "b", "c"]
+
+
+def test_patterns_are_asked_behind_single_characters(spark):
+    """The cheap checks in front of the patterns change no type."""
+    import re
+
+    from tradewind.sources import landing
+
+    shape = landing._shape_bit("t")
+    assert shape.index("substr(t, 1, 1) NOT IN") < shape.index("RLIKE")
+    assert shape.count("substr(t, 5, 1) = '-' AND t RLIKE") == 2
+    texts = {
+        "7": 1, "-7": 1, "+0012": 1, "3000000000": 2, "99999999999999999999": 64, "1.5": 4, ".5": 4,
+        "-.5e3": 4, "123e-5": 4, "1234-5": 64, "2018-01-02": 8, "2018-1-2": 8, "2018-13-45": 64,
+        "2018-01-02 10:00:00": 16, "2018-1-2T9:05": 16, "2018-01-02 x": 64, "tRuE": 32, "False": 32,
+        "truth": 64, "f": 64, "-": 64, "-5-1": 64, "abc": 64, " 7": 64, "\n7": 64, "é": 64, "": 0, None: 0,
+    }
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    found = {r.t: r.b for r in rows.selectExpr("t", f"{shape} AS b").collect()}
+    assert found == texts
+    assert all(re.match(r"[-+.0-9tTfF]", t) for t, bit in texts.items() if t and bit != 64)

@@ -202,17 +202,29 @@ _SHAPE_BITS = (
     ("boolean", 32, r"^([tT][rR][uU][eE]|[fF][aA][lL][sS][eE])$"),
 )
 _TEXT_BIT = 64
+# The characters that texts of these shapes begin with, and the shapes with a dash in fifth place.
+_SHAPE_FIRSTS = "+-.0123456789tTfF"
+_DASHED = ("date", "timestamp_ntz")
 _HOLDS = (("int", 1), ("bigint", 3), ("double", 7), ("date", 8), ("timestamp_ntz", 24), ("boolean", 32))
 
 
 def _shape_bit(text: str) -> str:
     """The bit of the narrowest type that a text can be read as; 0 for a missing or empty one.
 
-    A whole number beyond 64 bits is text: no other type here keeps all its digits.
+    A whole number beyond 64 bits is text: no other type here keeps all its digits.  Patterns are
+    dear, so single characters decide first: most texts begin with none of the characters that a
+    shape can begin with, and only days and instants have a dash behind four characters (or a
+    number its exponent's, which fits no day).
     """
-    cases = [f"WHEN {text} IS NULL OR {text} = '' THEN 0"]
-    for kind, bit, shape in _SHAPE_BITS:
-        cases.append(f"WHEN {text} RLIKE r'{shape}' AND try_cast({text} AS {kind}) IS NOT NULL THEN {bit}")
+    firsts = ", ".join(f"'{c}'" for c in _SHAPE_FIRSTS)
+    cases = [
+        f"WHEN {text} IS NULL OR {text} = '' THEN 0",
+        f"WHEN substr({text}, 1, 1) NOT IN ({firsts}) THEN {_TEXT_BIT}",
+    ]
+    # Days and instants fit no other shape, so it makes no difference that they are asked first.
+    for kind, bit, shape in sorted(_SHAPE_BITS, key=lambda s: s[0] not in _DASHED):
+        dash = f"substr({text}, 5, 1) = '-' AND " if kind in _DASHED else ""
+        cases.append(f"WHEN {dash}{text} RLIKE r'{shape}' AND try_cast({text} AS {kind}) IS NOT NULL THEN {bit}")
         if kind == "bigint":
             cases.append(f"WHEN {text} RLIKE r'{shape}' THEN {_TEXT_BIT}")
     return f"CASE {' '.join(cases)} ELSE {_TEXT_BIT} END"
