@@ -86,3 +86,13 @@ def test_building_plans_of_all_tables_starts_no_job(spark):
         assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("plans")) == 0
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_slices_travel_as_numbers_in_the_order_of_their_digits(spark):
+    from tradewind.operators.numbering import key_slice
+
+    rows = spark.range(500).select(F.col("id"), key_slice(["id"]).alias("s"))
+    digits = F.substring(F.md5(F.col("id").cast("string").cast("binary")), 1, 4).alias("d")
+    assert dict(rows.dtypes)["s"] == "int"
+    found = rows.select("s", digits).collect()
+    assert all(r.s == int(r.d, 16) for r in found)

@@ -367,3 +367,15 @@ def test_a_metric_stores_only_what_it_reads(spark, star, tmp_path):
     whole = lazy.whole()
     assert stored() == set(builders.star_table_names())
     assert whole.sellers.count() == star.sellers.count()
+
+
+def test_metrics_over_lines_do_without_the_numbering(spark, star, tmp_path):
+    """Lines are numbered for readers of the fact alone; results are the same."""
+    lazy = builders.StarOnUse(star.clean, str(tmp_path))
+    for name in ("volume_below_avg_price", "price_bands", "cohort_retention", "kpi_snapshot", "top_sellers"):
+        assert sorted(METRICS[name].plan(lazy).collect()) == sorted(METRICS[name].plan(star).collect())
+    stored = {p.name for p in tmp_path.iterdir()}
+    assert "metric_lines" in stored and "line_book" not in stored
+    builders.require_all_lines(lazy)
+    assert sorted(lazy.fact.collect()) == sorted(star.fact.collect())
+    assert lazy.lines.columns == star.lines.columns

@@ -196,6 +196,20 @@ def build_order_frame(orders: DataFrame, dims: Mapping[str, DataFrame]) -> DataF
     )
 
 
+def _line_parents(
+    order_frame: DataFrame, dims: Mapping[str, DataFrame]
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What a line looks up: product, seller and order."""
+    products = dims["dim_product"].select(
+        "product_id", "product_sk", F.col("product_category_name_english").alias("category")
+    )
+    sellers = dims["dim_seller"].select("seller_id", "seller_sk")
+    orders = order_frame.select(
+        "order_id", date_key(F.col("purchase_date")).alias("date_key"), *LINE_ATTRIBUTES
+    )
+    return products, sellers, orders
+
+
 def build_line_book(
     items: DataFrame, order_frame: DataFrame, dims: Mapping[str, DataFrame]
 ) -> DataFrame:
@@ -207,16 +221,10 @@ def build_line_book(
     order, a product or a seller.  That is why the order frame is stored first: joined
     lazily it would share the exchange of its own joins and could not be split.
     """
-    products = dims["dim_product"].select(
-        "product_id", "product_sk", F.col("product_category_name_english").alias("category")
-    )
-    sellers = dims["dim_seller"].select("seller_id", "seller_sk")
+    products, sellers, carried = _line_parents(order_frame, dims)
     # Numbered while still narrow.  Cleaning has resolved every parent, so the joins below
     # neither drop nor repeat a line; `require_all_lines` holds a stored star to that.
     numbered = assign_surrogate_keys(items, ["order_id", "order_item_id"], "fact_sk")
-    carried = order_frame.select(
-        "order_id", date_key(F.col("purchase_date")).alias("date_key"), *LINE_ATTRIBUTES
-    )
     # The wide order attributes come last, so no other join has to shuffle them.
     return (
         numbered.join(products, "product_id")
@@ -238,6 +246,38 @@ def build_line_book(
     )
 
 
+def build_metric_lines(
+    items: DataFrame, order_frame: DataFrame, dims: Mapping[str, DataFrame]
+) -> DataFrame:
+    """The line book without what only the published fact has: number, line and shipping limit.
+
+    No metric reads those, so a star that is not published saves its lines the exchange of the
+    numbering, and the joins carry four columns less.
+    """
+    products, sellers, carried = _line_parents(order_frame, dims)
+    narrow = items.select(
+        "order_id",
+        "product_id",
+        "seller_id",
+        cents(F.col("price")).alias("price_cents"),
+        cents(F.col("freight_value")).alias("freight_cents"),
+    )
+    return (
+        narrow.join(products, "product_id")
+        .join(sellers, "seller_id")
+        .join(carried, "order_id")
+        .select(
+            "date_key",
+            "product_sk",
+            "seller_sk",
+            "price_cents",
+            "freight_cents",
+            "category",
+            *LINE_ATTRIBUTES,
+        )
+    )
+
+
 def build_fact_order_items(line_book: DataFrame) -> DataFrame:
     """The published fact: a projection of the line book."""
     money = "decimal(12,2)"
@@ -297,9 +337,13 @@ class Star:
     dims: Mapping[str, DataFrame]
     clean: Mapping[str, DataFrame]
 
+    @property
+    def numbered_lines(self) -> DataFrame:
+        return self.lines
+
     @property
     def fact(self) -> DataFrame:
-        return build_fact_order_items(self.lines)
+        return build_fact_order_items(self.numbered_lines)
 
     def tables(self) -> dict[str, DataFrame]:
         return {"fact_order_items": self.fact, **self.dims}
@@ -331,6 +375,7 @@ class StarOnUse:
 
     Readers use it like `Star`.  A metric over one dimension stores that dimension alone, one
     over lines stores no book but theirs; `whole` stores everything that is still missing.
+    Lines are numbered for readers of the fact; metrics get them without, unless they are there.
     """
 
     def __init__(self, clean: Mapping[str, DataFrame], root: str, partition_by_month: bool = False):
@@ -345,30 +390,40 @@ class StarOnUse:
             lines = build_line_book(clean["order_items"], self.frame, self.dims)
             return by_month(lines, F.floor(F.col("date_key") / 100))
 
+        def metric_lines() -> DataFrame:
+            lines = build_metric_lines(clean["order_items"], self.frame, self.dims)
+            return by_month(lines, F.floor(F.col("date_key") / 100))
+
         def order_book() -> DataFrame:
             orders = build_order_book(self.lines, self.frame)
             return by_month(orders, F.floor(date_key(F.col("purchase_date")) / 100))
 
         plans = {
             "line_book": line_book,
+            "metric_lines": metric_lines,
             "order_book": order_book,
             "seller_book": lambda: build_seller_book(self.lines),
             "order_frame": self._order_frame,
         }
-        self._books = StoredTables(plans, root, {"line_book": layout, "order_book": layout})
+        layouts = dict.fromkeys(("line_book", "metric_lines", "order_book"), layout)
+        self._books = StoredTables(plans, root, layouts)
 
     def _order_frame(self) -> DataFrame:
         self.dims.all(["dim_customer", "dim_order", "dim_payment", "dim_review"])
         return build_order_frame(self.clean["orders"], self.dims)
 
-    lines = property(lambda self: self._books["line_book"])
+    numbered_lines = property(lambda self: self._books["line_book"])
     orders = property(lambda self: self._books["order_book"])
     sellers = property(lambda self: self._books["seller_book"])
     frame = property(lambda self: self._books["order_frame"])
 
+    @property
+    def lines(self) -> DataFrame:
+        return self._books["line_book" if self._books.holds("line_book") else "metric_lines"]
+
     @property
     def fact(self) -> DataFrame:
-        return build_fact_order_items(self.lines)
+        return build_fact_order_items(self.numbered_lines)
 
     def tables(self) -> dict[str, DataFrame]:
         return {"fact_order_items": self.fact, **self.dims.all()}
@@ -376,7 +431,8 @@ class StarOnUse:
     def whole(self) -> Star:
         """Everything stored; dimensions do not depend on each other and are written side by side."""
         dims = self.dims.all()
-        return Star(self.lines, self.orders, self.sellers, self.frame, dims, dict(self.clean))
+        lines = self.numbered_lines  # first: the other books read it
+        return Star(lines, self.orders, self.sellers, self.frame, dims, dict(self.clean))
 
 
 def build_star(
@@ -399,7 +455,7 @@ def require_all_lines(star: Star | StarOnUse) -> None:
     Two counts over stored tables, read from their footers or one narrow column.
     """
     items = star.clean["order_items"].count()
-    lines, low, high = star.lines.agg(
+    lines, low, high = star.numbered_lines.agg(
         F.count(F.lit(1)), F.min("fact_sk"), F.max("fact_sk")
     ).first()
     if lines != items or (lines and (low, high) != (1, lines)):

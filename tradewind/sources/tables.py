@@ -69,6 +69,10 @@ class StoredTables(Mapping):
                 self._stored[name] = materialize_table(self._plans[name](), path, layout)
             return self._stored[name]
 
+    def holds(self, name: str) -> bool:
+        """Whether a table is stored already."""
+        return name in self._stored
+
     def __iter__(self) -> Iterator[str]:
         return iter(self._plans)
 
