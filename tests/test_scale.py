@@ -8,9 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.market import raw_frames
-from tradewind.operators import star as builders
+from tradewind.operators import integrity, star as builders
 from tradewind.operators.cleaning import clean_all, latest_reviews
-from tradewind.operators.integrity import duplicate_keys
+from tradewind.operators.integrity import count_keys, duplicate_keys
 from tradewind.operators.quality import volume_snapshot
 from tradewind.plans.catalog import METRICS
 from tradewind.session import sizing_conf
@@ -183,6 +183,34 @@ def test_duplicate_check_of_a_hot_key_crosses_combined(spark):
     assert exchanged_rows(dup) <= 8
 
 
+@pytest.mark.parametrize("hot_rows", [1 << 16, 100])
+def test_keys_are_counted_alike_with_and_without_combining(spark, monkeypatch, hot_rows):
+    monkeypatch.setattr(integrity, "_HOT_ROWS", hot_rows)
+    n = F.col("id")
+    df = spark.range(6_000, numPartitions=4).select(
+        F.when(n % 3 == 0, "hot").when(n % 100 != 1, (n % 5000).cast("string")).alias("a"),
+        F.when(n % 7 != 0, n % 2).alias("b"),
+    )
+    plain = df.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
+    assert sorted(map(str, count_keys(df, ["a", "b"]).collect())) == sorted(map(str, plain.collect()))
+    assert count_keys(df.limit(0), ["a"]).count() == 0
+
+
+def test_a_hot_key_among_single_ones_is_combined(spark, monkeypatch):
+    monkeypatch.setattr(integrity, "_HOT_ROWS", 1_000)
+    n = F.col("id")
+    df = spark.range(40_000, numPartitions=8).select(F.when(n < 100, n).otherwise(-1).alias("k"))
+    assert {r.n for r in count_keys(df, ["k"]).collect()} == {1, 39_900}
+    # Cells, keys that stand alone, the hot key of every map task, and the sum of all rows.
+    assert exchanged_rows(count_keys(df, ["k"])) <= 1_000
+
+
+@pytest.mark.parametrize("name", ["dq_duplicate_keys", "dq_duplicate_leads"])
+def test_keys_that_hardly_repeat_are_not_held_by_split(star, name):
+    """Partitions of a planned number: merged by bytes they would be too many keys for a task."""
+    assert "REPARTITION_BY_NUM" in final_plan(METRICS[name].run(star))
+
+
 @pytest.mark.parametrize("name", sorted(METRICS))
 def test_no_cross_join_or_python(star, name):
     plan = final_plan(METRICS[name].run(star))

@@ -1,8 +1,8 @@
 """Key, reference, domain and limit checks over declared contracts.
 
 Spark does not enforce constraints, so each kind is a job that counts violations.  Keys
-are counted after map-side combination and references are anti joins against unique
-parent keys, so a hot key never meets in one task.
+that own many rows are counted after map-side combination and references are anti joins
+against unique parent keys, so a hot key never meets in one task.
 """
 
 from __future__ import annotations
@@ -24,9 +24,45 @@ def _any_null(columns: Iterable[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
 
 
+# Cells that keys are counted in, and the rows from which on a cell can hold a hot key.
+_CELLS = 1 << 16
+_HOT_ROWS = 1 << 16
+
+
 def duplicate_keys(rows: DataFrame, key: Iterable[str]) -> DataFrame:
     """Keys owned by more than one row, with the number of rows."""
-    return rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return _rows_per_key(rows, key).where("n > 1")
+
+
+def _rows_per_key(rows: DataFrame, key: Iterable[str]) -> DataFrame:
+    return rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
+
+
+def count_keys(rows: DataFrame, key: Iterable[str]) -> DataFrame:
+    """Every key with the number of its rows, for keys that hardly ever repeat.
+
+    Combining such keys on the map side saves nothing, but holds all keys of a split, which
+    spills.  They cross the exchange as they are, into as many partitions as the session plans
+    for: merged by their bytes, a tenth of what they take in a hash table, they would spill
+    behind it.  Only keys of cells far above the mean are combined first, a hot one among them.
+    """
+    key = list(key)
+    keyed = rows.select(*key, F.pmod(F.xxhash64(*key), F.lit(_CELLS)).cast("int").alias("_cell"))
+    sizes = keyed.groupBy("_cell").agg(F.count(F.lit(1)).alias("_rows"))
+    usual = sizes.agg(F.sum("_rows") / _CELLS).scalar()
+    full = (F.col("_rows") > _HOT_ROWS) & (F.col("_rows") > 8 * usual)
+    # At most 65,536 cells.
+    hot = F.broadcast(sizes.where(full).select("_cell"))
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    others = keyed.join(hot, "_cell", "left_anti").select(*key).repartition(partitions, *key)
+    return _rows_per_key(others, key).unionByName(
+        _rows_per_key(keyed.join(hot, "_cell", "left_semi"), key)
+    )
+
+
+def repeated_keys(rows: DataFrame, key: Iterable[str]) -> DataFrame:
+    """`duplicate_keys` for keys that hardly ever repeat."""
+    return count_keys(rows, key).where("n > 1")
 
 
 def _violations(rows: DataFrame, **labels: str) -> DataFrame:
@@ -42,8 +78,7 @@ def check_primary_keys(
 
     def bad(name: str) -> DataFrame:
         key = contracts[name].key
-        counted = tables[name].groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
-        return counted.where((F.col("n") > 1) | _any_null(key))
+        return count_keys(tables[name], key).where((F.col("n") > 1) | _any_null(key))
 
     return _all(_violations(bad(n), table_name=n) for n in tables)
 
@@ -68,7 +103,7 @@ def check_unique(tables: Mapping[str, DataFrame], contracts: Mapping[str, Contra
         for key in contracts[name].unique:
             filled = tables[name].where(~_any_null(key))
             parts.append(
-                _violations(duplicate_keys(filled, key), table_name=name, key=",".join(key))
+                _violations(repeated_keys(filled, key), table_name=name, key=",".join(key))
             )
     return _all(parts)
 

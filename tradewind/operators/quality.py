@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.functions import percent_2dp
-from tradewind.operators.integrity import duplicate_keys, orphans
+from tradewind.operators.integrity import orphans, repeated_keys
 
 Tables = Mapping[str, DataFrame]
 
@@ -36,9 +36,9 @@ def one_row(df: DataFrame, **scalars: Column) -> DataFrame:
 def duplicate_key_counts(t: Tables) -> DataFrame:
     return named_counts(
         {
-            "dup_customers": duplicate_keys(t["customers"], ["customer_id"]),
-            "dup_orders": duplicate_keys(t["orders"], ["order_id"]),
-            "dup_order_items": duplicate_keys(t["order_items"], ["order_id", "order_item_id"]),
+            "dup_customers": repeated_keys(t["customers"], ["customer_id"]),
+            "dup_orders": repeated_keys(t["orders"], ["order_id"]),
+            "dup_order_items": repeated_keys(t["order_items"], ["order_id", "order_item_id"]),
         },
         "check_name",
         "failures",
@@ -146,11 +146,11 @@ def volume_snapshot(t: Tables) -> DataFrame:
 
 
 def duplicate_leads(t: Tables) -> DataFrame:
-    return duplicate_keys(t["qualified_leads"], ["mql_id"])
+    return repeated_keys(t["qualified_leads"], ["mql_id"])
 
 
 def duplicate_deals(t: Tables) -> DataFrame:
-    return duplicate_keys(t["closed_deals"], ["mql_id"])
+    return repeated_keys(t["closed_deals"], ["mql_id"])
 
 
 def orphan_deals(t: Tables) -> DataFrame:
