@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.market import raw_frames
-from tradewind.operators import integrity, star as builders
+from tradewind.operators import keys, star as builders
 from tradewind.operators.cleaning import clean_all, latest_reviews
 from tradewind.operators.integrity import count_keys, duplicate_keys
 from tradewind.operators.quality import volume_snapshot
@@ -185,7 +185,7 @@ def test_duplicate_check_of_a_hot_key_crosses_combined(spark):
 
 @pytest.mark.parametrize("hot_rows", [1 << 16, 100])
 def test_keys_are_counted_alike_with_and_without_combining(spark, monkeypatch, hot_rows):
-    monkeypatch.setattr(integrity, "_HOT_ROWS", hot_rows)
+    monkeypatch.setattr(keys, "HOT_ROWS", hot_rows)
     n = F.col("id")
     df = spark.range(6_000, numPartitions=4).select(
         F.when(n % 3 == 0, "hot").when(n % 100 != 1, (n % 5000).cast("string")).alias("a"),
@@ -197,7 +197,7 @@ def test_keys_are_counted_alike_with_and_without_combining(spark, monkeypatch, h
 
 
 def test_a_hot_key_among_single_ones_is_combined(spark, monkeypatch):
-    monkeypatch.setattr(integrity, "_HOT_ROWS", 1_000)
+    monkeypatch.setattr(keys, "HOT_ROWS", 1_000)
     n = F.col("id")
     df = spark.range(40_000, numPartitions=8).select(F.when(n < 100, n).otherwise(-1).alias("k"))
     assert {r.n for r in count_keys(df, ["k"]).collect()} == {1, 39_900}
@@ -205,6 +205,15 @@ def test_a_hot_key_among_single_ones_is_combined(spark, monkeypatch):
     assert exchanged_rows(count_keys(df, ["k"])) <= 1_000
 
 
+def test_the_seller_book_is_not_held_by_split(star, hot_star, monkeypatch):
+    """Nearly every line is a pair of its own; a pair with many lines is combined first."""
+    assert "REPARTITION_BY_NUM" in final_plan(builders.build_seller_book(star.lines))
+    monkeypatch.setattr(keys, "HOT_ROWS", 1_000)
+    book = builders.build_seller_book(hot_star.lines)
+    assert book.agg(F.sum("line_count")).first()[0] == ROWS
+    assert exchanged_rows(book) < ROWS
+
+
 @pytest.mark.parametrize("name", ["dq_duplicate_keys", "dq_duplicate_leads"])
 def test_keys_that_hardly_repeat_are_not_held_by_split(star, name):
     """Partitions of a planned number: merged by bytes they would be too many keys for a task."""

@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tradewind.operators.keys import group_single_keys
 from tradewind.sources.contracts import DOMAINS, Contract, Domain, Field
 
 
@@ -24,11 +25,6 @@ def _any_null(columns: Iterable[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
 
 
-# Cells that keys are counted in, and the rows from which on a cell can hold a hot key.
-_CELLS = 1 << 16
-_HOT_ROWS = 1 << 16
-
-
 def duplicate_keys(rows: DataFrame, key: Iterable[str]) -> DataFrame:
     """Keys owned by more than one row, with the number of rows."""
     return _rows_per_key(rows, key).where("n > 1")
@@ -39,25 +35,9 @@ def _rows_per_key(rows: DataFrame, key: Iterable[str]) -> DataFrame:
 
 
 def count_keys(rows: DataFrame, key: Iterable[str]) -> DataFrame:
-    """Every key with the number of its rows, for keys that hardly ever repeat.
-
-    Combining such keys on the map side saves nothing, but holds all keys of a split, which
-    spills.  They cross the exchange as they are, into as many partitions as the session plans
-    for: merged by their bytes, a tenth of what they take in a hash table, they would spill
-    behind it.  Only keys of cells far above the mean are combined first, a hot one among them.
-    """
+    """Every key with the number of its rows, for keys that hardly ever repeat."""
     key = list(key)
-    keyed = rows.select(*key, F.pmod(F.xxhash64(*key), F.lit(_CELLS)).cast("int").alias("_cell"))
-    sizes = keyed.groupBy("_cell").agg(F.count(F.lit(1)).alias("_rows"))
-    usual = sizes.agg(F.sum("_rows") / _CELLS).scalar()
-    full = (F.col("_rows") > _HOT_ROWS) & (F.col("_rows") > 8 * usual)
-    # At most 65,536 cells.
-    hot = F.broadcast(sizes.where(full).select("_cell"))
-    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    others = keyed.join(hot, "_cell", "left_anti").select(*key).repartition(partitions, *key)
-    return _rows_per_key(others, key).unionByName(
-        _rows_per_key(keyed.join(hot, "_cell", "left_semi"), key)
-    )
+    return group_single_keys(rows.select(*key), key, lambda part: _rows_per_key(part, key))
 
 
 def repeated_keys(rows: DataFrame, key: Iterable[str]) -> DataFrame:

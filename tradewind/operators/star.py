@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tradewind.functions import cents, date_key, days_between, from_cents
 from tradewind.operators.cleaning import latest_per_key
+from tradewind.operators.keys import group_single_keys
 from tradewind.operators.numbering import assign_surrogate_keys
 from tradewind.sources.contracts import STAR_TABLES
 from tradewind.sources.tables import StoredTables, read_layer
@@ -315,15 +316,18 @@ def build_seller_book(line_book: DataFrame) -> DataFrame:
     Orders per seller then are plain counts, combined on the map side, where the lines would
     need a distinct count that shuffles nearly all of them for every metric.
     """
-    return line_book.groupBy("seller_sk", "order_sk").agg(
-        F.count(F.lit(1)).alias("line_count"),
-        F.sum("price_cents").alias("price_cents"),
-        # Equal on all lines of an order.
-        F.first("is_delivered").alias("is_delivered"),
-        F.first("delivery_days").alias("delivery_days"),
-        F.first("is_late_delivery").alias("is_late_delivery"),
-        F.first("review_score").alias("review_score"),
-    )
+    of_order = ["is_delivered", "delivery_days", "is_late_delivery", "review_score"]
+    key = ["seller_sk", "order_sk"]
+
+    def per_pair(part: DataFrame) -> DataFrame:
+        return part.groupBy(*key).agg(
+            F.count(F.lit(1)).alias("line_count"),
+            F.sum("price_cents").alias("price_cents"),
+            # Equal on all lines of an order.
+            *[F.first(c).alias(c) for c in of_order],
+        )
+
+    return group_single_keys(line_book.select(*key, "price_cents", *of_order), key, per_pair)
 
 
 @dataclass(frozen=True)
