@@ -69,3 +69,14 @@ def test_other_columns_and_the_kept_bytes(spark):
     docs = spark.createDataFrame([(1, "q" * 300, "a"), (2, "yes", None)], "chunk int, t string, bucket string")
     rows = substrings.remove_repeats(docs, "t", ["chunk", "bucket"], with_text=True).collect()
     assert sorted((r["chunk"], r["bucket"], bytes(r["kept"])) for r in rows) == [(1, "a", b""), (2, None, b"yes")]
+
+
+def test_packed_texts_take_less_room_than_at_the_lowest_level():
+    from tradewind.llm import packed as pk
+
+    rng = random.Random(5)
+    words = ["".join(rng.choices("etaoinshrdlu", k=rng.randint(2, 9))) for _ in range(4000)]
+    text = " ".join(rng.choices(words, k=100_000)).encode()
+    small = pk.squeeze(text, substrings.BLOB_LEVEL)
+    assert len(small) < 0.95 * len(pk.squeeze(text))
+    assert pk.unsqueeze(small).tobytes() == text

@@ -28,10 +28,11 @@ CHUNK_ROWS = 1 << 16
 BUCKET_BYTES = 16 << 20
 
 
-def squeeze(data: bytes | np.ndarray) -> bytes:
+def squeeze(data: bytes | np.ndarray, level: int = 1) -> bytes:
     """zstd, with the length in front."""
     data = data.tobytes() if isinstance(data, np.ndarray) else data
-    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
+    codec = pa.Codec("zstd", compression_level=level)
+    return len(data).to_bytes(8, "little") + codec.compress(data, asbytes=True)
 
 
 def unsqueeze(data: bytes, kind=np.uint8) -> np.ndarray:
@@ -49,10 +50,12 @@ def unsqueeze_sorted(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(np.uint64).reshape(-1)
 
 
-def pack(docs: DataFrame, text: str, keep: list[str], chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+def pack(
+    docs: DataFrame, text: str, keep: list[str], chunk_bytes: int = CHUNK_BYTES, level: int = 1
+) -> DataFrame:
     """(chunk, bytes, offsets, blob, one array k0, k1, ... per column of keep), stored.
 
-    A text is never cut: a longer one is a chunk of its own.
+    A text is never cut: a longer one is a chunk of its own.  level: of the blob's compression.
     """
     asked = docs.select(F.col(text).alias("text"), *(F.col(k).alias(f"k{i}") for i, k in enumerate(keep)))
     names = [f"k{i}" for i in range(len(keep))]
@@ -67,7 +70,7 @@ def pack(docs: DataFrame, text: str, keep: list[str], chunk_bytes: int = CHUNK_B
             whole = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
             raw, offsets = tg.flat(whole.column(0))
             columns = [pa.array([number]), pa.array([len(raw)]),
-                       pa.array([squeeze(offsets)], pa.binary()), pa.array([squeeze(raw)], pa.binary())]
+                       pa.array([squeeze(offsets)], pa.binary()), pa.array([squeeze(raw, level)], pa.binary())]
             for k in names:
                 values = whole.column(k)
                 columns.append(pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values))
