@@ -75,8 +75,9 @@ def test_packed_texts_take_less_room_than_at_the_lowest_level():
     from tradewind.llm import packed as pk
 
     rng = random.Random(5)
-    words = ["".join(rng.choices("etaoinshrdlu", k=rng.randint(2, 9))) for _ in range(4000)]
-    text = " ".join(rng.choices(words, k=100_000)).encode()
+    words = ["".join(rng.choices("etaoinshrdlu", k=rng.randint(2, 9))) for _ in range(2000)]
+    lines = [rng.choices(words, k=12) for _ in range(400)]
+    text = " ".join(" ".join(rng.choice(lines)[: rng.randint(2, 9)]) for _ in range(20_000)).encode()
     small = pk.squeeze(text, substrings.BLOB_LEVEL)
     assert len(small) < 0.95 * len(pk.squeeze(text))
     assert pk.unsqueeze(small).tobytes() == text
