@@ -90,11 +90,9 @@ class Inputs:
 
         def rows(table: str) -> DataFrame:
             raw, done = self.raw(), self.cleaned()
-            if table == "orders":
-                return cleaning.clean_orders(raw[table], done["customers"]).rows
-            if table in CHILDREN:
+            if table in PARENTS_OF:
                 known = done.all(PARENTS_OF[table])
-                return CHILDREN[table](raw[table], *known.values()).rows
+                return cleaning.clean_child(raw, table, known, store_lost=True).rows
             return FREE[table](raw[table]).rows
 
         return self._layer("cleaned", {t: lambda t=t: rows(t) for t in CLEAN_TABLES})
@@ -293,23 +291,15 @@ FREE = {
     "geolocation": cleaning.clean_geolocation,
     "qualified_leads": cleaning.clean_leads,
 }
-CHILDREN = {
-    "order_items": cleaning.clean_order_items,
-    "order_payments": cleaning.clean_payments,
-    "order_reviews": cleaning.clean_reviews,
-    "closed_deals": cleaning.clean_deals,
-}
-PARENTS_OF = {t: [r.parent for r in CLEAN_TABLES[t].references if r.resolve] for t in CHILDREN}
+PARENTS_OF = {t: [r.parent for r in CLEAN_TABLES[t].references if r.resolve] for t in cleaning.CHILDREN}
 
 
 def _clean_rows(table: str) -> Callable[[Inputs], DataFrame]:
     def query(x: Inputs) -> DataFrame:
         raw = x.raw()
-        if table == "orders":
-            return cleaning.clean_orders(raw[table], x.cleaned()["customers"]).rows
-        if table in CHILDREN:
+        if table in PARENTS_OF:
             parents = x.cleaned().all(PARENTS_OF[table])
-            return CHILDREN[table](raw[table], *parents.values()).rows
+            return cleaning.clean_child(raw, table, parents, store_lost=True).rows
         if table == "category_translation":
             return cleaning.clean_categories(raw[table]).rows
         if table == "geolocation":
@@ -326,11 +316,11 @@ def normalize_boolean(x: Inputs) -> DataFrame:
 
 def _refused(x: Inputs) -> DataFrame:
     raw = x.raw().all()
-    parents = x.cleaned().all(sorted({p for names in PARENTS_OF.values() for p in names} | {"customers"}))
+    parents = x.cleaned().all(sorted({p for names in PARENTS_OF.values() for p in names}))
     return cleaning.quarantine_rejects(
         cleaning.clean_parents(raw),
-        cleaning.clean_ordered(raw, parents),
-        cleaning.clean_children(raw, parents),
+        cleaning.clean_ordered(raw, parents, store_lost=True),
+        cleaning.clean_children(raw, parents, store_lost=True),
     )
 
 

@@ -7,8 +7,10 @@ from decimal import Decimal
 import pytest
 
 from tests.market import NL_TEXT, RAW, raw_frames
+from tradewind.operators import cleaning
 from tradewind.operators.cleaning import clean_all, clean_table, latest_per_key, superseded_rows
 from tradewind.sources.contracts import CLEAN_TABLES
+from tradewind.sources.tables import materialize_table
 
 
 @pytest.fixture(scope="module")
@@ -188,6 +190,51 @@ def test_repeated_parent_does_not_multiply_rows(spark, rows):
     assert listed(done.rows, "order_id", "order_item_id") == [("o1", 1)]
 
 
+@pytest.mark.parametrize("name", ["orders", "order_items", "order_payments", "order_reviews", "closed_deals"])
+def test_children_by_lost_keys_equal_those_by_parents(spark, name, tmp_path):
+
+    raw = raw_frames(spark)
+    lazy, _ = clean_all(raw)
+    known = {n: materialize_table(lazy[n], f"{tmp_path}/{n}") for n in ("customers", "products", "sellers", "orders", "qualified_leads")}
+    # Once more with parents of which one holds nothing, or that hold their rows twice.
+    resolved = [r.parent for r in CLEAN_TABLES[name].references if r.resolve]
+    empty = {**known, resolved[0]: known[resolved[0]].limit(0)}
+    twice = {**known, **{p: known[p].unionAll(known[p]) for p in resolved}}
+    for parents in (known, empty, twice):
+        plain = cleaning.clean_child(raw, name, parents)
+        got = cleaning.clean_child(raw, name, parents, store_lost=True)
+        for kind in ("rows", "rejects"):
+            found, wanted = (Counter(map(str, getattr(c, kind).collect())) for c in (got, plain))
+            assert found == wanted
+
+
+def test_rows_look_up_lost_keys_without_an_exchange(spark, rows):
+    """The parents are too large to broadcast, what is lost is not."""
+    names = [f.source for f in CLEAN_TABLES["order_items"].fields]
+    values = {"order_id": "concat('o', id)", "order_item_id": "'1'", "product_id": "concat('p', id % 900)",
+              "seller_id": "concat('s', id % 70)", "price": "'1.00'", "freight_value": "'1.00'"}
+    raw = {"order_items": spark.range(2000).selectExpr(*[f"{values.get(n, 'cast(NULL AS string)')} AS `{n}`" for n in names])}
+    known = {
+        "orders": spark.range(5, 9000).selectExpr("concat('o', id) AS order_id"),
+        "products": spark.range(3, 9000).selectExpr("concat('p', id) AS product_id"),
+        "sellers": spark.range(1, 9000).selectExpr("concat('s', id) AS seller_id"),
+    }
+    settings = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for key in settings:
+            spark.conf.set(key, "10000")
+        done = cleaning.clean_child(raw, "order_items", known, store_lost=True)
+        assert (done.rows.count(), done.rejects.count()) == (1961, 39)
+        for df in (done.rows, done.rejects):
+            df.collect()
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def test_latest_per_key_limits_before_the_exchange(spark, rows):
     from pyspark.sql import functions as F
 

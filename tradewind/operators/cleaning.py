@@ -8,17 +8,20 @@ and the raw row as JSON.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tradewind.functions.text import blank_to_null_sql, title_words_sql, truth_value_sql
+from tradewind.operators.keys import group_single_keys
 from tradewind.operators.numbering import number_rows, unfold
-from tradewind.sources.contracts import CLEAN_TABLES, DOMAINS, Contract, Field
+from tradewind.session import scratch_path
+from tradewind.sources.contracts import CLEAN_TABLES, DOMAINS, Contract, Field, Reference
+from tradewind.sources.tables import materialize_table
 
 REASON = "reject_reason"
 RAW_ROW = "raw_row"
@@ -39,7 +42,24 @@ _FOLDS = {
 @dataclass(frozen=True)
 class Cleaned:
     rows: DataFrame
-    rejects: DataFrame  # table_name, reason, raw_row
+    refuse: Callable[[], DataFrame]
+
+    @cached_property
+    def rejects(self) -> DataFrame:
+        """table_name, reason, raw_row; readers of the good rows alone do not pay for it."""
+        return self.refuse()
+
+
+@dataclass(frozen=True)
+class LostKeys:
+    """What rows of one table refer to and their parent does not hold; stored, may stand for
+    the parent in `clean_table`."""
+
+    keys: DataFrame  # the columns of the reference, distinct and filled
+    repeated: Callable[[], DataFrame | None]  # parent keys with _times > 1; None if there are none
+
+
+Parent = DataFrame | LostKeys
 
 
 def _value(field: Field, raw: str) -> str:
@@ -120,8 +140,61 @@ def raw_json(contract: Contract) -> str:
     return f"to_json(named_struct({named}))"
 
 
+def lost_keys(
+    raw: DataFrame,
+    contract: Contract,
+    parents: Mapping[str, DataFrame],
+    repeated: dict[str, DataFrame | None] | None = None,
+) -> dict[str, LostKeys]:
+    """The lost keys of every reference to be resolved, found and stored.
+
+    Keys alone cross an exchange.  Whole rows then look up the few that are lost, which are
+    broadcast while they are small, where joins with large parents would send every row
+    through an exchange per parent.  Raw rows and parents should be stored.  Tables with the
+    same parents can share what is found about keys that repeat in those.
+    """
+    repeated = {} if repeated is None else repeated
+    found = {}
+    for ref in contract.references:
+        if ref.resolve:
+            fields = [f for c in ref.columns for f in contract.fields if f.name == c]
+            named = [f"{_finished(f, _value(f, f'`{f.source}`'))} AS `{f.name}`" for f in fields]
+            keys = raw.selectExpr(*named).select(*ref.columns).where(_filled(ref))
+            parent = _parent_keys(parents[ref.parent], ref)
+            lost = keys.join(parent, list(ref.columns), "left_anti").distinct()
+            path = scratch_path(raw.sparkSession, f"lost-{contract.name}-{ref.parent}")
+
+            def in_parent(ref: Reference = ref, parent: DataFrame = parent) -> DataFrame | None:
+                if ref.parent not in repeated:
+                    repeated[ref.parent] = _repeated_parents(parent, ref)
+                return repeated[ref.parent]
+
+            found[ref.parent] = LostKeys(materialize_table(lost, path), in_parent)
+    return found
+
+
+def _repeated_parents(parent: DataFrame, ref: Reference) -> DataFrame | None:
+    """Keys that stand more than once in a parent with their `_times`, stored."""
+
+    def counted(part: DataFrame) -> DataFrame:
+        return part.groupBy(*ref.columns).agg(F.count(F.lit(1)).alias("_times"))
+
+    many = group_single_keys(parent.where(_filled(ref)), ref.columns, counted).where("_times > 1")
+    path = scratch_path(parent.sparkSession, f"repeated-{ref.parent}")
+    stored = materialize_table(many, path)
+    return None if stored.isEmpty() else stored
+
+
+def _filled(ref: Reference) -> str:
+    return " AND ".join(f"`{c}` IS NOT NULL" for c in ref.columns)
+
+
+def _parent_keys(parent: DataFrame, ref: Reference) -> DataFrame:
+    return parent.selectExpr(*[f"`{p}` AS `{c}`" for c, p in zip(ref.columns, ref.parent_columns)])
+
+
 def clean_table(
-    raw: DataFrame, contract: Contract, parents: Mapping[str, DataFrame] | None = None
+    raw: DataFrame, contract: Contract, parents: Mapping[str, Parent] | None = None
 ) -> Cleaned:
     """Shape, resolve and split one table into good and refused rows; lazy.
 
@@ -129,33 +202,56 @@ def clean_table(
     refused rows are found in one pass of their own, by left joins that leave a mark.  AQE
     can split a parent that owns many of the rows over several tasks in both kinds.  Through
     an exchange go the typed columns of good rows, or the parent keys, reason and raw fields
-    of the others' pass; JSON is made of refused rows alone, behind all joins.
+    of the others' pass; JSON is made of refused rows alone, behind all joins.  A parent given
+    by its `LostKeys` is looked up the other way round.
     """
     shaped = shape_rows(raw, contract)
     names = [f.name for f in contract.fields]
-    marked, lost = shaped, []
+    rows = _known_rows(shaped, contract, parents).select(*names)
+    return Cleaned(rows, lambda: _refused_rows(shaped, contract, parents))
+
+
+def _refused_rows(
+    shaped: DataFrame, contract: Contract, parents: Mapping[str, Parent] | None
+) -> DataFrame:
+    marked, lost, times = shaped, [], []
     for ref in contract.references:
         if not ref.resolve:
             continue
-        columns = list(ref.columns)
+        columns, parent = list(ref.columns), parents[ref.parent]
         mark = f"_has_{ref.parent}"
-        keys = [f"`{p}` AS `{c}`" for c, p in zip(columns, ref.parent_columns)]
-        marked = marked.join(parents[ref.parent].selectExpr(*keys, f"true AS {mark}"), columns, "left")
-        lost.append(f"CASE WHEN {mark} IS NULL THEN 'orphan_{ref.parent}' END")
+        if isinstance(parent, LostKeys):
+            marked = marked.join(parent.keys.withColumn(mark, F.lit(False)), columns, "left")
+            unknown = f"NOT {mark} OR NOT ({_filled(ref)})"
+            if (many := parent.repeated()) is not None:
+                # As in a join with the parent, a refused row comes once per parent row.
+                found = f"_times_{ref.parent}"
+                marked = marked.join(many.withColumnRenamed("_times", found), columns, "left")
+                times.append(f"coalesce({found}, 1)")
+        else:
+            keys = _parent_keys(parent, ref).withColumn(mark, F.lit(True))
+            marked = marked.join(keys, columns, "left")
+            unknown = f"{mark} IS NULL"
+        lost.append(f"CASE WHEN {unknown} THEN 'orphan_{ref.parent}' END")
     refused = marked.withColumn("reason", F.expr(f"coalesce({', '.join([REASON, *lost])})"))
-    refused = quarantined(refused.where("reason IS NOT NULL"), contract)
-    return Cleaned(_known_rows(shaped, contract, parents).select(*names), refused)
+    refused = refused.where("reason IS NOT NULL")
+    if times:
+        refused = unfold(refused.withColumn("_times", F.expr(" * ".join(times))), "_times")
+    return quarantined(refused, contract)
 
 
 def _known_rows(
-    shaped: DataFrame, contract: Contract, parents: Mapping[str, DataFrame] | None
+    shaped: DataFrame, contract: Contract, parents: Mapping[str, Parent] | None
 ) -> DataFrame:
     """The shaped rows that are not refused and whose parents all exist."""
     good = shaped.where(f"{REASON} IS NULL")
     for ref in contract.references:
         if ref.resolve:
-            keys = [f"`{p}` AS `{c}`" for c, p in zip(ref.columns, ref.parent_columns)]
-            good = good.join(parents[ref.parent].selectExpr(*keys), list(ref.columns), "left_semi")
+            columns, parent = list(ref.columns), parents[ref.parent]
+            if isinstance(parent, LostKeys):
+                good = good.where(_filled(ref)).join(parent.keys, columns, "left_anti")
+            else:
+                good = good.join(_parent_keys(parent, ref), columns, "left_semi")
     return good
 
 
@@ -179,7 +275,7 @@ def latest_per_key(rows: DataFrame, key: list[str], newest_first: list[Column])
 
 def clean_categories(raw: DataFrame) -> Cleaned:
     done = clean_table(raw, CLEAN_TABLES["category_translation"])
-    return Cleaned(done.rows.distinct(), done.rejects)
+    return Cleaned(done.rows.distinct(), done.refuse)
 
 
 def clean_customers(raw: DataFrame) -> Cleaned:
@@ -197,22 +293,22 @@ def clean_products(raw: DataFrame) -> Cleaned:
 def clean_geolocation(raw: DataFrame) -> Cleaned:
     """Sample points per ZIP prefix with a dense synthetic id; equal points may repeat."""
     done = clean_table(raw, CLEAN_TABLES["geolocation"])
-    return Cleaned(number_rows(done.rows, "geolocation_id"), done.rejects)
+    return Cleaned(number_rows(done.rows, "geolocation_id"), done.refuse)
 
 
-def clean_orders(raw: DataFrame, customers: DataFrame) -> Cleaned:
+def clean_orders(raw: DataFrame, customers: Parent) -> Cleaned:
     """Orders of known customers; the lines of any other order follow it into the quarantine."""
     return clean_table(raw, CLEAN_TABLES["orders"], {"customers": customers})
 
 
 def clean_order_items(
-    raw: DataFrame, orders: DataFrame, products: DataFrame, sellers: DataFrame
+    raw: DataFrame, orders: Parent, products: Parent, sellers: Parent
 ) -> Cleaned:
     parents = {"orders": orders, "products": products, "sellers": sellers}
     return clean_table(raw, CLEAN_TABLES["order_items"], parents)
 
 
-def clean_payments(raw: DataFrame, orders: DataFrame) -> Cleaned:
+def clean_payments(raw: DataFrame, orders: Parent) -> Cleaned:
     return clean_table(raw, CLEAN_TABLES["order_payments"], {"orders": orders})
 
 
@@ -233,15 +329,21 @@ def latest_reviews(reviews: DataFrame) -> DataFrame:
     return latest_per_key(reviews, ["review_id"], _newest_review_first())
 
 
-def superseded_rows(known: DataFrame, key: list[str], newest_first: list[Column]) -> DataFrame:
+def superseded_rows(
+    known: DataFrame, key: list[str], newest_first: list[Column], store_keys: bool = False
+) -> DataFrame:
     """All rows but the first one of each key under `newest_first`; ties go by the other columns.
 
     A narrow count finds the keys that repeat, and only their rows go on.  Equal rows meet on
     the map side; the first of each key passes a group limit and marks its row in a join that
-    AQE can split, so no task has to hold all copies of a key.  Keys must not be null.
+    AQE can split, so no task has to hold all copies of a key.  Keys must not be null.  With
+    `store_keys` the repeated keys are stored first, so that while they are few they are
+    broadcast and rows without copies cross no exchange; otherwise lazy.
     """
-    repeated = known.groupBy(*key).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1")
-    rows = known.join(repeated.select(*key), key, "left_semi").select(*known.columns)
+    repeated = known.groupBy(*key).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1").select(*key)
+    if store_keys:
+        repeated = materialize_table(repeated, scratch_path(known.sparkSession, "repeated-keys"))
+    rows = known.join(repeated, key, "left_semi").select(*known.columns)
     copies = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_copies"))
     ties = [F.asc_nulls_last(c) for c in known.columns]
     first = latest_per_key(copies.drop("_copies"), key, [*newest_first, *ties])
@@ -253,21 +355,26 @@ def superseded_rows(known: DataFrame, key: list[str], newest_first: list[Column]
     return unfold(marked, "_left").select(*known.columns)
 
 
-def clean_reviews(raw: DataFrame, orders: DataFrame) -> Cleaned:
+def clean_reviews(raw: DataFrame, orders: Parent) -> Cleaned:
     """Known orders only, then the latest copy of each review id; the others are quarantined."""
     contract, parents = CLEAN_TABLES["order_reviews"], {"orders": orders}
     done = clean_table(raw, contract, parents)
-    known = _known_rows(shape_rows(raw, contract), contract, parents).drop(REASON)
-    older = superseded_rows(known, ["review_id"], _newest_review_first())
-    older = quarantined(older.withColumn("reason", F.lit("superseded_review_id")), contract)
-    return Cleaned(latest_reviews(done.rows), done.rejects.unionByName(older))
+
+    def refuse() -> DataFrame:
+        known = _known_rows(shape_rows(raw, contract), contract, parents).drop(REASON)
+        stored = isinstance(orders, LostKeys)
+        older = superseded_rows(known, ["review_id"], _newest_review_first(), stored)
+        older = quarantined(older.withColumn("reason", F.lit("superseded_review_id")), contract)
+        return done.rejects.unionByName(older)
+
+    return Cleaned(latest_reviews(done.rows), refuse)
 
 
 def clean_leads(raw: DataFrame) -> Cleaned:
     return clean_table(raw, CLEAN_TABLES["qualified_leads"])
 
 
-def clean_deals(raw: DataFrame, leads: DataFrame) -> Cleaned:
+def clean_deals(raw: DataFrame, leads: Parent) -> Cleaned:
     return clean_table(raw, CLEAN_TABLES["closed_deals"], {"qualified_leads": leads})
 
 
@@ -284,25 +391,42 @@ def clean_parents(raw: Mapping[str, DataFrame]) -> dict[str, Cleaned]:
 
 
 def clean_ordered(
-    raw: Mapping[str, DataFrame], parents: Mapping[str, DataFrame]
+    raw: Mapping[str, DataFrame], parents: Mapping[str, DataFrame], store_lost: bool = False
 ) -> dict[str, Cleaned]:
     """Orders: children of customers and parents of lines, payments and reviews."""
-    return {"orders": clean_orders(raw["orders"], parents["customers"])}
+    return {"orders": clean_child(raw, "orders", parents, store_lost)}
 
 
 def clean_children(
-    raw: Mapping[str, DataFrame], parents: Mapping[str, DataFrame]
+    raw: Mapping[str, DataFrame], parents: Mapping[str, DataFrame], store_lost: bool = False
 ) -> dict[str, Cleaned]:
     """Tables whose rows must resolve; hand in stored parents to read only their keys."""
-    orders = parents["orders"]
-    return {
-        "order_items": clean_order_items(
-            raw["order_items"], orders, parents["products"], parents["sellers"]
-        ),
-        "order_payments": clean_payments(raw["order_payments"], orders),
-        "order_reviews": clean_reviews(raw["order_reviews"], orders),
-        "closed_deals": clean_deals(raw["closed_deals"], parents["qualified_leads"]),
-    }
+    names, repeated = [n for n in CHILDREN if n != "orders"], {}
+    return {n: clean_child(raw, n, parents, store_lost, repeated) for n in names}
+
+
+CHILDREN = {
+    "orders": clean_orders,
+    "order_items": clean_order_items,
+    "order_payments": clean_payments,
+    "order_reviews": clean_reviews,
+    "closed_deals": clean_deals,
+}
+
+
+def clean_child(
+    raw: Mapping[str, DataFrame],
+    name: str,
+    parents: Mapping[str, DataFrame],
+    store_lost: bool = False,
+    repeated: dict[str, DataFrame | None] | None = None,
+) -> Cleaned:
+    """One table whose rows must resolve; with `store_lost` by its `lost_keys`, else lazy."""
+    contract = CLEAN_TABLES[name]
+    known = {r.parent: parents[r.parent] for r in contract.references if r.resolve}
+    if store_lost:
+        known = lost_keys(raw[name], contract, known, repeated)
+    return CHILDREN[name](raw[name], *known.values())
 
 
 def rows_of(cleaned: Mapping[str, Cleaned]) -> dict[str, DataFrame]:

@@ -62,9 +62,9 @@ def build_layers(
     version = LayerVersion(spark, f"{out}/clean")
     parents = clean_parents(raw)
     clean = version.put(rows_of(parents))
-    orders = clean_ordered(raw, clean)
+    orders = clean_ordered(raw, clean, store_lost=True)
     clean |= version.put(rows_of(orders))
-    children = clean_children(raw, clean)
+    children = clean_children(raw, clean, store_lost=True)
     clean |= version.put(rows_of(children))
     refused = quarantine_rejects(parents, orders, children)
     refused = version.put({"quarantine": refused})["quarantine"]
