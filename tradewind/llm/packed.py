@@ -51,7 +51,7 @@ def unsqueeze_sorted(data: bytes) -> np.ndarray:
 
 
 def pack(
-    docs: DataFrame, text: str, keep: list[str], chunk_bytes: int = CHUNK_BYTES, level: int = 1
+    docs: DataFrame, text: str, keep: list[str], chunk_bytes: int = CHUNK_BYTES, *, level: int = 1
 ) -> DataFrame:
     """(chunk, bytes, offsets, blob, one array k0, k1, ... per column of keep), stored.
 

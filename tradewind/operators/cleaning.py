@@ -19,7 +19,7 @@ from pyspark.sql.window import Window
 from tradewind.functions.text import blank_to_null_sql, title_words_sql, truth_value_sql
 from tradewind.operators.keys import group_single_keys
 from tradewind.operators.numbering import number_rows, unfold
-from tradewind.session import scratch_path
+from tradewind.session import work_path
 from tradewind.sources.contracts import CLEAN_TABLES, DOMAINS, Contract, Field, Reference
 from tradewind.sources.tables import materialize_table
 
@@ -162,7 +162,7 @@ def lost_keys(
             keys = raw.selectExpr(*named).select(*ref.columns).where(_filled(ref))
             parent = _parent_keys(parents[ref.parent], ref)
             lost = keys.join(parent, list(ref.columns), "left_anti").distinct()
-            path = scratch_path(raw.sparkSession, f"lost-{contract.name}-{ref.parent}")
+            path = work_path(raw.sparkSession, f"lost-{contract.name}-{ref.parent}")
 
             def in_parent(ref: Reference = ref, parent: DataFrame = parent) -> DataFrame | None:
                 if ref.parent not in repeated:
@@ -180,7 +180,7 @@ def _repeated_parents(parent: DataFrame, ref: Reference) -> DataFrame | None:
         return part.groupBy(*ref.columns).agg(F.count(F.lit(1)).alias("_times"))
 
     many = group_single_keys(parent.where(_filled(ref)), ref.columns, counted).where("_times > 1")
-    path = scratch_path(parent.sparkSession, f"repeated-{ref.parent}")
+    path = work_path(parent.sparkSession, f"repeated-{ref.parent}")
     stored = materialize_table(many, path)
     return None if stored.isEmpty() else stored
 
@@ -342,7 +342,7 @@ def superseded_rows(
     """
     repeated = known.groupBy(*key).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1").select(*key)
     if store_keys:
-        repeated = materialize_table(repeated, scratch_path(known.sparkSession, "repeated-keys"))
+        repeated = materialize_table(repeated, work_path(known.sparkSession, "repeated-keys"))
     rows = known.join(repeated, key, "left_semi").select(*known.columns)
     copies = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_copies"))
     ties = [F.asc_nulls_last(c) for c in known.columns]

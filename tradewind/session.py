@@ -113,5 +113,14 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the scratch folder."""
+    return _fresh(spark, "tradewind", label)
+
+
+def work_path(spark: SparkSession, label: str) -> str:
+    """A fresh path for a step's own rows, apart from the tables of layers."""
+    return _fresh(spark, "tradewind-work", label)
+
+
+def _fresh(spark: SparkSession, kind: str, label: str) -> str:
     app = spark.sparkContext.applicationId
-    return f"{scratch_root(spark)}/tradewind/{app}/{label}-{uuid.uuid4().hex[:12]}"
+    return f"{scratch_root(spark)}/{kind}/{app}/{label}-{uuid.uuid4().hex[:12]}"
