@@ -38,6 +38,13 @@ LINE_ATTRIBUTES = (
 )
 
 
+def _numbered(
+    rows: DataFrame, key: list[str], name: str, keys_only: DataFrame | None = None
+) -> DataFrame:
+    """Surrogate keys for rows that are stored; they cross the exchange without their slice."""
+    return assign_surrogate_keys(rows, key, name, keys_only, carry_slice=False)
+
+
 def build_dim_date(orders: DataFrame) -> DataFrame:
     """One row per calendar day from the first to the last purchase."""
     span = orders.agg(
@@ -69,7 +76,7 @@ def build_dim_customer(customers: DataFrame) -> DataFrame:
         "customer_state",
         F.col("customer_zip_code_prefix").alias("customer_zip_prefix"),
     )
-    return assign_surrogate_keys(rows, ["customer_id"], "customer_sk")
+    return _numbered(rows, ["customer_id"], "customer_sk")
 
 
 def build_dim_product(products: DataFrame, translation: DataFrame) -> DataFrame:
@@ -83,7 +90,7 @@ def build_dim_product(products: DataFrame, translation: DataFrame) -> DataFrame:
         "product_weight_g",
         "product_photos_qty",
     )
-    return assign_surrogate_keys(rows, ["product_id"], "product_sk", keys_only=products)
+    return _numbered(rows, ["product_id"], "product_sk", products)
 
 
 def build_dim_seller(sellers: DataFrame) -> DataFrame:
@@ -93,7 +100,7 @@ def build_dim_seller(sellers: DataFrame) -> DataFrame:
         "seller_state",
         F.col("seller_zip_code_prefix").alias("seller_zip_prefix"),
     )
-    return assign_surrogate_keys(rows, ["seller_id"], "seller_sk")
+    return _numbered(rows, ["seller_id"], "seller_sk")
 
 
 def build_dim_order(orders: DataFrame) -> DataFrame:
@@ -111,7 +118,7 @@ def build_dim_order(orders: DataFrame) -> DataFrame:
         "order_estimated_delivery_date",
     )
     # Figures are derived behind the numbering, so its exchange does not carry them.
-    return assign_surrogate_keys(rows, ["order_id"], "order_sk").select(
+    return _numbered(rows, ["order_id"], "order_sk").select(
         "*",
         days_between(purchased, delivered).alias("delivery_days"),
         days_between(purchased, promised).alias("estimated_delivery_days"),
@@ -136,7 +143,7 @@ def build_dim_payment(payments: DataFrame) -> DataFrame:
         "max_installments",
     )
     keys = payments.select("order_id").distinct()
-    return assign_surrogate_keys(rows, ["order_id"], "payment_sk", keys_only=keys)
+    return _numbered(rows, ["order_id"], "payment_sk", keys)
 
 
 def build_dim_review(reviews: DataFrame) -> DataFrame:
@@ -153,7 +160,7 @@ def build_dim_review(reviews: DataFrame) -> DataFrame:
         [F.desc_nulls_last("review_creation_date"), F.asc("review_id")],
     )
     keys = reviews.select("order_id").distinct()
-    return assign_surrogate_keys(newest, ["order_id"], "review_sk", keys_only=keys)
+    return _numbered(newest, ["order_id"], "review_sk", keys)
 
 
 def build_order_frame(orders: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
@@ -225,7 +232,7 @@ def build_line_book(
     products, sellers, carried = _line_parents(order_frame, dims)
     # Numbered while still narrow.  Cleaning has resolved every parent, so the joins below
     # neither drop nor repeat a line; `require_all_lines` holds a stored star to that.
-    numbered = assign_surrogate_keys(items, ["order_id", "order_item_id"], "fact_sk")
+    numbered = _numbered(items, ["order_id", "order_item_id"], "fact_sk")
     # The wide order attributes come last, so no other join has to shuffle them.
     return (
         numbered.join(products, "product_id")
@@ -314,7 +321,9 @@ def build_seller_book(line_book: DataFrame) -> DataFrame:
     """One row per seller and order: line totals and the order's delivery and review.
 
     Orders per seller then are plain counts, combined on the map side, where the lines would
-    need a distinct count that shuffles nearly all of them for every metric.
+    need a distinct count that shuffles nearly all of them for every metric.  They are dealt out
+    by order: a stored line book holds an order's lines next to each other, with equal figures of
+    the order, and such rows compress well on their way.
     """
     of_order = ["is_delivered", "delivery_days", "is_late_delivery", "review_score"]
     key = ["seller_sk", "order_sk"]
@@ -327,7 +336,8 @@ def build_seller_book(line_book: DataFrame) -> DataFrame:
             *[F.first(c).alias(c) for c in of_order],
         )
 
-    return group_single_keys(line_book.select(*key, "price_cents", *of_order), key, per_pair)
+    lines = line_book.select(*key, "price_cents", *of_order)
+    return group_single_keys(lines, key, per_pair, deal_by=["order_sk"])
 
 
 @dataclass(frozen=True)

@@ -7,6 +7,7 @@ import time
 import uuid
 from collections.abc import Callable, Iterable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from threading import Lock
 
 from py4j.protocol import Py4JJavaError
@@ -15,6 +16,35 @@ from pyspark.sql import DataFrame, Row, SparkSession
 _VERSIONS = "_versions"
 WRITERS = 8  # tables written side by side by one driver
 
+# Shuffle files of a finished query lie on the executors' disks until the driver happens to
+# collect its garbage.  With this setting Spark removes them when the query ends.
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_SETTING = Lock()
+_WRITING: dict[int, tuple[int, str | None]] = {}  # by session: writers, and the setting before them
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Queries that start inside leave no shuffle files; the session's own setting comes back."""
+    session = spark._jsparkSession.hashCode()
+    with _SETTING:
+        writers, before = _WRITING.get(session, (0, None))
+        if not writers:
+            before = spark.conf.get(_DROP_SHUFFLES, None)
+            spark.conf.set(_DROP_SHUFFLES, "true")
+        _WRITING[session] = writers + 1, before
+    try:
+        yield
+    finally:
+        with _SETTING:
+            writers, before = _WRITING.pop(session)
+            if writers > 1:
+                _WRITING[session] = writers - 1, before
+            elif before is None:
+                spark.conf.unset(_DROP_SHUFFLES)
+            else:
+                spark.conf.set(_DROP_SHUFFLES, before)
+
 
 def materialize_table(
     df: DataFrame, path: str, partition_by: Iterable[str] = (), mode: str = "overwrite"
@@ -23,7 +53,7 @@ def materialize_table(
 
     With partition columns the rows go through a rebalance first: each partition value
     gets few well-filled files, and a value holding a large part of the rows is split
-    over several tasks by AQE instead of landing in one.
+    over several tasks by AQE instead of landing in one.  What it shuffled is removed at once.
     """
     columns = list(partition_by)
     out = df.hint("rebalance", *columns) if columns else df
@@ -31,7 +61,8 @@ def materialize_table(
     writer = out.write.mode(mode).option("compression", "zstd")
     if columns:
         writer = writer.partitionBy(*columns)
-    writer.parquet(path)
+    with shuffles_dropped(df.sparkSession):
+        writer.parquet(path)
     return df.sparkSession.read.schema(_stored_schema(df, columns)).parquet(path)
 
 
