@@ -34,15 +34,21 @@ def _rows_per_key(rows: DataFrame, key: Iterable[str]) -> DataFrame:
     return rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
 
 
-def count_keys(rows: DataFrame, key: Iterable[str]) -> DataFrame:
+def count_keys(
+    rows: DataFrame, key: Iterable[str], deal_by: Iterable[str] | None = None
+) -> DataFrame:
     """Every key with the number of its rows, for keys that hardly ever repeat."""
     key = list(key)
-    return group_single_keys(rows.select(*key), key, lambda part: _rows_per_key(part, key))
+    return group_single_keys(
+        rows.select(*key), key, lambda part: _rows_per_key(part, key), deal_by
+    )
 
 
-def repeated_keys(rows: DataFrame, key: Iterable[str]) -> DataFrame:
+def repeated_keys(
+    rows: DataFrame, key: Iterable[str], deal_by: Iterable[str] | None = None
+) -> DataFrame:
     """`duplicate_keys` for keys that hardly ever repeat."""
-    return count_keys(rows, key).where("n > 1")
+    return count_keys(rows, key, deal_by).where("n > 1")
 
 
 def _violations(rows: DataFrame, **labels: str) -> DataFrame:

@@ -13,6 +13,8 @@ from tradewind.functions import days_between, from_cents, mean_2dp, mean_cents,
 from tradewind.operators.star import Star
 from tradewind.plans.common import money, n_rows
 from tradewind.plans.delivery import bucket
+from tradewind.session import work_path
+from tradewind.sources.tables import materialize_table
 
 # Upper limits in days and labels of the closing-speed buckets.
 CLOSE_BUCKETS = (
@@ -83,9 +85,18 @@ def _seller_deals(star: Star, deals: DataFrame, *columns: str) -> DataFrame:
     )
 
 
+def _stored(deals: DataFrame) -> DataFrame:
+    """Seller deals as a stored table of known size.
+
+    While they are small they are broadcast, and the seller book crosses no exchange to meet
+    them; computed in the same plan they would be known to be small when it has crossed.
+    """
+    return materialize_table(deals, work_path(deals.sparkSession, "seller-deals"))
+
+
 def acquired_seller_gmv(star: Star, limit: int = 30) -> DataFrame:
     """Sellers, orders and GMV per business type and lead origin of the deal."""
-    deals = _seller_deals(star, _deals_with_lead(star), "business_type", "origin")
+    deals = _stored(_seller_deals(star, _deals_with_lead(star), "business_type", "origin"))
     group = ["business_type", "lead_origin"]
     # An order can hold lines of several acquired sellers, and one seller many orders.  Every
     # row of the seller book stands for its order and for its seller; both are reduced to the
@@ -138,17 +149,18 @@ def time_to_close(star: Star, buckets=CLOSE_BUCKETS) -> DataFrame:
 def acquired_delivery_quality(star: Star, min_orders: int = 20) -> DataFrame:
     """Delivery and reviews of acquired sellers' delivered lines per business type."""
     kind = F.coalesce("business_type", F.lit("unknown")).alias("business_type")
-    sellers = star.dims["dim_seller"].select("seller_id", "seller_sk")
-    deals = star.clean["closed_deals"].select("seller_id", kind).join(sellers, "seller_id")
+    won = star.clean["closed_deals"].select("seller_id", kind)
+    deals = _stored(_seller_deals(star, won, "business_type"))
     orders = star.sellers.where("is_delivered").select(
         "seller_sk", "order_sk", "line_count", "delivery_days", "is_late_delivery", "review_score"
     )
-    lines = F.col("line_count")
+    # A seller with several deals of a type counts once for each.
+    lines = F.col("line_count") * F.col("deals")
     timed = F.when(F.col("delivery_days").isNotNull(), lines)
     reviewed = F.when(F.col("review_score").isNotNull(), lines)
     # An order with lines of several sellers of a type is one order: reduced to its types first.
     per_order = (
-        orders.join(deals.select("seller_sk", "business_type"), "seller_sk")
+        orders.join(deals, "seller_sk")
         .groupBy("order_sk", "business_type")
         .agg(
             F.sum(F.col("delivery_days") * lines).alias("days"),

@@ -97,7 +97,10 @@ def sellers_above_category_avg(star: Star, factor: str = "3", limit: int = 25) -
     The mean is taken by a second aggregation joined back, not by a window: a category
     holding most sellers would put them all into one window task.
     """
-    pairs = star.lines.groupBy("seller_sk", "category").agg(
+    # The joins below need both columns filled; asked for here, both uses of the pairs are the
+    # same plan and share one exchange.
+    lines = star.lines.where(F.col("seller_sk").isNotNull() & F.col("category").isNotNull())
+    pairs = lines.groupBy("seller_sk", "category").agg(
         F.sum("price_cents").alias("revenue_cents")
     )
     means = pairs.groupBy("category").agg(
